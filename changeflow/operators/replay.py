@@ -25,6 +25,8 @@ from changeflow.operators.latest import latest
 from changeflow.operators.merge import REFERENCE, effective_op, merge
 from changeflow.sources.paths import stage
 
+ACTION = "_action"
+
 
 def net_changes(
     feed: DataFrame,
@@ -34,46 +36,48 @@ def net_changes(
     op: str = "_operation",
     mode: str = REFERENCE,
 ) -> DataFrame:
-    """One row per key with the operation that equals applying all batches in ``batch`` order."""
+    """One row per key that equals applying all batches in ``batch`` order.
+
+    What to do with the row is in ``_action``; the feed's own columns stay as they came.
+    """
     keys = as_list(key)
-    payload = [c for c in feed.columns if c not in {*keys, op, batch}]
+    payload = [c for c in feed.columns if c not in keys]
     winners = latest(feed, [*keys, batch], order, op).where(F.col(op).isin(INSERT, UPDATE, DELETE))
     # Rows without a key never match anything: every written one is a row of its own.
-    keyless = winners.where(any_null(keys) & F.col(op).isin(INSERT, UPDATE)).withColumn(op, F.lit(INSERT))
-    winners = winners.where(~any_null(keys)).withColumn(op, effective_op(F.col(op), mode))
+    keyless = winners.where(any_null(keys) & F.col(op).isin(INSERT, UPDATE)).withColumn(ACTION, F.lit(INSERT))
+    winners = winners.where(~any_null(keys)).withColumn(ACTION, effective_op(F.col(op), mode))
 
-    row = F.struct(F.col(batch), *[F.col(c) for c in payload])
-    updated = F.when(F.col(op) == UPDATE, F.col(batch))
+    row = F.struct(*[F.col(c) for c in payload])
+    updated = F.when(F.col(ACTION) == UPDATE, F.col(batch))
     marks = winners.groupBy(*keys).agg(
-        F.max(F.when(F.col(op) == DELETE, F.col(batch))).alias("__ld"),
+        F.max(F.when(F.col(ACTION) == DELETE, F.col(batch))).alias("__ld"),
         F.max(updated).alias("__lu"),
         F.max_by(row, updated).alias("__update"),
     )
+    # Is there an UPDATE after the last DELETE?
     marks = marks.withColumn("__alive", F.coalesce(F.col("__lu") > F.col("__ld"), F.col("__lu").isNotNull()))
-
+    written = F.when(F.col("__alive"), F.col("__update"))
     if mode == REFERENCE:
-        # Only keys with no effective UPDATE need their first INSERT.
+        # Only keys without such an UPDATE need their first INSERT.
         open_keys = marks.where(~F.col("__alive")).select(*keys, "__ld")
         firsts = (
-            winners.where(F.col(op) == INSERT)
+            winners.where(F.col(ACTION) == INSERT)
             .join(open_keys, keys, "inner")
             .where(F.col("__ld").isNull() | (F.col(batch) > F.col("__ld")))
             .groupBy(*keys)
             .agg(F.min_by(row, F.col(batch)).alias("__insert"))
         )
         marks = marks.join(firsts, keys, "left")
-    else:
-        marks = marks.withColumn("__insert", F.lit(None).cast(marks.schema["__update"].dataType))
+        written = written.otherwise(F.col("__insert"))
 
-    written = F.when(F.col("__alive"), F.col("__update")).otherwise(F.col("__insert"))
-    net_op = (
+    action = (
         F.when(F.col("__row").isNull(), DELETE)
         .when(F.col("__ld").isNotNull(), REPLACE)
         .when(F.col("__alive"), UPDATE)
         .otherwise(INSERT)
     )
-    net = marks.withColumn("__row", written).select(*keys, "__row.*", net_op.alias(op))
-    return net.unionByName(keyless).select(*feed.columns)
+    net = marks.withColumn("__row", written).select(*keys, "__row.*", action.alias(ACTION))
+    return net.unionByName(keyless).select(*feed.columns, ACTION)
 
 
 def replay(
@@ -86,4 +90,4 @@ def replay(
     mode: str = REFERENCE,
 ) -> DataFrame:
     """The table after all batches of ``feed``; the feed is read once, the table is merged once."""
-    return merge(target, stage(net_changes(feed, key, batch, order, op, mode)), key, op, mode)
+    return merge(target, stage(net_changes(feed, key, batch, order, op, mode)), key, ACTION, mode)

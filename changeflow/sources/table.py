@@ -17,7 +17,6 @@ from __future__ import annotations
 import json
 
 from collections.abc import Iterable, Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +26,9 @@ from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_V
 from changeflow.operators.merge import OLD_IMAGES, REFERENCE, apply_changes, row_changes
 from changeflow.sources import paths
 
+LAYOUT = "array<struct<bucket: int, written: bigint>>"
 COMMIT_SCHEMA = (
-    "committed_at timestamp, source_version bigint, schema string, buckets int, "
-    "layout array<struct<bucket: int, written: bigint>>, "
+    f"committed_at timestamp, source_version bigint, schema string, buckets int, layout {LAYOUT}, "
     "n_insert bigint, n_update bigint, n_delete bigint"
 )
 # A bucket is sized to about this much data, so that a small batch rewrites little.
@@ -207,16 +206,16 @@ class KeyedTable:
         source_version: int | None,
         totals: dict[str, int],
     ) -> None:
-        row = (
-            datetime.now(timezone.utc),
-            source_version,
-            schema.json(),
-            buckets,
-            sorted(layout),
-            totals.get("insert", 0),
-            totals.get("update_postimage", 0),
-            totals.get("delete", 0),
+        pieces = json.dumps([{"bucket": b, "written": w} for b, w in sorted(layout)])
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.current_timestamp().alias("committed_at"),
+            F.lit(source_version).cast("bigint").alias("source_version"),
+            F.lit(schema.json()).alias("schema"),
+            F.lit(buckets).alias("buckets"),
+            F.from_json(F.lit(pieces), LAYOUT).alias("layout"),
+            F.lit(totals.get("insert", 0)).cast("bigint").alias("n_insert"),
+            F.lit(totals.get("update_postimage", 0)).cast("bigint").alias("n_update"),
+            F.lit(totals.get("delete", 0)).cast("bigint").alias("n_delete"),
         )
-        path = f"{self.path}/commits/{COMMIT_VERSION}={version}"
         # One row, one file: the commit becomes visible at once.
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+        row.write.mode("overwrite").parquet(f"{self.path}/commits/{COMMIT_VERSION}={version}")

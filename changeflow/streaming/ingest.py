@@ -20,7 +20,7 @@ from changeflow.functions.columns import CHANGE_COLUMNS, CHANGE_TYPE, COMMIT_VER
 from changeflow.operators.distinct import count_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest, latest_row_changes
 from changeflow.operators.merge import LATEST_WINS, REFERENCE
-from changeflow.operators.replay import net_changes
+from changeflow.operators.replay import ACTION, net_changes
 from changeflow.sources import files, paths
 from changeflow.sources.table import KeyedTable
 
@@ -79,10 +79,11 @@ class BronzeIngest:
 
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
         if self.batch is None:
-            source = latest(changes, self.table.key, self.order, self.op)
+            source, op = latest(changes, self.table.key, self.order, self.op), self.op
         else:
             source = net_changes(changes, self.table.key, self.batch, self.order, self.op, self.mode)
-        self.table.merge(batch_id + 1, source, self.op, self.mode, self.guard)
+            op = ACTION
+        self.table.merge(batch_id + 1, source, op, self.mode, self.guard)
 
     def run(self, changes_path: str, files_per_trigger: int | None = None) -> None:
         stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger)
@@ -114,6 +115,8 @@ class _Downstream:
         )
 
     def upsert(self, commits: DataFrame, batch_id: int) -> None:
+        if self.table.version() > batch_id:
+            return
         seen = self.table.commit_row(0).source_version
         span = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
         changes = self.source.read_changes(max(span[0], seen + 1), span[1])
@@ -182,7 +185,7 @@ class DistinctIngest(_Downstream):
         return value_counts(rows, self.column)
 
     def _change_set(self, changes: DataFrame) -> DataFrame:
-        return count_changes(self.table.read(), value_deltas(changes, self.column), self.column)
+        return count_changes(self.table.read(), paths.stage(value_deltas(changes, self.column)), self.column)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)
