@@ -56,13 +56,18 @@ def as_timestamp(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def _second_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``; a cast leaves zone-free times alone, unlike ``date_format``."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
 def file_stamp(ts: Column) -> Column:
-    """Timestamp text used in the names of landed data."""
-    return F.date_format(ts, "yyyyMMdd_HHmmss")
+    """Timestamp text used in the names of landed data: ``yyyyMMdd_HHmmss``."""
+    return F.translate(_second_text(ts), " -:", "_")
 
 
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.translate(_second_text(ts), " ", "T")
 
 
 def in_sample(key: Column, rate: float) -> Column:

@@ -36,10 +36,9 @@ def value_deltas(changes: DataFrame, column: str) -> DataFrame:
 
 
 def count_changes(counts: DataFrame, deltas: DataFrame, column: str) -> DataFrame:
-    """Merge source that brings ``counts`` up to date with ``deltas``."""
-    touched = counts.join(deltas.select(column), column, "left_semi")
+    """Merge source that brings ``counts`` (of the values in ``deltas``) up to date."""
     after = F.coalesce(F.col(ROWS), F.lit(0)) + F.col("__delta")
-    return deltas.join(touched, column, "left").select(
+    return deltas.join(counts, column, "left").select(
         column,
         after.cast("bigint").alias(ROWS),
         F.when(after <= 0, DELETE).otherwise(UPDATE).alias("_operation"),

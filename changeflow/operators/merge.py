@@ -27,10 +27,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import CHANGE_TYPE, DELETE, INSERT, REPLACE, UPDATE, as_list
+from changeflow.functions.columns import (
+    CHANGE_TYPE,
+    COMMIT_VERSION,
+    DELETE,
+    INSERT,
+    REPLACE,
+    UPDATE,
+    any_null,
+    as_list,
+)
 
 REFERENCE, LATEST_WINS = "reference", "latest_wins"
-OLD_IMAGES = ("delete", "update_preimage")
 NEW_IMAGES = ("insert", "update_postimage")
 
 
@@ -53,20 +61,22 @@ def _on(keys: Sequence[str]) -> list[Column]:
     return [F.col(k) == F.col(f"__new_{k}") for k in keys]
 
 
-def _applies(guard: str | None) -> Column:
-    """With a guard, a change older than the stored row does not touch it."""
-    if guard is None:
-        return F.lit(True)
-    older = F.coalesce(F.col(f"__new_{guard}") < F.col(guard), F.lit(False))
-    return ~older | (F.col("__op") == REPLACE)
-
-
 def present_keys(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys of the change set that the table holds: at most one row per change."""
     keys = as_list(key)
     return target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
 
 
+def drop_older(target: DataFrame, source: DataFrame, key: str | Sequence[str], guard: str) -> DataFrame:
+    """Source rows that are not older, by column ``guard``, than any row stored under their key."""
+    keys = as_list(key)
+    stored = (
+        target.join(source.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max(guard).alias("__stored"))
+    )
+    older = F.coalesce(F.col(guard) < F.col("__stored"), F.lit(False))
+    return source.join(stored, keys, "left").where(~older).drop("__stored")
+
+
 def _new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], op: str) -> DataFrame:
     """Source rows that enter the table as rows of their own; ``__hit`` tells if the key existed."""
     writes = source.where(F.col(op).isin(INSERT, UPDATE, REPLACE))
@@ -84,13 +94,15 @@ def merge(
 ) -> DataFrame:
     """The table after applying ``source`` (one row per key, all target columns plus ``op``).
 
-    ``guard`` names an order column; a matched change with a lower value is then ignored.
+    ``guard`` names an order column; a change lower than its stored row is then ignored.
     """
     keys, columns = as_list(key), target.columns
+    if guard is not None:
+        source = drop_older(target, source, keys, guard)
     src = _source_side(source, columns, op, mode)
 
     def acts(*ops: str) -> Column:
-        return F.coalesce(F.col("__op").isin(*ops), F.lit(False)) & _applies(guard)
+        return F.coalesce(F.col("__op").isin(*ops), F.lit(False))
 
     kept = (
         target.join(src, _on(keys), "left")
@@ -113,6 +125,8 @@ def row_changes(
     Only matched rows and inserts pass through here, so the result is of the change set's size.
     """
     keys, columns = as_list(key), target.columns
+    if guard is not None:
+        source = drop_older(target, source, keys, guard)
     src = _source_side(source, columns, op, mode).where(F.col("__op").isin(UPDATE, DELETE, REPLACE))
 
     def image(kind: str, prefix: str) -> Column:
@@ -127,7 +141,6 @@ def row_changes(
     )
     matched = (
         target.join(src, _on(keys), "inner")
-        .where(_applies(guard))
         .select(F.explode(images).alias("image"))
         .select(
             *[F.col(f"image.row.{c}").alias(c) for c in columns],
@@ -140,8 +153,15 @@ def row_changes(
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """The table after a set of stored row changes: old images out, new images in."""
+    """The table after the stored row changes of one or more commits.
+
+    A commit replaces all rows of a key it touches, so a touched key consists of the new images of its
+    last commit. Rows without a key are only ever added.
+    """
     keys, columns = as_list(key), target.columns
-    gone = changes.where(F.col(CHANGE_TYPE).isin(*OLD_IMAGES)).select(*keys).distinct()
-    new = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES)).select(*columns)
-    return target.join(gone, keys, "left_anti").select(*columns).unionByName(new)
+    last = changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION))
+    images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
+    current = images.join(last, [*keys, COMMIT_VERSION], "left_semi").select(*columns)
+    keyless = images.where(any_null(keys)).select(*columns)
+    untouched = target.join(last.select(*keys), keys, "left_anti").select(*columns)
+    return untouched.unionByName(current).unionByName(keyless)

@@ -56,7 +56,7 @@ def scale_round_restore(spark: SparkSession, sf: str) -> DataFrame:
 def date_parse_profile(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders").select(
         "o_orderkey",
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date_text"),
+        F.col("o_orderdate").cast("string").alias("date_text"),
         "o_orderpriority",
         "o_orderstatus",
     )

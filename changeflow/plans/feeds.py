@@ -98,8 +98,8 @@ def clientes_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             ]
         ],
         F.floor("value").alias("qtdePontos"),
-        F.date_format("ts", "yyyy-MM-dd").alias("DtCriacao"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("DtAtualizacao"),
+        F.substring(F.col("ts").cast("string"), 1, 10).alias("DtCriacao"),
+        F.col("ts").cast("string").alias("DtAtualizacao"),
         _operation("event_type", "signup", "error").alias("_operation"),
         F.dayofmonth("ts").alias("b"),
     )

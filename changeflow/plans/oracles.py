@@ -143,7 +143,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS k, struct_pack({_SEGMENTS}, qtdePontos := C
        DtCriacao := '2023-12-31', DtAtualizacao := '2023-12-31') AS v FROM customer"""
 CLIENTES_FEED = f"""
 SELECT CAST(user_id * 20 AS VARCHAR) AS k, struct_pack({_KINDS}, qtdePontos := CAST(floor(value) AS BIGINT),
-       DtCriacao := strftime(ts, '%Y-%m-%d'), DtAtualizacao := strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS v,
+       DtCriacao := strftime(ts, '%Y-%m-%d'), DtAtualizacao := CAST(ts AS VARCHAR)) AS v,
        CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op,
        ts, event_id, (CAST(day(ts) AS INT) - 1) // 7 + 1 AS b FROM events"""
 

@@ -1,41 +1,49 @@
 """A keyed table as parquet directories, with its row changes.
 
-    <path>/state/_written=N/bucket=B/     rows of bucket B as written by commit N
+    <path>/state/version=C/bucket=B/      all rows as of commit C, by bucket of the key
     <path>/changes/_commit_version=N/     row changes of commit N
     <path>/commits/_commit_version=N/     one row; its arrival makes commit N visible
-    <path>/staged/_commit_version=N/      change set of commit N, one row per key
     <path>/progress/                      checkpoint of the stream that feeds the table
 
-A commit rewrites only the buckets in which rows were changed or removed and appends to buckets that
-only gained rows; the commit row lists which directories make up the table. Nothing visible is ever
-rewritten, so a commit that died half way is simply done again, earlier versions stay readable, and
+A commit writes its row changes and nothing else, so its cost follows the change set, not the table.
+The table at commit N is the newest full state C <= N with the changes of C+1 .. N applied; once these
+have grown to a share of the table, a commit also writes a new full state. Nothing visible is ever
+rewritten: a commit that died half way is simply done again, earlier versions stay readable, and
 readers are never disturbed. There is one writer per table.
 """
 
 from __future__ import annotations
 
 import json
-
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, as_list, bucket_of
-from changeflow.operators.merge import OLD_IMAGES, REFERENCE, apply_changes, row_changes
+from changeflow.operators.merge import REFERENCE, apply_changes, row_changes
 from changeflow.sources import paths
 
-LAYOUT = "array<struct<bucket: int, written: bigint>>"
-COMMIT_SCHEMA = (
-    f"committed_at timestamp, source_version bigint, schema string, buckets int, layout {LAYOUT}, "
-    "n_insert bigint, n_update bigint, n_delete bigint"
-)
-# A bucket is sized to about this much data, so that a small batch rewrites little.
+# What a commit row says besides its time. ``base`` is the newest full state.
+COMMIT_FIELDS = {
+    "source_version": "bigint",
+    "schema": "string",
+    "buckets": "int",
+    "base": "bigint",
+    "n_rows": "bigint",
+    "n_logged": "bigint",
+    "n_insert": "bigint",
+    "n_update": "bigint",
+    "n_delete": "bigint",
+}
+COMMIT_SCHEMA = ", ".join(["committed_at timestamp", *[f"{n} {t}" for n, t in COMMIT_FIELDS.items()]])
+# A bucket holds about this much data: a merge scans the buckets its keys fall into.
 BUCKET_BYTES = 1 << 30
 MIN_BUCKETS, MAX_BUCKETS = 8, 16384
-# Appends to one bucket before it is rewritten as a whole.
-MAX_PIECES = 16
+# A new full state is written when the row changes since the last one exceed this share of the
+# table, or this many commits.
+LOG_SHARE, LOG_COMMITS = 0.2, 32
 
 
 def _suggest_buckets(df: DataFrame) -> int:
@@ -76,19 +84,24 @@ class KeyedTable:
     def schema(self, version: int | None = None) -> StructType:
         return StructType.fromJson(json.loads(self.commit_row(version).schema))
 
-    def read(self, version: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The table at a version; ``buckets`` limits the scan to the directories of those buckets."""
-        commit = self.commit_row(version)
-        wanted = None if buckets is None else set(buckets)
-        directories = [
-            f"{self.path}/state/_written={piece.written}/bucket={piece.bucket}"
-            for piece in commit.layout
-            if wanted is None or piece.bucket in wanted
-        ]
-        schema = self.schema(version)
-        if not directories:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*directories)
+    def read(self, version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """The table at a version; with ``keys``, only the rows with one of those (few) keys.
+
+        Keys reduce the scan to their buckets, and the rows before anything else is done to them.
+        """
+        version = self.version() if version is None else version
+        commit, columns = self.commit_row(version), self.schema(version).names
+        rows = self.spark.read.schema(self.schema(version)).parquet(f"{self.path}/state/version={commit.base}")
+        log = self.read_changes(commit.base + 1, version)
+        if keys is not None:
+            keys = keys.select(*self.key)
+            bucket = bucket_of(self.key, commit.buckets)
+            # At most one row per bucket reaches the driver.
+            touched = [r.bucket for r in keys.select(bucket.alias("bucket")).distinct().collect()]
+            rows = rows.where(F.col("bucket").isin(touched)).join(keys, self.key, "left_semi")
+            log = log.join(keys, self.key, "left_semi")
+        rows = rows.select(*columns)
+        return rows if commit.base == version else apply_changes(rows, log, self.key)
 
     def read_changes(self, first: int, last: int | None = None) -> DataFrame:
         """Row changes of committed versions ``first`` to ``last``; only their directories are read."""
@@ -100,16 +113,13 @@ class KeyedTable:
             .add(COMMIT_VERSION, "long")
             .add(COMMIT_TIMESTAMP, "timestamp")
         )
-        root = f"{self.path}/changes"
-        # Only committed versions are named, so a commit in progress is never read.
-        directories = [
-            f"{root}/{COMMIT_VERSION}={v}"
-            for v in map(int, paths.partition_values(self.spark, root, COMMIT_VERSION))
-            if first <= v <= last
-        ]
-        if not directories:
+        if first == 0:
+            first = 1  # the bootstrap has no row changes
+        if first > last:
             return self.spark.createDataFrame([], schema)
+        root = f"{self.path}/changes"
         reader = self.spark.read.schema(schema).option("basePath", root)
+        directories = [f"{root}/{COMMIT_VERSION}={v}" for v in range(first, last + 1)]
         return reader.parquet(*directories).select(*schema.names)
 
     def stream_commits(self, commits_per_trigger: int | None = None) -> DataFrame:
@@ -121,16 +131,17 @@ class KeyedTable:
 
     # -- writing ----------------------------------------------------------------------------
 
-    def overwrite(
-        self, df: DataFrame, buckets: int | None = None, source_version: int | None = None, version: int = 0
-    ) -> None:
-        """Store ``df`` as the whole table, as commit ``version``."""
-        if self.exists() and self.version() >= version:
-            return
+    def overwrite(self, df: DataFrame, buckets: int | None = None, source_version: int | None = None) -> None:
+        """Store ``df`` as the whole of a new table, as commit 0."""
+        if self.exists():
+            raise ValueError(f"{self.path} holds a table already")
         buckets = buckets or _suggest_buckets(df)
-        written = self._write_state(df, version, buckets)
-        layout = [(bucket, version) for bucket in written]
-        self._commit(version, df.schema, buckets, layout, source_version, {})
+        self._write_state(df, 0, buckets)
+        stored = self.spark.read.schema(df.schema).parquet(f"{self.path}/state/version=0")
+        self._commit(
+            0, schema=df.schema.json(), buckets=buckets, base=0, n_rows=stored.count(), n_logged=0,
+            source_version=source_version,
+        )
 
     def merge(
         self,
@@ -143,8 +154,8 @@ class KeyedTable:
     ) -> None:
         """Merge a change set (one row per key) as commit ``version``; a done commit is left alone.
 
-        ``source`` is staged first. That cuts the lineage to the stream, fixes the rows for a retry,
-        and gives the planner the true size of the change set.
+        ``source`` is staged first. That cuts the lineage to the stream, fixes the rows for the
+        commit, and gives the planner the true size of the change set.
         """
         current = self.version()
         if current >= version:
@@ -152,70 +163,55 @@ class KeyedTable:
         if current != version - 1:
             raise ValueError(f"{self.path}: commit {version} cannot follow {current}")
         before = self.commit_row(current)
-        schema = self.schema(current)
-        columns = schema.names
+        columns = self.schema(current).names
 
         staged_path = f"{self.path}/staged/{COMMIT_VERSION}={version}"
-        staged_columns = [*columns, *([op] if op not in columns else [])]
-        source.select(*staged_columns).write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(source.select(*staged_columns).schema).parquet(staged_path)
-
-        bucket = bucket_of(self.key, before.buckets)
-        # At most one row per bucket reaches the driver here and below.
-        touched = [r[0] for r in staged.select(bucket.alias("bucket")).distinct().collect()]
-        target = self.read(current, touched)
+        source = source.select(*columns, *([op] if op not in columns else []))
+        source.write.mode("overwrite").parquet(staged_path)
+        staged = self.spark.read.schema(source.schema).parquet(staged_path)
+
         changes_path = f"{self.path}/changes/{COMMIT_VERSION}={version}"
-        found = row_changes(target, staged, self.key, op, mode, guard)
+        found = row_changes(self.read(current, keys=staged), staged, self.key, op, mode, guard)
         found.withColumn(COMMIT_TIMESTAMP, F.current_timestamp()).write.mode("overwrite").parquet(changes_path)
         changes = self.spark.read.schema(found.schema).parquet(changes_path)
+        made = {r[CHANGE_TYPE]: r["count"] for r in changes.groupBy(CHANGE_TYPE).count().collect()}
+
+        n_rows = before.n_rows + made.get("insert", 0) - made.get("delete", 0)
+        n_logged = before.n_logged + sum(made.values())
+        base = before.base
+        if n_logged > LOG_SHARE * n_rows or version - base >= LOG_COMMITS:
+            log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
+            log = self.read_changes(base + 1, current).drop(COMMIT_TIMESTAMP).unionByName(log)
+            rows = self.spark.read.schema(self.schema(current)).parquet(f"{self.path}/state/version={base}")
+            self._write_state(apply_changes(rows.select(*columns), log, self.key), version, before.buckets)
+            base, n_logged = version, 0
+        self._commit(
+            version, schema=before.schema, buckets=before.buckets, base=base, n_rows=n_rows, n_logged=n_logged,
+            source_version=source_version, n_insert=made.get("insert", 0),
+            n_update=made.get("update_postimage", 0), n_delete=made.get("delete", 0),
+        )
+        paths.delete(self.spark, staged_path)
+
+    def drop_states(self, before: int) -> None:
+        """Give up reading versions below ``before``: drop the full states only they need."""
+        needed = self.commit_row(before).base
+        for version in map(int, paths.partition_values(self.spark, f"{self.path}/state", "version")):
+            if version < needed:
+                paths.delete(self.spark, f"{self.path}/state/version={version}")
 
-        pieces: dict[int, int] = {}
-        for piece in before.layout:
-            pieces[piece.bucket] = pieces.get(piece.bucket, 0) + 1
-        totals = {"insert": 0, "update_postimage": 0, "delete": 0}
-        rewrite, append = set(), set()
-        for row in changes.groupBy(bucket.alias("bucket"), CHANGE_TYPE).count().collect():
-            totals[row[CHANGE_TYPE]] = totals.get(row[CHANGE_TYPE], 0) + row["count"]
-            full = row.bucket >= 0 and pieces.get(row.bucket, 0) >= MAX_PIECES
-            (rewrite if full or row[CHANGE_TYPE] in OLD_IMAGES else append).add(row.bucket)
-        append -= rewrite
-
-        layout = [(p.bucket, p.written) for p in before.layout if p.bucket not in rewrite]
-        if rewrite or append:
-            state = apply_changes(self.read(current, rewrite), changes, self.key)
-            layout += [(b, version) for b in self._write_state(state, version, before.buckets)]
-        self._commit(version, schema, before.buckets, layout, source_version, totals)
-
-    def _write_state(self, df: DataFrame, version: int, buckets: int) -> list[int]:
-        """Write rows by bucket; returns the buckets written.
+    def _write_state(self, df: DataFrame, version: int, buckets: int) -> None:
+        """Write all rows by bucket.
 
         The rebalance shuffles by bucket and splits a bucket that is too large for one task, such as
         the one of a very frequent key.
         """
-        path = f"{self.path}/state/_written={version}"
         rows = df.withColumn("bucket", bucket_of(self.key, buckets)).hint("rebalance", "bucket")
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-        return [int(b) for b in paths.partition_values(self.spark, path, "bucket")]
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/state/version={version}")
 
-    def _commit(
-        self,
-        version: int,
-        schema: StructType,
-        buckets: int,
-        layout: list[tuple[int, int]],
-        source_version: int | None,
-        totals: dict[str, int],
-    ) -> None:
-        pieces = json.dumps([{"bucket": b, "written": w} for b, w in sorted(layout)])
+    def _commit(self, version: int, **values) -> None:
+        """Write the commit row. One row, one file: the commit becomes visible at once."""
         row = self.spark.range(0, 1, 1, 1).select(
             F.current_timestamp().alias("committed_at"),
-            F.lit(source_version).cast("bigint").alias("source_version"),
-            F.lit(schema.json()).alias("schema"),
-            F.lit(buckets).alias("buckets"),
-            F.from_json(F.lit(pieces), LAYOUT).alias("layout"),
-            F.lit(totals.get("insert", 0)).cast("bigint").alias("n_insert"),
-            F.lit(totals.get("update_postimage", 0)).cast("bigint").alias("n_update"),
-            F.lit(totals.get("delete", 0)).cast("bigint").alias("n_delete"),
+            *[F.lit(values.get(name)).cast(kind).alias(name) for name, kind in COMMIT_FIELDS.items()],
         )
-        # One row, one file: the commit becomes visible at once.
         row.write.mode("overwrite").parquet(f"{self.path}/commits/{COMMIT_VERSION}={version}")

@@ -185,7 +185,8 @@ class DistinctIngest(_Downstream):
         return value_counts(rows, self.column)
 
     def _change_set(self, changes: DataFrame) -> DataFrame:
-        return count_changes(self.table.read(), paths.stage(value_deltas(changes, self.column)), self.column)
+        deltas = paths.stage(value_deltas(changes, self.column))
+        return count_changes(self.table.read(keys=deltas), deltas, self.column)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)
