@@ -17,6 +17,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def rows_of(columns, rows):
+    """Columns in name order and rows as sorted text, so that both engines compare alike."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(tuple(repr(row[i]) for i in order) for row in rows)
 

@@ -1,0 +1,145 @@
+"""Plans and skew: what has to hold when the tables are large."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeflow.operators.distinct import distinct_values, value_counts
+from changeflow.operators.latest import latest
+from changeflow.operators.merge import merge, row_changes
+from changeflow.operators.pending import next_batch
+from changeflow.operators.replay import net_changes, replay
+from changeflow.plans import feeds
+from changeflow.sources.paths import child_names, partition_values, stage
+from changeflow.sources.table import KeyedTable
+from tests.test_merge import bag
+from tests.test_replay import model, rows
+
+SF = "/root/testdata/sf0.01"
+
+
+def plan(df, mode="formatted"):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+def test_latest_cuts_groups_before_the_shuffle(spark):
+    text = plan(latest(feeds.customer_feed(spark, SF), "k", feeds.FEED_ORDER, "_operation"))
+    kinds = [line.rsplit(", ", 1)[1] for line in text.split("\n") if "row_number(), 1, " in line]
+    assert kinds == ["Partial", "Final"]
+
+
+@pytest.mark.parametrize("operator", [merge, row_changes])
+def test_small_change_set_does_not_shuffle_the_table(spark, operator):
+    feed = feeds.customer_feed(spark, SF)
+    source = stage(latest(feed, "k", feeds.FEED_ORDER).select("k", "v", "_operation"))
+    text = plan(operator(feeds.customers(spark, SF), source, "k"), "simple")
+    # The one exchange is that of the matched keys, after their partial aggregation.
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_scans_are_pruned(spark):
+    feed = feeds.customer_feed(spark, SF)
+    source = stage(latest(feed, "k", feeds.FEED_ORDER).select("k", "v", "_operation"))
+    text = plan(merge(feeds.customers(spark, SF), source, "k"))
+    assert "ReadSchema: struct<c_custkey:bigint>" in text
+    assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in text
+    text = plan(distinct_values(feeds.load(spark, SF, "lineitem"), "l_partkey"))
+    assert "PushedFilters: [IsNotNull(l_partkey)]" in text and "ReadSchema: struct<l_partkey:bigint>" in text
+    orders = feeds.load(spark, SF, "orders").select("o_orderkey", "o_orderdate")
+    emitted = spark.createDataFrame([], "_key string")
+    assert "TakeOrderedAndProject" in plan(next_batch(orders, emitted, "o_orderkey", ["o_orderdate"], 5))
+
+
+def test_feed_is_windowed_once_in_a_replay(spark):
+    """The batch winners feed two aggregations; the second reuses the first one's shuffle."""
+    net = net_changes(feeds.customer_feed(spark, SF), "k", "b", feeds.FEED_ORDER)
+    net.collect()
+    assert "ReusedExchange" in plan(net, "simple")
+
+
+def test_keyed_read_prunes_buckets(spark, root):
+    table = KeyedTable(spark, f"{root}/t", "k")
+    table.overwrite(spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v")), buckets=64)
+    keys = stage(spark.createDataFrame([(5,), (77,)], "k long"))
+    text = plan(table.read(keys=keys))
+    assert "PartitionFilters: [" in text and "bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "Exchange hashpartitioning" not in plan(table.read(keys=keys), "simple")
+
+
+# -- one key with a third of all rows ------------------------------------------------------------
+
+
+def hot_feed(spark, n=30_000):
+    """A third of the feed is key 7, another share has no key."""
+    base = spark.range(n).withColumn("r", F.pmod(F.xxhash64("id"), F.lit(1000)))
+    return base.select(
+        F.when(F.col("r") < 333, 7).when(F.col("r") < 400, None).otherwise(F.col("id") % 500).cast("int").alias("k"),
+        F.when(F.col("r") % 3 == 0, "INSERT").when(F.col("r") % 3 == 1, "UPDATE").otherwise("DELETE").alias("_operation"),
+        (F.col("id") % 97).cast("int").alias("v"),
+        (F.col("id") % 50).cast("int").alias("o"),
+        (1 + F.col("id") % 20).cast("int").alias("b"),
+    )
+
+
+def test_hot_key_leaves_each_task_as_one_row(spark):
+    feed = stage(hot_feed(spark).repartition(6))
+    last = latest(feed, "k", "o", "_operation")
+    last.collect()
+    limits = [p for p in plan(last, "simple").split("\n") if "WindowGroupLimit" in p]
+    assert any("Partial" in p for p in limits)
+    want = {}
+    for r in feed.collect():
+        rank = (r.o, {"DELETE": 3, "UPDATE": 2, "INSERT": 1}[r._operation], r.v, r.b)
+        want[r.k] = max(want.get(r.k, rank), rank)
+    got = {r.k: (r.o, {"DELETE": 3, "UPDATE": 2, "INSERT": 1}[r._operation], r.v, r.b) for r in last.collect()}
+    assert got == want
+
+
+def test_replay_with_hot_key(spark):
+    feed = stage(hot_feed(spark))
+    target = spark.range(0, 600, 2).select(F.col("id").cast("int").alias("k"), F.col("id").cast("int").alias("v"))
+    keyed = feed.where("k IS NOT NULL")
+    changes = [(r.k, r._operation, r.v, r.o, r.b) for r in keyed.collect()]
+    got = rows(replay(target, feed, "k", "b", "o").where("k IS NOT NULL"))
+    assert got == model([(r.k, r.v) for r in target.collect()], changes, "reference")
+
+
+def test_hot_table_key_is_split(spark, root):
+    """A key stored very often: its bucket is written by several tasks, and the merge splits its partition."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    skew = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    settings = {size: "64KB", skew: "64KB", small: "-1", "spark.sql.shuffle.partitions": "24",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    data = spark.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("long").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    table = KeyedTable(spark, f"{root}/t", "k")
+    source = spark.createDataFrame([(-1, "x", "UPDATE"), (1, "y", "UPDATE"), (-5, "z", "INSERT")], "k long, v string, _operation string")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        table.overwrite(data, buckets=8)
+        files = {
+            b: len([n for n in child_names(spark, f"{table.path}/state/version=0/bucket={b}") if n.startswith("part-")])
+            for b in partition_values(spark, f"{table.path}/state/version=0", "bucket")
+        }
+        assert max(files.values()) > 3
+        merged = merge(table.read(), stage(source), "k")
+        out = merged.groupBy("v").count().where("v IN ('x', 'y', 'z')")
+        assert bag(out.collect()) == bag([("x", 30_000), ("y", 1), ("z", 1)])
+        merged.collect()
+        assert "skew=true" in plan(merged, "simple")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    table.merge(1, source)
+    assert bag(table.read().groupBy("v").count().where("v IN ('x', 'y', 'z')").collect()) == bag([("x", 30_000), ("y", 1), ("z", 1)])
+    assert table.commit_row().n_rows == 90_001
+
+
+def test_counts_are_partial(spark):
+    text = plan(value_counts(feeds.load(spark, SF, "lineitem"), "l_partkey"), "simple")
+    assert "partial_count" in text
