@@ -41,15 +41,19 @@ COMMIT_SCHEMA = ", ".join(["committed_at timestamp", *[f"{n} {t}" for n, t in CO
 # A bucket holds about this much data: a merge scans the buckets its keys fall into.
 BUCKET_BYTES = 1 << 30
 MIN_BUCKETS, MAX_BUCKETS = 8, 16384
+# Spark's stand-in for the size of data it knows nothing about is larger than this.
+UNKNOWN_BYTES = 1 << 60
 # A new full state is written when the row changes since the last one exceed this share of the
 # table, or this many commits.
-LOG_SHARE, LOG_COMMITS = 0.2, 32
+LOG_SHARE, LOG_COMMITS = 0.2, 1000
 
 
 def _suggest_buckets(df: DataFrame) -> int:
-    """Bucket count from Spark's own size estimate of the data to be stored."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
+    """Bucket count from the size of the data sources that ``df`` reads, where Spark knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-known // BUCKET_BYTES)))
 
 
 class KeyedTable:
@@ -139,7 +143,12 @@ class KeyedTable:
         self._write_state(df, 0, buckets)
         stored = self.spark.read.schema(df.schema).parquet(f"{self.path}/state/version=0")
         self._commit(
-            0, schema=df.schema.json(), buckets=buckets, base=0, n_rows=stored.count(), n_logged=0,
+            0,
+            schema=df.schema.json(),
+            buckets=buckets,
+            base=0,
+            n_rows=stored.count(),
+            n_logged=0,
             source_version=source_version,
         )
 
@@ -157,40 +166,56 @@ class KeyedTable:
         ``source`` is staged first. That cuts the lineage to the stream, fixes the rows for the
         commit, and gives the planner the true size of the change set.
         """
-        current = self.version()
-        if current >= version:
+        if self.is_done(version):
             return
-        if current != version - 1:
-            raise ValueError(f"{self.path}: commit {version} cannot follow {current}")
-        before = self.commit_row(current)
-        columns = self.schema(current).names
-
+        columns = self.schema(version - 1).names
         staged_path = f"{self.path}/staged/{COMMIT_VERSION}={version}"
         source = source.select(*columns, *([op] if op not in columns else []))
         source.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(source.schema).parquet(staged_path)
+        self.commit(version, row_changes(self.read(version - 1, staged), staged, self.key, op, mode, guard), source_version)
+        paths.delete(self.spark, staged_path)
 
-        changes_path = f"{self.path}/changes/{COMMIT_VERSION}={version}"
-        found = row_changes(self.read(current, keys=staged), staged, self.key, op, mode, guard)
-        found.withColumn(COMMIT_TIMESTAMP, F.current_timestamp()).write.mode("overwrite").parquet(changes_path)
-        changes = self.spark.read.schema(found.schema).parquet(changes_path)
+    def commit(self, version: int, changes: DataFrame, source_version: int | None = None) -> None:
+        """Store row changes (table columns and ``_change_type``) as commit ``version``."""
+        if self.is_done(version):
+            return
+        before = self.commit_row(version - 1)
+        schema = self.schema(version - 1)
+        path = f"{self.path}/changes/{COMMIT_VERSION}={version}"
+        stored = changes.select(*schema.names, CHANGE_TYPE).withColumn(COMMIT_TIMESTAMP, F.current_timestamp())
+        # Few files, whatever the number of tasks that found changes.
+        stored.hint("rebalance").write.mode("overwrite").parquet(path)
+        changes = self.spark.read.schema(stored.schema).parquet(path)
         made = {r[CHANGE_TYPE]: r["count"] for r in changes.groupBy(CHANGE_TYPE).count().collect()}
 
-        n_rows = before.n_rows + made.get("insert", 0) - made.get("delete", 0)
+        base, n_rows = before.base, before.n_rows + made.get("insert", 0) - made.get("delete", 0)
         n_logged = before.n_logged + sum(made.values())
-        base = before.base
         if n_logged > LOG_SHARE * n_rows or version - base >= LOG_COMMITS:
             log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
-            log = self.read_changes(base + 1, current).drop(COMMIT_TIMESTAMP).unionByName(log)
-            rows = self.spark.read.schema(self.schema(current)).parquet(f"{self.path}/state/version={base}")
-            self._write_state(apply_changes(rows.select(*columns), log, self.key), version, before.buckets)
+            log = self.read_changes(base + 1, version - 1).unionByName(log)
+            rows = self.spark.read.schema(schema).parquet(f"{self.path}/state/version={base}")
+            self._write_state(apply_changes(rows.select(*schema.names), log, self.key), version, before.buckets)
             base, n_logged = version, 0
         self._commit(
-            version, schema=before.schema, buckets=before.buckets, base=base, n_rows=n_rows, n_logged=n_logged,
-            source_version=source_version, n_insert=made.get("insert", 0),
-            n_update=made.get("update_postimage", 0), n_delete=made.get("delete", 0),
+            version,
+            schema=before.schema,
+            buckets=before.buckets,
+            base=base,
+            n_rows=n_rows,
+            n_logged=n_logged,
+            source_version=source_version,
+            n_insert=made.get("insert", 0),
+            n_update=made.get("update_postimage", 0),
+            n_delete=made.get("delete", 0),
         )
-        paths.delete(self.spark, staged_path)
+
+    def is_done(self, version: int) -> bool:
+        """Whether commit ``version`` is there; it must be that or the next one."""
+        current = self.version()
+        if current < version - 1:
+            raise ValueError(f"{self.path}: commit {version} cannot follow {current}")
+        return current >= version
 
     def drop_states(self, before: int) -> None:
         """Give up reading versions below ``before``: drop the full states only they need."""

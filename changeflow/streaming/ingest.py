@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import CHANGE_COLUMNS, CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE
+from changeflow.operators.derive import derived_changes
 from changeflow.operators.distinct import count_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest, latest_row_changes
 from changeflow.operators.merge import LATEST_WINS, REFERENCE
@@ -102,7 +103,7 @@ class _Downstream:
     def _initial(self, rows: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    def _change_set(self, changes: DataFrame) -> DataFrame:
+    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
         raise NotImplementedError
 
     def bootstrap(self, buckets: int | None = None) -> bool:
@@ -115,15 +116,12 @@ class _Downstream:
         )
 
     def upsert(self, commits: DataFrame, batch_id: int) -> None:
-        if self.table.version() > batch_id:
+        if self.table.is_done(batch_id + 1):
             return
         seen = self.table.commit_row(0).source_version
         span = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
         changes = self.source.read_changes(max(span[0], seen + 1), span[1])
-        self._merge(batch_id + 1, self._change_set(changes), span[1])
-
-    def _merge(self, version: int, source: DataFrame, source_version: int) -> None:
-        self.table.merge(version, source, mode=LATEST_WINS, source_version=source_version)
+        self._apply(batch_id + 1, changes, span[1])
 
     def run(self, commits_per_trigger: int | None = None) -> None:
         self.bootstrap()
@@ -133,10 +131,12 @@ class _Downstream:
 class SilverIngest(_Downstream):
     """A projection of a keyed table, kept current.
 
-    ``columns`` are names or expressions over the source row, ``where`` an optional filter. A row
-    that stops passing the filter leaves. ``key_before`` is the source's key; the table's own key may
-    carry another name. Several source commits can fall into one batch, so a change decides the row
-    even if it ends in an insert (``latest_wins``).
+    ``columns`` are names or expressions over the source row, ``where`` an optional filter; a row that
+    stops passing it leaves. The source's key is kept, if under another name.
+
+    By default the row changes of the source are turned into those of the projection, without reading
+    either table. ``reference`` mode instead merges the latest row change per key: an insert then
+    leaves an existing row alone, which differs when several source commits fall into one batch.
     """
 
     def __init__(
@@ -150,13 +150,18 @@ class SilverIngest(_Downstream):
         super().__init__(table, source)
         self.columns, self.where, self.mode = list(columns), where, mode
 
-    def project(self, rows: DataFrame, *carried: str) -> DataFrame:
-        return rows.select(*self.columns, *carried)
-
     def _initial(self, rows: DataFrame) -> DataFrame:
-        return self.project(rows if self.where is None else rows.where(self.where))
+        return (rows if self.where is None else rows.where(self.where)).select(*self.columns)
 
-    def _change_set(self, changes: DataFrame) -> DataFrame:
+    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
+        if self.mode == REFERENCE:
+            self.table.merge(version, self._latest(changes), source_version=source_version)
+        else:
+            changes = derived_changes(changes, self.source.key, self.columns, self.where)
+            self.table.commit(version, changes, source_version)
+
+    def _latest(self, changes: DataFrame) -> DataFrame:
+        """One projected row per key with the operation to merge."""
         kept = F.lit(True) if self.where is None else F.coalesce(self.where, F.lit(False))
         operation = (
             F.when((F.col(CHANGE_TYPE) == "delete") | ~kept, DELETE)
@@ -164,10 +169,7 @@ class SilverIngest(_Downstream):
             .otherwise(UPDATE)
         )
         last = latest_row_changes(changes, self.source.key).withColumn("_operation", operation)
-        return self.project(last, "_operation")
-
-    def _merge(self, version: int, source: DataFrame, source_version: int) -> None:
-        self.table.merge(version, source, mode=self.mode, source_version=source_version)
+        return last.select(*self.columns, "_operation")
 
 
 class DistinctIngest(_Downstream):
@@ -184,9 +186,10 @@ class DistinctIngest(_Downstream):
     def _initial(self, rows: DataFrame) -> DataFrame:
         return value_counts(rows, self.column)
 
-    def _change_set(self, changes: DataFrame) -> DataFrame:
+    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
         deltas = paths.stage(value_deltas(changes, self.column))
-        return count_changes(self.table.read(keys=deltas), deltas, self.column)
+        source = count_changes(self.table.read(keys=deltas), deltas, self.column)
+        self.table.merge(version, source, source_version=source_version)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)
