@@ -11,7 +11,7 @@ from changeflow.functions.schemas import conform
 from changeflow.operators import checks, pending
 from changeflow.operators.diff import snapshot_diff as diff_snapshots
 from changeflow.operators.distinct import distinct_values
-from changeflow.operators.latest import latest
+from changeflow.operators.latest import latest, latest_row_changes
 from changeflow.operators.merge import LATEST_WINS, REFERENCE, merge, row_changes
 from changeflow.operators.replay import replay
 from changeflow.plans import feeds, loyalty
@@ -269,7 +269,20 @@ def table_at_version(spark: SparkSession, sf: str) -> DataFrame:
     return _weekly_table(spark, sf, paths.new_scratch(spark)).read(version=3)
 
 
-def silver_from_changes(spark: SparkSession, sf: str) -> DataFrame:
+def latest_row_change_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    changes = _weekly_table(spark, sf, paths.new_scratch(spark)).read_changes(1)
+    return latest_row_changes(changes, "k").drop("_commit_timestamp")
+
+
+def table_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders stored as a keyed table, then read through SQL by name."""
+    table = KeyedTable(spark, f"{paths.new_scratch(spark)}/orders", "o_orderkey")
+    table.overwrite(load(spark, sf, "orders"))
+    table.register("bronze_orders")
+    return spark.sql("SELECT o_orderkey, o_custkey, o_totalprice FROM bronze_orders WHERE o_orderstatus = 'F'")
+
+
+def _silver(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     """A filtered projection with a renamed key, driven by the row changes of the bronze table."""
     root = paths.new_scratch(spark)
     source = KeyedTable(spark, f"{root}/bronze", "k")
@@ -278,11 +291,20 @@ def silver_from_changes(spark: SparkSession, sf: str) -> DataFrame:
         source,
         [F.col("k").alias("id"), F.col("v").alias("balance")],
         where=F.col("v") > 20,
+        mode=mode,
     )
     _weekly_table(spark, sf, root, silver.run)
     return silver.table.read()
 
 
+def silver_from_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver(spark, sf, LATEST_WINS)
+
+
+def silver_merged_from_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver(spark, sf, REFERENCE)
+
+
 # -- distinct ---------------------------------------------------------------------------------
 
 
@@ -384,7 +406,10 @@ QUERIES = {
         replay_backlog,
         changes_by_version,
         table_at_version,
+        latest_row_change_per_key,
+        table_bootstrap,
         silver_from_changes,
+        silver_merged_from_changes,
         distinct_products,
         distinct_products_maintained,
         distinct_products_changes,

@@ -79,7 +79,7 @@ UNION ALL SELECT d.k, d.v, 'insert' FROM d
           WHERE d.op <> 'DELETE' AND NOT EXISTS (SELECT 1 FROM b WHERE b.k = d.k)"""
 
 # What a batch finds follows from the key's earlier batches since its last DELETE.
-CHANGES_BY_VERSION = f"""
+ALL_CHANGES = f"""
 WITH per_batch AS (
     SELECT * FROM ({WEEKLY}) f QUALIFY row_number() OVER (PARTITION BY k, b ORDER BY {FEED_TIES}) = 1),
 base AS ({CUSTOMERS}),
@@ -102,7 +102,7 @@ every_change AS (
     UNION ALL SELECT k, old_v, 'update_preimage', b FROM found WHERE there AND op = 'UPDATE'
     UNION ALL SELECT k, v, 'update_postimage', b FROM found WHERE there AND op = 'UPDATE'
     UNION ALL SELECT k, v, 'insert', b FROM found WHERE NOT there AND op <> 'DELETE')
-SELECT k, v, _change_type, CAST(b AS BIGINT) AS _commit_version FROM every_change WHERE b BETWEEN 2 AND 4"""
+SELECT k, v, _change_type, CAST(b AS BIGINT) AS _commit_version FROM every_change"""
 
 
 def _product_changes() -> str:
@@ -253,11 +253,18 @@ ORACLES = {
     "replay_daily": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_backlog": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_latest_wins": LATEST_WINS,
-    "changes_by_version": CHANGES_BY_VERSION,
+    "changes_by_version": f"SELECT * FROM ({ALL_CHANGES}) a WHERE _commit_version BETWEEN 2 AND 4",
+    "latest_row_change_per_key": f"""
+        SELECT * FROM ({ALL_CHANGES}) a WHERE _change_type <> 'update_preimage'
+        QUALIFY row_number() OVER (PARTITION BY k ORDER BY _commit_version DESC) = 1""",
+    "table_bootstrap": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "table_at_version": replayed(f"SELECT * FROM ({WEEKLY}) w WHERE b <= 3", CUSTOMERS, FEED_TIES),
     "silver_from_changes": replayed(
         WEEKLY, CUSTOMERS, FEED_TIES, "SELECT k AS id, v AS balance FROM final WHERE v > 20"
     ),
+    "silver_merged_from_changes": replayed(
+        WEEKLY, CUSTOMERS, FEED_TIES, "SELECT k AS id, v AS balance FROM final WHERE v > 20"
+    ),
     "distinct_products": "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL",
     "distinct_products_maintained": replayed(LINES_AFTER, LINES_BEFORE, LINE_TIES, "SELECT DISTINCT v AS p FROM final"),
     "distinct_products_changes": _product_changes(),

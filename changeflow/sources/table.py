@@ -88,24 +88,43 @@ class KeyedTable:
     def schema(self, version: int | None = None) -> StructType:
         return StructType.fromJson(json.loads(self.commit_row(version).schema))
 
-    def read(self, version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
-        """The table at a version; with ``keys``, only the rows with one of those (few) keys.
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table at a version."""
+        version = self.version() if version is None else version
+        return self._with_log(self._state(version), version)
 
-        Keys reduce the scan to their buckets, and the rows before anything else is done to them.
-        """
+    def register(self, name: str, version: int | None = None) -> None:
+        """Make the table available to SQL under a name."""
+        self.read(version).createOrReplaceTempView(name)
+
+    def read_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The rows of the table at a version that have one of the given (few) keys."""
         version = self.version() if version is None else version
-        commit, columns = self.commit_row(version), self.schema(version).names
-        rows = self.spark.read.schema(self.schema(version)).parquet(f"{self.path}/state/version={commit.base}")
-        log = self.read_changes(commit.base + 1, version)
+        return self._around(keys, version).join(keys.select(*self.key), self.key, "left_semi")
+
+    def _state(self, version: int) -> DataFrame:
+        """The newest full state at a version, with the partition column ``bucket``."""
+        path = f"{self.path}/state/version={self.commit_row(version).base}"
+        return self.spark.read.schema(self.schema(version).add("bucket", "integer")).parquet(path)
+
+    def _with_log(self, rows: DataFrame, version: int, keys: DataFrame | None = None) -> DataFrame:
+        rows, base = rows.select(*self.schema(version).names), self.commit_row(version).base
+        if base == version:
+            return rows
+        log = self.read_changes(base + 1, version)
         if keys is not None:
-            keys = keys.select(*self.key)
-            bucket = bucket_of(self.key, commit.buckets)
-            # At most one row per bucket reaches the driver.
-            touched = [r.bucket for r in keys.select(bucket.alias("bucket")).distinct().collect()]
-            rows = rows.where(F.col("bucket").isin(touched)).join(keys, self.key, "left_semi")
             log = log.join(keys, self.key, "left_semi")
-        rows = rows.select(*columns)
-        return rows if commit.base == version else apply_changes(rows, log, self.key)
+        return apply_changes(rows, log, self.key)
+
+    def _around(self, keys: DataFrame, version: int) -> DataFrame:
+        """Rows to join with ``keys``: up to date for these keys, and only for these.
+
+        The scan covers the buckets the keys fall into. At most one row per bucket reaches the driver.
+        """
+        keys = keys.select(*self.key)
+        bucket = bucket_of(self.key, self.commit_row(version).buckets).alias("bucket")
+        touched = [r.bucket for r in keys.select(bucket).distinct().collect()]
+        return self._with_log(self._state(version).where(F.col("bucket").isin(touched)), version, keys)
 
     def read_changes(self, first: int, last: int | None = None) -> DataFrame:
         """Row changes of committed versions ``first`` to ``last``; only their directories are read."""
@@ -173,7 +192,8 @@ class KeyedTable:
         source = source.select(*columns, *([op] if op not in columns else []))
         source.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(source.schema).parquet(staged_path)
-        self.commit(version, row_changes(self.read(version - 1, staged), staged, self.key, op, mode, guard), source_version)
+        changes = row_changes(self._around(staged, version - 1), staged, self.key, op, mode, guard)
+        self.commit(version, changes, source_version)
         paths.delete(self.spark, staged_path)
 
     def commit(self, version: int, changes: DataFrame, source_version: int | None = None) -> None:
@@ -194,8 +214,8 @@ class KeyedTable:
         if n_logged > LOG_SHARE * n_rows or version - base >= LOG_COMMITS:
             log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
             log = self.read_changes(base + 1, version - 1).unionByName(log)
-            rows = self.spark.read.schema(schema).parquet(f"{self.path}/state/version={base}")
-            self._write_state(apply_changes(rows.select(*schema.names), log, self.key), version, before.buckets)
+            rows = self._state(version - 1).select(*schema.names)
+            self._write_state(apply_changes(rows, log, self.key), version, before.buckets)
             base, n_logged = version, 0
         self._commit(
             version,

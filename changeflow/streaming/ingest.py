@@ -26,11 +26,8 @@ from changeflow.sources import files, paths
 from changeflow.sources.table import KeyedTable
 
 
-def _run(table: KeyedTable, stream: DataFrame, step: Callable[[DataFrame, int], None]) -> None:
-    """Run ``step`` on all that is available, to the end; a failure is raised here."""
-    progress = f"{table.path}/progress"
-    if table.version() > 0 and not paths.exists(table.spark, f"{progress}/offsets"):
-        raise RuntimeError(f"{table.path} has commits but its stream progress is gone; bootstrap a new directory")
+def run_to_end(stream: DataFrame, progress: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Run ``step`` on all that is available, batch by batch; a failure is raised here."""
     query = (
         stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", progress)
@@ -40,6 +37,34 @@ def _run(table: KeyedTable, stream: DataFrame, step: Callable[[DataFrame, int],
     query.awaitTermination()
 
 
+def follow(
+    source: KeyedTable,
+    progress: str,
+    step: Callable[[DataFrame, int, int], None],
+    after: int = 0,
+    commits_per_trigger: int | None = None,
+) -> None:
+    """Stream the row changes of a table: ``step(changes, batch_id, last_version)`` for new commits.
+
+    The stream itself carries the commits, each of which arrives whole; their row changes are then read
+    by version. Commits up to ``after`` bring no rows.
+    """
+
+    def batch(commits: DataFrame, batch_id: int) -> None:
+        first, last = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
+        step(source.read_changes(max(first, after + 1), last), batch_id, last)
+
+    run_to_end(source.stream_commits(commits_per_trigger), progress, batch)
+
+
+def _progress(table: KeyedTable) -> str:
+    """Checkpoint of the stream that feeds a table; without it the batch numbers would start anew."""
+    progress = f"{table.path}/progress"
+    if table.version() > 0 and not paths.exists(table.spark, f"{progress}/offsets"):
+        raise RuntimeError(f"{table.path} has commits but its stream progress is gone; bootstrap a new directory")
+    return progress
+
+
 def _bootstrap(table: KeyedTable, load: Callable[[], DataFrame], **options) -> bool:
     """Load the table if it is absent; stale stream progress next to it is dropped first."""
     if table.exists():
@@ -88,7 +113,7 @@ class BronzeIngest:
 
     def run(self, changes_path: str, files_per_trigger: int | None = None) -> None:
         stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger)
-        _run(self.table, stream, self.upsert)
+        run_to_end(stream, _progress(self.table), self.upsert)
 
 
 class _Downstream:
@@ -115,17 +140,14 @@ class _Downstream:
             source_version=version,
         )
 
-    def upsert(self, commits: DataFrame, batch_id: int) -> None:
-        if self.table.is_done(batch_id + 1):
-            return
-        seen = self.table.commit_row(0).source_version
-        span = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
-        changes = self.source.read_changes(max(span[0], seen + 1), span[1])
-        self._apply(batch_id + 1, changes, span[1])
+    def upsert(self, changes: DataFrame, batch_id: int, last_version: int) -> None:
+        if not self.table.is_done(batch_id + 1):
+            self._apply(batch_id + 1, changes, last_version)
 
     def run(self, commits_per_trigger: int | None = None) -> None:
         self.bootstrap()
-        _run(self.table, self.source.stream_commits(commits_per_trigger), self.upsert)
+        seen = self.table.commit_row(0).source_version
+        follow(self.source, _progress(self.table), self.upsert, seen, commits_per_trigger)
 
 
 class SilverIngest(_Downstream):
@@ -188,7 +210,7 @@ class DistinctIngest(_Downstream):
 
     def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
         deltas = paths.stage(value_deltas(changes, self.column))
-        source = count_changes(self.table.read(keys=deltas), deltas, self.column)
+        source = count_changes(self.table.read_keys(deltas), deltas, self.column)
         self.table.merge(version, source, source_version=source_version)
 
     def read(self, version: int | None = None) -> DataFrame:

@@ -61,9 +61,9 @@ def test_keyed_read_prunes_buckets(spark, root):
     table = KeyedTable(spark, f"{root}/t", "k")
     table.overwrite(spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v")), buckets=64)
     keys = stage(spark.createDataFrame([(5,), (77,)], "k long"))
-    text = plan(table.read(keys=keys))
+    text = plan(table.read_keys(keys))
     assert "PartitionFilters: [" in text and "bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
-    assert "Exchange hashpartitioning" not in plan(table.read(keys=keys), "simple")
+    assert "Exchange hashpartitioning" not in plan(table.read_keys(keys), "simple")
 
 
 # -- one key with a third of all rows ------------------------------------------------------------

@@ -9,7 +9,7 @@ from changeflow.operators.merge import REFERENCE
 from changeflow.plans import feeds, loyalty
 from changeflow.sources import files, paths
 from changeflow.sources.table import KeyedTable
-from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest
+from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest, follow
 from tests.test_merge import bag
 
 SCHEMA = "k int, p string, v int, o int, _operation string"
@@ -217,3 +217,26 @@ def test_reference_mode_of_the_derived_table(spark, root):
     t.run_bronze()
     t.silver.run()
     assert (1, 1) in [tuple(r) for r in t.silver.table.read().collect()]
+
+
+def test_follow_hands_out_each_change_once(spark, root):
+    """A consumer of its own: all row changes, commit by commit, and none twice."""
+    t = Pair(spark, root, ROWS)
+    seen = []
+
+    def step(changes, batch_id, last):
+        seen.append((batch_id, last, bag(changes.select("k", "_change_type", "_commit_version").collect())))
+
+    t.land((0, "x", 5, 1, "UPDATE"))
+    t.run_bronze()
+    t.land((40, "x", 5, 1, "INSERT"))
+    t.run_bronze()
+    follow(t.bronze.table, f"{root}/consumer", step)
+    t.land((40, "x", 5, 2, "DELETE"))
+    t.run_bronze()
+    follow(t.bronze.table, f"{root}/consumer", step)
+    follow(t.bronze.table, f"{root}/consumer", step)
+    assert seen == [
+        (0, 2, bag([(0, "update_preimage", 1), (0, "update_postimage", 1), (40, "insert", 2)])),
+        (1, 3, bag([(40, "delete", 3)])),
+    ]

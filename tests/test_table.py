@@ -62,7 +62,7 @@ def test_versions_changes_and_full_states(spark, table):
 def test_keyed_read(spark, table):
     table.merge(1, change(spark, (1, "x", "UPDATE"), (50, "y", "INSERT"), (2, None, "DELETE")))
     keys = spark.createDataFrame([(1,), (2,), (3,), (50,), (51,), (None,)], "k int")
-    assert bag(table.read(keys=keys).collect()) == bag([(1, "x"), (3, "v3"), (50, "y")])
+    assert bag(table.read_keys(keys).collect()) == bag([(1, "x"), (3, "v3"), (50, "y")])
 
 
 def test_repeat_and_gap(spark, table):
