@@ -156,9 +156,11 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str
     """The table after the stored row changes of one or more commits.
 
     A commit replaces all rows of a key it touches, so a touched key consists of the new images of its
-    last commit. Rows without a key are only ever added.
+    last commit. Rows without a key are only ever added. Pre-images come with a post-image of the same
+    key and commit, and are left out.
     """
     keys, columns = as_list(key), target.columns
+    changes = changes.where(F.col(CHANGE_TYPE) != "update_preimage")
     last = changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION))
     images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
     current = images.join(last, [*keys, COMMIT_VERSION], "left_semi").select(*columns)

@@ -43,9 +43,9 @@ BUCKET_BYTES = 1 << 30
 MIN_BUCKETS, MAX_BUCKETS = 8, 16384
 # Spark's stand-in for the size of data it knows nothing about is larger than this.
 UNKNOWN_BYTES = 1 << 60
-# A new full state is written when the row changes since the last one exceed this share of the
-# table, or this many commits.
-LOG_SHARE, LOG_COMMITS = 0.2, 1000
+# A new full state is written when the rows changed since the last one exceed this share of the table,
+# or after this many commits.
+LOG_SHARE, LOG_COMMITS = 0.25, 1000
 
 
 def _suggest_buckets(df: DataFrame) -> int:
@@ -210,7 +210,7 @@ class KeyedTable:
         made = {r[CHANGE_TYPE]: r["count"] for r in changes.groupBy(CHANGE_TYPE).count().collect()}
 
         base, n_rows = before.base, before.n_rows + made.get("insert", 0) - made.get("delete", 0)
-        n_logged = before.n_logged + sum(made.values())
+        n_logged = before.n_logged + sum(n for kind, n in made.items() if kind != "update_preimage")
         if n_logged > LOG_SHARE * n_rows or version - base >= LOG_COMMITS:
             log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
             log = self.read_changes(base + 1, version - 1).unionByName(log)
