@@ -15,14 +15,21 @@ def key_set(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col(key).cast("string").alias(KEY)).distinct()
 
 
+def remember(path: str, batch: DataFrame, key: str) -> None:
+    """Add the keys of a batch to the key memory, a parquet directory; nothing is read back for it."""
+    key_set(batch, key).write.mode("append").parquet(path)
+
+
 def pending_rows(rows: DataFrame, emitted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in the emitted set."""
-    return rows.join(emitted, F.col(key).cast("string") == emitted[KEY], "left_anti")
+    """Rows whose key is not among the emitted ones. The emitted keys may repeat."""
+    keys = emitted.select(KEY).distinct()
+    return rows.join(keys, F.col(key).cast("string") == keys[KEY], "left_anti")
 
 
 def emitted_rows(rows: DataFrame, emitted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in the emitted set."""
-    return rows.join(emitted, F.col(key).cast("string") == emitted[KEY], "left_semi")
+    """Rows whose key is among the emitted ones."""
+    keys = emitted.select(KEY).distinct()
+    return rows.join(keys, F.col(key).cast("string") == keys[KEY], "left_semi")
 
 
 def next_batch(rows: DataFrame, emitted: DataFrame, key: str, order: Sequence[str], size: int) -> DataFrame:

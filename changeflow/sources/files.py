@@ -31,10 +31,14 @@ def read_drifting(spark: SparkSession, file_sets: list[str], schema: StructType)
 
 
 def stream_changes(
-    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, **options: str
 ) -> DataFrame:
-    """Change files as a stream: every new file once."""
-    reader = spark.readStream.schema(schema)
+    """Change files as a stream: every new file once.
+
+    Spark's file source passes over files that are a week older than the newest it has seen; where
+    old files may still arrive, give a longer ``maxFileAge``.
+    """
+    reader = spark.readStream.schema(schema).options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

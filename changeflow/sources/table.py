@@ -56,6 +56,11 @@ def _suggest_buckets(df: DataFrame) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-known // BUCKET_BYTES)))
 
 
+def _typed(df: DataFrame, schema: StructType, *extra: str) -> DataFrame:
+    """Columns in table order and type: keys of another type would fall into other buckets."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *extra)
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str]):
         self.spark, self.path, self.key = spark, path.rstrip("/"), as_list(key)
@@ -121,7 +126,8 @@ class KeyedTable:
 
         The scan covers the buckets the keys fall into. At most one row per bucket reaches the driver.
         """
-        keys = keys.select(*self.key)
+        schema = self.schema(version)
+        keys = _typed(keys, StructType([schema[k] for k in self.key]))
         bucket = bucket_of(self.key, self.commit_row(version).buckets).alias("bucket")
         touched = [r.bucket for r in keys.select(bucket).distinct().collect()]
         return self._with_log(self._state(version).where(F.col("bucket").isin(touched)), version, keys)
@@ -187,9 +193,9 @@ class KeyedTable:
         """
         if self.is_done(version):
             return
-        columns = self.schema(version - 1).names
+        schema = self.schema(version - 1)
         staged_path = f"{self.path}/staged/{COMMIT_VERSION}={version}"
-        source = source.select(*columns, *([op] if op not in columns else []))
+        source = _typed(source, schema, *([op] if op not in schema.names else []))
         source.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(source.schema).parquet(staged_path)
         changes = row_changes(self._around(staged, version - 1), staged, self.key, op, mode, guard)
@@ -203,7 +209,7 @@ class KeyedTable:
         before = self.commit_row(version - 1)
         schema = self.schema(version - 1)
         path = f"{self.path}/changes/{COMMIT_VERSION}={version}"
-        stored = changes.select(*schema.names, CHANGE_TYPE).withColumn(COMMIT_TIMESTAMP, F.current_timestamp())
+        stored = _typed(changes, schema, CHANGE_TYPE).withColumn(COMMIT_TIMESTAMP, F.current_timestamp())
         # Few files, whatever the number of tasks that found changes.
         stored.hint("rebalance").write.mode("overwrite").parquet(path)
         changes = self.spark.read.schema(stored.schema).parquet(path)

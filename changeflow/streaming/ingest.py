@@ -4,8 +4,8 @@ Every run is a stream with ``availableNow``: it takes what is there, commits and
 a stream is commit ``i + 1`` of its table (commit 0 is the bootstrap), so a batch that is repeated
 after a failure finds its commit done and does nothing.
 
-Inside a batch only the reduction to one row per key runs in the stream's session, where adaptive
-execution may be off; the result is staged by the table and the merge runs in the caller's session.
+Inside a batch only the reduction to one row per key runs on the stream's plan, which knows nothing of
+sizes; the table stages the result, and the merge is planned from there in the caller's session.
 """
 
 from __future__ import annotations
@@ -111,8 +111,10 @@ class BronzeIngest:
             op = ACTION
         self.table.merge(batch_id + 1, source, op, self.mode, self.guard)
 
-    def run(self, changes_path: str, files_per_trigger: int | None = None) -> None:
-        stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger)
+    def run(self, changes_path: str, files_per_trigger: int | None = None, **options: str) -> None:
+        """Apply the change files that are there. By default they form one batch; ``files_per_trigger``
+        cuts smaller ones, which must not split a landed batch of several files."""
+        stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger, **options)
         run_to_end(stream, _progress(self.table), self.upsert)
 
 

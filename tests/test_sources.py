@@ -71,6 +71,16 @@ def test_extraction_in_turns(spark):
     assert pending.emitted_rows(rows, emitted, "id").count() == 10
 
 
+def test_key_memory(spark, root):
+    rows = spark.createDataFrame([(k, k) for k in range(10)], "id int, day int")
+    pending.remember(f"{root}/keys", rows.where("id < 4"), "id")
+    pending.remember(f"{root}/keys", rows.where("id < 6"), "id")
+    emitted = spark.read.parquet(f"{root}/keys")
+    assert emitted.count() == 10
+    assert [r.id for r in pending.next_batch(rows, emitted, "id", ["day"], 2).collect()] == [6, 7]
+    assert pending.emitted_rows(rows, emitted, "id").count() == 6
+
+
 def test_next_batch_puts_missing_dates_last(spark):
     rows = spark.createDataFrame([(1, None), (2, 5), (3, 4)], "id int, day int")
     emitted = spark.createDataFrame([], "_key string")

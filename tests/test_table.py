@@ -65,6 +65,14 @@ def test_keyed_read(spark, table):
     assert bag(table.read_keys(keys).collect()) == bag([(1, "x"), (3, "v3"), (50, "y")])
 
 
+def test_keys_of_another_type_meet_their_rows(spark, table):
+    rows = spark.createDataFrame([("1", "x", "UPDATE"), ("2", None, "DELETE")], "k string, v string, _operation string")
+    table.merge(1, rows)
+    assert table.commit_row().n_update == 1 and table.commit_row().n_delete == 1
+    keys = spark.createDataFrame([(1,), (3,)], "k long")
+    assert bag(table.read_keys(keys).collect()) == bag([(1, "x"), (3, "v3")])
+
+
 def test_repeat_and_gap(spark, table):
     table.merge(1, change(spark, (1, "x", "UPDATE")))
     table.merge(1, change(spark, (1, "other", "UPDATE")))
