@@ -60,6 +60,8 @@ def follow(
 def _progress(table: KeyedTable) -> str:
     """Checkpoint of the stream that feeds a table; without it the batch numbers would start anew."""
     progress = f"{table.path}/progress"
+    if not table.exists():
+        raise FileNotFoundError(f"no keyed table at {table.path}; bootstrap it first")
     if table.version() > 0 and not paths.exists(table.spark, f"{progress}/offsets"):
         raise RuntimeError(f"{table.path} has commits but its stream progress is gone; bootstrap a new directory")
     return progress
@@ -103,6 +105,12 @@ class BronzeIngest:
 
         return _bootstrap(self.table, load, buckets=buckets)
 
+    def execute(self, snapshots: str, changes_path: str) -> None:
+        """Bootstrap from the newest complete full load if the table is absent, then run."""
+        if not self.table.exists():
+            self.bootstrap(files.newest_snapshot(self.table.spark, snapshots))
+        self.run(changes_path)
+
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
         if self.batch is None:
             source, op = latest(changes, self.table.key, self.order, self.op), self.op
@@ -114,8 +122,9 @@ class BronzeIngest:
     def run(self, changes_path: str, files_per_trigger: int | None = None, **options: str) -> None:
         """Apply the change files that are there. By default they form one batch; ``files_per_trigger``
         cuts smaller ones, which must not split a landed batch of several files."""
+        progress = _progress(self.table)
         stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger, **options)
-        run_to_end(stream, _progress(self.table), self.upsert)
+        run_to_end(stream, progress, self.upsert)
 
 
 class _Downstream:

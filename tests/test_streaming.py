@@ -176,6 +176,12 @@ def test_late_change_and_guard(spark, root):
         assert [r.p for r in table.read().collect()] == [want]
 
 
+def test_run_needs_a_table(spark, root):
+    ingest = BronzeIngest(KeyedTable(spark, f"{root}/none", "k"), StructType.fromDDL(SCHEMA), "o")
+    with pytest.raises(FileNotFoundError, match="bootstrap"):
+        ingest.run(f"{root}/cdc")
+
+
 def test_one_file_per_batch(spark, root):
     t = Pair(spark, root, ROWS)
     t.land((1, "x", 5, 1, "DELETE"))
