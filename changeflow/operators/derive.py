@@ -16,14 +16,22 @@ from changeflow.operators.merge import NEW_IMAGES
 
 
 def derived_changes(
-    changes: DataFrame, key: str | Sequence[str], columns: Sequence[str | Column], where: Column | None = None
+    changes: DataFrame,
+    key: str | Sequence[str],
+    columns: Sequence[str | Column],
+    where: Column | None = None,
+    one_commit: bool = False,
 ) -> DataFrame:
     """Net row changes of ``select columns where ...`` over the source commits in ``changes``.
 
+    Those of ``one_commit`` without a filter are simply projected. Otherwise:
+
     Per key, the projection held what the old images of the key's first commit pass the filter, and
     holds what the new images of its last commit do. A key is joined back to its own aggregates, so
     rows of a frequent key are never gathered in one task.
     """
+    if one_commit and where is None:
+        return changes.select(*columns, CHANGE_TYPE)
     keys = as_list(key)
     kept = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     is_new = F.col(CHANGE_TYPE).isin(*NEW_IMAGES)

@@ -152,18 +152,24 @@ def row_changes(
     return matched.unionByName(added)
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def apply_changes(
+    target: DataFrame, changes: DataFrame, key: str | Sequence[str], one_commit: bool = False
+) -> DataFrame:
     """The table after the stored row changes of one or more commits.
 
     A commit replaces all rows of a key it touches, so a touched key consists of the new images of its
     last commit. Rows without a key are only ever added. Pre-images come with a post-image of the same
-    key and commit, and are left out.
+    key and commit, and are left out. ``one_commit`` says that every commit is a key's last.
     """
     keys, columns = as_list(key), target.columns
     changes = changes.where(F.col(CHANGE_TYPE) != "update_preimage")
-    last = changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION))
     images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
-    current = images.join(last, [*keys, COMMIT_VERSION], "left_semi").select(*columns)
-    keyless = images.where(any_null(keys)).select(*columns)
-    untouched = target.join(last.select(*keys), keys, "left_anti").select(*columns)
-    return untouched.unionByName(current).unionByName(keyless)
+    if one_commit:
+        touched = changes.select(*keys).distinct()
+        current = images.select(*columns)
+    else:
+        last = changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION))
+        touched = last.select(*keys)
+        current = images.join(last, [*keys, COMMIT_VERSION], "left_semi").select(*columns)
+        current = current.unionByName(images.where(any_null(keys)).select(*columns))
+    return target.join(touched, keys, "left_anti").select(*columns).unionByName(current)

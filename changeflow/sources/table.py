@@ -119,7 +119,7 @@ class KeyedTable:
         log = self.read_changes(base + 1, version)
         if keys is not None:
             log = log.join(keys, self.key, "left_semi")
-        return apply_changes(rows, log, self.key)
+        return apply_changes(rows, log, self.key, one_commit=base + 1 == version)
 
     def _around(self, keys: DataFrame, version: int) -> DataFrame:
         """Rows to join with ``keys``: up to date for these keys, and only for these.
@@ -221,7 +221,8 @@ class KeyedTable:
             log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
             log = self.read_changes(base + 1, version - 1).unionByName(log)
             rows = self._state(version - 1).select(*schema.names)
-            self._write_state(apply_changes(rows, log, self.key), version, before.buckets)
+            rows = apply_changes(rows, log, self.key, one_commit=base + 1 == version)
+            self._write_state(rows, version, before.buckets)
             base, n_logged = version, 0
         self._commit(
             version,

@@ -40,11 +40,11 @@ def run_to_end(stream: DataFrame, progress: str, step: Callable[[DataFrame, int]
 def follow(
     source: KeyedTable,
     progress: str,
-    step: Callable[[DataFrame, int, int], None],
+    step: Callable[[DataFrame, int, range], None],
     after: int = 0,
     commits_per_trigger: int | None = None,
 ) -> None:
-    """Stream the row changes of a table: ``step(changes, batch_id, last_version)`` for new commits.
+    """Stream the row changes of a table: ``step(changes, batch_id, versions)`` for new commits.
 
     The stream itself carries the commits, each of which arrives whole; their row changes are then read
     by version. Commits up to ``after`` bring no rows.
@@ -52,7 +52,8 @@ def follow(
 
     def batch(commits: DataFrame, batch_id: int) -> None:
         first, last = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
-        step(source.read_changes(max(first, after + 1), last), batch_id, last)
+        versions = range(max(first, after + 1), last + 1)
+        step(source.read_changes(versions.start, last), batch_id, versions)
 
     run_to_end(source.stream_commits(commits_per_trigger), progress, batch)
 
@@ -139,7 +140,7 @@ class _Downstream:
     def _initial(self, rows: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
+    def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         raise NotImplementedError
 
     def bootstrap(self, buckets: int | None = None) -> bool:
@@ -151,9 +152,9 @@ class _Downstream:
             source_version=version,
         )
 
-    def upsert(self, changes: DataFrame, batch_id: int, last_version: int) -> None:
+    def upsert(self, changes: DataFrame, batch_id: int, source_versions: range) -> None:
         if not self.table.is_done(batch_id + 1):
-            self._apply(batch_id + 1, changes, last_version)
+            self._apply(batch_id + 1, changes, source_versions)
 
     def run(self, commits_per_trigger: int | None = None) -> None:
         self.bootstrap()
@@ -186,12 +187,14 @@ class SilverIngest(_Downstream):
     def _initial(self, rows: DataFrame) -> DataFrame:
         return (rows if self.where is None else rows.where(self.where)).select(*self.columns)
 
-    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
+    def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
+        upto = source_versions.stop - 1
         if self.mode == REFERENCE:
-            self.table.merge(version, self._latest(changes), source_version=source_version)
+            self.table.merge(version, self._latest(changes), source_version=upto)
         else:
-            changes = derived_changes(changes, self.source.key, self.columns, self.where)
-            self.table.commit(version, changes, source_version)
+            one = len(source_versions) == 1
+            changes = derived_changes(changes, self.source.key, self.columns, self.where, one)
+            self.table.commit(version, changes, upto)
 
     def _latest(self, changes: DataFrame) -> DataFrame:
         """One projected row per key with the operation to merge."""
@@ -219,10 +222,10 @@ class DistinctIngest(_Downstream):
     def _initial(self, rows: DataFrame) -> DataFrame:
         return value_counts(rows, self.column)
 
-    def _apply(self, version: int, changes: DataFrame, source_version: int) -> None:
+    def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         deltas = paths.stage(value_deltas(changes, self.column))
         source = count_changes(self.table.read_keys(deltas), deltas, self.column)
-        self.table.merge(version, source, source_version=source_version)
+        self.table.merge(version, source, source_version=source_versions.stop - 1)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)

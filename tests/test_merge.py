@@ -64,7 +64,8 @@ def test_outcomes(spark, case):
     found = row_changes(target, source, "k")
     assert bag(found.collect()) == bag(changes)
     committed = found.withColumn("_commit_version", F.lit(1).cast("bigint"))
-    assert bag(apply_changes(target, committed, "k").collect()) == expected(touched)
+    for one_commit in (True, False):
+        assert bag(apply_changes(target, committed, "k", one_commit).collect()) == expected(touched)
 
 
 def test_all_cases_in_one_change_set_without_broadcast(spark):

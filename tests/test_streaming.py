@@ -230,8 +230,8 @@ def test_follow_hands_out_each_change_once(spark, root):
     t = Pair(spark, root, ROWS)
     seen = []
 
-    def step(changes, batch_id, last):
-        seen.append((batch_id, last, bag(changes.select("k", "_change_type", "_commit_version").collect())))
+    def step(changes, batch_id, versions):
+        seen.append((batch_id, versions, bag(changes.select("k", "_change_type", "_commit_version").collect())))
 
     t.land((0, "x", 5, 1, "UPDATE"))
     t.run_bronze()
@@ -243,6 +243,6 @@ def test_follow_hands_out_each_change_once(spark, root):
     follow(t.bronze.table, f"{root}/consumer", step)
     follow(t.bronze.table, f"{root}/consumer", step)
     assert seen == [
-        (0, 2, bag([(0, "update_preimage", 1), (0, "update_postimage", 1), (40, "insert", 2)])),
-        (1, 3, bag([(40, "delete", 3)])),
+        (0, range(1, 3), bag([(0, "update_preimage", 1), (0, "update_postimage", 1), (40, "insert", 2)])),
+        (1, range(3, 4), bag([(40, "delete", 3)])),
     ]
