@@ -7,10 +7,10 @@ table the values come from.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import CHANGE_TYPE, DELETE, UPDATE
+from changeflow.functions.columns import CHANGE_TYPE
 from changeflow.operators.merge import NEW_IMAGES
 
 ROWS = "_rows"
@@ -35,13 +35,22 @@ def value_deltas(changes: DataFrame, column: str) -> DataFrame:
     )
 
 
-def count_changes(counts: DataFrame, deltas: DataFrame, column: str) -> DataFrame:
-    """Merge source that brings ``counts`` (of the values in ``deltas``) up to date."""
-    after = F.coalesce(F.col(ROWS), F.lit(0)) + F.col("__delta")
-    return deltas.join(counts, column, "left").select(
-        column,
-        after.cast("bigint").alias(ROWS),
-        F.when(after <= 0, DELETE).otherwise(UPDATE).alias("_operation"),
+def count_row_changes(counts: DataFrame, deltas: DataFrame, column: str) -> DataFrame:
+    """Row changes that bring ``counts`` (those of the values in ``deltas``) up to date."""
+    before, after = F.col(ROWS), F.coalesce(F.col(ROWS), F.lit(0)) + F.col("__delta")
+
+    def image(kind: str, rows: Column) -> Column:
+        return F.struct(F.lit(kind).alias(CHANGE_TYPE), rows.cast("bigint").alias("n"))
+
+    images = (
+        F.when(before.isNull(), F.array(image("insert", after)))
+        .when(after <= 0, F.array(image("delete", before)))
+        .otherwise(F.array(image("update_preimage", before), image("update_postimage", after)))
+    )
+    return (
+        deltas.join(counts, column, "left")
+        .select(column, F.explode(images).alias("image"))
+        .select(column, F.col("image.n").alias(ROWS), f"image.{CHANGE_TYPE}")
     )
 
 

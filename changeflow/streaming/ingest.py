@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE
 from changeflow.operators.derive import derived_changes
-from changeflow.operators.distinct import count_changes, set_changes, value_counts, value_deltas
+from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest, latest_row_changes
 from changeflow.operators.merge import LATEST_WINS, REFERENCE
 from changeflow.operators.replay import ACTION, net_changes
@@ -224,8 +224,8 @@ class DistinctIngest(_Downstream):
 
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         deltas = paths.stage(value_deltas(changes, self.column))
-        source = count_changes(self.table.read_keys(deltas), deltas, self.column)
-        self.table.merge(version, source, source_version=source_versions.stop - 1)
+        changes = count_row_changes(self.table.read_keys(deltas), deltas, self.column)
+        self.table.commit(version, changes, source_versions.stop - 1)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)

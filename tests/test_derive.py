@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from changeflow.operators.derive import derived_changes
-from changeflow.operators.distinct import count_changes, value_counts, value_deltas
+from changeflow.operators.distinct import count_row_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest
 from changeflow.sources import paths
 from changeflow.sources import table as table_module
@@ -39,7 +39,7 @@ def test_projection_and_distinct_follow(spark, base, batches):
         changes = source.read_changes(1)
         projection.commit(1, derived_changes(changes, "k", columns, where))
         deltas = paths.stage(value_deltas(changes, "v"))
-        counts.merge(1, count_changes(counts.read_keys(deltas), deltas, "v"))
+        counts.commit(1, count_row_changes(counts.read_keys(deltas), deltas, "v"))
     finally:
         table_module.LOG_SHARE = share
     rows = source.read()
