@@ -5,7 +5,7 @@ from changeflow.operators.merge import apply_changes, merge, row_changes
 from changeflow.operators.replay import net_changes, replay
 from changeflow.session import build_session
 from changeflow.sources.table import KeyedTable
-from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest
+from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest, follow
 
 __all__ = [
     "BronzeIngest",
@@ -14,6 +14,7 @@ __all__ = [
     "SilverIngest",
     "apply_changes",
     "build_session",
+    "follow",
     "latest",
     "latest_row_changes",
     "merge",

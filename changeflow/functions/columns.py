@@ -13,7 +13,6 @@ INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 REPLACE = "__replace__"
 
 CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP = "_change_type", "_commit_version", "_commit_timestamp"
-CHANGE_COLUMNS = (CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)
 
 NULL_BUCKET = -1
 

@@ -51,6 +51,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return (
         profiles.select(F.explode("p").alias("p"))
         .select("p.*")
-        .withColumn("maybe_key", (F.col("n_values") == F.col("n_rows")) & (F.col("approx_distinct") >= 0.9 * F.col("n_rows")))
+        .withColumn("complete", F.col("n_values") == F.col("n_rows"))
+        .withColumn("maybe_key", F.col("complete") & (F.col("approx_distinct") >= 0.9 * F.col("n_rows")))
         .withColumn("maybe_date", (F.col("n_values") > 0) & (F.col("n_dates") == F.col("n_values")))
+        .drop("complete")
     )

@@ -1,7 +1,6 @@
 """Commits, versions and repeats of a keyed table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from changeflow.sources import paths
 from changeflow.sources import table as table_module
