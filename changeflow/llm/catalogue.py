@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from changeflow.llm import simhash
+from changeflow.llm import simhash, token_counts
 
 QUERIES = {
     "op5_simhash": simhash.op5_simhash,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 ORACLES: dict[str, str] = {}
