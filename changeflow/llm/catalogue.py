@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from changeflow.llm import simhash, token_counts
+from changeflow.llm import simhash, sketches, token_counts, warc
 
 QUERIES = {
+    "op2_sketches": sketches.op2_sketches,
+    "op4_warc": warc.op4_warc,
     "op5_simhash": simhash.op5_simhash,
     "op10_token_counts": token_counts.op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": warc.OP4_SQL,
+}
