@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from changeflow.llm import simhash, sketches, token_counts, warc
+from changeflow.llm import quality, simhash, sketches, substrings, token_counts, warc
 
 QUERIES = {
     "op2_sketches": sketches.op2_sketches,
     "op4_warc": warc.op4_warc,
     "op5_simhash": simhash.op5_simhash,
+    "op7_substrings": substrings.op7_substrings,
+    "op8_quality": quality.op8_quality,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 ORACLES: dict[str, str] = {
+    "op7_substrings": substrings.OP7_SQL,
     "op4_warc": warc.OP4_SQL,
 }
