@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeflow.llm import quality, simhash, sketches, substrings, token_counts, warc
+from changeflow.llm import decontamination, quality, simhash, sketches, substrings, token_counts, warc
 
 QUERIES = {
     "op2_sketches": sketches.op2_sketches,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op7_substrings": substrings.op7_substrings,
     "op8_quality": quality.op8_quality,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 ORACLES: dict[str, str] = {
