@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,9 +32,10 @@ BLOCK_CHARS = 8_000_000
 BLOCK_DOCS = 60_000
 # Partial sums held by a task at most, before they are handed on.
 HELD_SUMS = 4_000_000
-# Code points that the pattern engines of Python and of the tokenizer library class alike; with any other one in a
-# text (their Unicode versions differ), the library itself cuts it.
-AGREED = r"[^\x00-\u0557\u2000-\u206f\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7a3]"
+# Code points on which Python and the tokenizer library agree about letters, white space and lower case (their Unicode
+# versions differ on others, and a capital sigma is lowered by context): a text of these alone, if it is in normal form,
+# is cut word by word. With any other character in a text, the library itself cuts it.
+AGREED = r"[^\x00-\x1b\x20-\u03a2\u03a4-\u0557\u2000-\u206f\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7a3]"
 
 
 class PreTokens:
@@ -57,21 +59,31 @@ class PreTokens:
         settings["normalizer"] = None
         self.plain = Tokenizer.from_str(json.dumps(settings))  # for text that is normalised already
 
-    def find(self, text: str) -> list[str]:
-        text = self.tokenizer.normalizer.normalize_str(text)
-        if self.other.search(text) is None:
-            return self.pattern.findall(text)
-        return [text[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-
-    def split(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
+        """Parts of a text whose pre-tokens, taken together, are those of the text: its words in lower case where the
+        text is plain, and else the pre-tokens themselves. Added tokens have a space in front."""
         if self.special.search(text) is None:
-            return self.find(text)
+            return self._plain_words(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += self.find(text[at:m.start()])
-            out.append(m.group())
+            out += self._plain_words(text[at:m.start()])
+            out.append(" " + m.group())  # no word starts with a space
             at = m.end()
-        return out + self.find(text[at:])
+        return out + self._plain_words(text[at:])
+
+    def _plain_words(self, text: str) -> list[str]:
+        if self.other.search(text) is None and unicodedata.is_normalized("NFC", text):
+            return text.lower().split()
+        text = self.tokenizer.normalizer.normalize_str(text)
+        return [text[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def cut(self, word: str) -> list[str]:
+        """The pre-tokens of one of ``words``; those that the library has cut stay whole."""
+        if word[0] == " ":
+            return [word[1:]]
+        if self.other.search(word):
+            return [word]
+        return self.pattern.findall(word)
 
     def pieces(self, pre_tokens: list[str]) -> list[int]:
         return [len(e) for e in self.plain.encode_batch_fast(pre_tokens, add_special_tokens=False)]
@@ -90,16 +102,36 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _coded(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The block's distinct pre-tokens; for each occurrence, its pre-token and its document by number."""
+def _numbered() -> dict[str, int]:
+    """A dict that numbers its keys in the order of their first use."""
     index: dict[str, int] = defaultdict()
     index.default_factory = index.__len__
-    codes, lengths = [], []
+    return index
+
+
+def _pairs(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The block's distinct pre-tokens; for each pair of a pre-token and a document that holds it, in this order,
+    the two numbers and how often."""
+    index = _numbered()
+    codes = []
     for _, text in block:
-        found = pre.split(text) if text else []
+        found = pre.words(text) if text else []
         codes.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
-        lengths.append(len(found))
-    return list(index), np.concatenate(codes), np.repeat(np.arange(len(block)), lengths)
+    docs = np.repeat(np.arange(len(block)), [len(c) for c in codes])
+    pairs, counts = np.unique(np.concatenate(codes) * len(block) + docs, return_counts=True)
+    words, docs = np.divmod(pairs, len(block))
+    # From words to pre-tokens: each distinct word of the block is cut once.
+    tokens = _numbered()
+    cuts = [[tokens[t] for t in pre.cut(word)] for word in index]
+    sizes = np.array([len(c) for c in cuts], np.int64)
+    flat = np.fromiter((t for c in cuts for t in c), np.int64, int(sizes.sum()))
+    first = np.cumsum(sizes) - sizes
+    times = sizes[words]
+    inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    codes = flat[np.repeat(first[words], times) + inside]
+    pairs, where = np.unique(codes * len(block) + np.repeat(docs, times), return_inverse=True)
+    counts = np.bincount(where, np.repeat(counts, times), len(pairs)).astype(np.int64)
+    return list(tokens), *np.divmod(pairs, len(block)), counts
 
 
 def _distinct(path: str):
@@ -108,21 +140,25 @@ def _distinct(path: str):
         for block in _blocks(batches):
             seen: set[str] = set()
             for _, text in block:
-                seen.update(pre.split(text) if text else ())
-            yield pd.DataFrame({"token": sorted(seen)})
+                seen.update(pre.words(text) if text else ())
+            yield pd.DataFrame({"token": sorted({t for word in seen for t in pre.cut(word)})})
 
     return run
 
 
+# A document's number in its block and the times that it holds the row's pre-token.
+POSTING = np.dtype([("doc", "<u2"), ("times", "<u4")])
+
+
 def _frequencies(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pre, task = PreTokens(path), TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches)):
-            tokens, codes, docs = _coded(block, pre)
-            pairs, counts = np.unique(codes * len(block) + docs, return_counts=True)
-            first = np.searchsorted(pairs, np.arange(len(tokens) + 1) * len(block)).tolist()
-            held, counts = (pairs % len(block)).astype("<u2"), counts.astype("<u4")
-            packed = [held[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(first, first[1:])]
+            tokens, codes, docs, counts = _pairs(block, pre)
+            postings = np.empty(len(codes), POSTING)
+            postings["doc"], postings["times"] = docs, counts
+            first = np.searchsorted(codes, np.arange(len(tokens) + 1)).tolist()
+            packed = [postings[i:j].tobytes() for i, j in zip(first, first[1:])]
             name = (task << 32) + number
             ids = np.array([[0 if pd.isna(i) else int(i), pd.isna(i), len((t or "").encode())] for i, t in block], "<i8")
             yield pd.DataFrame({"block": name, "token": [None], "packed": [ids.tobytes()]})
@@ -151,18 +187,23 @@ def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(head):
             yield pd.DataFrame({"block": head.block, "head": True, "packed": head.packed})
         body = batch[batch.pieces.notna()]
-        for block, packed, pieces in zip(body.block.tolist(), body.packed.tolist(), body.pieces.astype("int64").tolist()):
-            n = len(packed) // 6
-            docs = np.frombuffer(packed, "<u2", n)
-            counts = np.frombuffer(packed, "<u4", n, 2 * n)
+        if not len(body):
+            continue
+        sizes = body.packed.map(len).to_numpy(np.int64) // POSTING.itemsize
+        postings = np.frombuffer(b"".join(body.packed), POSTING)
+        pieces = np.repeat(body.pieces.to_numpy(np.int64), sizes) * postings["times"]
+        blocks, at = np.unique(body.block.to_numpy(np.int64), return_inverse=True)
+        keys, where = np.unique((np.repeat(at, sizes) << 16) + postings["doc"], return_inverse=True)
+        found = np.bincount(where, pieces, len(keys)).astype(np.int64)
+        for i, (start, end) in enumerate(zip(edges := np.searchsorted(keys >> 16, np.arange(len(blocks) + 1)), edges[1:])):
+            docs, block = keys[start:end] & 0xFFFF, int(blocks[i])
             total = sums.get(block)
-            top = int(docs[-1]) + 1
-            if total is None or len(total) < top:
-                grown = np.zeros(max(top, 256 if total is None else 2 * len(total)), np.int64)
+            if total is None or len(total) <= docs[-1]:
+                grown = np.zeros(max(int(docs[-1]) + 1, 256 if total is None else 2 * len(total)), np.int64)
                 if total is not None:
                     grown[:len(total)] = total
                 sums[block] = total = grown
-            total[docs] += counts.astype(np.int64) * pieces
+            total[docs] += found[start:end]
         if sum(map(len, sums.values())) > HELD_SUMS:
             yield flush()
     if sums:
