@@ -119,7 +119,8 @@ def matches(
     last = F.greatest(F.lit(0), F.least(F.col("at"), F.col("n") - F.col("m")))
     starts = stage(hits.select(*KEY, "m", F.explode(F.sequence(first, last)).alias("start")).distinct())
 
-    texts = source.join(starts.select(*KEY).distinct(), KEY, "left_semi").groupBy(*KEY).agg(F.min("text").alias("text"))
+    # The keys grow with the corpus, so this join shuffles at every size.
+    texts = source.join(starts.select(*KEY).distinct().hint("merge"), KEY, "left_semi").groupBy(*KEY).agg(F.min("text").alias("text"))
     texts = _hashed(texts, F.col("text"), *KEY)
     window = ["k1", "k2", "m", "start"]
     windows = stage(starts.join(texts, KEY).select(*window, F.slice("h", F.col("start") + 1, F.col("m")).alias("w")))
@@ -159,7 +160,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **optio
     """The documents that hold no item. All columns are kept, whatever their names."""
     found = stage(matches(docs, items, text, **options).select(*KEY).distinct())
     k1, k2 = _keys(docs[text])
-    return docs.join(found, (k1 == found.k1) & (k2 == found.k2), "left_anti")
+    return docs.join(found.hint("merge"), (k1 == found.k1) & (k2 == found.k2), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

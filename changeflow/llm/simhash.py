@@ -128,7 +128,7 @@ def deduplicate(
     )
     marked = docs.withColumn(fp, fingerprint(F.col(text), shingle))
     same = marked[doc_id].eqNullSafe(marks[component]) & (marked[fp] == marks[kept])
-    marked = marked.join(marks, same, "left")
+    marked = marked.join(marks.hint("merge"), same, "left")
     single = marked.where(F.col(n).isNull()).select(*docs.columns)
     first = Window.partitionBy(doc_id, fp).orderBy(text)
     repeated = marked.where(F.col(n) > 1).withColumn(rank, F.row_number().over(first))

@@ -124,7 +124,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     beside = _neighbours(rows).withColumnRenamed("id", "own")
-    placed = rows.join(beside, F.col("id").eqNullSafe(F.col("own"))).drop("own")
+    placed = rows.join(beside.hint("merge"), F.col("id").eqNullSafe(F.col("own"))).drop("own")
     again = placed.where("n > 1").groupBy("id").agg(
         F.min("text").alias("text"), F.first("before").alias("before"), F.first("need").alias("need")
     )

@@ -226,7 +226,7 @@ def repeated_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # Each id's anchors are collected: as many as its text has, at most.
     own = anchors.groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("common").alias("common"))
     own = own.withColumnRenamed("id", "owner")
-    found = rows.join(own, F.col("id") == F.col("owner"), "left").select("id", "text", "anchors", "common")
+    found = rows.join(own.hint("merge"), F.col("id") == F.col("owner"), "left").select("id", "text", "anchors", "common")
     found = found.mapInPandas(_passages(window, shards), "shard long, words binary, ids binary, starts binary")
     spans = found.groupBy("shard").applyInPandas(_repeats(window), "id long, begin long, end long")
     return spans.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
@@ -272,7 +272,7 @@ def _digests(texts: Column, spans: Column) -> Column:
 def with_spans(docs: DataFrame, doc_id: str, text: str, name: str, window: int = WINDOW) -> DataFrame:
     """``docs`` with the intervals to cut from each text as column ``name``."""
     spans = repeated_intervals(docs, doc_id, text, window).toDF("_owner", name)
-    return docs.join(spans, docs[doc_id] == spans["_owner"], "left").drop("_owner")
+    return docs.join(spans.hint("merge"), docs[doc_id] == spans["_owner"], "left").drop("_owner")
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
