@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from changeflow.llm import decontamination, license_scan, quality, simhash, sketches, substrings, token_counts, warc
+from changeflow.llm import decontamination, language_id, license_scan, quality, simhash, sketches, substrings, token_counts, warc
 
 QUERIES = {
     "op1_licenses": license_scan.op1_licenses,
     "op2_sketches": sketches.op2_sketches,
     "op4_warc": warc.op4_warc,
     "op5_simhash": simhash.op5_simhash,
+    "op6_language": language_id.op6_language,
     "op7_substrings": substrings.op7_substrings,
     "op8_quality": quality.op8_quality,
     "op9_decontamination": decontamination.op9_decontamination,
