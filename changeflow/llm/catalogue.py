@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from changeflow.llm import decontamination, language_id, license_scan, quality, simhash, sketches, substrings, token_counts, warc
+import corpus_pipeline
+from changeflow.llm import decontamination, language_id, license_scan, pieces, quality, simhash, sketches, substrings, token_counts, warc
 
 QUERIES = {
     "op1_licenses": license_scan.op1_licenses,
     "op2_sketches": sketches.op2_sketches,
+    "op3_pieces": pieces.op3_pieces,
     "op4_warc": warc.op4_warc,
     "op5_simhash": simhash.op5_simhash,
     "op6_language": language_id.op6_language,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op7_substrings": substrings.OP7_SQL,

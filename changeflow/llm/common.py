@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.sources.paths import stage
 
-__all__ = ["load", "stage", "held_out", "fresh_name"]
+__all__ = ["load", "stage", "held_out", "fresh_name", "numbered"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,3 +30,10 @@ def fresh_name(df: DataFrame, *names: str) -> list[str]:
         used.add(name.lower())
         out.append(name)
     return out
+
+
+def numbered() -> dict:
+    """A dict that numbers its keys in the order of their first use."""
+    index: dict = defaultdict()
+    index.default_factory = index.__len__
+    return index

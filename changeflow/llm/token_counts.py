@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import load, stage
+from changeflow.llm.common import load, numbered, stage
 
 LIMIT = 2048
 # A block of documents ends with the document that brings it to so many characters; documents stay whole.
@@ -102,17 +101,10 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _numbered() -> dict[str, int]:
-    """A dict that numbers its keys in the order of their first use."""
-    index: dict[str, int] = defaultdict()
-    index.default_factory = index.__len__
-    return index
-
-
 def _pairs(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """The block's distinct pre-tokens; for each pair of a pre-token and a document that holds it, in this order,
     the two numbers and how often."""
-    index = _numbered()
+    index = numbered()
     codes = []
     for _, text in block:
         found = pre.words(text) if text else []
@@ -121,7 +113,7 @@ def _pairs(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, n
     pairs, counts = np.unique(np.concatenate(codes) * len(block) + docs, return_counts=True)
     words, docs = np.divmod(pairs, len(block))
     # From words to pre-tokens: each distinct word of the block is cut once.
-    tokens = _numbered()
+    tokens = numbered()
     cuts = [[tokens[t] for t in pre.cut(word)] for word in index]
     sizes = np.array([len(c) for c in cuts], np.int64)
     flat = np.fromiter((t for c in cuts for t in c), np.int64, int(sizes.sum()))
