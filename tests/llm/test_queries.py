@@ -1,0 +1,49 @@
+"""Registered queries and the pipeline over the smallest tables."""
+
+import importlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from changeflow.llm.catalogue import ORACLES, QUERIES
+from changeflow.llm.common import load
+from tests.oracle import connect, oracle_rows, spark_rows
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, name):
+    assert spark_rows(QUERIES[name](spark, SF)) == oracle_rows(connect(SF), ORACLES[name])
+
+
+def test_all_operators_are_registered():
+    registered = importlib.import_module("__spark_entry__").queries()
+    assert set(QUERIES) <= set(registered)
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op4_warc", "op9_decontamination")])
+def test_query_covers_all_documents(spark, name):
+    rows = QUERIES[name](spark, SF)
+    if name == "pipeline":
+        assert rows.where("NOT lossless").count() == 0
+    else:
+        assert sorted(r.doc_id for r in rows.select("doc_id").collect()) == list(range(200))
+
+
+@pytest.mark.parametrize("name, label, predicted", [("op6_language", "lang", "lang_pred"), ("op8_quality", "quality", "predicted")])
+def test_held_out_accuracy(spark, name, label, predicted):
+    sf = "/root/testdata/sf0.01"
+    truth = load(spark, sf, "documents" if label == "lang" else "labels").select("doc_id", label)
+    found = QUERIES[name](spark, sf).where("held_out").join(truth, "doc_id")
+    assert found.select(F.avg((F.col(label) == F.col(predicted)).cast("int"))).first()[0] > 0.97
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    docs = load(spark, SF, "documents")
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs.count(), corpus_pipeline.stage(apply(spark, docs, SF))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+        assert 0 < docs.count() <= before
