@@ -49,18 +49,29 @@ class FMIndex:
 
     @staticmethod
     def _order(text: np.ndarray, depth: int) -> np.ndarray:
-        """Ranks of all suffixes by their first ``depth`` words, by prefix doubling."""
+        """Keys that sort as the first ``depth`` words of all suffixes do: ranks of longer and longer beginnings, as many
+        of which are joined at a time as a number can hold."""
+
+        def joined(ranks: np.ndarray, offsets: list[int], bits: int) -> np.ndarray:
+            key = np.zeros(len(ranks), np.int64)
+            for offset in offsets:
+                key = (key << bits) | np.concatenate([ranks[offset:], np.zeros(offset, np.int64)])[:len(ranks)]
+            return key
+
         rank, length = text, 1
-        while length < depth:
-            step = min(length, depth - length)
-            after = np.concatenate([rank[step:], np.zeros(step, np.int64)])
-            rank = np.unique(rank * (int(after.max()) + 1) + after, return_inverse=True)[1].astype(np.int64)
-            length += step
-        return rank
+        while True:
+            bits = max(1, int(rank.max()).bit_length())
+            fit = max(2, 63 // bits)
+            if length * fit >= depth:
+                offsets = [min(i * length, depth - length) for i in range(-(-depth // length))]
+                return joined(rank, offsets, bits)
+            rank = np.unique(joined(rank, [i * length for i in range(fit)], bits), return_inverse=True)[1]
+            length *= fit
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search of each row of ``patterns``: the interval [low, high) of suffixes that start with the
-        longest suffix of the row that occurs, and its length (the matching statistic of the row's end)."""
+    def search(self, patterns: np.ndarray, stop_at: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Backward search of each row of ``patterns``: the interval [low, high) of suffixes that start with the longest
+        suffix of the row that occurs, and its length (the matching statistic of the row's end). A row whose interval has
+        shrunk to ``stop_at`` suffixes isn't searched further."""
         n = len(patterns)
         low, high = np.zeros(n, np.int64), np.full(n, len(self.suffixes), np.int64)
         length, live = np.zeros(n, np.int64), np.arange(n)
@@ -70,7 +81,8 @@ class FMIndex:
             bounds += np.concatenate([self.shift[symbols], self.shift[symbols]])
             lo, hi = bounds[:len(live)], bounds[len(live):]
             found = lo < hi
-            live = live[found]
-            low[live], high[live] = lo[found], hi[found]
+            live, lo, hi = live[found], lo[found], hi[found]
+            low[live], high[live] = lo, hi
             length[live] += 1
+            live = live[hi - lo > stop_at]
         return low, high, length

@@ -10,7 +10,7 @@ windows that can be equal, each is filed under its anchor, the four-word run in
    text around it differs); its windows are dealt out one by one, by all their words.
 3. Each shard of anchors gets a compressed FM-index over the words of its passages. Backward search over its wavelet
    matrix gives, for the windows of all passages streamed past it, the matching statistics; where they reach the whole
-   window, the least document id in the interval of suffixes tells whether the window is a repeat.
+   window with more than one suffix left, the least document id in the interval tells whether the window is a repeat.
 4. Per document the covered words are joined to intervals.
 
 A shard's size is set by its number of passages, so that index and passages fit in one task at any size of the corpus.
@@ -171,16 +171,21 @@ def least_owner(passages: list[list[bytes]], owners: np.ndarray, window: int) ->
     index = FMIndex(text, window)
     counts = lengths - window
     starts = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-    low, high, length = index.search(np.lib.stride_tricks.sliding_window_view(text, window)[starts])
-    assert (length == window).all()  # every window is in the index itself
-    owner = np.append(np.repeat(owners, lengths), owners.max())[index.suffixes]
-    bounds, where = np.unique(low, return_inverse=True)
-    ends = np.zeros(len(bounds), np.int64)
-    ends[where] = high
-    # Intervals of equally long patterns are equal or apart; what lies between them is reduced too, and dropped.
-    cuts = np.column_stack([bounds, ends]).ravel()
-    least = np.minimum.reduceat(np.append(owner, owner[-1]), cuts)[::2]
-    return least[where], counts
+    patterns = np.lib.stride_tricks.sliding_window_view(text, window)[starts]
+    # An interval of one suffix holds the window's own place alone, whatever words come before.
+    low, high, length = index.search(patterns, stop_at=1)
+    least = np.repeat(owners, counts)
+    many = high - low > 1
+    assert (length[many] == window).all()  # every window is in the index itself
+    if many.any():
+        owner = np.append(np.repeat(owners, lengths), owners.max())[index.suffixes]
+        bounds, where = np.unique(low[many], return_inverse=True)
+        ends = np.zeros(len(bounds), np.int64)
+        ends[where] = high[many]
+        # Intervals of equally long patterns are equal or apart; what lies between them is reduced too, and dropped.
+        cuts = np.column_stack([bounds, ends]).ravel()
+        least[many] = np.minimum.reduceat(np.append(owner, owner[-1]), cuts)[::2][where]
+    return least, counts
 
 
 def _repeats(window: int):
