@@ -14,8 +14,6 @@ REPLACE = "__replace__"
 
 CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP = "_change_type", "_commit_version", "_commit_timestamp"
 
-NULL_BUCKET = -1
-
 # Fixed values of the keyed sample: row is in when ((key mod M) * A + B) mod M < rate * M.
 SAMPLE_A, SAMPLE_B, SAMPLE_M = 7919, 104729, 1000003
 
@@ -31,12 +29,6 @@ def any_null(names: Sequence[str]) -> Column:
     return cond
 
 
-def bucket_of(key: Sequence[str], buckets: int) -> Column:
-    """Storage bucket of a key. Rows without a key share one append-only bucket."""
-    hashed = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-    return F.when(any_null(key), F.lit(NULL_BUCKET)).otherwise(hashed)
-
-
 def op_rank(op: Column) -> Column:
     """Order of operations that tie on everything else: DELETE over UPDATE over INSERT."""
     return F.when(op == DELETE, 3).when(op == UPDATE, 2).when(op == INSERT, 1).otherwise(0)
@@ -66,7 +58,8 @@ def file_stamp(ts: Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    return F.translate(_second_text(ts), " ", "T")
+    """ISO time text with the fraction of the second, where there is one; such texts sort as their times do."""
+    return F.translate(ts.cast("string"), " ", "T")
 
 
 def in_sample(key: Column, rate: float) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, any_null, as_list
 from changeflow.operators.merge import NEW_IMAGES
+from changeflow.sources.paths import stage
 
 
 def derived_changes(
@@ -37,7 +38,8 @@ def derived_changes(
     is_new = F.col(CHANGE_TYPE).isin(*NEW_IMAGES)
 
     keyed = changes.where(~any_null(keys))
-    span = keyed.groupBy(*keys).agg(F.min(COMMIT_VERSION).alias("__first"), F.max(COMMIT_VERSION).alias("__last"))
+    # The aggregates are stored: a join with one that isn't can't split a hot key.
+    span = stage(keyed.groupBy(*keys).agg(F.min(COMMIT_VERSION).alias("__first"), F.max(COMMIT_VERSION).alias("__last")))
     ends = (
         keyed.join(span, keys, "inner")
         .withColumn("__new", is_new)
@@ -45,9 +47,8 @@ def derived_changes(
                .otherwise(F.col(COMMIT_VERSION) == F.col("__first")))
         .where(kept)
     )
-    sides = ends.groupBy(*keys).agg(
-        F.max(~F.col("__new")).alias("__had"), F.max(F.col("__new")).alias("__has")
-    )
+    ends = stage(ends)
+    sides = stage(ends.groupBy(*keys).agg(F.max(~F.col("__new")).alias("__had"), F.max(F.col("__new")).alias("__has")))
     kind = (
         F.when(F.col("__new"), F.when(F.col("__had"), "update_postimage").otherwise("insert"))
         .when(F.col("__has"), "update_preimage")

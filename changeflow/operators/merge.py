@@ -37,6 +37,7 @@ from changeflow.functions.columns import (
     any_null,
     as_list,
 )
+from changeflow.sources.paths import stage
 
 REFERENCE, LATEST_WINS = "reference", "latest_wins"
 NEW_IMAGES = ("insert", "update_postimage")
@@ -165,10 +166,11 @@ def apply_changes(
     changes = changes.where(F.col(CHANGE_TYPE) != "update_preimage")
     images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
     if one_commit:
-        touched = changes.select(*keys).distinct()
+        touched = changes.select(*keys)
         current = images.select(*columns)
     else:
-        last = changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION))
+        # Stored, so that a join with the aggregate can split a hot key.
+        last = stage(changes.where(~any_null(keys)).groupBy(*keys).agg(F.max(COMMIT_VERSION).alias(COMMIT_VERSION)))
         touched = last.select(*keys)
         current = images.join(last, [*keys, COMMIT_VERSION], "left_semi").select(*columns)
         current = current.unionByName(images.where(any_null(keys)).select(*columns))

@@ -1,15 +1,13 @@
-"""A keyed table as parquet directories, with its row changes.
+"""A keyed table as plain parquet directories, one per commit, with its row changes.
 
-    <path>/state/version=C/bucket=B/      all rows as of commit C, by bucket of the key
+    <path>/state/version=N/               all rows as of commit N
     <path>/changes/_commit_version=N/     row changes of commit N
     <path>/commits/_commit_version=N/     one row; its arrival makes commit N visible
     <path>/progress/                      checkpoint of the stream that feeds the table
 
-A commit writes its row changes and nothing else, so its cost follows the change set, not the table.
-The table at commit N is the newest full state C <= N with the changes of C+1 .. N applied; once these
-have grown to a share of the table, a commit also writes a new full state. Nothing visible is ever
-rewritten: a commit that died half way is simply done again, earlier versions stay readable, and
-readers are never disturbed. There is one writer per table.
+A directory is written once and never touched again: a commit that died half way is simply done again, and a
+commit that is done is left alone, so the number of a commit alone makes repeats harmless. There is one writer
+per table.
 """
 
 from __future__ import annotations
@@ -21,49 +19,32 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, as_list, bucket_of
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, any_null, as_list
 from changeflow.operators.merge import REFERENCE, apply_changes, row_changes
 from changeflow.sources import paths
 
-# What a commit row says besides its time. ``base`` is the newest full state.
+# What a commit row says besides its time.
 COMMIT_FIELDS = {
     "source_version": "bigint",
     "schema": "string",
-    "buckets": "int",
-    "base": "bigint",
     "n_rows": "bigint",
-    "n_logged": "bigint",
     "n_insert": "bigint",
     "n_update": "bigint",
     "n_delete": "bigint",
 }
 COMMIT_SCHEMA = ", ".join(["committed_at timestamp", *[f"{n} {t}" for n, t in COMMIT_FIELDS.items()]])
-# A bucket holds about this much data: a merge scans the buckets its keys fall into.
-BUCKET_BYTES = 1 << 30
-MIN_BUCKETS, MAX_BUCKETS = 8, 16384
-# Spark's stand-in for the size of data it knows nothing about is larger than this.
-UNKNOWN_BYTES = 1 << 60
-# A new full state is written when the rows changed since the last one exceed this share of the table,
-# or after this many commits.
-LOG_SHARE, LOG_COMMITS = 0.25, 1000
-
-
-def _suggest_buckets(df: DataFrame) -> int:
-    """Bucket count from the size of the data sources that ``df`` reads, where Spark knows it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-known // BUCKET_BYTES)))
 
 
 def _typed(df: DataFrame, schema: StructType, *extra: str) -> DataFrame:
-    """Columns in table order and type: keys of another type would fall into other buckets."""
+    """Columns in table order and type."""
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *extra)
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str]):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), as_list(key)
+    """``keep`` states, the newest ones, stay on disk; all of them by default. Row changes always stay."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str], keep: int | None = None):
+        self.spark, self.path, self.key, self.keep = spark, path.rstrip("/"), as_list(key), keep
         self._commits: dict[int, Row] = {}
 
     # -- reading ----------------------------------------------------------------------------
@@ -93,57 +74,36 @@ class KeyedTable:
     def schema(self, version: int | None = None) -> StructType:
         return StructType.fromJson(json.loads(self.commit_row(version).schema))
 
+    def _state(self, version: int) -> str:
+        return f"{self.path}/state/version={version}"
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table at a version."""
         version = self.version() if version is None else version
-        return self._with_log(self._state(version), version)
+        return self.spark.read.schema(self.schema(version)).parquet(self._state(version))
 
     def register(self, name: str, version: int | None = None) -> None:
         """Make the table available to SQL under a name."""
         self.read(version).createOrReplaceTempView(name)
 
     def read_keys(self, keys: DataFrame, version: int | None = None) -> DataFrame:
-        """The rows of the table at a version that have one of the given (few) keys."""
-        version = self.version() if version is None else version
-        return self._around(keys, version).join(keys.select(*self.key), self.key, "left_semi")
-
-    def _state(self, version: int) -> DataFrame:
-        """The newest full state at a version, with the partition column ``bucket``."""
-        path = f"{self.path}/state/version={self.commit_row(version).base}"
-        return self.spark.read.schema(self.schema(version).add("bucket", "integer")).parquet(path)
-
-    def _with_log(self, rows: DataFrame, version: int, keys: DataFrame | None = None) -> DataFrame:
-        rows, base = rows.select(*self.schema(version).names), self.commit_row(version).base
-        if base == version:
-            return rows
-        log = self.read_changes(base + 1, version)
-        if keys is not None:
-            log = log.join(keys, self.key, "left_semi")
-        return apply_changes(rows, log, self.key, one_commit=base + 1 == version)
-
-    def _around(self, keys: DataFrame, version: int) -> DataFrame:
-        """Rows to join with ``keys``: up to date for these keys, and only for these.
-
-        The scan covers the buckets the keys fall into. At most one row per bucket reaches the driver.
-        """
-        schema = self.schema(version)
-        keys = _typed(keys, StructType([schema[k] for k in self.key]))
-        bucket = bucket_of(self.key, self.commit_row(version).buckets).alias("bucket")
-        touched = [r.bucket for r in keys.select(bucket).distinct().collect()]
-        return self._with_log(self._state(version).where(F.col("bucket").isin(touched)), version, keys)
+        """The rows of the table at a version that have one of the given keys."""
+        return self.read(version).join(keys.select(*self.key), self.key, "left_semi")
 
     def read_changes(self, first: int, last: int | None = None) -> DataFrame:
-        """Row changes of committed versions ``first`` to ``last``; only their directories are read."""
+        """Row changes of committed versions ``first`` to ``last`` (default: the newest); only their directories are
+        read. ``first`` may be the next version to come, which has no rows yet; other missing versions are refused."""
         newest = self.version()
-        last = newest if last is None else min(last, newest)
+        last = newest if last is None else last
+        if last > newest or first > newest + 1:
+            raise ValueError(f"{self.path}: versions {first} to {last} asked for, {newest} is the newest")
         schema = (
             self.schema()
             .add(CHANGE_TYPE, "string")
             .add(COMMIT_VERSION, "long")
             .add(COMMIT_TIMESTAMP, "timestamp")
         )
-        if first == 0:
-            first = 1  # the bootstrap has no row changes
+        first = max(first, 1)  # the bootstrap has no row changes
         if first > last:
             return self.spark.createDataFrame([], schema)
         root = f"{self.path}/changes"
@@ -154,28 +114,20 @@ class KeyedTable:
     def stream_commits(self, commits_per_trigger: int | None = None) -> DataFrame:
         """Commits as a stream. A commit appears in one piece, after its row changes are complete."""
         reader = self.spark.readStream.schema(f"committed_at timestamp, {COMMIT_VERSION} bigint")
+        reader = reader.option("maxFileAge", "36500d")
         if commits_per_trigger:
             reader = reader.option("maxFilesPerTrigger", commits_per_trigger)
         return reader.parquet(f"{self.path}/commits")
 
     # -- writing ----------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame, buckets: int | None = None, source_version: int | None = None) -> None:
+    def overwrite(self, df: DataFrame, source_version: int | None = None) -> None:
         """Store ``df`` as the whole of a new table, as commit 0."""
         if self.exists():
             raise ValueError(f"{self.path} holds a table already")
-        buckets = buckets or _suggest_buckets(df)
-        self._write_state(df, 0, buckets)
-        stored = self.spark.read.schema(df.schema).parquet(f"{self.path}/state/version=0")
-        self._commit(
-            0,
-            schema=df.schema.json(),
-            buckets=buckets,
-            base=0,
-            n_rows=stored.count(),
-            n_logged=0,
-            source_version=source_version,
-        )
+        self._write_state(df, 0)
+        n_rows = self.spark.read.schema(df.schema).parquet(self._state(0)).count()
+        self._commit(0, schema=df.schema.json(), n_rows=n_rows, source_version=source_version)
 
     def merge(
         self,
@@ -186,10 +138,10 @@ class KeyedTable:
         guard: str | None = None,
         source_version: int | None = None,
     ) -> None:
-        """Merge a change set (one row per key) as commit ``version``; a done commit is left alone.
+        """Merge a change set as commit ``version``; a done commit is left alone.
 
-        ``source`` is staged first. That cuts the lineage to the stream, fixes the rows for the
-        commit, and gives the planner the true size of the change set.
+        ``source`` is staged first. That cuts the lineage to the stream, fixes the rows for the commit, and gives the
+        planner its size. It must hold one row per key: a repeated key is refused, for it would multiply rows.
         """
         if self.is_done(version):
             return
@@ -198,12 +150,14 @@ class KeyedTable:
         source = _typed(source, schema, *([op] if op not in schema.names else []))
         source.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(source.schema).parquet(staged_path)
-        changes = row_changes(self._around(staged, version - 1), staged, self.key, op, mode, guard)
-        self.commit(version, changes, source_version)
+        repeated = staged.where(~any_null(self.key)).groupBy(*self.key).count().where("count > 1").first()
+        if repeated is not None:
+            raise ValueError(f"{self.path}: the change set has {repeated['count']} rows for one key: {repeated}")
+        self.commit(version, row_changes(self.read(version - 1), staged, self.key, op, mode, guard), source_version)
         paths.delete(self.spark, staged_path)
 
     def commit(self, version: int, changes: DataFrame, source_version: int | None = None) -> None:
-        """Store row changes (table columns and ``_change_type``) as commit ``version``."""
+        """Store row changes (table columns and ``_change_type``) and the state they lead to as commit ``version``."""
         if self.is_done(version):
             return
         before = self.commit_row(version - 1)
@@ -214,28 +168,18 @@ class KeyedTable:
         stored.hint("rebalance").write.mode("overwrite").parquet(path)
         changes = self.spark.read.schema(stored.schema).parquet(path)
         made = {r[CHANGE_TYPE]: r["count"] for r in changes.groupBy(CHANGE_TYPE).count().collect()}
-
-        base, n_rows = before.base, before.n_rows + made.get("insert", 0) - made.get("delete", 0)
-        n_logged = before.n_logged + sum(n for kind, n in made.items() if kind != "update_preimage")
-        if n_logged > LOG_SHARE * n_rows or version - base >= LOG_COMMITS:
-            log = changes.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
-            log = self.read_changes(base + 1, version - 1).unionByName(log)
-            rows = self._state(version - 1).select(*schema.names)
-            rows = apply_changes(rows, log, self.key, one_commit=base + 1 == version)
-            self._write_state(rows, version, before.buckets)
-            base, n_logged = version, 0
+        self._write_state(apply_changes(self.read(version - 1), changes, self.key, one_commit=True), version)
         self._commit(
             version,
             schema=before.schema,
-            buckets=before.buckets,
-            base=base,
-            n_rows=n_rows,
-            n_logged=n_logged,
+            n_rows=before.n_rows + made.get("insert", 0) - made.get("delete", 0),
             source_version=source_version,
             n_insert=made.get("insert", 0),
             n_update=made.get("update_postimage", 0),
             n_delete=made.get("delete", 0),
         )
+        if self.keep is not None:
+            paths.delete(self.spark, self._state(version - self.keep))
 
     def is_done(self, version: int) -> bool:
         """Whether commit ``version`` is there; it must be that or the next one."""
@@ -244,21 +188,9 @@ class KeyedTable:
             raise ValueError(f"{self.path}: commit {version} cannot follow {current}")
         return current >= version
 
-    def drop_states(self, before: int) -> None:
-        """Give up reading versions below ``before``: drop the full states only they need."""
-        needed = self.commit_row(before).base
-        for version in map(int, paths.partition_values(self.spark, f"{self.path}/state", "version")):
-            if version < needed:
-                paths.delete(self.spark, f"{self.path}/state/version={version}")
-
-    def _write_state(self, df: DataFrame, version: int, buckets: int) -> None:
-        """Write all rows by bucket.
-
-        The rebalance shuffles by bucket and splits a bucket that is too large for one task, such as
-        the one of a very frequent key.
-        """
-        rows = df.withColumn("bucket", bucket_of(self.key, buckets)).hint("rebalance", "bucket")
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/state/version={version}")
+    def _write_state(self, df: DataFrame, version: int) -> None:
+        """Write all rows; what a commit that died has left in the directory goes."""
+        df.write.mode("overwrite").parquet(self._state(version))
 
     def _commit(self, version: int, **values) -> None:
         """Write the commit row. One row, one file: the commit becomes visible at once."""

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE
+from changeflow.functions.columns import CHANGE_TYPE, DELETE, INSERT, UPDATE
 from changeflow.operators.derive import derived_changes
 from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest, latest_row_changes
@@ -41,19 +41,21 @@ def follow(
     source: KeyedTable,
     progress: str,
     step: Callable[[DataFrame, int, range], None],
-    after: int = 0,
+    seen: Callable[[], int],
     commits_per_trigger: int | None = None,
 ) -> None:
     """Stream the row changes of a table: ``step(changes, batch_id, versions)`` for new commits.
 
-    The stream itself carries the commits, each of which arrives whole; their row changes are then read
-    by version. Commits up to ``after`` bring no rows.
+    The stream only says that there are new commits, which may reach it in any order (file times are coarse, and copies
+    have new ones). What is handed out are the versions after ``seen()``, the last one that the consumer has stored, up
+    to the newest, or as many as ``commits_per_trigger``. A batch whose versions went with an earlier one has none.
     """
 
     def batch(commits: DataFrame, batch_id: int) -> None:
-        first, last = commits.agg(F.min(COMMIT_VERSION), F.max(COMMIT_VERSION)).first()
-        versions = range(max(first, after + 1), last + 1)
-        step(source.read_changes(versions.start, last), batch_id, versions)
+        first, last = seen() + 1, source.version()
+        if commits_per_trigger:
+            last = min(last, first + commits_per_trigger - 1)
+        step(source.read_changes(first, last), batch_id, range(first, last + 1))
 
     run_to_end(source.stream_commits(commits_per_trigger), progress, batch)
 
@@ -95,16 +97,18 @@ class BronzeIngest:
         batch: str | None = None,
         guard: str | None = None,
     ):
+        if batch is not None and guard is not None:
+            raise ValueError("a guard looks at each batch's outcome, which folding several batches leaves out")
         self.table, self.schema, self.order = table, schema, order
         self.op, self.mode, self.batch, self.guard = op, mode, batch, guard
 
-    def bootstrap(self, snapshot: str | DataFrame, buckets: int | None = None) -> bool:
+    def bootstrap(self, snapshot: str | DataFrame) -> bool:
         def load() -> DataFrame:
             if isinstance(snapshot, DataFrame):
                 return snapshot
             return files.read_snapshot(self.table.spark, snapshot, self.schema)
 
-        return _bootstrap(self.table, load, buckets=buckets)
+        return _bootstrap(self.table, load)
 
     def execute(self, snapshots: str, changes_path: str) -> None:
         """Bootstrap from the newest complete full load if the table is absent, then run."""
@@ -143,12 +147,11 @@ class _Downstream:
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         raise NotImplementedError
 
-    def bootstrap(self, buckets: int | None = None) -> bool:
+    def bootstrap(self) -> bool:
         version = self.source.version()
         return _bootstrap(
             self.table,
             lambda: self._initial(self.source.read(version)),
-            buckets=buckets,
             source_version=version,
         )
 
@@ -158,8 +161,11 @@ class _Downstream:
 
     def run(self, commits_per_trigger: int | None = None) -> None:
         self.bootstrap()
-        seen = self.table.commit_row(0).source_version
-        follow(self.source, _progress(self.table), self.upsert, seen, commits_per_trigger)
+        follow(self.source, _progress(self.table), self.upsert, self._seen, commits_per_trigger)
+
+    def _seen(self) -> int:
+        """The last source version that the table holds."""
+        return self.table.commit_row().source_version
 
 
 class SilverIngest(_Downstream):
@@ -226,6 +232,7 @@ class DistinctIngest(_Downstream):
         deltas = paths.stage(value_deltas(changes, self.column))
         changes = count_row_changes(self.table.read_keys(deltas), deltas, self.column)
         self.table.commit(version, changes, source_versions.stop - 1)
+        paths.unstage(deltas)
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.table.read(version).select(self.column)

@@ -8,7 +8,6 @@ from changeflow.operators.derive import derived_changes
 from changeflow.operators.distinct import count_row_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest
 from changeflow.sources import paths
-from changeflow.sources import table as table_module
 from changeflow.sources.table import KeyedTable
 from tests.test_merge import bag
 
@@ -23,25 +22,20 @@ BATCH = st.lists(st.tuples(KEYS, VALUES, st.integers(0, 9), OPS), min_size=1, ma
 def test_projection_and_distinct_follow(spark, base, batches):
     root = paths.new_scratch(spark)
     source = KeyedTable(spark, f"{root}/source", "k")
-    source.overwrite(spark.createDataFrame(base, "k int, v int, o int"), buckets=3)
+    source.overwrite(spark.createDataFrame(base, "k int, v int, o int"))
     columns, where = [F.col("k").alias("id"), (F.col("v") * 10).alias("ten")], F.col("v") >= 2
     projection = KeyedTable(spark, f"{root}/projection", "id")
-    projection.overwrite(source.read().where(where).select(*columns), buckets=3)
+    projection.overwrite(source.read().where(where).select(*columns))
     counts = KeyedTable(spark, f"{root}/counts", "v")
-    counts.overwrite(value_counts(source.read(), "v"), buckets=3)
-    share = table_module.LOG_SHARE
-    table_module.LOG_SHARE = 1.5
-    try:
-        for n, rows in enumerate(batches, 1):
-            feed = spark.createDataFrame(rows, "k int, v int, o int, _operation string")
-            source.merge(n, latest(feed, "k", "o", "_operation"))
-        # All commits fall into one batch of the derived tables.
-        changes = source.read_changes(1)
-        projection.commit(1, derived_changes(changes, "k", columns, where))
-        deltas = paths.stage(value_deltas(changes, "v"))
-        counts.commit(1, count_row_changes(counts.read_keys(deltas), deltas, "v"))
-    finally:
-        table_module.LOG_SHARE = share
+    counts.overwrite(value_counts(source.read(), "v"))
+    for n, rows in enumerate(batches, 1):
+        feed = spark.createDataFrame(rows, "k int, v int, o int, _operation string")
+        source.merge(n, latest(feed, "k", "o", "_operation"))
+    # All commits fall into one batch of the derived tables.
+    changes = source.read_changes(1)
+    projection.commit(1, derived_changes(changes, "k", columns, where))
+    deltas = paths.stage(value_deltas(changes, "v"))
+    counts.commit(1, count_row_changes(counts.read_keys(deltas), deltas, "v"))
     rows = source.read()
     assert bag(projection.read().collect()) == bag(rows.where(where).select(*columns).collect())
     assert projection.commit_row().n_rows == projection.read().count()

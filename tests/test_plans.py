@@ -3,13 +3,15 @@
 import pytest
 from pyspark.sql import functions as F
 
+from changeflow.operators.derive import derived_changes
 from changeflow.operators.distinct import distinct_values, value_counts
 from changeflow.operators.latest import latest
-from changeflow.operators.merge import merge, row_changes
+
+from changeflow.operators.merge import apply_changes, merge, row_changes
 from changeflow.operators.pending import next_batch
 from changeflow.operators.replay import net_changes, replay
 from changeflow.plans import feeds
-from changeflow.sources.paths import child_names, partition_values, stage
+from changeflow.sources.paths import stage
 from changeflow.sources.table import KeyedTable
 from tests.test_merge import bag
 from tests.test_replay import model, rows
@@ -57,15 +59,6 @@ def test_feed_is_windowed_once_in_a_replay(spark):
     assert "ReusedExchange" in plan(net, "simple")
 
 
-def test_keyed_read_prunes_buckets(spark, root):
-    table = KeyedTable(spark, f"{root}/t", "k")
-    table.overwrite(spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v")), buckets=64)
-    keys = stage(spark.createDataFrame([(5,), (77,)], "k long"))
-    text = plan(table.read_keys(keys))
-    assert "PartitionFilters: [" in text and "bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
-    assert "Exchange hashpartitioning" not in plan(table.read_keys(keys), "simple")
-
-
 # -- one key with a third of all rows ------------------------------------------------------------
 
 
@@ -105,7 +98,7 @@ def test_replay_with_hot_key(spark):
 
 
 def test_hot_table_key_is_split(spark, root):
-    """A key stored very often: its bucket is written by several tasks, and the merge splits its partition."""
+    """A key stored very often: the joins of merge, of later commits and of a projection split its partition."""
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     skew = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
     small = "spark.sql.autoBroadcastJoinThreshold"
@@ -118,26 +111,32 @@ def test_hot_table_key_is_split(spark, root):
     )
     table = KeyedTable(spark, f"{root}/t", "k")
     source = spark.createDataFrame([(-1, "x", "UPDATE"), (1, "y", "UPDATE"), (-5, "z", "INSERT")], "k long, v string, _operation string")
+    second = spark.createDataFrame([(-1, "w", "UPDATE"), (2, "w", "UPDATE")], "k long, v string, _operation string")
     try:
         for name, value in settings.items():
             spark.conf.set(name, value)
-        table.overwrite(data, buckets=8)
-        files = {
-            b: len([n for n in child_names(spark, f"{table.path}/state/version=0/bucket={b}") if n.startswith("part-")])
-            for b in partition_values(spark, f"{table.path}/state/version=0", "bucket")
-        }
-        assert max(files.values()) > 3
+        table.overwrite(data)
         merged = merge(table.read(), stage(source), "k")
         out = merged.groupBy("v").count().where("v IN ('x', 'y', 'z')")
         assert bag(out.collect()) == bag([("x", 30_000), ("y", 1), ("z", 1)])
         merged.collect()
         assert "skew=true" in plan(merged, "simple")
+        table.merge(1, source)
+        table.merge(2, second)
+        later = apply_changes(table.read(0), stage(table.read_changes(1)), "k")
+        assert bag(later.groupBy("v").count().where("count > 1 OR v IN ('y', 'z')").collect()) == bag([("w", 30_001), ("y", 1), ("z", 1)])
+        later.collect()
+        assert "skew=true" in plan(later, "simple")
+        changes = stage(table.read_changes(1))
+        derived = derived_changes(changes, "k", ["k", "v"], F.col("k") < 3)
+        assert derived.where("_change_type = 'update_postimage' AND v = 'w'").count() == 30_001
+        derived.collect()
+        assert "skew=true" in plan(derived, "simple")
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    table.merge(1, source)
-    assert bag(table.read().groupBy("v").count().where("v IN ('x', 'y', 'z')").collect()) == bag([("x", 30_000), ("y", 1), ("z", 1)])
-    assert table.commit_row().n_rows == 90_001
+    assert bag(table.read(1).groupBy("v").count().where("v IN ('x', 'y', 'z')").collect()) == bag([("x", 30_000), ("y", 1), ("z", 1)])
+    assert table.commit_row(1).n_rows == 90_001
 
 
 def test_counts_are_partial(spark):

@@ -21,7 +21,7 @@ class Pair:
     def __init__(self, spark, root, rows):
         self.spark, self.root = spark, root
         self.bronze = BronzeIngest(KeyedTable(spark, f"{root}/bronze", "k"), StructType.fromDDL(SCHEMA), "o")
-        self.bronze.bootstrap(spark.createDataFrame(rows, SCHEMA), buckets=4)
+        self.bronze.bootstrap(spark.createDataFrame(rows, SCHEMA))
         table = self.bronze.table
         self.silver = SilverIngest(
             KeyedTable(spark, f"{root}/silver", "id"), table, [F.col("k").alias("id"), "v"], where=F.col("v") >= 0
@@ -151,7 +151,7 @@ def test_backlog_in_one_run_equals_runs_in_turn(spark, root):
     for batch in (None, "b"):
         table = KeyedTable(spark, f"{root}/t{batch}", "k")
         ingest = BronzeIngest(table, schema, "o", batch=batch)
-        ingest.bootstrap(spark.createDataFrame([(k, "p", k, 0, None, 0) for k in range(8)], schema), buckets=4)
+        ingest.bootstrap(spark.createDataFrame([(k, "p", k, 0, None, 0) for k in range(8)], schema))
         df = spark.createDataFrame(feed, schema)
         if batch:
             df.write.parquet(f"{root}/all")
@@ -230,6 +230,9 @@ def test_follow_hands_out_each_change_once(spark, root):
     t = Pair(spark, root, ROWS)
     seen = []
 
+    def last():
+        return seen[-1][1].stop - 1 if seen else 0
+
     def step(changes, batch_id, versions):
         seen.append((batch_id, versions, bag(changes.select("k", "_change_type", "_commit_version").collect())))
 
@@ -237,12 +240,49 @@ def test_follow_hands_out_each_change_once(spark, root):
     t.run_bronze()
     t.land((40, "x", 5, 1, "INSERT"))
     t.run_bronze()
-    follow(t.bronze.table, f"{root}/consumer", step)
+    follow(t.bronze.table, f"{root}/consumer", step, last)
     t.land((40, "x", 5, 2, "DELETE"))
     t.run_bronze()
-    follow(t.bronze.table, f"{root}/consumer", step)
-    follow(t.bronze.table, f"{root}/consumer", step)
+    follow(t.bronze.table, f"{root}/consumer", step, last)
+    follow(t.bronze.table, f"{root}/consumer", step, last)
     assert seen == [
         (0, range(1, 3), bag([(0, "update_preimage", 1), (0, "update_postimage", 1), (40, "insert", 2)])),
         (1, range(3, 4), bag([(40, "delete", 3)])),
     ]
+
+
+def test_commits_are_taken_in_order_whatever_their_file_times(spark, root):
+    """The newest commit's file is the oldest: the derived table still ends with the newest value."""
+    import glob
+    import os
+
+    t = Pair(spark, root, ROWS)
+    t.silver.bootstrap()
+    for o in (1, 2, 3):
+        t.land((1, "x", o * 10, o, "UPDATE"))
+        t.run_bronze()
+    for n, file in enumerate(sorted(glob.glob(f"{t.bronze.table.path}/commits/_commit_version=*/part-*"), reverse=True)):
+        os.utime(file, (1_600_000_000 + 100 * n,) * 2)
+    t.silver.run(commits_per_trigger=1)
+    assert (1, 30) in [tuple(r) for r in t.silver.table.read().collect()]
+    assert [t.silver.table.commit_row(n).source_version for n in range(4)] == [0, 1, 2, 3]
+
+
+def test_change_file_that_lands_late_is_read(spark, root):
+    import glob
+    import os
+
+    t = Pair(spark, root, ROWS)
+    t.land((1, "new", 5, 1, "UPDATE"))
+    t.run_bronze()
+    before = set(glob.glob(f"{root}/cdc/part-*"))
+    t.land((2, "late", 5, 1, "UPDATE"))
+    for file in set(glob.glob(f"{root}/cdc/part-*")) - before:
+        os.utime(file, (1_500_000_000,) * 2)
+    t.run_bronze()
+    assert {r.p for r in t.bronze.table.read().where("k IN (1, 2)").collect()} == {"new", "late"}
+
+
+def test_guard_and_folded_batches_are_refused_together(spark, root):
+    with pytest.raises(ValueError, match="guard"):
+        BronzeIngest(KeyedTable(spark, f"{root}/t", "k"), StructType.fromDDL(SCHEMA), "o", batch="o", guard="o")

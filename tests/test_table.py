@@ -2,6 +2,7 @@
 
 import pytest
 
+from changeflow.operators.merge import apply_changes
 from changeflow.sources import paths
 from changeflow.sources import table as table_module
 from changeflow.sources.table import KeyedTable
@@ -14,7 +15,7 @@ OPS = "k int, v string, _operation string"
 @pytest.fixture
 def table(spark, root):
     t = KeyedTable(spark, f"{root}/t", "k")
-    t.overwrite(spark.createDataFrame(BASE, "k int, v string"), buckets=4)
+    t.overwrite(spark.createDataFrame(BASE, "k int, v string"))
     return t
 
 
@@ -44,8 +45,6 @@ def test_versions_changes_and_full_states(spark, table):
         model.pop(n + 10)
         model[100 + n] = "i"
         history.append(bag(model.items()))
-    bases = [table.commit_row(n).base for n in range(7)]
-    assert bases[-1] > 0 and len(set(bases)) > 1 and any(b != n for n, b in enumerate(bases))
     # A table opened anew sees every version alike.
     fresh = KeyedTable(spark, table.path, "k")
     for n in range(7):
@@ -54,7 +53,10 @@ def test_versions_changes_and_full_states(spark, table):
               for r in fresh.read_changes(2, 3).groupBy("_commit_version", "_change_type").count().collect()}
     assert counts == {(v, t): 1 for v in (2, 3) for t in ("insert", "delete", "update_preimage", "update_postimage")}
     assert fresh.read_changes(0).count() == 24
-    assert fresh.read_changes(9).count() == 0
+    assert fresh.read_changes(7).count() == 0
+    for first, last in ((8, None), (2, 7)):
+        with pytest.raises(ValueError):
+            fresh.read_changes(first, last)
     assert [fresh.commit_row(n).n_rows for n in range(7)] == [21] * 7
 
 
@@ -100,7 +102,7 @@ def test_crash_inside_a_commit(spark, table, monkeypatch, lost):
     assert table.version() == 0 and state(table) == bag(BASE) and table.read_changes(1).count() == 0
     table.merge(1, rows)
     want = bag([(k, f"x{k}" if k is not None and k < 10 else v) for k, v in BASE] + [(30, "y")])
-    assert state(table) == want and table.commit_row().base == 1
+    assert state(table) == want
     assert table.read_changes(1).count() == 21
 
 
@@ -110,28 +112,34 @@ def test_rows_without_key_accumulate(spark, table):
     assert bag(table.read().where("k IS NULL").collect()) == bag([(None, "n"), (None, "n1"), (None, "n2"), (None, "n3")])
 
 
-def test_key_touched_by_several_commits_between_full_states(spark, table, monkeypatch):
-    monkeypatch.setattr(table_module, "LOG_SHARE", 100)
+def test_key_touched_by_several_commits(spark, table):
     table.merge(1, change(spark, (30, "a", "INSERT"), (1, None, "DELETE")))
     table.merge(2, change(spark, (30, "b", "UPDATE"), (1, "again", "UPDATE"), (2, "x", "UPDATE")))
     table.merge(3, change(spark, (30, None, "DELETE"), (2, None, "DELETE")))
     table.merge(4, change(spark, (30, "c", "INSERT"), (1, "kept", "INSERT")))
-    assert table.commit_row().base == 0
     want = {k: v for k, v in BASE}
     want.update({30: "c", 1: "again"})
     want.pop(2)
     assert state(table) == bag(want.items())
+    # The changes of all commits lead from the first state to the last one.
+    assert bag(apply_changes(table.read(0), table.read_changes(1), "k").collect()) == bag(want.items())
 
 
-def test_many_small_commits_end_in_a_full_state(spark, table, monkeypatch):
-    monkeypatch.setattr(table_module, "LOG_SHARE", 100)
-    monkeypatch.setattr(table_module, "LOG_COMMITS", 2)
+def test_repeated_key_in_a_change_set_is_refused(spark, table):
+    with pytest.raises(ValueError, match="2 rows for one key"):
+        table.merge(1, change(spark, (1, "x", "UPDATE"), (1, "y", "UPDATE")))
+    assert table.version() == 0 and state(table) == bag(BASE)
+    table.merge(1, change(spark, (None, "x", "INSERT"), (None, "y", "INSERT")))
+    assert table.commit_row().n_insert == 2
+
+
+def test_only_the_newest_states_are_kept(spark, root, table):
+    short = KeyedTable(spark, table.path, "k", keep=2)
     for n in range(1, 5):
-        table.merge(n, change(spark, (n, "x", "UPDATE")))
-    assert [table.commit_row(n).base for n in range(5)] == [0, 0, 2, 2, 4]
-    table.drop_states(before=4)
-    assert paths.partition_values(spark, f"{table.path}/state", "version") == ["4"]
-    assert bag(table.read().where("v = 'x'").collect()) == bag([(n, "x") for n in range(1, 5)])
+        short.merge(n, change(spark, (n, "x", "UPDATE")))
+    assert sorted(paths.partition_values(spark, f"{table.path}/state", "version")) == ["3", "4"]
+    assert bag(short.read().where("v = 'x'").collect()) == bag([(n, "x") for n in range(1, 5)])
+    assert short.read_changes(1).count() == 8
 
 
 def test_emptied_table(spark, table):
