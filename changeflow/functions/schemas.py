@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegralType, NumericType, StructType
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType:
@@ -15,13 +15,47 @@ def load_schema(spark: SparkSession, path: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+RAISE, TO_NULL = "raise", "null"
+
+
+def lossy(column: Column, source: DataType, target: DataType) -> Column:
+    """Whether a value has no equal in the target type: text that doesn't read as it, a number that would be cut."""
+    cast = column.try_cast(target)
+    lost = column.isNotNull() & cast.isNull()
+    if isinstance(source, NumericType) and isinstance(target, IntegralType):
+        lost = lost | F.coalesce(cast.cast("double") != F.rint(column.cast("double")), F.lit(False))
+        lost = lost | F.coalesce(column.cast("double") != F.rint(column.cast("double")), F.lit(False))
+    return lost
+
+
+def _present(df: DataFrame) -> dict[str, str]:
+    present = {name.lower(): name for name in df.columns}
+    if len(present) < len(df.columns):
+        raise ValueError(f"columns that differ in case only: {df.columns}")
+    return present
+
+
+def losses(df: DataFrame, schema: StructType) -> DataFrame:
+    """One row: per declared column of another type, how many values it can't hold."""
+    present = _present(df)
+    counts = [F.lit(0).cast("bigint").alias("none")]
+    for field in schema.fields:
+        source = present.get(field.name.lower())
+        if source is not None and df.schema[source].dataType != field.dataType:
+            lost = lossy(F.col(f"`{source}`"), df.schema[source].dataType, field.dataType)
+            counts.append(F.count_if(lost).alias(field.name))
+    return df.agg(*counts).drop("none")
+
+
+def conform(df: DataFrame, schema: StructType, on_loss: str = RAISE) -> DataFrame:
     """Cast every column to the declared type; a missing column becomes a typed NULL.
 
-    A value that cannot be cast becomes NULL. Names match without regard to case, and columns
-    the schema does not declare are dropped, as in a typed parquet read.
+    A value that the declared type can't hold raises an error that names its column; with ``on_loss="null"`` it becomes
+    NULL (a number that is only cut keeps its whole part), and ``losses`` counts such values. Names match without regard
+    to case, and two columns that differ in case only are refused. Columns the schema does not declare are dropped, as
+    in a typed parquet read.
     """
-    present = {name.lower(): name for name in df.columns}
+    present = _present(df)
     columns = []
     for field in schema.fields:
         source = present.get(field.name.lower())
@@ -30,6 +64,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         elif df.schema[source].dataType == field.dataType:
             column = F.col(f"`{source}`")
         else:
-            column = F.col(f"`{source}`").try_cast(field.dataType)
+            value, kind = F.col(f"`{source}`"), df.schema[source].dataType
+            column = value.try_cast(field.dataType)
+            if on_loss == RAISE:
+                message = F.concat(F.lit(f"{source} can't be {field.dataType.simpleString()}: "), value.cast("string"))
+                column = F.when(lossy(value, kind, field.dataType), F.raise_error(message)).otherwise(column)
         columns.append(column.alias(field.name))
     return df.select(*columns)

@@ -36,7 +36,7 @@ def net_changes(
     op: str = "_operation",
     mode: str = REFERENCE,
 ) -> DataFrame:
-    """One row per key that equals applying all batches in ``batch`` order.
+    """One row per key that equals applying all batches in ``batch`` order, a NULL batch first.
 
     What to do with the row is in ``_action``; the feed's own columns stay as they came.
     """
@@ -48,9 +48,11 @@ def net_changes(
     winners = winners.where(~any_null(keys)).withColumn(ACTION, effective_op(F.col(op), mode))
 
     row = F.struct(*[F.col(c) for c in payload])
-    updated = F.when(F.col(ACTION) == UPDATE, F.col(batch))
+    # Changes without a batch come before all others.
+    turn = F.struct(F.col(batch).isNotNull(), F.col(batch))
+    updated = F.when(F.col(ACTION) == UPDATE, turn)
     marks = winners.groupBy(*keys).agg(
-        F.max(F.when(F.col(ACTION) == DELETE, F.col(batch))).alias("__ld"),
+        F.max(F.when(F.col(ACTION) == DELETE, turn)).alias("__ld"),
         F.max(updated).alias("__lu"),
         F.max_by(row, updated).alias("__update"),
     )
@@ -63,9 +65,9 @@ def net_changes(
         firsts = (
             winners.where(F.col(ACTION) == INSERT)
             .join(open_keys, keys, "inner")
-            .where(F.col("__ld").isNull() | (F.col(batch) > F.col("__ld")))
+            .where(F.col("__ld").isNull() | (turn > F.col("__ld")))
             .groupBy(*keys)
-            .agg(F.min_by(row, F.col(batch)).alias("__insert"))
+            .agg(F.min_by(row, turn).alias("__insert"))
         )
         marks = marks.join(firsts, keys, "left")
         written = written.otherwise(F.col("__insert"))

@@ -32,7 +32,7 @@ def silver_projection_clients(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stamp_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", file_stamp(F.col("o_orderdate")).alias("stamp"))
+    orders = load(spark, sf, "orders").withColumn("stamp", file_stamp(F.col("o_orderdate")))
     return files.stamp(orders, "2024-01-02T03:04:05", files.FULL_LOAD)
 
 
@@ -42,15 +42,13 @@ def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
         "c_name string, _operation string"
     )
     customer = load(spark, sf, "customer").withColumn("c_acctbal", F.rint("c_acctbal").cast("bigint"))
-    return conform(customer, schema).withColumnRenamed("C_CUSTKEY", "c_custkey")
+    return conform(customer, schema, on_loss="null").withColumnRenamed("C_CUSTKEY", "c_custkey")
 
 
 def scale_round_restore(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "part").select(
-        "p_partkey",
-        scale_and_round("p_size", 1.07, "int").alias("p_size"),
-        scale_and_round("p_retailprice", 1.07, "double").alias("p_retailprice"),
-    )
+    part = load(spark, sf, "part")
+    kinds = dict(part.dtypes)
+    return part.withColumns({c: scale_and_round(c, 1.07, kinds[c]) for c in ("p_size", "p_retailprice")})
 
 
 def date_parse_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,15 +76,15 @@ def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     path = paths.new_scratch(spark)
     files.land_snapshot(customer.withColumn("c_acctbal", F.col("c_acctbal") - 1), path, "2024-01-01T00:00:00")
     files.land_snapshot(customer, path, "2024-02-01T00:00:00")
-    schema = StructType.fromDDL(
-        "c_custkey bigint, c_name string, c_acctbal double, _extracted_at string, _load_type string, _operation string"
-    )
+    schema = StructType([*customer.schema.fields])
+    for name in ("_extracted_at", "_load_type", "_operation"):
+        schema = schema.add(name, "string")
     return files.read_snapshot(spark, files.newest_snapshot(spark, path), schema)
 
 
 def drifting_types(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings of one table that disagree on a column's type."""
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders = load(spark, sf, "orders")
     whole, drifted = paths.new_scratch(spark), paths.new_scratch(spark)
     orders.where("o_orderstatus = 'F'").write.parquet(whole)
     other = orders.where("o_orderstatus <> 'F'")
@@ -98,15 +96,11 @@ def drifting_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_event_per_user(spark: SparkSession, sf: str) -> DataFrame:
-    events = load(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    return latest(events, "user_id", ["ts", "event_id"])
+    return latest(load(spark, sf, "events"), "user_id", ["ts", "event_id"])
 
 
 def latest_line_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    lineitem = load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity"
-    )
-    return latest(lineitem, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
+    return latest(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
 
 
 def _emitted(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,17 +108,17 @@ def _emitted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def next_pending_batch(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = load(spark, sf, "orders")
     return pending.next_batch(orders, _emitted(spark, sf), "o_orderkey", ["o_orderdate", "o_orderkey"], NEXT_BATCH)
 
 
 def emitted_rows(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = load(spark, sf, "orders")
     return pending.emitted_rows(orders, _emitted(spark, sf), "o_orderkey")
 
 
 def pending_rows(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = load(spark, sf, "orders")
     return pending.pending_rows(orders, _emitted(spark, sf), "o_orderkey")
 
 
@@ -134,7 +128,7 @@ def emitted_key_set(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_change_sets(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders = load(spark, sf, "orders")
     status = F.col("o_orderstatus")
     inserts = orders.where(status == "O").drop("o_orderstatus").withColumn("_operation", F.lit("INSERT"))
     updates = orders.where(status == "F").withColumn("_operation", F.lit("UPDATE"))
@@ -143,8 +137,7 @@ def union_change_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyed_sample(spark: SparkSession, sf: str) -> DataFrame:
-    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return orders.where(in_sample(F.col("o_orderkey"), SAMPLE_RATE))
+    return load(spark, sf, "orders").where(in_sample(F.col("o_orderkey"), SAMPLE_RATE))
 
 
 # -- counts -----------------------------------------------------------------------------------
@@ -155,9 +148,9 @@ def op_counts_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.layer_counts(
-        {"bronze": load(spark, sf, "lineitem"), "silver": distinct_values(load(spark, sf, "lineitem"), "l_partkey")}
-    )
+    """A merged table and the filtered projection that is derived from it."""
+    bronze = merge_once(spark, sf)
+    return checks.layer_counts({"bronze": bronze, "silver": bronze.where("v > 20").select(F.col("k").alias("id"))})
 
 
 # -- merge ------------------------------------------------------------------------------------
@@ -195,18 +188,30 @@ def merge_null_and_unknown_ops(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_guarded(spark: SparkSession, sf: str) -> DataFrame:
-    """Each user's first event arrives after the last one was stored; the guard leaves the row alone."""
-    events = load(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("value").alias("v"), "ts", "event_id")
-    stored = latest(events, "k", FEED_ORDER).select("k", "v", "ts")
-    late = latest(events.withColumn("age", -F.col("event_id")), "k", "age")
-    source = paths.stage(late.select("k", "v", "ts", F.lit("UPDATE").alias("_operation")))
-    return merge(stored, source, "k", guard="ts")
+    """Each user's newest event of the first half month is stored. One change per user comes in, of any age: newer,
+    of equal time, older, or of a user not stored; an older one leaves the row alone, whatever its operation."""
+    columns = [c for c in load(spark, sf, "events").columns if c != "user_id"]
+    events = load(spark, sf, "events").select(F.col("user_id").alias("k"), *columns)
+    stored = latest(events.where(F.dayofmonth("ts") <= 15), "k", FEED_ORDER)
+    shuffled = events.withColumn("turn", F.col("event_id") % 7)
+    change = latest(shuffled, "k", ["turn", "event_id"]).drop("turn")
+    kind = F.col("event_type")
+    operation = F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE")
+    return merge(stored, paths.stage(change.withColumn("_operation", operation)), "k", guard="ts")
 
 
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff_snapshots(feeds.customers(spark, sf), merge_once(spark, sf), "k")
 
 
+def snapshot_diff_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines by order, a key that repeats: some lines gone, some doubled, some changed."""
+    before = load(spark, sf, "lineitem")
+    after = before.where("l_linenumber <> 3").unionByName(before.where("l_linenumber = 1 AND l_returnflag = 'R'"))
+    changed = F.when(F.col("l_linenumber") == 2, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    return diff_snapshots(before, after.withColumn("l_quantity", changed), "l_orderkey")
+
+
 # -- replay -----------------------------------------------------------------------------------
 
 
@@ -279,7 +284,7 @@ def table_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     table = KeyedTable(spark, f"{paths.new_scratch(spark)}/orders", "o_orderkey")
     table.overwrite(load(spark, sf, "orders"))
     table.register("bronze_orders")
-    return spark.sql("SELECT o_orderkey, o_custkey, o_totalprice FROM bronze_orders WHERE o_orderstatus = 'F'")
+    return spark.sql("SELECT * FROM bronze_orders")
 
 
 def _silver(spark: SparkSession, sf: str, mode: str) -> DataFrame:
@@ -344,7 +349,7 @@ def _loyalty(spark: SparkSession, sf: str, name: str, derived: str) -> DataFrame
     root = paths.new_scratch(spark)
     raw = f"{root}/raw"
     snapshot, feed = getattr(feeds, name)(spark, sf), getattr(feeds, f"{name}_feed")(spark, sf)
-    landed = files.land_snapshot(snapshot, f"{raw}/full_load/{name}", "0000-12-31T00:00:00")
+    landed = files.land_snapshot(snapshot, f"{raw}/full_load/{name}", "0001-01-01T00:00:00")
     ingest, silver = loyalty.bronze(spark, root, name), loyalty.silver(spark, root, derived)
     ingest.bootstrap(landed)
     silver.bootstrap()
@@ -400,6 +405,7 @@ QUERIES = {
         merge_null_and_unknown_ops,
         merge_guarded,
         snapshot_diff,
+        snapshot_diff_repeated_keys,
         replay_fold,
         replay_latest_wins,
         replay_daily,

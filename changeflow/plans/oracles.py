@@ -176,14 +176,14 @@ ITEM_TIES = f"{OP_RANK}, v.IdTransacao DESC, v.IdProduto DESC, v.QtdeProduto DES
 _NO_OPS = FEED.replace("ELSE 'UPDATE'", "WHEN 'click' THEN 'UPDATE' WHEN 'purchase' THEN 'REFUND'")
 _EMITTED = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS emitted FROM events"
 _NEXT = f"""
-SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+SELECT * FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = o_orderkey)
 ORDER BY o_orderdate, o_orderkey LIMIT {NEXT_BATCH}"""
 
 ORACLES = {
     "silver_projection_clients": "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
     "stamp_snapshot": """
-        SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d_%H%M%S') AS stamp,
+        SELECT *, strftime(o_orderdate, '%Y%m%d_%H%M%S') AS stamp,
                '2024-01-02T03:04:05' AS _extracted_at, 'fullload' AS _load_type FROM orders""",
     "conform_schema": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
@@ -191,8 +191,8 @@ ORACLES = {
                TRY_CAST(c_mktsegment AS BIGINT) AS c_mktsegment, c_name, CAST(NULL AS VARCHAR) AS _operation
         FROM customer""",
     "scale_round_restore": """
-        SELECT p_partkey, CAST(round_even(p_size * CAST(1.07 AS DOUBLE), 0) AS INTEGER) AS p_size,
-               p_retailprice * CAST(1.07 AS DOUBLE) AS p_retailprice FROM part""",
+        SELECT * REPLACE (CAST(round_even(p_size * CAST(1.07 AS DOUBLE), 0) AS INTEGER) AS p_size,
+                          p_retailprice * CAST(1.07 AS DOUBLE) AS p_retailprice) FROM part""",
     "date_parse_profile": """
         WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date_text,
                           o_orderpriority, o_orderstatus FROM orders),
@@ -203,52 +203,78 @@ ORACLES = {
         SELECT *, n_values > 0 AND n_dates = n_values AS maybe_date FROM c""",
     "csv_snapshot": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "latest_snapshot": """
-        SELECT c_custkey, c_name, c_acctbal, '2024-02-01T00:00:00' AS _extracted_at, 'fullload' AS _load_type,
+        SELECT *, '2024-02-01T00:00:00' AS _extracted_at, 'fullload' AS _load_type,
                CAST(NULL AS VARCHAR) AS _operation FROM customer""",
     "drifting_types": """
-        SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_orderstatus END AS o_orderstatus FROM orders""",
+        SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderstatus END AS o_orderstatus) FROM orders""",
     "latest_event_per_user": """
-        SELECT user_id, event_id, ts, event_type, value FROM events
+        SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "latest_line_per_key": """
-        SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity FROM lineitem
+        SELECT * FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) = 1""",
+                                   ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                                            l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                                            l_linestatus DESC) = 1""",
     "next_pending_batch": _NEXT,
     "emitted_rows": """
-        SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+        SELECT * FROM orders
         WHERE EXISTS (SELECT 1 FROM events WHERE user_id = o_orderkey)""",
     "pending_rows": """
-        SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+        SELECT * FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = o_orderkey)""",
     "emitted_key_set": f"{_EMITTED} UNION SELECT CAST(o_orderkey AS VARCHAR) FROM ({_NEXT}) n",
     "union_change_sets": """
-        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS o_orderdate,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority,
                CASE o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'UPDATE' ELSE 'DELETE' END AS _operation,
                CASE WHEN o_orderstatus = 'F' THEN 'F' END AS o_orderstatus
         FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')""",
     "keyed_sample": f"""
-        SELECT o_orderkey, o_custkey FROM orders
+        SELECT * FROM orders
         WHERE (o_orderkey % {SAMPLE_M} * {SAMPLE_A} + {SAMPLE_B}) % {SAMPLE_M} < {int(SAMPLE_RATE * SAMPLE_M)}""",
     "op_counts_by_day": f"""
         SELECT b, count(*) AS n_rows, count(*) FILTER (op = 'INSERT') AS n_insert,
                count(*) FILTER (op = 'UPDATE') AS n_update, count(*) FILTER (op = 'DELETE') AS n_delete
         FROM ({FEED}) f GROUP BY b""",
-    "layer_counts": """
-        SELECT 'bronze' AS layer, count(*) AS n_rows FROM lineitem
-        UNION ALL SELECT 'silver', count(DISTINCT l_partkey) FROM lineitem""",
+    "layer_counts": f"""
+        SELECT 'bronze' AS layer, count(*) AS n_rows FROM ({once(FEED)}) m
+        UNION ALL SELECT 'silver', count(*) FROM ({once(FEED)}) m WHERE v > 20""",
     "merge_once": once(FEED),
     "merge_once_latest_wins": once(FEED, insert_on_match="d.v"),
     "merge_changes": MERGE_CHANGES,
     "merge_null_and_unknown_ops": once(_NO_OPS),
     "merge_guarded": """
-        SELECT user_id AS k, value AS v, ts FROM events
-        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        WITH s AS (SELECT * FROM events WHERE day(ts) <= 15
+                   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+             d AS (SELECT * FROM events
+                   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 7 DESC, event_id DESC) = 1),
+             kept AS (SELECT s.* FROM s LEFT JOIN d USING (user_id)
+                      WHERE d.user_id IS NULL OR d.ts < s.ts OR d.event_type = 'signup'),
+             put AS (SELECT d.* FROM d LEFT JOIN s USING (user_id)
+                     WHERE d.event_type <> 'error'
+                       AND (s.user_id IS NULL OR (d.ts >= s.ts AND d.event_type <> 'signup')))
+        SELECT user_id AS k, * EXCLUDE (user_id) FROM (SELECT * FROM kept UNION ALL SELECT * FROM put) a""",
     "snapshot_diff": f"""
         SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN b.v ELSE a.v END AS v,
                CASE WHEN b.k IS NULL THEN 'INSERT' WHEN a.k IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS _operation
         FROM ({CUSTOMERS}) b FULL JOIN ({once(FEED)}) a ON a.k = b.k
         WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v""",
+    "snapshot_diff_repeated_keys": """
+        WITH a AS (SELECT * REPLACE (CASE WHEN l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+                   FROM (SELECT * FROM lineitem WHERE l_linenumber <> 3
+                         UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R') x),
+             gone AS (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM a),
+             come AS (SELECT * FROM a EXCEPT ALL SELECT * FROM lineitem),
+             n AS (SELECT l_orderkey, sum(o) AS o, sum(w) AS w FROM (
+                       SELECT l_orderkey, 1 AS o, 0 AS w FROM gone UNION ALL SELECT l_orderkey, 0, 1 FROM come) y
+                   GROUP BY l_orderkey)
+        SELECT c.*, CASE WHEN o = 1 AND w = 1 THEN 'UPDATE' ELSE 'INSERT' END AS _operation
+        FROM come c JOIN n ON c.l_orderkey = n.l_orderkey
+        UNION ALL
+        SELECT g.*, 'DELETE' FROM gone g JOIN n ON g.l_orderkey = n.l_orderkey WHERE NOT (o = 1 AND w = 1)""",
     "replay_fold": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_daily": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_backlog": replayed(FEED, CUSTOMERS, FEED_TIES),
@@ -257,7 +283,7 @@ ORACLES = {
     "latest_row_change_per_key": f"""
         SELECT * FROM ({ALL_CHANGES}) a WHERE _change_type <> 'update_preimage'
         QUALIFY row_number() OVER (PARTITION BY k ORDER BY _commit_version DESC) = 1""",
-    "table_bootstrap": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
+    "table_bootstrap": "SELECT * FROM orders",
     "table_at_version": replayed(f"SELECT * FROM ({WEEKLY}) w WHERE b <= 3", CUSTOMERS, FEED_TIES),
     "silver_from_changes": replayed(
         WEEKLY, CUSTOMERS, FEED_TIES, "SELECT k AS id, v AS balance FROM final WHERE v > 20"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from changeflow.functions.schemas import conform
 from changeflow.sources import paths
@@ -12,9 +14,27 @@ from changeflow.sources import paths
 FULL_LOAD, CDC = "fullload", "cdc"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";") -> DataFrame:
-    """Delimited text with a header row, read with a declared schema."""
-    return spark.read.schema(schema).csv(path, sep=sep, header=True)
+def read_delimited(
+    spark: SparkSession, path: str, schema: StructType, sep: str = ";", multi_line: bool = False
+) -> DataFrame:
+    """Delimited text with a header row, its columns matched to a declared schema by name, without regard to case.
+
+    Columns that the schema doesn't declare are left out. A declared column that the header lacks, files whose headers
+    differ, and rows that don't fit raise an error. With ``multi_line`` quoted values may hold line breaks; a file is
+    then read by one task.
+    """
+    options = {"sep": sep, "header": True, "multiLine": multi_line, "mode": "FAILFAST"}
+    header = spark.read.csv(path, **options).columns
+    declared = {f.name.lower(): f for f in schema.fields}
+    missing = set(declared) - {name.lower() for name in header}
+    if missing:
+        raise ValueError(f"{path}: the header {header} lacks {sorted(missing)}")
+    found = StructType([
+        StructField(name, declared[name.lower()].dataType if name.lower() in declared else StringType()) for name in header
+    ])
+    rows = spark.read.schema(found).csv(path, enforceSchema=False, **options)
+    names = {name.lower(): name for name in header}
+    return rows.select(*[F.col(f"`{names[f.name.lower()]}`").alias(f.name) for f in schema.fields])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -33,12 +53,12 @@ def read_drifting(spark: SparkSession, file_sets: list[str], schema: StructType)
 def stream_changes(
     spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, **options: str
 ) -> DataFrame:
-    """Change files as a stream: every new file once.
+    """Change files as a stream: every new file once, whatever its time.
 
-    Spark's file source passes over files that are a week older than the newest it has seen; where
-    old files may still arrive, give a longer ``maxFileAge``.
+    Spark's file source passes over files that are older, by ``maxFileAge``, than the newest it has seen, by default a
+    week; here the limit is a century, so that files landed late are read.
     """
-    reader = spark.readStream.schema(schema).options(**options)
+    reader = spark.readStream.schema(schema).options(**{"maxFileAge": "36500d"} | options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
@@ -50,15 +70,24 @@ def stamp(df: DataFrame, extracted_at: str, load_type: str) -> DataFrame:
 
 
 def _landing_name(extracted_at: str) -> str:
-    """2024-01-02T03:04:05 -> 20240102_030405"""
-    digits = extracted_at[:19].replace("-", "").replace(":", "")
-    return digits.replace("T", "_")
+    """2024-01-02T05:04:05.5+02:00 -> 20240102_030405_500000; times without an offset are UTC."""
+    time = datetime.fromisoformat(extracted_at)
+    if time.tzinfo is not None:
+        time = time.astimezone(timezone.utc)
+    return time.strftime("%Y%m%d_%H%M%S_%f")
 
 
 def land_snapshot(df: DataFrame, path: str, extracted_at: str) -> str:
-    """Write a stamped full load to a directory of its own; its ``_SUCCESS`` file completes it."""
+    """Write a stamped full load to a directory of its own; its ``_SUCCESS`` file completes it.
+
+    A complete load of the same microsecond is never replaced: landing another one raises an error. What a landing that
+    died has left is replaced.
+    """
     target = f"{path}/snapshot_id={_landing_name(extracted_at)}"
-    stamp(df, extracted_at, FULL_LOAD).write.mode("overwrite").parquet(target)
+    if paths.exists(df.sparkSession, f"{target}/_SUCCESS"):
+        raise FileExistsError(f"{target} is complete already")
+    paths.delete(df.sparkSession, target)
+    stamp(df, extracted_at, FULL_LOAD).write.parquet(target)
     return target
 
 

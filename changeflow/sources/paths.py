@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def new_scratch(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/changeflow-{uuid.uuid4().hex}"
@@ -61,3 +62,9 @@ def stage(df: DataFrame) -> DataFrame:
     path = new_scratch(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(staged: DataFrame) -> None:
+    """Free the directory of a staged frame that nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in staged.inputFiles()}:
+        delete(staged.sparkSession, folder)

@@ -1,5 +1,6 @@
 """One-pass replay against the batch loop and against a dictionary model."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -79,3 +80,15 @@ def test_feed_columns_stay_as_they_came(spark):
     feed = spark.createDataFrame([(1, "DELETE", 0, 1, 1), (1, "INSERT", 5, 1, 2), (2, "INSERT", 6, 1, 1)], FEED)
     got = {r.k: (r._operation, r.v, r._action) for r in net_changes(feed, "k", "b", "o").collect()}
     assert got == {1: ("INSERT", 5, "__replace__"), 2: ("INSERT", 6, "INSERT")}
+
+
+@pytest.mark.parametrize("mode", ["reference", "latest_wins"])
+def test_changes_without_a_batch_come_first(spark, mode):
+    base = spark.createDataFrame([(1, "base"), (2, "base")], "k int, v string")
+    feed = spark.createDataFrame(
+        [(1, "first", "UPDATE", 1, None), (2, "first", "UPDATE", 1, None), (2, "then", "UPDATE", 1, 1), (3, "in", "INSERT", 1, None),
+         (4, None, "DELETE", 1, None), (4, "x", "INSERT", 1, 1)],
+        "k int, v string, _operation string, o int, b int",
+    )
+    got = replay(base, feed, "k", "b", "o", mode=mode)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "first"), (2, "then"), (3, "in"), (4, "x")]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import as_timestamp, file_stamp, in_sample, iso_text, scale_and_round
-from changeflow.functions.schemas import conform, load_schema
+from changeflow.functions.schemas import conform, load_schema, losses
 from changeflow.operators import checks, pending
 from changeflow.operators.diff import snapshot_diff
 from changeflow.operators.distinct import distinct_values
@@ -25,11 +25,24 @@ def test_schema_document(spark, tmp_path):
 
 def test_conform(spark):
     df = spark.createDataFrame([(1, 2.0, "7", "x"), (2, None, "bad", "y")], "ID int, n double, s string, extra string")
-    got = conform(df, StructType.fromDDL("id string, n bigint, s bigint, missing string"))
+    got = conform(df, StructType.fromDDL("id string, n bigint, s bigint, missing string"), on_loss="null")
     assert got.columns == ["id", "n", "s", "missing"]
     assert bag(got.collect()) == bag([("1", 2, 7, None), ("2", None, None, None)])
 
 
+def test_values_that_do_not_fit_are_refused_and_counted(spark):
+    df = spark.createDataFrame([(1.0, "7"), (1.5, "bad"), (None, None), (1e30, "8")], "n double, s string")
+    schema = StructType.fromDDL("n bigint, s int")
+    assert tuple(losses(df, schema).first()) == (2, 1)
+    assert bag(conform(df.where("n = 1"), schema).collect()) == bag([(1, 7)])
+    for bad in ("n = 1.5", "n = 1e30", "s = 'bad'"):
+        with pytest.raises(Exception, match="can't be"):
+            conform(df.where(bad), schema).collect()
+    twice = spark.createDataFrame([(1,)], "id int").select("id", F.col("id").alias("i2")).toDF("id", "i2")
+    with pytest.raises(ValueError, match="case only"):
+        conform(twice.toDF("id", "ID"), schema)
+
+
 def test_drifting_landings(spark, root):
     schema = StructType.fromDDL("id bigint, n bigint")
     spark.createDataFrame([(1, 5)], "id int, n int").write.parquet(f"{root}/a")
@@ -43,11 +56,46 @@ def test_delimited(spark, root):
     assert bag(files.read_delimited(spark, f"{root}/csv", df.schema).collect()) == bag([("a", 1), ("b", None)])
 
 
+def test_delimited_is_matched_by_name(spark, tmp_path):
+    schema = StructType.fromDDL("a string, b int")
+    (tmp_path / "one.csv").write_text('B;extra;a\n1;x;"p\nq"\n2;y;r\n')
+    one = str(tmp_path / "one.csv")
+    assert bag(files.read_delimited(spark, one, schema, multi_line=True).collect()) == bag([("p\nq", 1), ("r", 2)])
+    with pytest.raises(Exception):
+        files.read_delimited(spark, one, schema).collect()
+    (tmp_path / "two.csv").write_text("b;a\nbad;x\n")
+    with pytest.raises(Exception):
+        files.read_delimited(spark, str(tmp_path / "two.csv"), schema).collect()
+    (tmp_path / "three.csv").write_text("a;c\nx;1\n")
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_delimited(spark, str(tmp_path / "three.csv"), schema)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("a;b\nx;1\n")
+    (tmp_path / "d" / "2.csv").write_text("b;a\n2;y\n")
+    with pytest.raises(Exception):
+        files.read_delimited(spark, str(tmp_path / "d"), schema).collect()
+
+
+def test_loads_never_replace_each_other(spark, root):
+    df = spark.createDataFrame([(1,)], "id int")
+    a = files.land_snapshot(df, root, "2024-01-01T10:00:00.1")
+    b = files.land_snapshot(df, root, "2024-01-01T10:00:00.2")
+    assert a != b and files.newest_snapshot(spark, root) == b
+    with pytest.raises(FileExistsError):
+        files.land_snapshot(df, root, "2024-01-01T10:00:00.2")
+    # 09:00 at +09:00 is midnight in UTC, before 05:00 in UTC.
+    late = files.land_snapshot(df, root, "2024-01-02T05:00:00+00:00")
+    files.land_snapshot(df, root, "2024-01-02T09:00:00+09:00")
+    assert files.newest_snapshot(spark, root) == late
+    paths.delete(spark, f"{late}/_SUCCESS")
+    assert files.land_snapshot(df, root, "2024-01-02T05:00:00+00:00") == late
+
+
 def test_newest_complete_snapshot(spark, root):
     df = spark.createDataFrame([(1,)], "id int")
     first = files.land_snapshot(df, root, "2024-01-01T10:00:00")
     second = files.land_snapshot(df.withColumn("id", F.lit(2)), root, "2024-01-02T10:00:00.123456")
-    assert second.endswith("snapshot_id=20240102_100000")
+    assert second.endswith("snapshot_id=20240102_100000_123456")
     assert files.newest_snapshot(spark, root) == second
     # A landing without its marker is still being written.
     paths.delete(spark, f"{second}/_SUCCESS")
@@ -94,6 +142,18 @@ def test_snapshot_diff(spark):
     assert bag(got) == bag([(2, "x", "UPDATE"), (3, None, "DELETE"), (4, "d", "INSERT"), (5, "e", "UPDATE")])
 
 
+def test_snapshot_diff_counts_repeated_rows(spark):
+    before = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "n"), (None, "m")], "k int, v string")
+    after = spark.createDataFrame([(1, "b"), (2, "c"), (2, "d"), (2, "d"), (None, "n"), (3, "e"), (3, "e")], "k int, v string")
+    got = snapshot_diff(before, after, "k")
+    assert bag(got.collect()) == bag([
+        (1, "a", "DELETE"), (2, "c", "DELETE"), (2, "d", "INSERT"), (2, "d", "INSERT"), (None, "m", "DELETE"),
+        (3, "e", "INSERT"), (3, "e", "INSERT"),
+    ])
+    assert snapshot_diff(after, after, "k").count() == 0
+    assert "SortAggregate" not in got._jdf.queryExecution().toString()
+
+
 def test_rounding_is_half_to_even_and_keeps_the_type(spark):
     df = spark.createDataFrame([(1, 1.0), (3, 3.0), (5, 5.0), (-1, None)], "n int, x double")
     got = df.select(scale_and_round("n", 0.5, "int").alias("n"), scale_and_round("x", 0.5, "double").alias("x"))
@@ -108,7 +168,7 @@ def test_time_text_ignores_the_session_zone(spark):
         # 02:30 does not exist on this day in that zone.
         df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 02:30:00.5' AS ts")
         assert tuple(df.select(file_stamp(F.col("ts")), iso_text(F.col("ts"))).first()) == (
-            "20240310_023000", "2024-03-10T02:30:00")
+            "20240310_023000", "2024-03-10T02:30:00.5")
         assert df.select((as_timestamp(F.lit("2024-03-10 02:30:00.5")) == F.col("ts"))).first()[0]
         assert df.select(as_timestamp(F.lit("no date"))).first()[0] is None
     finally:
