@@ -9,13 +9,26 @@ from pyspark.sql import functions as F
 
 from changeflow.sources.paths import stage
 
-__all__ = ["load", "stage", "held_out", "fresh_name", "numbered"]
+__all__ = ["load", "stage", "held_out", "fresh_name", "numbered", "short_batches"]
+
+# Rows of whole texts that an Arrow batch may hold.
+TEXT_ROWS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches cut to TEXT_ROWS rows: texts are long, and a task holds a batch several
+    times, in the JVM and in Python. A smaller setting of the session stays."""
+    rows = int(df.sparkSession.conf.get(BATCH_ROWS))
+    if not 0 < rows <= TEXT_ROWS:
+        df.sparkSession.conf.set(BATCH_ROWS, TEXT_ROWS)
+    return df
+
+
 def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether a row belongs to the held-out fold; a row without id counts as held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(True))

@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType
 
-from changeflow.llm.common import fresh_name, load, numbered
+from changeflow.llm.common import fresh_name, load, numbered, short_batches
 
 SPACE = "▁"
 ALPHA = 1.0
 SEED = 3
-CHUNK_CHARS = 5_000_000
+CHUNK_CHARS = 2_000_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -232,33 +232,37 @@ def _chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch,
 
 def encode(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", name: str = "ids", seed: int = SEED,
-    alpha: float = ALPHA,
+    alpha: float = ALPHA, keep: list[str] | None = None, check: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the piece ids of a sampled segmentation of each text as ``name`` (array<int>).
+    """``docs``, or its columns ``keep``, with the piece ids of a sampled segmentation of each text as ``name``
+    (array<int>) and, if ``check`` is given, whether the ids decode to the text as a column of that name.
 
     The row's key is its id; rows with equal id and text are cut alike, and so are rows without id. A NULL text has NULL
     ids, an empty one none. ``path`` is a SentencePiece model with byte pieces that every executor has.
     """
-    (key,) = fresh_name(docs, "key")
-    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.lit(seed)))
+    keep = docs.columns if keep is None else keep
+    added = [name] + ([check] if check else [])
+    if {c.lower() for c in keep} & {c.lower() for c in added}:
+        raise ValueError(f"the documents have a column of {added} already")
+    key, source = fresh_name(docs.select(*keep), "key", "source")
+    rows = short_batches(docs).select(*keep, F.xxhash64(F.col(doc_id), F.lit(seed)).alias(key), F.col(text).alias(source))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path, alpha)
         for batch in batches:
-            for part, texts in _chunks(batch, text):
+            for part, texts in _chunks(batch, source):
                 keys = np.asarray(part[key]).astype(np.int64).view(np.uint64)
                 ids, counts = segment(texts, keys, vocabulary)
+                offsets = np.concatenate([[0], np.cumsum(counts)])
                 null = pa.array([t is None for t in texts])
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(ids), mask=null)
-                columns = [c for c, n in zip(part.columns, part.schema.names) if n != key]
-                names = [n for n in part.schema.names if n != key]
-                yield pa.RecordBatch.from_arrays([*columns, lists], [*names, name])
+                out = [part[c] for c in keep] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids), mask=null)]
+                if check:
+                    cuts = [ids[i:j] for i, j in zip(offsets, offsets[1:])]
+                    out.append(pa.array([t is None or _decoded(x, vocabulary.bytes) == t for t, x in zip(texts, cuts)]))
+                yield pa.RecordBatch.from_arrays(out, [*keep, *added])
 
-    schema = docs.schema.add(name, ArrayType(IntegerType())) if name not in docs.columns else None
-    if schema is None:
-        raise ValueError(f"the documents have a column {name} already")
-    return keyed.mapInArrow(run, schema)
+    schema = docs.select(*keep).schema.add(name, ArrayType(IntegerType()))
+    return rows.mapInArrow(run, schema.add(check, BooleanType()) if check else schema)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -287,6 +291,5 @@ def model_path() -> str:
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = model_path()
-    encoded = encode(load(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    lossless = F.col("text").eqNullSafe(decode(F.col("ids"), path))
-    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", lossless.alias("lossless"))
+    encoded = encode(load(spark, sf_dir, "documents"), path, keep=["doc_id"], check="lossless")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "lossless")

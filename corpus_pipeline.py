@@ -42,11 +42,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of a sampled segmentation of each text, and whether they decode to it."""
-    path = pieces.model_path()
-    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    lossless = F.col("text").eqNullSafe(pieces.decode(F.col("ids"), path))
-    size = F.size("ids").cast("bigint")
-    return encoded.select("doc_id", "lang", "source", size.alias("n_pieces"), "ids", lossless.alias("lossless"))
+    encoded = pieces.encode(docs, pieces.model_path(), keep=["doc_id", "lang", "source"], check="lossless")
+    return encoded.withColumn("n_pieces", F.size("ids").cast("bigint"))
 
 
 STAGES = [
