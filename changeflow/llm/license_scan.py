@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import load, stage
+from changeflow.llm.common import fresh_name, load, short_batches, stage
 
 GRAM = 3
 # Diagonals at most so far apart are neighbours; the least share of a template's words that a span must hold in order.
@@ -176,7 +176,7 @@ def spans_of(docs: DataFrame, templates: list[Template], text: str) -> DataFrame
     """(k1, k2, spans): for texts with enough votes, what to verify: array of (template, begin, stop)."""
     sizes = _sizes(templates)
     lengths = [len(_words(t.text)) for t in templates]
-    texts = docs.select(*_keys(F.col(text)), F.col(text).alias("text"))
+    texts = short_batches(docs).select(*_keys(F.col(text)), F.col(text).alias("text"))
     rows = texts.mapInArrow(_positions(sizes), "k1 long, k2 long, n long, grams array<long>")
     spread = rows.select("k1", "k2", "n", F.posexplode("grams").alias("place", "hash"))
     hits = spread.join(F.broadcast(template_grams(docs.sparkSession, templates)), "hash")
@@ -213,11 +213,14 @@ def scan(docs: DataFrame, templates: list[Template], text: str = "text") -> Data
     NULL and empty texts have no words and no places; repeated rows have their places each; overlapping places of
     different templates are all given. An empty table gives no rows.
     """
-    spans = stage(spans_of(docs, templates, text)).toDF("_k1", "_k2", "_spans")
+    if "scan" in {c.lower() for c in docs.columns}:
+        raise ValueError("the documents have a column scan already")
+    names = fresh_name(docs, "k1", "k2", "spans")
+    spans = stage(spans_of(docs, templates, text)).toDF(*names)
     k1, k2 = _keys(docs[text])
     # The spans grow with the corpus, so this join shuffles at every size.
-    found = docs.join(spans.hint("merge"), (k1 == spans["_k1"]) & (k2 == spans["_k2"]), "left")
-    return found.withColumn("scan", _verify(templates, F.col(text), F.col("_spans"))).drop("_k1", "_k2", "_spans")
+    found = docs.join(spans.hint("merge"), (k1 == spans[names[0]]) & (k2 == spans[names[1]]), "left")
+    return found.withColumn("scan", _verify(templates, F.col(text), F.col(names[2]))).drop(*names)
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import load, stage
+from changeflow.llm.common import fresh_name, load, stage
 
 K = 128
 SHINGLE = 5
@@ -81,9 +81,10 @@ def as_text(sketch: Column) -> Column:
 
 def sketches(docs: DataFrame, text: str, name: str, k: int = K, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the sketch of a text column as ``name``; a NULL text counts as empty."""
-    split = docs.withColumn("_words", words_of(F.col(text)))
-    hashed = split.withColumn("_words", shingle_hashes(F.col("_words"), shingle))
-    return hashed.withColumn(name, sketch_of(F.col("_words"), k)).drop("_words")
+    (words,) = fresh_name(docs, "words")
+    split = docs.withColumn(words, words_of(F.col(text)))
+    hashed = split.withColumn(words, shingle_hashes(F.col(words), shingle))
+    return hashed.withColumn(name, sketch_of(F.col(words), k)).drop(words)
 
 
 def _neighbours(docs: DataFrame) -> DataFrame:
