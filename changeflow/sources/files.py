@@ -37,9 +37,14 @@ def read_delimited(
     return rows.select(*[F.col(f"`{names[f.name.lower()]}`").alias(f.name) for f in schema.fields])
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Typed parquet snapshot; columns the files lack are NULL."""
-    return spark.read.schema(schema).parquet(path)
+def read_snapshot(
+    spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet", **options: str
+) -> DataFrame:
+    """Typed snapshot in any format that Spark reads; columns that parquet or JSON files lack are NULL. Delimited text goes
+    through ``read_delimited``, which matches columns by name."""
+    if file_format == "csv":
+        return read_delimited(spark, path, schema, **options)
+    return spark.read.format(file_format).schema(schema).options(**options).load(path)
 
 
 def read_drifting(spark: SparkSession, file_sets: list[str], schema: StructType) -> DataFrame:
@@ -51,17 +56,26 @@ def read_drifting(spark: SparkSession, file_sets: list[str], schema: StructType)
 
 
 def stream_changes(
-    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None, **options: str
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files_per_trigger: int | None = None,
+    file_format: str = "parquet",
+    **options: str,
 ) -> DataFrame:
-    """Change files as a stream: every new file once, whatever its time.
+    """Change files as a stream: every new file once, whatever its time. Malformed text is an error, and the headers of
+    delimited files must have the declared columns in their order.
 
     Spark's file source passes over files that are older, by ``maxFileAge``, than the newest it has seen, by default a
     week; here the limit is a century, so that files landed late are read.
     """
-    reader = spark.readStream.schema(schema).options(**{"maxFileAge": "36500d"} | options)
+    defaults = {"maxFileAge": "36500d", "mode": "FAILFAST"}
+    if file_format == "csv":
+        defaults |= {"header": "true", "enforceSchema": "false"}
+    reader = spark.readStream.format(file_format).schema(schema).options(**defaults | options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.load(path)
 
 
 def stamp(df: DataFrame, extracted_at: str, load_type: str) -> DataFrame:

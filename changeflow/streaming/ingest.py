@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import CHANGE_TYPE, DELETE, INSERT, UPDATE
+from changeflow.functions.schemas import load_schema
 from changeflow.operators.derive import derived_changes
 from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.latest import latest, latest_row_changes
@@ -84,29 +85,32 @@ class BronzeIngest:
 
     ``order`` are the columns that decide which change of a key is the latest. With ``batch``, the
     files of one stream batch may hold several landed batches, told apart by that column, and are
-    applied as if one by one.
+    applied as if one by one. ``schema`` is a struct or the path of a schema document; ``file_format`` is that
+    of the full load and the change files.
     """
 
     def __init__(
         self,
         table: KeyedTable,
-        schema: StructType,
+        schema: StructType | str,
         order: str | Sequence[str],
         op: str = "_operation",
         mode: str = REFERENCE,
         batch: str | None = None,
         guard: str | None = None,
+        file_format: str = "parquet",
     ):
         if batch is not None and guard is not None:
             raise ValueError("a guard looks at each batch's outcome, which folding several batches leaves out")
-        self.table, self.schema, self.order = table, schema, order
+        schema = load_schema(table.spark, schema) if isinstance(schema, str) else schema
+        self.table, self.schema, self.order, self.file_format = table, schema, order, file_format
         self.op, self.mode, self.batch, self.guard = op, mode, batch, guard
 
     def bootstrap(self, snapshot: str | DataFrame) -> bool:
         def load() -> DataFrame:
             if isinstance(snapshot, DataFrame):
                 return snapshot
-            return files.read_snapshot(self.table.spark, snapshot, self.schema)
+            return files.read_snapshot(self.table.spark, snapshot, self.schema, self.file_format)
 
         return _bootstrap(self.table, load)
 
@@ -128,7 +132,9 @@ class BronzeIngest:
         """Apply the change files that are there. By default they form one batch; ``files_per_trigger``
         cuts smaller ones, which must not split a landed batch of several files."""
         progress = _progress(self.table)
-        stream = files.stream_changes(self.table.spark, changes_path, self.schema, files_per_trigger, **options)
+        stream = files.stream_changes(
+            self.table.spark, changes_path, self.schema, files_per_trigger, self.file_format, **options
+        )
         run_to_end(stream, progress, self.upsert)
 
 

@@ -286,3 +286,15 @@ def test_change_file_that_lands_late_is_read(spark, root):
 def test_guard_and_folded_batches_are_refused_together(spark, root):
     with pytest.raises(ValueError, match="guard"):
         BronzeIngest(KeyedTable(spark, f"{root}/t", "k"), StructType.fromDDL(SCHEMA), "o", batch="o", guard="o")
+
+
+def test_json_files_with_a_schema_document(spark, root, tmp_path):
+    (tmp_path / "t.json").write_text(StructType.fromDDL(SCHEMA).json())
+    table = KeyedTable(spark, f"{root}/json", "k")
+    ingest = BronzeIngest(table, str(tmp_path / "t.json"), "o", file_format="json")
+    spark.createDataFrame(ROWS, SCHEMA).write.json(f"{root}/full")
+    ingest.bootstrap(f"{root}/full")
+    spark.createDataFrame([(1, "x", 5, 1, "UPDATE"), (2, "p", 0, 1, "DELETE")], SCHEMA).write.json(f"{root}/cdc")
+    ingest.run(f"{root}/cdc")
+    rows = {r.k: r.p for r in table.read().collect()}
+    assert rows[1] == "x" and 2 not in rows and len(rows) == 11
