@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from changeflow.sources.paths import stage
 
-__all__ = ["load", "stage", "held_out", "fresh_name", "numbered", "short_batches"]
+__all__ = ["load", "stage", "held_out", "fresh_name", "numbered", "release", "short_batches"]
 
 # Rows of whole texts that an Arrow batch may hold.
 TEXT_ROWS = 1000
@@ -50,3 +52,10 @@ def numbered() -> dict:
     index: dict = defaultdict()
     index.default_factory = index.__len__
     return index
+
+
+def release() -> None:
+    """Give the memory that Python and numpy have freed back to the system. Workers live on after a task, and what they
+    keep adds up with the executor's own memory."""
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)

@@ -15,6 +15,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import load, numbered, stage
+from changeflow.llm.common import load, numbered, release, short_batches, stage
 
 LIMIT = 2048
 # A block of documents ends with the document that brings it to so many characters; documents stay whole.
@@ -31,6 +32,8 @@ BLOCK_CHARS = 8_000_000
 BLOCK_DOCS = 60_000
 # Partial sums held by a task at most, before they are handed on.
 HELD_SUMS = 4_000_000
+# Frequency rows added up at a time.
+JOINED_ROWS = 10_000
 # Code points on which Python and the tokenizer library agree about letters, white space and lower case (their Unicode
 # versions differ on others, and a capital sigma is lowered by context): a text of these alone, if it is in normal form,
 # is cut word by word. With any other character in a text, the library itself cuts it.
@@ -55,8 +58,7 @@ class PreTokens:
         self.other = re.compile(AGREED)
         special = sorted((t["content"] for t in settings["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)))
-        settings["normalizer"] = None
-        self.plain = Tokenizer.from_str(json.dumps(settings))  # for text that is normalised already
+        self.path = path
 
     def words(self, text: str) -> list[str]:
         """Parts of a text whose pre-tokens, taken together, are those of the text: its words in lower case where the
@@ -84,6 +86,14 @@ class PreTokens:
             return [word]
         return self.pattern.findall(word)
 
+    @cached_property
+    def plain(self):
+        """The tokenizer for text that is normalised already."""
+        from tokenizers import Tokenizer
+
+        with open(self.path, encoding="utf-8") as file:
+            return Tokenizer.from_str(json.dumps(json.load(file) | {"normalizer": None}))
+
     def pieces(self, pre_tokens: list[str]) -> list[int]:
         return [len(e) for e in self.plain.encode_batch_fast(pre_tokens, add_special_tokens=False)]
 
@@ -138,8 +148,9 @@ def _distinct(path: str):
     return run
 
 
-# A document's number in its block and the times that it holds the row's pre-token.
-POSTING = np.dtype([("doc", "<u2"), ("times", "<u4")])
+# A document's number in its block and the times that it holds the row's pre-token; more times than fit in a byte make
+# several postings, which add up.
+POSTING = np.dtype([("doc", "<u2"), ("times", "u1")])
 
 
 def _frequencies(path: str):
@@ -147,8 +158,12 @@ def _frequencies(path: str):
         pre, task = PreTokens(path), TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches)):
             tokens, codes, docs, counts = _pairs(block, pre)
-            postings = np.empty(len(codes), POSTING)
-            postings["doc"], postings["times"] = docs, counts
+            parts = (counts + 254) // 255
+            last = np.cumsum(parts) - 1
+            postings = np.empty(int(parts.sum()), POSTING)
+            postings["doc"], postings["times"] = np.repeat(docs, parts), 255
+            postings["times"][last] = counts - 255 * (parts - 1)
+            codes = np.repeat(codes, parts)
             first = np.searchsorted(codes, np.arange(len(tokens) + 1)).tolist()
             packed = [postings[i:j].tobytes() for i, j in zip(first, first[1:])]
             name = (task << 32) + number
@@ -157,10 +172,25 @@ def _frequencies(path: str):
             for at in range(0, len(tokens), 50_000):
                 part = slice(at, at + 50_000)
                 yield pd.DataFrame({"block": name, "token": tokens[part], "packed": packed[part]})
+            del tokens, codes, docs, counts, postings, packed
+            release()
 
     return run
 
 
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fewer and longer batches, of short rows."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= JOINED_ROWS:
+            yield pd.concat(held)
+            held, rows = [], 0
+    if held:
+        yield pd.concat(held)
+
+
 def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pieces per document of each block, as far as this task has seen its pre-tokens."""
     sums: dict[int, np.ndarray] = {}
@@ -174,7 +204,7 @@ def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums.clear()
         return out
 
-    for batch in batches:
+    for batch in _joined(batches):
         head = batch[batch.pieces.isna()]
         if len(head):
             yield pd.DataFrame({"block": head.block, "head": True, "packed": head.packed})
@@ -183,9 +213,9 @@ def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         sizes = body.packed.map(len).to_numpy(np.int64) // POSTING.itemsize
         postings = np.frombuffer(b"".join(body.packed), POSTING)
-        pieces = np.repeat(body.pieces.to_numpy(np.int64), sizes) * postings["times"]
+        pieces = np.repeat(body.pieces.to_numpy(np.int64), sizes) * postings["times"].astype(np.int64)
         blocks, at = np.unique(body.block.to_numpy(np.int64), return_inverse=True)
-        keys, where = np.unique((np.repeat(at, sizes) << 16) + postings["doc"], return_inverse=True)
+        keys, where = np.unique((np.repeat(at, sizes) << 16) + postings["doc"].astype(np.int64), return_inverse=True)
         found = np.bincount(where, pieces, len(keys)).astype(np.int64)
         for i, (start, end) in enumerate(zip(edges := np.searchsorted(keys >> 16, np.arange(len(blocks) + 1)), edges[1:])):
             docs, block = keys[start:end] & 0xFFFF, int(blocks[i])
@@ -223,7 +253,7 @@ def piece_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for batch in tokens:
             yield pd.Series(pre.pieces(batch.tolist()), dtype="int64")
 
-    texts = docs.select(F.lit(0).alias("none"), F.col(text).alias("text"))
+    texts = short_batches(docs).select(F.lit(0).alias("none"), F.col(text).alias("text"))
     tokens = texts.mapInPandas(_distinct(path), "token string").distinct()
     return tokens.select("token", pieces("token").alias("pieces"))
 
@@ -232,7 +262,7 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     """One row per document, repeated rows included: doc_id (bigint, may be NULL), n_bytes, n_tokens (0 for NULL
     and empty texts). ``path`` is a tokenizer file that every executor has. An empty table gives no rows."""
     vocabulary = stage(piece_counts(docs, path, text))
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    texts = short_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = texts.mapInPandas(_frequencies(path), "block long, token string, packed binary")
     joined = rows.join(vocabulary, "token", "left").select("block", "pieces", "packed")
     sums = joined.mapInPandas(_partial_sums, "block long, head boolean, packed binary")
