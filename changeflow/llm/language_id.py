@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import held_out, load
+from changeflow.llm.common import held_out, load, release, short_batches
 
 SAMPLE_DOCS = 400
 STRETCHES = 4
@@ -33,7 +33,7 @@ ROUNDS = 4
 SEED = 6
 FOLDS, FOLD = 4, 2
 # Characters of text that a task labels at a time.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 3_000_000
 UNKNOWN = "und"
 MARK = np.uint64(1)
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -274,7 +274,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     def sampled(texts: pd.Series, seeds: pd.Series) -> pd.Series:
         return pd.Series([_stretches(t, s) for t, s in zip(texts, seeds)])
 
-    rows = docs.where(~held_out(doc_id, FOLDS, FOLD)).select(
+    rows = short_batches(docs).where(~held_out(doc_id, FOLDS, FOLD)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("h")
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("text", sampled("text", "h"))
@@ -311,16 +311,23 @@ def predict(text: Column, model: Crf) -> Column:
     @pandas_udf("lang string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = letter_table()
+        held, chars = [], 0
         for batch in batches:
-            texts = [t if isinstance(t, str) else None for t in batch]
-            parts, at, chars = [], 0, 0
-            for i, t in enumerate(texts):
-                chars += len(t or "")
-                if chars > CHUNK_CHARS:
-                    parts.append(texts[at:i + 1])
-                    at, chars = i + 1, 0
-            parts.append(texts[at:])
-            yield pd.concat([_predicted(p, model, letters) for p in parts if p] or [pd.DataFrame({"lang": [], "score": []})])
+            held.append([t if isinstance(t, str) else None for t in batch])
+            chars += sum(len(t or "") for t in held[-1])
+            if chars >= CHUNK_CHARS:
+                yield from answers(held, letters)
+                held, chars = [], 0
+        yield from answers(held, letters)
+
+    def answers(batches: list[list[str | None]], letters: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Several batches labelled together: their texts advance together."""
+        found = _predicted([t for texts in batches for t in texts], model, letters)
+        at = 0
+        for texts in batches:
+            yield found.iloc[at:at + len(texts)]
+            at += len(texts)
+        release()
 
     return of(text)
 

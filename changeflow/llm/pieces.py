@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType
 
-from changeflow.llm.common import fresh_name, load, numbered, short_batches
+from changeflow.llm.common import fresh_name, load, numbered, release, short_batches
 
 SPACE = "▁"
 ALPHA = 1.0
@@ -143,6 +143,7 @@ class Lattice:
         end, start = end[order], np.concatenate(starts[::-1])[order]
         self.start, self.piece = start, np.concatenate(pieces[::-1])[order]
         weight = np.concatenate(weights[::-1])[order]
+        del starts, ends, pieces, weights, begin, at, state
         self.first = np.searchsorted(end, np.arange(n + 1))
 
         # Forward filtering, all words at a time, from one position to the next.
@@ -260,6 +261,8 @@ def encode(
                     cuts = [ids[i:j] for i, j in zip(offsets, offsets[1:])]
                     out.append(pa.array([t is None or _decoded(x, vocabulary.bytes) == t for t, x in zip(texts, cuts)]))
                 yield pa.RecordBatch.from_arrays(out, [*keep, *added])
+                del out, ids, offsets
+                release()
 
     schema = docs.select(*keep).schema.add(name, ArrayType(IntegerType()))
     return rows.mapInArrow(run, schema.add(check, BooleanType()) if check else schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import held_out, load, stage
+from changeflow.llm.common import held_out, load, short_batches, stage
 
 WIDTH = 256
 SEED = 8
@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """A model from the documents that ``labels(doc_id, quality)`` marks, outside the held-out fold. A NULL label is
     none; repeated labels and documents count each."""
     marks = labels.where(~held_out("doc_id", FOLDS, FOLD)).where("quality IN (0, 1)").select("doc_id", "quality")
-    learned = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(~held_out("id", FOLDS, FOLD))
+    learned = short_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(~held_out("id", FOLDS, FOLD))
     learned = learned.select("id", statistics(F.col("text")).alias("stats"))
     return fit(learned.join(marks, F.col("id") == F.col("doc_id")).select("stats", F.col("quality").alias("label")))
 

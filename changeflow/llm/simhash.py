@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import fresh_name, load, stage
+from changeflow.llm.common import fresh_name, load, short_batches, stage
 from changeflow.llm.components import connected_components
 
 SEED = 42
@@ -108,7 +108,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, fp (bigint), component_id, kept_fp. An empty table gives no rows."""
     fp = fingerprint(F.col(text), shingle)
-    return components(docs.select(F.col(doc_id).alias("doc_id"), fp.alias("fp")), max_bits)
+    return components(short_batches(docs).select(F.col(doc_id).alias("doc_id"), fp.alias("fp")), max_bits)
 
 
 def deduplicate(
