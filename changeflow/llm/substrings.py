@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import load, stage
+from changeflow.llm.common import fresh_name, load, numbered, release, short_batches, stage
 from changeflow.llm.fm_index import FMIndex
 
 WINDOW = 13
@@ -38,7 +38,7 @@ ANCHOR = 4
 # that a task turns into rows at a time.
 SHARD_PASSAGES = 20_000
 COMMON_ANCHOR = 2_000
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 3_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,6 +89,7 @@ def _gathered(window: int):
                 if chars > CHUNK_CHARS:
                     yield rows(anchors, ids)
                     anchors, ids, chars = [], [], 0
+                    release()
         yield rows(anchors, ids)
 
     return run
@@ -156,21 +157,24 @@ def _passages(window: int, shards: int):
                 if chars > CHUNK_CHARS:
                     yield flush()
                     chars = 0
+                    release()
         yield flush()
 
     return run
 
 
-def least_owner(passages: list[list[bytes]], owners: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of each passage (one after the other), the least owner of a passage that has it; and the
-    number of windows of each passage. Found by backward search in an FM-index of the passages."""
-    numbers: dict[bytes, int] = {}
-    coded = [np.array([numbers.setdefault(w, len(numbers) + 2) for w in p] + [1], np.int64) for p in passages]
-    lengths = np.array([len(c) for c in coded])
-    text = np.concatenate(coded)
-    index = FMIndex(text, window)
+def least_owner(passages: list[bytes], owners: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each passage (words joined by a space; one passage after the other), the least owner of a
+    passage that has it; and the number of windows of each passage. Found by backward search in an FM-index of the
+    passages."""
+    numbers = numbered()
+    numbers[b""]  # the first number: what stands between two passages
+    words = (b"  ".join(passages) + b" ").split(b" ")
+    text = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) + 1
+    lengths = np.fromiter((p.count(b" ") for p in passages), np.int64, len(passages)) + 2
     counts = lengths - window
     starts = np.repeat(np.cumsum(lengths) - lengths - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    index = FMIndex(text, window)
     patterns = np.lib.stride_tricks.sliding_window_view(text, window)[starts]
     # An interval of one suffix holds the window's own place alone, whatever words come before.
     low, high, length = index.search(patterns, stop_at=1)
@@ -192,27 +196,24 @@ def _repeats(window: int):
     """The covered intervals of the documents of one shard."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        places: dict[bytes, list] = {}
-        for words, ids, starts in zip(rows["words"], rows["ids"], rows["starts"]):
-            places.setdefault(words, []).append((np.frombuffer(ids, "<i8"), np.frombuffer(starts, "<i8")))
-        ids = [np.concatenate([i for i, _ in p]) for p in places.values()]
-        starts = [np.concatenate([s for _, s in p]) for p in places.values()]
-        least, counts = least_owner([w.split() for w in places], np.array([i.min() for i in ids]), window)
-        out, at = [], 0
-        for docs, begins, n in zip(ids, starts, counts.tolist()):
-            own = least[at:at + n]
-            at += n
-            whole = docs > own.max()
-            if whole.any():
-                out.append(np.column_stack([docs[whole], begins[whole], begins[whole] + n + window - 1]))
-            some = np.flatnonzero(~whole & (docs > own.min()))
-            for k in some:
-                hits = np.flatnonzero(own < docs[k])
-                cuts = np.flatnonzero(np.diff(hits) > 1) + 1
-                for run_ in np.split(hits, cuts):
-                    out.append(np.array([[docs[k], begins[k] + run_[0], begins[k] + run_[-1] + window]]))
-        found = np.concatenate([np.empty((0, 3), np.int64), *out])
-        return pd.DataFrame(found, columns=["id", "begin", "end"])
+        passages = numbered()
+        at = np.fromiter(map(passages.__getitem__, rows["words"]), np.int64, len(rows))
+        at = np.repeat(at, rows["ids"].map(len).to_numpy(np.int64) // 8)
+        docs, begins = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("ids", "starts"))
+        owners = np.full(len(passages), np.iinfo(np.int64).max)
+        np.minimum.at(owners, at, docs)
+        least, counts = least_owner(list(passages), owners, window)
+        first = np.cumsum(counts) - counts
+        whole = docs > np.maximum.reduceat(least, first)[at]
+        out = [np.column_stack([docs[whole], begins[whole], begins[whole] + counts[at[whole]] + window - 1])]
+        for k in np.flatnonzero(~whole & (docs > np.minimum.reduceat(least, first)[at])):
+            own = least[first[at[k]]:first[at[k]] + counts[at[k]]]
+            hits = np.flatnonzero(own < docs[k])
+            for part in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1):
+                out.append(np.array([[docs[k], begins[k] + part[0], begins[k] + part[-1] + window]]))
+        found = pd.DataFrame(np.concatenate(out), columns=["id", "begin", "end"])
+        release()
+        return found
 
     return run
 
@@ -224,7 +225,7 @@ def repeated_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Rows that share an id are one document: they don't repeat each other. Rows without id, NULL or shorter texts have
     no intervals and cause none.
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = short_batches(docs).select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     anchors = stage(shared_anchors(rows, window))
     passages = anchors.agg(F.sum(F.when(F.col("common"), 10).otherwise(1))).first()[0] or 0
     shards = passages // SHARD_PASSAGES + 1
@@ -276,8 +277,11 @@ def _digests(texts: Column, spans: Column) -> Column:
 
 def with_spans(docs: DataFrame, doc_id: str, text: str, name: str, window: int = WINDOW) -> DataFrame:
     """``docs`` with the intervals to cut from each text as column ``name``."""
-    spans = repeated_intervals(docs, doc_id, text, window).toDF("_owner", name)
-    return docs.join(spans.hint("merge"), docs[doc_id] == spans["_owner"], "left").drop("_owner")
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the documents have a column {name} already")
+    (owner,) = fresh_name(docs, "owner")
+    spans = repeated_intervals(docs, doc_id, text, window).toDF(owner, name)
+    return docs.join(spans.hint("merge"), docs[doc_id] == spans[owner], "left").drop(owner)
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
