@@ -124,7 +124,7 @@ def write_warc(
 
     # The text writer puts the bytes of a value as they are; the separator ends each record.
     lines = rows.mapInPandas(merged, "record binary").select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    lines.write.options(lineSep="\r\n\r\n", compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 # -- reading ---------------------------------------------------------------------------------
