@@ -4,21 +4,24 @@ Words are runs of anything but ASCII white space, in lower case; a shingle is fi
 shingle, all its words). An item of m shingles is compared with every window of m shingles of a document (with the whole
 document if that is shorter). All steps are DataFrame operations:
 
-1. Windows without any shingle of an item of their size have similarity 0; only the others are made.
+1. A window is made only if it holds as many shingles of items of its size as the least similarity takes; no other window
+   can reach it.
 2. A window's fingerprint has the 64 majority bits of its shingles' hashes, counted in packed lanes by plain sums.
 3. The fingerprint is cut into ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, then in some block
    they differ in at most RADIUS // BLOCKS; items are filed under all such block values, windows under their own,
    so that the join finds every pair within the radius.
-4. Pairs within the radius are compared exactly: shingles shared over shingles in either, repeats counted.
+4. Fingerprints follow the cosine of the shingle counts, and a shingle that a window repeats lowers it whatever the item
+   holds, so no radius is safe for any item. An exact join adds the pairs beyond it: a window that is like an item has one of
+   the item's rarest shingles, of which as many are kept as the least similarity lets a window miss, and one more.
+5. All these pairs are compared exactly: shingles shared over shingles in either, repeats counted.
 
-At similarity 0.8 a fingerprint pair is expected 10 of 64 bits apart; the radius of 15 leaves out about one window in fifty
-there, none of the exact copies, and under one in a thousand from 0.9 on. Texts are told apart by a 128-bit hash, so equal
-texts are worked on once.
+The result is exact but for equal hashes of unequal shingles. Texts are told apart by a 128-bit hash, so equal texts are
+worked on once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import load, stage
@@ -95,6 +98,38 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def shared_needed(n: Column, m: Column, least: float) -> Column:
+    """How many shingles, repeats counted, texts of ``n`` and ``m`` must share to have a similarity of ``least``."""
+    return F.greatest(F.lit(1), F.ceil(least / (1 + least) * (n + m) - 1e-9).cast("int"))
+
+
+def window_starts(hits: DataFrame, least: float) -> DataFrame:
+    """(k1, k2, m, start) of the windows of m shingles that hold enough of the ``hits`` (KEY, n, at, m), the places of
+    shingles of items of that size. A text's places are gathered: as many as it has shingles, at most."""
+    held = hits.groupBy(*KEY, "m").agg(F.max("n").alias("n"), F.sort_array(F.collect_set("at")).alias("at"))
+    held = held.withColumn("size", F.least("n", "m"))
+    held = held.withColumn("need", shared_needed(F.col("size"), F.col("m"), least)).where(F.size("at") >= F.col("need"))
+
+    def starts(far: Column, i: Column) -> Column:
+        # Windows whose first hit is the i-th and that reach as far as the one which makes them enough.
+        begin = F.greatest(F.lit(0), far - F.col("size") + 1, F.coalesce(F.get("at", i - 1) + 1, F.lit(0)))
+        return F.struct(begin.alias("begin"), F.least(F.get("at", i), F.col("n") - F.col("size")).alias("end"))
+
+    runs = F.transform(F.slice("at", F.col("need"), F.size("at")), starts)
+    runs = held.select(*KEY, "m", F.inline(F.filter(runs, lambda r: r["begin"] <= r["end"])))
+    return runs.select(*KEY, "m", F.explode(F.sequence("begin", "end")).alias("start"))
+
+
+def rarest(wanted: DataFrame, least: float) -> DataFrame:
+    """(item, m, x): so many of each item's shingles, those in the fewest items first, that a window without any of them
+    is less alike than ``least``."""
+    each = wanted.select("item", "m", F.explode("h").alias("x"))
+    spread = each.groupBy("x", "m").agg(F.count_distinct("item").alias("items"))
+    order = F.row_number().over(Window.partitionBy("item").orderBy("items", "x"))
+    missed = F.col("m") - F.ceil(least * F.col("m") - 1e-9)
+    return each.join(spread, ["x", "m"]).withColumn("order", order).where(F.col("order") <= missed + 1).select("item", "m", "x").distinct()
+
+
 def matches(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     least: float = SIMILARITY,
@@ -109,15 +144,16 @@ def matches(
     wanted = stage(wanted.select("item_id", "h", F.size("h").alias("m")).withColumn("item", F.monotonically_increasing_id()))
     wanted = wanted.where("m > 0")
     grams = stage(wanted.select(F.explode("h").alias("x"), "m").distinct())
+    rare = stage(rarest(wanted, least))
     if grams.count() <= BROADCAST_ROWS:
         grams = F.broadcast(grams)
+    if rare.count() <= BROADCAST_ROWS:
+        rare = F.broadcast(rare)
 
     source = docs.select(F.col(text).alias("text"), *_keys(F.col(text)))
     spread = _hashed(source, F.col("text"), *KEY).select(*KEY, F.size("h").alias("n"), F.posexplode_outer("h").alias("at", "x"))
     hits = spread.join(grams, "x").select(*KEY, "n", "at", "m")
-    first = F.greatest(F.lit(0), F.least(F.col("at") - F.col("m") + 1, F.col("n") - F.col("m")))
-    last = F.greatest(F.lit(0), F.least(F.col("at"), F.col("n") - F.col("m")))
-    starts = stage(hits.select(*KEY, "m", F.explode(F.sequence(first, last)).alias("start")).distinct())
+    starts = stage(window_starts(hits, least))
 
     # The keys grow with the corpus, so this join shuffles at every size.
     texts = source.join(starts.select(*KEY).distinct().hint("merge"), KEY, "left_semi").groupBy(*KEY).agg(F.min("text").alias("text"))
@@ -128,14 +164,16 @@ def matches(
     own = fingerprints(windows, window, "w")
     own = stage(own.select(*window, "fp"))
     filed = own.select("*", F.inline(block_values(F.col("fp"))))
-    theirs = fingerprints(wanted, ["item", "m"], "h").withColumnRenamed("fp", "item_fp")
-    theirs = theirs.select("*", F.inline(block_values(F.col("item_fp"))))
+    items_own = stage(fingerprints(wanted, ["item", "m"], "h").withColumnRenamed("fp", "item_fp"))
+    theirs = items_own.select("*", F.inline(block_values(F.col("item_fp"))))
     theirs = theirs.select("item", "m", "item_fp", "block", F.explode(_near_values(F.col("value"))).alias("value"))
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
-    close = filed.join(theirs, ["m", "block", "value"]).select(*window, "item", distance)
-    close = close.where(F.col("distance") <= RADIUS).distinct()
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
+    close = filed.join(theirs, ["m", "block", "value"]).where(distance <= RADIUS).select(*window, "item")
+    shared = windows.select(*window, F.explode("w").alias("x")).join(rare, ["m", "x"]).select(*window, "item")
+    pairs = close.unionByName(shared).distinct()
 
-    compared = close.join(windows, window).join(wanted.drop("m"), "item")
+    compared = pairs.join(windows, window).join(own, window).join(wanted.drop("m"), "item")
+    compared = compared.join(items_own.drop("m"), "item").withColumn("distance", distance)
     compared = compared.withColumn("similarity", similarity(F.col("w"), F.col("h"))).where(F.col("similarity") >= least)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "distance", F.size("w").alias("size"), "item_id"))
     found = compared.groupBy(*KEY, "item").agg(best.alias("best"))

@@ -428,6 +428,31 @@ def test_matches_against_brute_force(spark, docs, none):
     assert decontamination.decontaminate(docs, items.where("item_id < 0")).count() == len(TEXTS)
 
 
+def test_matches_with_repeated_shingles_against_brute_force(spark):
+    """Windows that differ from an item in one shingle said over and over: near by count, far by fingerprint."""
+    rng = np.random.default_rng(5)
+    mine, sought = [], []
+    for j in range(30):
+        same, times = int(rng.integers(30, 90)), int(rng.integers(1, 14))
+        words = [f"w{j}x{i}" for i in range(same + 4)]
+        said, other = words + [f"y{j}"] * (times + 4), words + [f"z{j}x{i}" for i in range(times + 4)]
+        mine.append((j, " ".join(["start"] * int(rng.integers(0, 9)) + (said if j % 2 else other) + ["end"] * 3)))
+        sought.append((j, " ".join(other if j % 2 else said)))
+    texts = spark.createDataFrame(mine, "doc_id long, text string")
+    items = spark.createDataFrame(sought, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontamination.contaminated(texts, items).collect()}
+    expected = {}
+    for (i, t), (_, item) in zip(mine, sought):
+        a, b = grams(t.split(), 5), grams(item.split(), 5)
+        best = (0, 0)
+        for k in range(max(1, len(a) - len(b) + 1)):
+            x, y = Counter(a[k:k + len(b)]), Counter(b)
+            best = max(best, (sum((x & y).values()) / sum((x | y).values()), -k))
+        if best[0] >= 0.8:
+            expected[i, i] = (pytest.approx(best[0]), -best[1])
+    assert found == expected and len(expected) >= 8
+
+
 def test_near_values_cover_the_radius(spark):
     a, bits = 0x123456789ABCDEF, [0, 1, 2, 16, 17, 18, 32, 33, 34, 48, 49, 50, 51, 52, 53]
     b = a ^ sum(1 << x for x in bits)
