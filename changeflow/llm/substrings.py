@@ -13,6 +13,9 @@ windows that can be equal, each is filed under its anchor, the four-word run in
    window with more than one suffix left, the least document id in the interval tells whether the window is a repeat.
 4. Per document the covered words are joined to intervals.
 
+Ids are compared, but places belong to a row: an id and a 128-bit hash of the text. Rows that share an id and not the text
+have their own intervals each.
+
 A shard's size is set by its number of passages, so that index and passages fit in one task at any size of the corpus.
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,6 +44,12 @@ SHARD_PASSAGES = 20_000
 COMMON_ANCHOR = 2_000
 CHUNK_CHARS = 3_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
+# What tells the row of a place: id and text hash.
+ROW = ["id", "k1", "k2"]
+
+
+def _keys(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
 def _anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,27 +123,37 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
 def _passages(window: int, shards: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}
+        owners: list[tuple[int, int, int]] = []
         chars = 0
 
         def flush() -> pd.DataFrame:
+            ends = np.cumsum([len(numbers) for numbers, _ in found.values()], dtype=np.int64).tolist()
+            cuts = list(zip([0, *ends], ends))
+            numbers = np.fromiter(chain.from_iterable(n for n, _ in found.values()), np.int64)
+            rows = np.array(owners, "<i8").reshape(-1, len(ROW))[numbers].tobytes()
+            starts = np.fromiter(chain.from_iterable(s for _, s in found.values()), "<i8").tobytes()
+            size = 8 * len(ROW)
             out = pd.DataFrame({
                 "shard": [key[0] for key in found],
                 "words": [key[1] for key in found],
-                "ids": [np.array(ids, "<i8").tobytes() for ids, _ in found.values()],
-                "starts": [np.array(starts, "<i8").tobytes() for _, starts in found.values()],
+                "owners": [rows[size * i:size * j] for i, j in cuts],
+                "starts": [starts[8 * i:8 * j] for i, j in cuts],
             })
             found.clear()
+            owners.clear()
             return out
 
-        def note(shard: int, words: list[bytes], doc: int, start: int) -> None:
-            ids, starts = found.setdefault((shard, b" ".join(words)), ([], []))
-            ids.append(doc)
+        def note(shard: int, words: list[bytes], start: int) -> None:
+            numbers, starts = found.setdefault((shard, b" ".join(words)), ([], []))
+            numbers.append(len(owners) - 1)
             starts.append(start)
 
         for batch in batches:
-            for doc, text, anchors, common in zip(batch["id"], batch["text"], batch["anchors"], batch["common"]):
-                if anchors is None:
+            columns = (batch[c] for c in [*ROW, "text", "anchors", "common"])
+            for doc, k1, k2, text, anchors, common in zip(*columns):
+                if anchors is None or not text:
                     continue
+                owners.append((int(doc), k1, k2))
                 words = text.encode("utf-8").split()
                 ranks, at = _anchors(words, window)
                 order = np.argsort(anchors)
@@ -149,10 +169,10 @@ def _passages(window: int, shards: int):
                     if common[place[i]]:
                         for k in range(i, j):
                             each = words[k:k + window]
-                            note(xxhash.xxh64_intdigest(b" ".join(each)) % shards, each, int(doc), k)
+                            note(xxhash.xxh64_intdigest(b" ".join(each)) % shards, each, k)
                     else:
                         shard = int(ranks[i]) * int(ODD) % (1 << 64) % shards
-                        note(shard, words[i:j + window - 1], int(doc), i)
+                        note(shard, words[i:j + window - 1], i)
                 chars += len(text)
                 if chars > CHUNK_CHARS:
                     yield flush()
@@ -193,25 +213,27 @@ def least_owner(passages: list[bytes], owners: np.ndarray, window: int) -> tuple
 
 
 def _repeats(window: int):
-    """The covered intervals of the documents of one shard."""
+    """The covered intervals of the rows of one shard."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         passages = numbered()
         at = np.fromiter(map(passages.__getitem__, rows["words"]), np.int64, len(rows))
-        at = np.repeat(at, rows["ids"].map(len).to_numpy(np.int64) // 8)
-        docs, begins = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("ids", "starts"))
+        at = np.repeat(at, rows["starts"].map(len).to_numpy(np.int64) // 8)
+        places, begins = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("owners", "starts"))
+        places = places.reshape(-1, len(ROW))
+        docs = places[:, 0].copy()
         owners = np.full(len(passages), np.iinfo(np.int64).max)
         np.minimum.at(owners, at, docs)
         least, counts = least_owner(list(passages), owners, window)
         first = np.cumsum(counts) - counts
         whole = docs > np.maximum.reduceat(least, first)[at]
-        out = [np.column_stack([docs[whole], begins[whole], begins[whole] + counts[at[whole]] + window - 1])]
+        out = [np.column_stack([places[whole], begins[whole], begins[whole] + counts[at[whole]] + window - 1])]
         for k in np.flatnonzero(~whole & (docs > np.minimum.reduceat(least, first)[at])):
             own = least[first[at[k]]:first[at[k]] + counts[at[k]]]
             hits = np.flatnonzero(own < docs[k])
             for part in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1):
-                out.append(np.array([[docs[k], begins[k] + part[0], begins[k] + part[-1] + window]]))
-        found = pd.DataFrame(np.concatenate(out), columns=["id", "begin", "end"])
+                out.append(np.array([[*places[k], begins[k] + part[0], begins[k] + part[-1] + window]]))
+        found = pd.DataFrame(np.concatenate(out), columns=[*ROW, "begin", "end"])
         release()
         return found
 
@@ -219,23 +241,24 @@ def _repeats(window: int):
 
 
 def repeated_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, spans): for documents with words to cut, the intervals [begin, end) of word numbers, from 0, that windows
-    cover which also start in a document with a smaller id; intervals may overlap.
+    """(id, k1, k2, spans): for rows with words to cut, told by their id and the hash of their text, the intervals
+    [begin, end) of word numbers, from 0, that windows cover which also start in a row with a smaller id; intervals may
+    overlap.
 
-    Rows that share an id are one document: they don't repeat each other. Rows without id, NULL or shorter texts have
-    no intervals and cause none.
+    Rows that share an id don't repeat each other. Rows without id, NULL or shorter texts have no intervals and cause none.
     """
     rows = short_batches(docs).select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     anchors = stage(shared_anchors(rows, window))
     passages = anchors.agg(F.sum(F.when(F.col("common"), 10).otherwise(1))).first()[0] or 0
     shards = passages // SHARD_PASSAGES + 1
-    # Each id's anchors are collected: as many as its text has, at most.
+    # Each id's anchors are collected: as many as its texts have, at most.
     own = anchors.groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("common").alias("common"))
     own = own.withColumnRenamed("id", "owner")
-    found = rows.join(own.hint("merge"), F.col("id") == F.col("owner"), "left").select("id", "text", "anchors", "common")
-    found = found.mapInPandas(_passages(window, shards), "shard long, words binary, ids binary, starts binary")
-    spans = found.groupBy("shard").applyInPandas(_repeats(window), "id long, begin long, end long")
-    return spans.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    found = rows.join(own.hint("merge"), F.col("id") == F.col("owner"), "left")
+    found = found.select("id", *_keys(F.col("text")), "text", "anchors", "common")
+    found = found.mapInPandas(_passages(window, shards), "shard long, words binary, owners binary, starts binary")
+    spans = found.groupBy("shard").applyInPandas(_repeats(window), "id long, k1 long, k2 long, begin long, end long")
+    return spans.groupBy(*ROW).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def _cut(text: str | None, spans) -> tuple[int, int, str | None]:
@@ -279,9 +302,13 @@ def with_spans(docs: DataFrame, doc_id: str, text: str, name: str, window: int =
     """``docs`` with the intervals to cut from each text as column ``name``."""
     if name.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the documents have a column {name} already")
-    (owner,) = fresh_name(docs, "owner")
-    spans = repeated_intervals(docs, doc_id, text, window).toDF(owner, name)
-    return docs.join(spans.hint("merge"), docs[doc_id] == spans[owner], "left").drop(owner)
+    row = fresh_name(docs, *ROW)
+    spans = repeated_intervals(docs, doc_id, text, window).toDF(*row, name)
+    # Equal ids alone deal out the texts, so that this join reads the shuffled texts of the anchors' join again.
+    same = docs[doc_id] == spans[row[0]]
+    for mine, theirs in zip(_keys(docs[text]), row[1:]):
+        same &= mine.bitwiseXOR(spans[theirs]) == 0
+    return docs.join(spans.hint("merge"), same, "left").drop(*row)
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,6 +356,20 @@ def test_substrings_against_brute_force(docs, none, window, monkeypatch):
     assert substrings.repeated_intervals(none).count() == 0
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    text = prose(40)
+    rows = [
+        (1, text), (2, prose(50) + " " + text), (2, text), (2, prose(6)), (2, None), (2, ""), (2, prose(90)),
+        (3, text + " " + prose(20)), (3, prose(30)), (3, text + " " + prose(20)), (None, text), (None, None),
+    ]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substrings.with_spans(texts, "doc_id", "text", "spans")
+    found = found.select("doc_id", "text", substrings.cut(F.col("text"), F.col("spans")).alias("c")).collect()
+    got = [(r.doc_id, r.c.n_words, r.c.n_removed, " ".join((r.text or "").split()) if r.c.kept is None else r.c.kept) for r in found]
+    expected = [(i, n, gone, kept.decode()) for i, n, gone, kept in brute_cuts(rows, 13)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_fm_index_finds_all_occurrences():
     rng = np.random.default_rng(1)
     for _ in range(10):
