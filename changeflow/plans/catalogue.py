@@ -200,6 +200,17 @@ def merge_guarded(spark: SparkSession, sf: str) -> DataFrame:
     return merge(stored, paths.stage(change.withColumn("_operation", operation)), "k", guard="ts")
 
 
+def merge_once_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The merge of whole customer rows, all columns."""
+    feed = feeds.customer_rows_feed(spark, sf)
+    source = paths.stage(latest(feed, "k", FEED_ORDER, "_operation").drop("b", *FEED_ORDER))
+    return merge(feeds.customer_rows(spark, sf), source, "k")
+
+
+def snapshot_diff_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return diff_snapshots(feeds.customer_rows(spark, sf), merge_once_rows(spark, sf), "k")
+
+
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff_snapshots(feeds.customers(spark, sf), merge_once(spark, sf), "k")
 
@@ -225,6 +236,12 @@ def replay_fold(spark: SparkSession, sf: str) -> DataFrame:
     return _fold(spark, sf, REFERENCE)
 
 
+def replay_fold_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The replay of whole customer rows, all columns."""
+    base = feeds.customer_rows(spark, sf)
+    return replay(base, feeds.customer_rows_feed(spark, sf), "k", "b", FEED_ORDER)
+
+
 def replay_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
     return _fold(spark, sf, LATEST_WINS)
 
@@ -317,9 +334,9 @@ def distinct_products(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(load(spark, sf, "lineitem"), "l_partkey").orderBy("l_partkey")
 
 
-def _product_set(spark: SparkSession, sf: str) -> DistinctIngest:
+def _product_set(spark: SparkSession, sf: str, each_line: bool = False) -> DistinctIngest:
     root = paths.new_scratch(spark)
-    before, feed = feeds.split_lines(spark, sf)
+    before, feed = feeds.split_lines(spark, sf, each_line)
     bronze = BronzeIngest(KeyedTable(spark, f"{root}/lines", "k"), feed.schema, LINE_ORDER)
     bronze.bootstrap(before)
     products = DistinctIngest(KeyedTable(spark, f"{root}/products", "p"), bronze.table)
@@ -342,6 +359,15 @@ def distinct_products_changes(spark: SparkSession, sf: str) -> DataFrame:
     return _product_set(spark, sf).read_changes(1).drop("_commit_timestamp")
 
 
+def distinct_line_products_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """The products of all lines that are left, not of one line an order."""
+    return _product_set(spark, sf, each_line=True).read()
+
+
+def distinct_line_products_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _product_set(spark, sf, each_line=True).read_changes(1).drop("_commit_timestamp")
+
+
 # -- the loyalty tables, from landing to the derived table --------------------------------------
 
 
@@ -400,13 +426,16 @@ QUERIES = {
         op_counts_by_day,
         layer_counts,
         merge_once,
+        merge_once_rows,
         merge_once_latest_wins,
         merge_changes,
         merge_null_and_unknown_ops,
         merge_guarded,
         snapshot_diff,
+        snapshot_diff_rows,
         snapshot_diff_repeated_keys,
         replay_fold,
+        replay_fold_rows,
         replay_latest_wins,
         replay_daily,
         replay_backlog,
@@ -419,6 +448,8 @@ QUERIES = {
         distinct_products,
         distinct_products_maintained,
         distinct_products_changes,
+        distinct_line_products_maintained,
+        distinct_line_products_changes,
         loyalty_clientes,
         loyalty_transacoes,
         loyalty_transacao_produto,

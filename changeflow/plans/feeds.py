@@ -40,14 +40,35 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with all their columns."""
+    return load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+
+
+def customer_rows_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as changes of whole customer rows."""
+    return load(spark, sf_dir, "events").select(
+        (F.col("user_id") * 20).alias("k"),
+        F.concat(F.lit("Event#"), F.col("event_id").cast("string")).alias("c_name"),
+        (F.col("event_id") % 25).cast("int").alias("c_nationkey"),
+        F.col("value").alias("c_acctbal"),
+        F.upper("event_type").alias("c_mktsegment"),
+        _operation("event_type", "signup", "error").alias("_operation"),
+        *FEED_ORDER,
+        F.dayofmonth("ts").alias("b"),
+    )
+
+
 def weekly(feed: DataFrame) -> DataFrame:
     return feed.withColumn("b", F.expr("(b - 1) div 7 + 1").cast("int"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as the product an order holds; each later line of an order is a change."""
+def lines(spark: SparkSession, sf_dir: str, each_line: bool = False) -> DataFrame:
+    """Order lines as the product an order holds; each later line of an order is a change. With ``each_line``, a line is a
+    row of its own and keeps its product beside those of the order's other lines."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber") if each_line else F.col("l_orderkey")
     return load(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("k"),
+        key.alias("k"),
         F.col("l_partkey").alias("p"),
         _operation("l_returnflag", "N", "R").alias("_operation"),
         F.year("l_shipdate").alias("b"),
@@ -55,9 +76,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def split_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def split_lines(spark: SparkSession, sf_dir: str, each_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """The line table as it stood at the end of the snapshot year, and the changes after it."""
-    feed = lines(spark, sf_dir)
+    feed = lines(spark, sf_dir, each_line)
     before = latest(feed.where(F.col("b") <= SNAPSHOT_YEAR), "k", LINE_ORDER).select("k", "p")
     return before, feed.where(F.col("b") > SNAPSHOT_YEAR)
 

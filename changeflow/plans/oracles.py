@@ -30,6 +30,17 @@ LINES_AFTER = f"SELECT * FROM ({LINES}) l WHERE b > {SNAPSHOT_YEAR}"
 FEED_TIES = "ts DESC, event_id DESC"
 OP_RANK = "CASE op WHEN 'DELETE' THEN 3 WHEN 'UPDATE' THEN 2 WHEN 'INSERT' THEN 1 ELSE 0 END DESC"
 
+# The same with all columns of the customers, and with each line of an order.
+_ROW = "struct_pack(c_name := {}, c_nationkey := {}, c_acctbal := {}, c_mktsegment := {})"
+ROW_COLUMNS = "v.c_name AS c_name, v.c_nationkey AS c_nationkey, v.c_acctbal AS c_acctbal, v.c_mktsegment AS c_mktsegment"
+CUSTOMER_ROWS = f"SELECT c_custkey AS k, {_ROW.format('c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment')} AS v FROM customer"
+ROWS_FEED = FEED.replace(
+    "value AS v", _ROW.format("'Event#' || event_id", "CAST(event_id % 25 AS INT)", "value", "upper(event_type)") + " AS v"
+)
+EACH_LINE = "l_orderkey || '-' || l_linenumber AS k"
+EACH_LINE_BEFORE = LINES_BEFORE.replace("l_orderkey AS k", EACH_LINE).replace(LINE_TIES, f"{LINE_TIES}, {OP_RANK}")
+EACH_LINE_AFTER = LINES_AFTER.replace("l_orderkey AS k", EACH_LINE)
+
 
 def once(feed: str, insert_on_match: str = "b.v") -> str:
     """One merge of the latest change per key into the customers."""
@@ -105,11 +116,11 @@ every_change AS (
 SELECT k, v, _change_type, CAST(b AS BIGINT) AS _commit_version FROM every_change"""
 
 
-def _product_changes() -> str:
+def _product_changes(after: str = LINES_AFTER, before: str = LINES_BEFORE, ties: str = LINE_TIES) -> str:
     """Set difference of the products after each year, commit by commit."""
     years = range(SNAPSHOT_YEAR, 2002)
     sets = [
-        replayed(f"SELECT * FROM ({LINES_AFTER}) y WHERE b <= {year}", LINES_BEFORE, LINE_TIES,
+        replayed(f"SELECT * FROM ({after}) y WHERE b <= {year}", before, ties,
                  f"SELECT DISTINCT v AS p, {year} AS y FROM final")
         for year in years
     ]
@@ -174,6 +185,7 @@ ITEMS_FEED = f"SELECT * FROM ({_ITEMS}) i WHERE b > {SNAPSHOT_YEAR}"
 ITEM_TIES = f"{OP_RANK}, v.IdTransacao DESC, v.IdProduto DESC, v.QtdeProduto DESC, v.vlProduto DESC"
 
 _NO_OPS = FEED.replace("ELSE 'UPDATE'", "WHEN 'click' THEN 'UPDATE' WHEN 'purchase' THEN 'REFUND'")
+_MERGED_ROWS = once(ROWS_FEED).replace(CUSTOMERS, CUSTOMER_ROWS)
 _EMITTED = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS emitted FROM events"
 _NEXT = f"""
 SELECT * FROM orders
@@ -243,6 +255,7 @@ ORACLES = {
         SELECT 'bronze' AS layer, count(*) AS n_rows FROM ({once(FEED)}) m
         UNION ALL SELECT 'silver', count(*) FROM ({once(FEED)}) m WHERE v > 20""",
     "merge_once": once(FEED),
+    "merge_once_rows": f"SELECT k, {ROW_COLUMNS} FROM ({_MERGED_ROWS}) m",
     "merge_once_latest_wins": once(FEED, insert_on_match="d.v"),
     "merge_changes": MERGE_CHANGES,
     "merge_null_and_unknown_ops": once(_NO_OPS),
@@ -262,6 +275,12 @@ ORACLES = {
                CASE WHEN b.k IS NULL THEN 'INSERT' WHEN a.k IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS _operation
         FROM ({CUSTOMERS}) b FULL JOIN ({once(FEED)}) a ON a.k = b.k
         WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v""",
+    "snapshot_diff_rows": f"""
+        SELECT k, {ROW_COLUMNS}, _operation FROM (
+            SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN b.v ELSE a.v END AS v,
+                   CASE WHEN b.k IS NULL THEN 'INSERT' WHEN a.k IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS _operation
+            FROM ({CUSTOMER_ROWS}) b FULL JOIN ({_MERGED_ROWS}) a ON a.k = b.k
+            WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v) d""",
     "snapshot_diff_repeated_keys": """
         WITH a AS (SELECT * REPLACE (CASE WHEN l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
                    FROM (SELECT * FROM lineitem WHERE l_linenumber <> 3
@@ -276,6 +295,7 @@ ORACLES = {
         UNION ALL
         SELECT g.*, 'DELETE' FROM gone g JOIN n ON g.l_orderkey = n.l_orderkey WHERE NOT (o = 1 AND w = 1)""",
     "replay_fold": replayed(FEED, CUSTOMERS, FEED_TIES),
+    "replay_fold_rows": replayed(ROWS_FEED, CUSTOMER_ROWS, FEED_TIES, f"SELECT k, {ROW_COLUMNS} FROM final"),
     "replay_daily": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_backlog": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_latest_wins": LATEST_WINS,
@@ -294,6 +314,10 @@ ORACLES = {
     "distinct_products": "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL",
     "distinct_products_maintained": replayed(LINES_AFTER, LINES_BEFORE, LINE_TIES, "SELECT DISTINCT v AS p FROM final"),
     "distinct_products_changes": _product_changes(),
+    "distinct_line_products_maintained": replayed(
+        EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final"
+    ),
+    "distinct_line_products_changes": _product_changes(EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}"),
     "loyalty_clientes": _loyalty(CLIENTES_FEED, CLIENTES, FEED_TIES, "idCliente", CLIENTE_COLUMNS),
     "loyalty_transacoes": _loyalty(TRANSACOES_FEED, TRANSACOES, TRANSACAO_TIES, "IdTransacao", TRANSACAO_COLUMNS),
     "loyalty_transacao_produto": _loyalty(ITEMS_FEED, ITEMS, ITEM_TIES, "idTransacaoProduto", PRODUTO_COLUMNS),
