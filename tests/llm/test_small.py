@@ -506,3 +506,11 @@ def test_edited_digest(spark):
     found = {r.id: (r.text, r.next_start) for r in sketches.with_next(rows).collect()}
     assert found == {1: ("abcdé", "xy"), 2: ("xy", ""), 3: ("", "")}
     assert hashlib.sha256(b"abcxy").hexdigest()
+
+
+def test_unsound_records_end_the_query(spark):
+    rows = spark.createDataFrame([("a", "response", True), ("b", "response", False)], "record_id string, type string, sound boolean")
+    kind = warc.checked(F.col("type")).alias("record_type")
+    assert [r.record_type for r in rows.where("sound").select(kind).where("record_type = 'response'").collect()] == ["response"]
+    with pytest.raises(Exception, match="unsound record b"):
+        rows.select(kind).where("record_type = 'response'").collect()
