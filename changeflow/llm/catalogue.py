@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from changeflow.llm import decontamination, language_id, license_scan, pieces, quality, simhash, sketches, substrings, token_counts, warc
+from changeflow.llm import decontamination, language_id, license_scan, merkle, pieces, quality, simhash, sketches, substrings, token_counts, warc
 
 QUERIES = {
     "op1_licenses": license_scan.op1_licenses,
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op7_substrings": substrings.OP7_SQL,
     "op4_warc": warc.OP4_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }

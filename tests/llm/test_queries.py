@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, name):
 def test_all_operators_are_registered():
     registered = importlib.import_module("__spark_entry__").queries()
     assert set(QUERIES) <= set(registered)
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op4_warc", "op9_decontamination")])
