@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from changeflow.llm import decontamination, language_id, license_scan, merkle, pieces, quality, simhash, sketches, substrings, token_counts, turn_repair, warc
+from changeflow.llm import decontamination, language_id, license_scan, merkle, pieces, quality, repetition, simhash, sketches, substrings, token_counts, turn_repair, warc
 
 QUERIES = {
     "op1_licenses": license_scan.op1_licenses,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_repetition": repetition.op11_repetition,
     "op12_turn_repair": turn_repair.op12_turn_repair,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
