@@ -2,16 +2,22 @@
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case.
 
-1. All k-grams of a document, for each k that a template uses (its length, at most ``GRAM``), are hashed with their positions
-   and joined to the templates' k-grams.
+1. All k-grams of a document, for each k that a template uses, are hashed with their positions and joined to the templates'
+   k-grams.
 2. A hit votes for its diagonal, the document's position less the template's; votes are counted per text, template and
    diagonal.
 3. Neighbouring diagonals (words put in or left out move an alignment by a few) are merged to one span.
-4. The span so found is verified on the words themselves: an exact template needs its words one after the other; any
-   other one its share of words in common order, by longest common subsequence.
+4. The span so found is verified on the words themselves: a base template needs its words one after the other; any
+   other one LEAST_PERCENT percent of its words in common order, by longest common subsequence, with at most a quarter as
+   many other words put in between (one at least).
 
-Templates are few and of stated size, so their k-grams are broadcast, after a check of their number. Texts are told apart by
-a 128-bit hash, so equal texts are worked on as one.
+A base template is found wherever it stands, for it has all its votes on one diagonal. Any other one is found wherever step 4
+accepts it: k is so small (``gram``) that some k-gram stays whole whatever words are missing or put in, and every span
+with a vote is verified, with a margin for the words put in. ``WORD``, templates and figures are parameters of the method.
+
+The templates' k-grams are broadcast while there are at most BROADCAST_ROWS of them; more are joined by shuffle, with the same
+result. Texts are told apart by a 128-bit hash, so equal texts are worked on as one. A text is hashed and verified whole by one
+task: one very long text needs about 30 bytes of memory per word and k.
 """
 
 from __future__ import annotations
@@ -31,9 +37,9 @@ from pyspark.sql.functions import pandas_udf
 from changeflow.llm.common import fresh_name, load, short_batches, stage
 
 GRAM = 3
-# Diagonals at most so far apart are neighbours; the least share of a template's words that a span must hold in order.
+# Diagonals at most so far apart are neighbours; the least percentage of a template's words that a place must hold in order.
 DRIFT = 3
-LEAST = 0.8
+LEAST_PERCENT = 80
 BROADCAST_ROWS = 1_000_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 ODD = 0x9E3779B97F4A7C15
@@ -91,8 +97,29 @@ def _grams(words: list[bytes], sizes: list[int]) -> np.ndarray:
     return out
 
 
+def needed(m: int) -> int:
+    """How many of a template's ``m`` words a place must hold in order."""
+    return -(-m * LEAST_PERCENT // 100)
+
+
+def put_in(m: int) -> int:
+    """How many other words may stand between those of a template of ``m`` words."""
+    return max(1, m // 4)
+
+
+def gram(m: int, base: bool) -> int:
+    """The greatest k up to GRAM of which a k-gram is whole in every place: words missing and put in break what is left of
+    the template into at most so many runs, one of which has k words."""
+    runs = m - needed(m) + put_in(m) + 1
+    return min(GRAM, m) if base else next(k for k in range(GRAM, 0, -1) if k == 1 or needed(m) > (k - 1) * runs)
+
+
+def _gram(template: Template) -> int:
+    return gram(len(_words(template.text)), template.base)
+
+
 def _sizes(templates: list[Template]) -> list[int]:
-    return sorted({min(GRAM, len(_words(t.text))) for t in templates})
+    return sorted({_gram(t) for t in templates})
 
 
 def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
@@ -102,11 +129,10 @@ def template_grams(spark: SparkSession, templates: list[Template]) -> DataFrame:
         words = _words(template.text)
         if not words:
             raise ValueError(f"template {template.label!r} has no words")
-        grams = _grams(words, [min(GRAM, len(words))])[0]
+        grams = _grams(words, [_gram(template)])[0]
         rows += [(h, number, at) for at, h in enumerate(grams.view(np.int64).tolist())]
-    if len(rows) > BROADCAST_ROWS:
-        raise ValueError(f"{len(rows)} template k-grams; {BROADCAST_ROWS} can be broadcast")
-    return spark.createDataFrame(rows, "hash long, template int, at int")
+    grams = spark.createDataFrame(rows, "hash long, template int, at int")
+    return F.broadcast(grams) if len(rows) <= BROADCAST_ROWS else grams.hint("merge")
 
 
 def _positions(sizes: list[int]):
@@ -129,25 +155,44 @@ def _positions(sizes: list[int]):
     return run
 
 
-def _in_order(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the longest common subsequence, row by row."""
-    last = np.zeros(len(b) + 1, np.int64)
-    codes: dict[bytes, int] = {}
-    coded = np.array([codes.setdefault(w, len(codes)) for w in b])
-    for word in a:
-        step = np.where(coded == codes.get(word, -1), last[:-1] + 1, last[1:])
-        last[1:] = np.maximum.accumulate(step)
-    return int(last[-1])
+def _place(words: list[bytes], template: list[bytes]) -> tuple[int, int, int] | None:
+    """(words in common order, begin, end) of the place that holds most of the template, the earliest among equals; None
+    where no place holds enough of it."""
+    m, best = len(template), None
+    at = {w: [j for j in range(m) if template[j] == w] for w in set(template)}
+    # start[j, n]: the latest start of n words in common order with the template's first j; -1 where there are none.
+    start = np.full((m + 1, m + 1), -1, np.int64)
+    for i, word in enumerate(words):
+        if word not in at:
+            continue
+        start[:, 0] = i
+        before = start.copy()
+        for j in at[word]:
+            np.maximum(start[j + 1, 1:], before[j, :-1], out=start[j + 1, 1:])
+        np.maximum.accumulate(start, axis=0, out=start)
+        for n in range(m, max(needed(m) - 1, best[0] if best else 0), -1):
+            if start[m, n] >= 0 and i + 1 - start[m, n] - n <= put_in(m):
+                best = (n, int(start[m, n]), i + 1)
+                break
+    return best
 
 
 def _verified(words: list[bytes], template: list[bytes], base: bool, begin: int, end: int) -> list[tuple[int, int, float]]:
-    """(begin, end, share) of the places in the span; those of a base template are exact."""
+    """(begin, end, share) of the places in the span and, but for base templates, its margins."""
     m = len(template)
-    begin, end = max(0, begin), min(len(words), end)
     if base:
+        begin, end = max(0, begin), min(len(words), end)
         return [(i, i + m, 1.0) for i in range(begin, end - m + 1) if words[i:i + m] == template]
-    share = _in_order(words[begin:end], template) / m
-    return [(begin, end, share)] if share >= LEAST else []
+    begin, end = max(0, begin - put_in(m)), min(len(words), end + put_in(m))
+    # A place has at most so many words; a longer span is searched piece by piece, each of which reaches into the next.
+    width, places, known = m + put_in(m), [], set(template)
+    for at in range(begin, max(begin + 1, end - width), width):
+        part = words[at:min(end, at + 2 * width)]
+        if sum(w in known for w in part) < needed(m):
+            continue
+        if found := _place(part, template):
+            places.append((at + found[1], at + found[2], found[0] / m))
+    return places
 
 
 def _verify(templates: list[Template], texts: Column, spans: Column) -> Column:
@@ -179,16 +224,16 @@ def spans_of(docs: DataFrame, templates: list[Template], text: str) -> DataFrame
     texts = short_batches(docs).select(*_keys(F.col(text)), F.col(text).alias("text"))
     rows = texts.mapInArrow(_positions(sizes), "k1 long, k2 long, n long, grams array<long>")
     spread = rows.select("k1", "k2", "n", F.posexplode("grams").alias("place", "hash"))
-    hits = spread.join(F.broadcast(template_grams(docs.sparkSession, templates)), "hash")
+    hits = spread.join(template_grams(docs.sparkSession, templates), "hash")
 
     def per_template(values: list[int]) -> Column:
         return F.get(F.array(*map(F.lit, values)), F.col("template"))
 
-    gram, length = per_template([min(GRAM, m) for m in lengths]), per_template(lengths)
+    size, length = per_template([_gram(t) for t in templates]), per_template(lengths)
     # The k-grams of smaller sizes stand before those of the template's size.
     before = F.lit(0)
     for k in sizes:
-        before = before + F.when(gram > k, F.greatest(F.lit(0), F.col("n") - k + 1)).otherwise(0)
+        before = before + F.when(size > k, F.greatest(F.lit(0), F.col("n") - k + 1)).otherwise(0)
     diagonal = F.col("place") - before - F.col("at")
     group = ["k1", "k2", "template"]
     votes = hits.select(*group, diagonal.alias("diagonal"), "at").distinct()
@@ -199,28 +244,25 @@ def spans_of(docs: DataFrame, templates: list[Template], text: str) -> DataFrame
     merged = votes.withColumn("island", F.sum("new").over(order)).groupBy(*group, "island").agg(
         F.min("diagonal").alias("begin"), (F.max("diagonal") + length).alias("stop"), F.sum("votes").alias("votes")
     )
-    # A share of LEAST leaves so many k-grams at least whole.
-    needed = per_template([max(1, m - min(GRAM, m) + 1 - min(GRAM, m) * int((1 - LEAST) * m)) for m in lengths])
-    enough = merged.where(F.col("votes") >= needed)
+    # A base template has all its k-grams whole, any other one at least one.
+    enough = merged.where(F.col("votes") >= per_template([m - _gram(t) + 1 if t.base else 1 for t, m in zip(templates, lengths)]))
     return enough.groupBy("k1", "k2").agg(F.collect_list(F.struct("template", "begin", "stop")).alias("spans"))
 
 
 def scan(docs: DataFrame, templates: list[Template], text: str = "text") -> DataFrame:
-    """``docs`` with ``scan``, a struct of n_words and ``places``, the verified spans: array of (template, begin, stop,
+    """``docs`` with ``scan`` (``_scan`` where there is such a column), a struct of n_words and ``places``, the verified spans: array of (template, begin, stop,
     share), where ``template`` is the number in the list, [begin, stop) are words from 0 and ``share`` is that of the
     template's words.
 
     NULL and empty texts have no words and no places; repeated rows have their places each; overlapping places of
     different templates are all given. An empty table gives no rows.
     """
-    if "scan" in {c.lower() for c in docs.columns}:
-        raise ValueError("the documents have a column scan already")
-    names = fresh_name(docs, "k1", "k2", "spans")
+    into, *names = fresh_name(docs, "scan", "k1", "k2", "spans")
     spans = stage(spans_of(docs, templates, text)).toDF(*names)
     k1, k2 = _keys(docs[text])
     # The spans grow with the corpus, so this join shuffles at every size.
     found = docs.join(spans.hint("merge"), (k1 == spans[names[0]]) & (k2 == spans[names[1]]), "left")
-    return found.withColumn("scan", _verify(templates, F.col(text), F.col(names[2]))).drop(*names)
+    return found.withColumn(into, _verify(templates, F.col(text), F.col(names[2]))).drop(*names)
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

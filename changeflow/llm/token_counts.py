@@ -143,7 +143,8 @@ def _distinct(path: str):
             seen: set[str] = set()
             for _, text in block:
                 seen.update(pre.words(text) if text else ())
-            yield pd.DataFrame({"token": sorted({t for word in seen for t in pre.cut(word)})})
+            # Of a stated type, for a block may have no words.
+            yield pd.DataFrame({"token": pd.Series(sorted({t for word in seen for t in pre.cut(word)}), dtype=object)})
 
     return run
 
@@ -168,10 +169,11 @@ def _frequencies(path: str):
             packed = [postings[i:j].tobytes() for i, j in zip(first, first[1:])]
             name = (task << 32) + number
             ids = np.array([[0 if pd.isna(i) else int(i), pd.isna(i), len((t or "").encode())] for i, t in block], "<i8")
-            yield pd.DataFrame({"block": name, "token": [None], "packed": [ids.tobytes()]})
+            # The block's list of documents takes part in the join under a name of its own, so that it is dealt out evenly.
+            yield pd.DataFrame({"block": name, "head": True, "token": [f"block {name}"], "packed": [ids.tobytes()]})
             for at in range(0, len(tokens), 50_000):
                 part = slice(at, at + 50_000)
-                yield pd.DataFrame({"block": name, "token": tokens[part], "packed": packed[part]})
+                yield pd.DataFrame({"block": name, "head": False, "token": tokens[part], "packed": packed[part]})
             del tokens, codes, docs, counts, postings, packed
             release()
 
@@ -205,10 +207,10 @@ def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return out
 
     for batch in _joined(batches):
-        head = batch[batch.pieces.isna()]
+        head = batch[batch["head"]]
         if len(head):
             yield pd.DataFrame({"block": head.block, "head": True, "packed": head.packed})
-        body = batch[batch.pieces.notna()]
+        body = batch[~batch["head"]]
         if not len(body):
             continue
         sizes = body.packed.map(len).to_numpy(np.int64) // POSTING.itemsize
@@ -263,8 +265,8 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     and empty texts). ``path`` is a tokenizer file that every executor has. An empty table gives no rows."""
     vocabulary = stage(piece_counts(docs, path, text))
     texts = short_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = texts.mapInPandas(_frequencies(path), "block long, token string, packed binary")
-    joined = rows.join(vocabulary, "token", "left").select("block", "pieces", "packed")
+    rows = texts.mapInPandas(_frequencies(path), "block long, head boolean, token string, packed binary")
+    joined = rows.join(vocabulary, "token", "left").select("block", "head", "pieces", "packed")
     sums = joined.mapInPandas(_partial_sums, "block long, head boolean, packed binary")
     return sums.groupBy("block").applyInPandas(_per_document, "doc_id long, n_bytes long, n_tokens long")
 

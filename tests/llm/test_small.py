@@ -96,6 +96,65 @@ def test_license_with_changed_words(spark):
     assert 0.8 <= labels["cc-by"] < 1
 
 
+def best_share(words, template):
+    """The greatest share over all runs of words with few enough others between."""
+    m, best = len(template), 0
+    for i in range(len(words)):
+        last = [0] * (m + 1)
+        for j in range(i, min(len(words), i + m + license_scan.put_in(m))):
+            now = [0]
+            for n, word in enumerate(template):
+                now.append(last[n] + 1 if words[j] == word else max(now[-1], last[n + 1]))
+            last = now
+            if j + 1 - i - last[m] <= license_scan.put_in(m):
+                best = max(best, last[m])
+    return best
+
+
+def test_every_notice_is_found_with_words_changed_and_put_in(spark):
+    """Notices with words missing, changed and put in, up to and over the limits, against all runs of words."""
+    rng, texts = np.random.default_rng(14), []
+    for number, notice in enumerate(license_scan.NOTICES):
+        words = license_scan._words(notice.text)
+        m = len(words)
+        lost = m - license_scan.needed(m)
+        for trial in range(24):
+            changed, gone = list(words), rng.choice(m, min(m, lost + trial % 3 // 2), replace=False)
+            for i in sorted(gone.tolist(), reverse=True):
+                changed[i:i + 1] = [] if trial % 2 else [b"changed"]
+            for _ in range(trial % (license_scan.put_in(m) + 2) if trial > 3 else 0):
+                changed.insert(int(rng.integers(1, len(changed) + 1)), b"other")
+            around = [w.decode() for w in changed]
+            texts.append((number, f"{prose(9, rng)} {' '.join(around)} {prose(9, rng)} of the {prose(5, rng)}"))
+    extra = ["Released under the MIT licence", "Released under a MIT License", "Released under the new MIT License",
+             "Licensed under the new Apache License , dated Version 2.0", "of the " * 400 + "released under the mit license"]
+    texts += [(-1, t) for t in extra]
+    rows = spark.createDataFrame(texts, "number int, text string")
+    found = {r.text: {p.template: p for p in r.scan.places} for r in license_scan.scan(rows, license_scan.NOTICES).collect()}
+    accepted = 0
+    for _, text in texts:
+        words = license_scan._words(text)
+        for n, notice in enumerate(license_scan.NOTICES):
+            template = license_scan._words(notice.text)
+            best = best_share(words, template)
+            place = found[text].get(n)
+            assert (place is not None) == (best >= license_scan.needed(len(template))), (text, notice.text)
+            if place is not None:
+                accepted += 1
+                assert round(place.share * len(template)) == best_share(words[place.begin:place.stop], template)
+    assert accepted > 120
+    labels = [{license_scan.NOTICES[n].label for n in found[t]} for t in extra]
+    assert labels == [{"mit"}, {"mit"}, {"mit"}, {"apache"}, {"mit"}]
+
+
+def test_many_templates_and_a_column_of_the_same_name(spark, monkeypatch):
+    rows = spark.createDataFrame([("all rights reserved cc by", 1)], "text string, scan int")
+    plain = license_scan.scan(rows, license_scan.BASE).first()
+    monkeypatch.setattr(license_scan, "BROADCAST_ROWS", 0)
+    assert license_scan.scan(rows, license_scan.BASE).first() == plain
+    assert plain.scan == 1 and [p.template for p in plain["_scan"].places] == [0, 2]
+
+
 # -- sketches --------------------------------------------------------------------------------
 
 
@@ -514,3 +573,20 @@ def test_unsound_records_end_the_query(spark):
     assert [r.record_type for r in rows.where("sound").select(kind).where("record_type = 'response'").collect()] == ["response"]
     with pytest.raises(Exception, match="unsound record b"):
         rows.select(kind).where("record_type = 'response'").collect()
+
+
+def test_token_counts_of_a_task_without_words(spark):
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    for texts in ([None, ""], [None], ["", " \n"]):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        found = sorted(map(tuple, token_counts.token_counts(rows, path).collect()))
+        assert found == [(i, len(t or ""), 0) for i, t in enumerate(texts)]
+    rows = spark.createDataFrame([(1, "block 0"), (2, "block 8589934592 block"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(rows.repartition(3), path).collect()}
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    assert found == {1: len(plain.encode("block 0", add_special_tokens=False).ids),
+                     2: len(plain.encode("block 8589934592 block", add_special_tokens=False).ids), 3: 0}
