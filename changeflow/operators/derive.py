@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, any_null, as_list
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE, any_null, as_list
+from changeflow.operators.latest import latest_row_changes
 from changeflow.operators.merge import NEW_IMAGES
 from changeflow.sources.paths import stage
 
@@ -58,3 +59,25 @@ def derived_changes(
     # Rows without a key are only ever inserted.
     keyless = changes.where(any_null(keys) & is_new).where(kept)
     return labelled.unionByName(keyless.select(*columns, F.lit("insert").alias(CHANGE_TYPE)))
+
+
+def projected_operations(
+    changes: DataFrame, columns: Sequence[str | Column], where: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Row changes, pre-images left out, as projected rows with the operation to merge; one that fails the filter is a
+    DELETE. ``keep`` are columns of the changes to keep beside the projection."""
+    kept = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    operation = (
+        F.when((F.col(CHANGE_TYPE) == "delete") | ~kept, DELETE)
+        .when(F.col(CHANGE_TYPE) == "insert", INSERT)
+        .otherwise(UPDATE)
+    )
+    images = changes.where(F.col(CHANGE_TYPE) != "update_preimage")
+    return images.withColumn("_operation", operation).select(*columns, "_operation", *keep)
+
+
+def latest_operations(
+    changes: DataFrame, key: str | Sequence[str], columns: Sequence[str | Column], where: Column | None = None
+) -> DataFrame:
+    """One projected row per key, that of its latest row change, with the operation to merge."""
+    return projected_operations(latest_row_changes(changes, key), columns, where)

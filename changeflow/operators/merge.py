@@ -41,6 +41,8 @@ from changeflow.sources.paths import stage
 
 REFERENCE, LATEST_WINS = "reference", "latest_wins"
 NEW_IMAGES = ("insert", "update_postimage")
+# Columns of classified rows: the operation that met a row, and the row before.
+ACT, OLD = "__act", "__old"
 
 
 def effective_op(op: Column, mode: str) -> Column:
@@ -81,7 +83,12 @@ def drop_older(target: DataFrame, source: DataFrame, key: str | Sequence[str], g
 def _new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], op: str) -> DataFrame:
     """Source rows that enter the table as rows of their own; ``__hit`` tells if the key existed."""
     writes = source.where(F.col(op).isin(INSERT, UPDATE, REPLACE))
-    hit = present_keys(target, writes, keys).withColumn("__hit", F.lit(True))
+    return _with_hits(present_keys(target, writes, keys), source, keys, op)
+
+
+def _with_hits(present: DataFrame, source: DataFrame, keys: Sequence[str], op: str) -> DataFrame:
+    writes = source.where(F.col(op).isin(INSERT, UPDATE, REPLACE))
+    hit = present.withColumn("__hit", F.lit(True))
     return writes.join(hit, list(keys), "left").where(F.col("__hit").isNull() | (F.col(op) == REPLACE))
 
 
@@ -123,34 +130,66 @@ def row_changes(
 ) -> DataFrame:
     """The row changes the same merge makes: target columns plus ``_change_type``.
 
-    Only matched rows and inserts pass through here, so the result is of the change set's size.
+    The target is scanned once; the rows that an operation met are stored, about as many as the change set has.
     """
     keys, columns = as_list(key), target.columns
     if guard is not None:
         source = drop_older(target, source, keys, guard)
-    src = _source_side(source, columns, op, mode).where(F.col("__op").isin(UPDATE, DELETE, REPLACE))
+    seen = stage(classify(target, source, keys, op, mode).where(F.col(ACT).isNotNull()))
+    return classified_changes(seen, new_rows(seen, source, keys, op), columns)
+
+
+def classify(
+    target: DataFrame,
+    source: DataFrame,
+    key: str | Sequence[str],
+    op: str = "_operation",
+    mode: str = REFERENCE,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every row of the target once, in one scan: its columns as the merge leaves them, ``__act``, the operation that met it
+    (NULL where none did), and ``__old``, the row before. ``columns`` are those of the change set; the target may have more,
+    which stay. With ``classified_changes``, ``new_rows`` and ``stays``, state and row changes follow from the stored result.
+    """
+    keys, columns = as_list(key), columns or target.columns
+    src = _source_side(source, columns, op, mode).where(F.col("__op").isin(INSERT, UPDATE, DELETE, REPLACE))
+    more = [c for c in target.columns if c not in columns]
+    replaced = F.col("__op") == UPDATE
+    return target.join(src, _on(keys), "left").select(
+        *[F.when(replaced, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns],
+        *more,
+        F.col("__op").alias(ACT),
+        F.when(F.col("__op").isin(UPDATE, DELETE, REPLACE), F.struct(*columns)).alias(OLD),
+    )
+
+
+def stays() -> Column:
+    """Whether a classified row is still in the table."""
+    return F.col(ACT).isNull() | ~F.col(ACT).isin(DELETE, REPLACE)
 
-    def image(kind: str, prefix: str) -> Column:
-        row = F.struct(*[F.col(prefix + c).alias(c) for c in columns])
+
+def new_rows(matched: DataFrame, source: DataFrame, key: str | Sequence[str], op: str = "_operation") -> DataFrame:
+    """Source rows that enter the table as rows of their own, ``__hit`` telling if the key existed; ``matched`` holds the
+    classified rows that an operation met."""
+    return _with_hits(matched.select(*as_list(key)).distinct(), source, as_list(key), op)
+
+
+def classified_changes(seen: DataFrame, added: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The row changes of a merge, from its classified and its new rows."""
+
+    def image(kind: str, row: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
 
-    pre = image("update_preimage", "")
+    pre = image("update_preimage", F.col(OLD))
     images = (
-        F.when(F.col("__op") == DELETE, F.array(image("delete", "")))
-        .when(F.col("__op") == UPDATE, F.array(pre, image("update_postimage", "__new_")))
+        F.when(F.col(ACT) == DELETE, F.array(image("delete", F.col(OLD))))
+        .when(F.col(ACT) == UPDATE, F.array(pre, image("update_postimage", F.struct(*columns))))
         .otherwise(F.array(pre))
     )
-    matched = (
-        target.join(src, _on(keys), "inner")
-        .select(F.explode(images).alias("image"))
-        .select(
-            *[F.col(f"image.row.{c}").alias(c) for c in columns],
-            F.col("image.kind").alias(CHANGE_TYPE),
-        )
-    )
+    matched = seen.where(F.col(ACT).isin(UPDATE, DELETE, REPLACE)).select(F.explode(images).alias("image"))
+    matched = matched.select(*[F.col(f"image.row.{c}").alias(c) for c in columns], F.col("image.kind").alias(CHANGE_TYPE))
     kind = F.when(F.col("__hit"), "update_postimage").otherwise("insert")
-    added = _new_rows(target, source, keys, op).select(*columns, kind.alias(CHANGE_TYPE))
-    return matched.unionByName(added)
+    return matched.unionByName(added.select(*columns, kind.alias(CHANGE_TYPE)))
 
 
 def apply_changes(

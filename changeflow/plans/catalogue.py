@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,18 +10,23 @@ from changeflow.functions.columns import file_stamp, in_sample, scale_and_round
 from changeflow.functions.schemas import conform
 from changeflow.operators import checks, pending
 from changeflow.operators.diff import snapshot_diff as diff_snapshots
-from changeflow.operators.distinct import distinct_values
+from changeflow.operators.derive import derived_changes, latest_operations, projected_operations
+from changeflow.operators.distinct import count_row_changes, distinct_values, set_history, value_counts, value_deltas
+from changeflow.operators.guarded import replay_guarded as fold_guarded
+from changeflow.operators.history import history
 from changeflow.operators.latest import latest, latest_row_changes
-from changeflow.operators.merge import LATEST_WINS, REFERENCE, merge, row_changes
+from changeflow.operators.merge import LATEST_WINS, REFERENCE, apply_changes, merge, row_changes
 from changeflow.operators.replay import replay
 from changeflow.plans import feeds, loyalty
 from changeflow.plans.feeds import FEED_ORDER, LINE_ORDER, load
 from changeflow.sources import files, paths
+from changeflow.sources.partitioned import PartitionedTable
 from changeflow.sources.table import KeyedTable
-from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest
+from changeflow.streaming.ingest import BronzeIngest, DistinctIngest
 
 NEXT_BATCH = 500
 SAMPLE_RATE = 0.03
+PARTITIONS = 16  # of the tables that queries make for themselves
 
 
 # -- projections, stamps, schemas ------------------------------------------------------------
@@ -149,8 +154,8 @@ def op_counts_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A merged table and the filtered projection that is derived from it."""
-    bronze = merge_once(spark, sf)
-    return checks.layer_counts({"bronze": bronze, "silver": bronze.where("v > 20").select(F.col("k").alias("id"))})
+    bronze = merge_once_rows(spark, sf)
+    return checks.layer_counts({"bronze": bronze, "silver": bronze.where("c_acctbal > 20").select(F.col("k").alias("id"))})
 
 
 # -- merge ------------------------------------------------------------------------------------
@@ -161,16 +166,22 @@ def _one_change_set(spark: SparkSession, sf: str) -> DataFrame:
     return paths.stage(latest(feed, "k", FEED_ORDER, "_operation").select("k", "v", "_operation"))
 
 
+def _change_rows(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+    """The latest change of each customer, with all columns."""
+    feed = feeds.customer_rows_feed(spark, sf) if feed is None else feed
+    return paths.stage(latest(feed, "k", FEED_ORDER, "_operation").drop("b", *FEED_ORDER))
+
+
 def merge_once(spark: SparkSession, sf: str) -> DataFrame:
     return merge(feeds.customers(spark, sf), _one_change_set(spark, sf), "k")
 
 
 def merge_once_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return merge(feeds.customers(spark, sf), _one_change_set(spark, sf), "k", mode=LATEST_WINS)
+    return merge(feeds.customer_rows(spark, sf), _change_rows(spark, sf), "k", mode=LATEST_WINS)
 
 
 def merge_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return row_changes(feeds.customers(spark, sf), _one_change_set(spark, sf), "k")
+    return row_changes(feeds.customer_rows(spark, sf), _change_rows(spark, sf), "k")
 
 
 def merge_null_and_unknown_ops(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,11 +191,7 @@ def merge_null_and_unknown_ops(spark: SparkSession, sf: str) -> DataFrame:
         F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").when(kind == "click", "UPDATE")
         .when(kind == "purchase", "REFUND")
     )
-    feed = load(spark, sf, "events").select(
-        (F.col("user_id") * 20).alias("k"), F.col("value").alias("v"), operation.alias("_operation"), *FEED_ORDER
-    )
-    source = paths.stage(latest(feed, "k", FEED_ORDER, "_operation").select("k", "v", "_operation"))
-    return merge(feeds.customers(spark, sf), source, "k")
+    return merge(feeds.customer_rows(spark, sf), _change_rows(spark, sf, feeds.customer_rows_feed(spark, sf, operation)), "k")
 
 
 def merge_guarded(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,9 +209,7 @@ def merge_guarded(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_once_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The merge of whole customer rows, all columns."""
-    feed = feeds.customer_rows_feed(spark, sf)
-    source = paths.stage(latest(feed, "k", FEED_ORDER, "_operation").drop("b", *FEED_ORDER))
-    return merge(feeds.customer_rows(spark, sf), source, "k")
+    return merge(feeds.customer_rows(spark, sf), _change_rows(spark, sf), "k")
 
 
 def snapshot_diff_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,74 +231,111 @@ def snapshot_diff_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
 # -- replay -----------------------------------------------------------------------------------
 
 
-def _fold(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    feed = feeds.customer_feed(spark, sf)
-    base = feeds.customers(spark, sf).select("k", "v")
-    return replay(base, feed, "k", "b", FEED_ORDER, mode=mode)
+def replay_fold(spark: SparkSession, sf: str) -> DataFrame:
+    return replay(feeds.customers(spark, sf), feeds.customer_feed(spark, sf), "k", "b", FEED_ORDER)
 
 
-def replay_fold(spark: SparkSession, sf: str) -> DataFrame:
-    return _fold(spark, sf, REFERENCE)
+def _fold_rows(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    return replay(feeds.customer_rows(spark, sf), feeds.customer_rows_feed(spark, sf), "k", "b", FEED_ORDER, mode=mode)
 
 
 def replay_fold_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The replay of whole customer rows, all columns."""
-    base = feeds.customer_rows(spark, sf)
-    return replay(base, feeds.customer_rows_feed(spark, sf), "k", "b", FEED_ORDER)
+    return _fold_rows(spark, sf, REFERENCE)
 
 
 def replay_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return _fold(spark, sf, LATEST_WINS)
+    return _fold_rows(spark, sf, LATEST_WINS)
 
 
-def _customer_table(spark: SparkSession, sf: str, root: str, batch: str | None = None) -> BronzeIngest:
-    """The customer table, bootstrapped; its change files also carry the order and batch columns."""
-    table = KeyedTable(spark, f"{root}/bronze", "k")
-    ingest = BronzeIngest(table, feeds.customer_feed(spark, sf).schema, FEED_ORDER, batch=batch)
-    ingest.bootstrap(feeds.customers(spark, sf))
-    return ingest
+def _history(spark: SparkSession, sf: str, weekly: bool = True) -> DataFrame:
+    """The row changes of all batches of the customers' feed."""
+    feed = feeds.customer_rows_feed(spark, sf)
+    feed = feeds.weekly(feed) if weekly else feed
+    return paths.stage(history(feeds.customer_rows(spark, sf), feed, "k", "b", FEED_ORDER))
 
 
 def replay_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Thirty daily landings, each followed by a stream run to completion."""
-    root = paths.new_scratch(spark)
-    ingest = _customer_table(spark, sf, root)
-    feeds.land_in_turn(feeds.customer_feed(spark, sf), "b", f"{root}/cdc", lambda: ingest.run(f"{root}/cdc"))
-    return ingest.table.read()
+    """The customers after the row changes of thirty daily batches."""
+    return apply_changes(feeds.customer_rows(spark, sf), _history(spark, sf, weekly=False), "k")
 
 
 def replay_backlog(spark: SparkSession, sf: str) -> DataFrame:
-    """The same thirty batches found at once by a single run, applied as if one by one."""
+    """The thirty batches landed as files, found at once by a single stream run, applied as if one by one."""
     root = paths.new_scratch(spark)
-    ingest = _customer_table(spark, sf, root, batch="b")
-    feeds.customer_feed(spark, sf).write.parquet(f"{root}/cdc")
+    feed = feeds.customer_rows_feed(spark, sf)
+    table = PartitionedTable(spark, f"{root}/bronze", "k", PARTITIONS)
+    ingest = BronzeIngest(table, feed.schema, FEED_ORDER, batch="b")
+    ingest.bootstrap(feeds.customer_rows(spark, sf))
+    feed.write.parquet(f"{root}/cdc")
     ingest.run(f"{root}/cdc")
-    return ingest.table.read()
+    return table.read()
+
+
+def changes_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    return _history(spark, sf).where(F.col("_commit_version").between(2, 4))
 
 
-def _weekly_table(spark: SparkSession, sf: str, root: str, after_each=lambda: None) -> KeyedTable:
-    ingest = _customer_table(spark, sf, root)
+def table_at_version(spark: SparkSession, sf: str) -> DataFrame:
+    return apply_changes(feeds.customer_rows(spark, sf), _history(spark, sf).where("_commit_version <= 3"), "k")
 
-    def step() -> None:
-        ingest.run(f"{root}/cdc")
-        after_each()
 
-    feeds.land_in_turn(feeds.weekly(feeds.customer_feed(spark, sf)), "b", f"{root}/cdc", step)
-    return ingest.table
+def latest_row_change_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    return latest_row_changes(_history(spark, sf), "k")
 
 
-def changes_by_version(spark: SparkSession, sf: str) -> DataFrame:
-    table = _weekly_table(spark, sf, paths.new_scratch(spark))
-    return table.read_changes(2, 4).drop("_commit_timestamp")
+def _guarded_feed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Each user's newest event of the first third of the month is stored; all events come in batches that hold events of any
+    age, most of them older than what is stored by then."""
+    events = load(spark, sf, "events").withColumnRenamed("user_id", "k")
+    stored = latest(events.where(F.dayofmonth("ts") <= 10), "k", FEED_ORDER)
+    kind = F.col("event_type")
+    operation = F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE")
+    turn = F.when(F.dayofmonth("ts") % 3 == 0, 1).otherwise(F.col("event_id") % 4 + 2)
+    return stored, events.withColumn("_operation", operation).withColumn("b", turn.cast("int"))
 
 
-def table_at_version(spark: SparkSession, sf: str) -> DataFrame:
-    return _weekly_table(spark, sf, paths.new_scratch(spark)).read(version=3)
+def replay_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of changes older than what they meet, which are ignored; a deleted row has no memory."""
+    stored, feed = _guarded_feed(spark, sf)
+    return fold_guarded(stored, feed, "k", "b", FEED_ORDER, "ts")
 
 
-def latest_row_change_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    changes = _weekly_table(spark, sf, paths.new_scratch(spark)).read_changes(1)
-    return latest_row_changes(changes, "k").drop("_commit_timestamp")
+def replay_tombstones(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through a stream run into a table that remembers deleted keys, so that late changes don't bring them back."""
+    root = paths.new_scratch(spark)
+    stored, feed = _guarded_feed(spark, sf)
+    table = PartitionedTable(spark, f"{root}/events", "k", PARTITIONS)
+    ingest = BronzeIngest(table, feed.schema, FEED_ORDER, batch="b", guard="ts", keep_deleted="true")
+    ingest.bootstrap(stored)
+    feed.write.parquet(f"{root}/cdc")
+    ingest.run(f"{root}/cdc")
+    return table.read()
+
+
+def _order_batches(spark: SparkSession, sf: str) -> PartitionedTable:
+    """The orders before 1998, and two batches by priority: later orders come, and some of the early ones change or go."""
+    orders = load(spark, sf, "orders")
+    table = PartitionedTable(spark, f"{paths.new_scratch(spark)}/orders", "o_orderkey", PARTITIONS)
+    early = F.year("o_orderdate") < 1998
+    table.overwrite(orders.where(early))
+    operation = (
+        F.when(~early, "INSERT").when(F.col("o_orderstatus") == "P", "DELETE").when(F.col("o_orderkey") % 40 == 1, "UPDATE")
+    )
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") * 2).withColumn("_operation", operation)
+    urgent = F.col("o_orderpriority") < "3"
+    table.merge(1, changed.where(urgent))
+    table.merge(2, changed.where(urgent & F.lit(False)))  # a batch without rows, which leaves nothing
+    table.merge(3, changed.where(~urgent))
+    return table
+
+
+def partitioned_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_batches(spark, sf).read()
+
+
+def partitioned_order_changes(spark: SparkSession, sf: str) -> DataFrame:
+    return _order_batches(spark, sf).read_changes(1).drop("_commit_timestamp")
 
 
 def table_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,27 +346,31 @@ def table_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("SELECT * FROM bronze_orders")
 
 
-def _silver(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    """A filtered projection with a renamed key, driven by the row changes of the bronze table."""
-    root = paths.new_scratch(spark)
-    source = KeyedTable(spark, f"{root}/bronze", "k")
-    silver = SilverIngest(
-        KeyedTable(spark, f"{root}/silver", "id"),
-        source,
-        [F.col("k").alias("id"), F.col("v").alias("balance")],
-        where=F.col("v") > 20,
-        mode=mode,
-    )
-    _weekly_table(spark, sf, root, silver.run)
-    return silver.table.read()
+def _silver(spark: SparkSession, sf: str) -> tuple[DataFrame, list, Column]:
+    """A filtered projection of the customers with a renamed key: its rows before all changes, columns, filter."""
+    columns = [F.col("k").alias("id"), F.col("c_acctbal").alias("balance"), "c_name", "c_nationkey", "c_mktsegment"]
+    where = F.col("c_acctbal") > 20
+    return feeds.customer_rows(spark, sf).where(where).select(*columns), columns, where
 
 
 def silver_from_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver(spark, sf, LATEST_WINS)
+    """The projection's own row changes over all versions, derived from those of the customers."""
+    before, columns, where = _silver(spark, sf)
+    changes = paths.stage(derived_changes(_history(spark, sf), "k", columns, where))
+    return apply_changes(before, changes, "id", one_commit=True)
 
 
 def silver_merged_from_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver(spark, sf, REFERENCE)
+    """The customers' row changes merged into the projection, version by version."""
+    before, columns, where = _silver(spark, sf)
+    feed = projected_operations(_history(spark, sf), columns, where, ["_commit_version"])
+    return replay(before, feed, "id", "_commit_version", "_commit_version")
+
+
+def silver_merged_backlog(spark: SparkSession, sf: str) -> DataFrame:
+    """All versions in one batch: the latest row change of a key alone is merged, and an INSERT leaves a row that is there."""
+    before, columns, where = _silver(spark, sf)
+    return merge(before, paths.stage(latest_operations(_history(spark, sf), "k", columns, where)), "id")
 
 
 # -- distinct ---------------------------------------------------------------------------------
@@ -334,57 +380,81 @@ def distinct_products(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(load(spark, sf, "lineitem"), "l_partkey").orderBy("l_partkey")
 
 
-def _product_set(spark: SparkSession, sf: str, each_line: bool = False) -> DistinctIngest:
-    root = paths.new_scratch(spark)
+def _line_history(spark: SparkSession, sf: str, each_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The lines at the end of the snapshot year and the row changes of each year after it, from version 1."""
     before, feed = feeds.split_lines(spark, sf, each_line)
-    bronze = BronzeIngest(KeyedTable(spark, f"{root}/lines", "k"), feed.schema, LINE_ORDER)
-    bronze.bootstrap(before)
-    products = DistinctIngest(KeyedTable(spark, f"{root}/products", "p"), bronze.table)
-    products.bootstrap()
+    before = paths.stage(before)
+    numbered = feed.withColumn("b", F.col("b") - feeds.SNAPSHOT_YEAR)
+    return before, paths.stage(history(before, numbered, "k", "b", LINE_ORDER))
 
-    def step() -> None:
-        bronze.run(f"{root}/cdc")
-        products.run()
 
-    feeds.land_in_turn(feed, "b", f"{root}/cdc", step)
-    return products
+def _kept(spark: SparkSession, sf: str, columns: list[str], each_line: bool) -> DataFrame:
+    before, changes = _line_history(spark, sf, each_line)
+    counts = paths.stage(value_counts(before, columns))
+    changes = count_row_changes(counts, paths.stage(value_deltas(changes, columns)), columns)
+    return apply_changes(counts, paths.stage(changes), columns, one_commit=True).select(*columns)
 
 
 def distinct_products_maintained(spark: SparkSession, sf: str) -> DataFrame:
-    return _product_set(spark, sf).read()
+    """The products, kept by adding up row changes; one line an order."""
+    return _kept(spark, sf, ["p"], False)
 
 
 def distinct_products_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Products that entered or left the set, per commit."""
-    return _product_set(spark, sf).read_changes(1).drop("_commit_timestamp")
+    """Products that entered or left the set, per version."""
+    before, changes = _line_history(spark, sf)
+    return set_history(before, changes, "p")
 
 
 def distinct_line_products_maintained(spark: SparkSession, sf: str) -> DataFrame:
     """The products of all lines that are left, not of one line an order."""
-    return _product_set(spark, sf, each_line=True).read()
+    return _kept(spark, sf, ["p"], True)
 
 
 def distinct_line_products_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _product_set(spark, sf, each_line=True).read_changes(1).drop("_commit_timestamp")
+    before, changes = _line_history(spark, sf, each_line=True)
+    return set_history(before, changes, "p")
+
+
+def distinct_offers_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of product and supplier that a line holds: a set over two columns, whose members come and go."""
+    return _kept(spark, sf, ["p", "s"], True)
+
+
+def distinct_offers_changes(spark: SparkSession, sf: str) -> DataFrame:
+    before, changes = _line_history(spark, sf, each_line=True)
+    return set_history(before, changes, ["p", "s"])
+
+
+def distinct_offers_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same set, kept by stream runs: the lines' table from all landed years, the pairs from its row changes."""
+    root = paths.new_scratch(spark)
+    before, feed = feeds.split_lines(spark, sf, each_line=True)
+    bronze = BronzeIngest(PartitionedTable(spark, f"{root}/lines", "k", PARTITIONS), feed.schema, LINE_ORDER, batch="b")
+    bronze.bootstrap(before)
+    offers = DistinctIngest(PartitionedTable(spark, f"{root}/offers", ["p", "s"], PARTITIONS), bronze.table)
+    offers.bootstrap()
+    feed.write.parquet(f"{root}/cdc")
+    bronze.run(f"{root}/cdc")
+    offers.run()
+    return offers.read()
 
 
 # -- the loyalty tables, from landing to the derived table --------------------------------------
 
 
 def _loyalty(spark: SparkSession, sf: str, name: str, derived: str) -> DataFrame:
+    """A full load and all change batches landed, then one run of the keyed table and one of the derived table."""
     root = paths.new_scratch(spark)
     raw = f"{root}/raw"
     snapshot, feed = getattr(feeds, name)(spark, sf), getattr(feeds, f"{name}_feed")(spark, sf)
     landed = files.land_snapshot(snapshot, f"{raw}/full_load/{name}", "0001-01-01T00:00:00")
-    ingest, silver = loyalty.bronze(spark, root, name), loyalty.silver(spark, root, derived)
+    ingest, silver = loyalty.bronze(spark, root, name, PARTITIONS), loyalty.silver(spark, root, derived, PARTITIONS)
     ingest.bootstrap(landed)
     silver.bootstrap()
-
-    def step() -> None:
-        ingest.run(f"{raw}/cdc/{name}")
-        silver.run()
-
-    feeds.land_in_turn(feed, "b", f"{raw}/cdc/{name}", step, metadata=True)
+    files.land_changes(feed, f"{raw}/cdc/{name}", F.format_string("%04d-12-31T00:00:00", F.col("b")))
+    ingest.execute(f"{raw}/full_load/{name}", f"{raw}/cdc/{name}")
+    silver.run()
     return silver.read() if derived == "produtos" else silver.table.read()
 
 
@@ -439,17 +509,25 @@ QUERIES = {
         replay_latest_wins,
         replay_daily,
         replay_backlog,
+        replay_guarded,
+        replay_tombstones,
+        partitioned_orders,
+        partitioned_order_changes,
         changes_by_version,
         table_at_version,
         latest_row_change_per_key,
         table_bootstrap,
         silver_from_changes,
         silver_merged_from_changes,
+        silver_merged_backlog,
         distinct_products,
         distinct_products_maintained,
         distinct_products_changes,
         distinct_line_products_maintained,
         distinct_line_products_changes,
+        distinct_offers_maintained,
+        distinct_offers_changes,
+        distinct_offers_streamed,
         loyalty_clientes,
         loyalty_transacoes,
         loyalty_transacao_produto,

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import iso_text
 from changeflow.operators.latest import latest
-from changeflow.sources import files, paths
 
 FEED_ORDER = ["ts", "event_id"]
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -45,15 +42,16 @@ def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
 
 
-def customer_rows_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_rows_feed(spark: SparkSession, sf_dir: str, operation: Column | None = None) -> DataFrame:
     """Events as changes of whole customer rows."""
+    operation = _operation("event_type", "signup", "error") if operation is None else operation
     return load(spark, sf_dir, "events").select(
         (F.col("user_id") * 20).alias("k"),
         F.concat(F.lit("Event#"), F.col("event_id").cast("string")).alias("c_name"),
         (F.col("event_id") % 25).cast("int").alias("c_nationkey"),
         F.col("value").alias("c_acctbal"),
         F.upper("event_type").alias("c_mktsegment"),
-        _operation("event_type", "signup", "error").alias("_operation"),
+        operation.alias("_operation"),
         *FEED_ORDER,
         F.dayofmonth("ts").alias("b"),
     )
@@ -70,6 +68,7 @@ def lines(spark: SparkSession, sf_dir: str, each_line: bool = False) -> DataFram
     return load(spark, sf_dir, "lineitem").select(
         key.alias("k"),
         F.col("l_partkey").alias("p"),
+        F.col("l_suppkey").alias("s"),
         _operation("l_returnflag", "N", "R").alias("_operation"),
         F.year("l_shipdate").alias("b"),
         *LINE_ORDER,
@@ -79,7 +78,7 @@ def lines(spark: SparkSession, sf_dir: str, each_line: bool = False) -> DataFram
 def split_lines(spark: SparkSession, sf_dir: str, each_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """The line table as it stood at the end of the snapshot year, and the changes after it."""
     feed = lines(spark, sf_dir, each_line)
-    before = latest(feed.where(F.col("b") <= SNAPSHOT_YEAR), "k", LINE_ORDER).select("k", "p")
+    before = latest(feed.where(F.col("b") <= SNAPSHOT_YEAR), "k", LINE_ORDER).select("k", "p", "s")
     return before, feed.where(F.col("b") > SNAPSHOT_YEAR)
 
 
@@ -169,26 +168,3 @@ def transacao_produto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transacao_produto_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _transacao_produto(spark, sf_dir).where(F.col("b") > SNAPSHOT_YEAR).drop(*LINE_ORDER)
-
-
-# -- landing -----------------------------------------------------------------------------------
-
-
-def land_in_turn(
-    feed: DataFrame, batch: str, landing: str, after_each: Callable[[], None], metadata: bool = False
-) -> None:
-    """Land the batches of ``feed`` one after the other, with a run after each.
-
-    The feed is written once, by batch; a landing then reads its own batch only.
-    """
-    spark = feed.sparkSession
-    by_batch = paths.new_scratch(spark)
-    feed.hint("rebalance", batch).write.partitionBy(batch).parquet(by_batch)
-    schema = feed.drop(batch).schema
-    for number in sorted(map(int, paths.partition_values(spark, by_batch, batch))):
-        rows = spark.read.schema(schema).parquet(f"{by_batch}/{batch}={number}")
-        if metadata:
-            files.land_changes(rows, landing, f"{number:04d}-12-31T00:00:00")
-        else:
-            rows.withColumn(batch, F.lit(number)).write.mode("append").parquet(landing)
-        after_each()

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from changeflow.sources.table import KeyedTable
+from changeflow.sources.partitioned import PartitionedTable
 from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest
 
 METADATA = "_extracted_at string, _load_type string, _operation string"
@@ -52,18 +52,20 @@ BRONZE = {
 SILVER = ("clientes", "transacoes", "transacao_produto", "produtos")
 
 
-def bronze(spark: SparkSession, root: str, name: str) -> BronzeIngest:
+def bronze(spark: SparkSession, root: str, name: str, partitions: int = 256) -> BronzeIngest:
+    """However many extractions a run finds, they are applied as if one by one, in one batch."""
     spec = BRONZE[name]
-    return BronzeIngest(KeyedTable(spark, f"{root}/bronze/{name}", spec.key), spec.schema, spec.order)
+    table = PartitionedTable(spark, f"{root}/bronze/{name}", spec.key, partitions)
+    return BronzeIngest(table, spec.schema, spec.order, batch="_extracted_at")
 
 
-def silver(spark: SparkSession, root: str, name: str) -> SilverIngest | DistinctIngest:
+def silver(spark: SparkSession, root: str, name: str, partitions: int = 256) -> SilverIngest | DistinctIngest:
     if name == "produtos":
         source = bronze(spark, root, "transacao_produto").table
-        return DistinctIngest(KeyedTable(spark, f"{root}/silver/produtos", "IdProduto"), source)
+        return DistinctIngest(PartitionedTable(spark, f"{root}/silver/produtos", "IdProduto", partitions), source)
     spec = BRONZE[name]
     columns = StructType.fromDDL(spec.columns).names
-    table = KeyedTable(spark, f"{root}/silver/{name}", spec.key)
+    table = PartitionedTable(spark, f"{root}/silver/{name}", spec.key, partitions)
     return SilverIngest(table, bronze(spark, root, name).table, columns)
 
 

@@ -37,6 +37,7 @@ CUSTOMER_ROWS = f"SELECT c_custkey AS k, {_ROW.format('c_name', 'c_nationkey', '
 ROWS_FEED = FEED.replace(
     "value AS v", _ROW.format("'Event#' || event_id", "CAST(event_id % 25 AS INT)", "value", "upper(event_type)") + " AS v"
 )
+ROWS_WEEKLY = WEEKLY.replace(FEED, ROWS_FEED)
 EACH_LINE = "l_orderkey || '-' || l_linenumber AS k"
 EACH_LINE_BEFORE = LINES_BEFORE.replace("l_orderkey AS k", EACH_LINE).replace(LINE_TIES, f"{LINE_TIES}, {OP_RANK}")
 EACH_LINE_AFTER = LINES_AFTER.replace("l_orderkey AS k", EACH_LINE)
@@ -76,13 +77,13 @@ final AS (SELECT keys.k AS k, CASE WHEN lu IS NOT NULL THEN pu.v WHEN pre THEN v
 
 
 LATEST_WINS = f"""
-WITH d AS (SELECT * FROM ({FEED}) f QUALIFY row_number() OVER (PARTITION BY k ORDER BY b DESC, {FEED_TIES}) = 1)
-SELECT c.k AS k, c.v AS v FROM ({CUSTOMERS}) c WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.k = c.k)
+WITH d AS (SELECT * FROM ({ROWS_FEED}) f QUALIFY row_number() OVER (PARTITION BY k ORDER BY b DESC, {FEED_TIES}) = 1)
+SELECT c.k AS k, c.v AS v FROM ({CUSTOMER_ROWS}) c WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.k = c.k)
 UNION ALL SELECT k, v FROM d WHERE op <> 'DELETE'"""
 
 MERGE_CHANGES = f"""
-WITH d AS (SELECT * FROM ({FEED}) f QUALIFY row_number() OVER (PARTITION BY k ORDER BY {FEED_TIES}) = 1),
-     b AS ({CUSTOMERS})
+WITH d AS (SELECT * FROM ({ROWS_FEED}) f QUALIFY row_number() OVER (PARTITION BY k ORDER BY {FEED_TIES}) = 1),
+     b AS ({CUSTOMER_ROWS})
 SELECT b.k AS k, b.v AS v, 'delete' AS _change_type FROM b JOIN d ON b.k = d.k WHERE d.op = 'DELETE'
 UNION ALL SELECT b.k, b.v, 'update_preimage' FROM b JOIN d ON b.k = d.k WHERE d.op = 'UPDATE'
 UNION ALL SELECT b.k, d.v, 'update_postimage' FROM b JOIN d ON b.k = d.k WHERE d.op = 'UPDATE'
@@ -92,8 +93,8 @@ UNION ALL SELECT d.k, d.v, 'insert' FROM d
 # What a batch finds follows from the key's earlier batches since its last DELETE.
 ALL_CHANGES = f"""
 WITH per_batch AS (
-    SELECT * FROM ({WEEKLY}) f QUALIFY row_number() OVER (PARTITION BY k, b ORDER BY {FEED_TIES}) = 1),
-base AS ({CUSTOMERS}),
+    SELECT * FROM ({ROWS_WEEKLY}) f QUALIFY row_number() OVER (PARTITION BY k, b ORDER BY {FEED_TIES}) = 1),
+base AS ({CUSTOMER_ROWS}),
 hist AS (SELECT k, v, op, b,
                 count(CASE WHEN op = 'DELETE' THEN 1 END)
                     OVER (PARTITION BY k ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seg
@@ -184,14 +185,53 @@ QUALIFY row_number() OVER (PARTITION BY k ORDER BY {LINE_TIES}, v.QtdeProduto DE
 ITEMS_FEED = f"SELECT * FROM ({_ITEMS}) i WHERE b > {SNAPSHOT_YEAR}"
 ITEM_TIES = f"{OP_RANK}, v.IdTransacao DESC, v.IdProduto DESC, v.QtdeProduto DESC, v.vlProduto DESC"
 
-_NO_OPS = FEED.replace("ELSE 'UPDATE'", "WHEN 'click' THEN 'UPDATE' WHEN 'purchase' THEN 'REFUND'")
+_NO_OPS = ROWS_FEED.replace("ELSE 'UPDATE'", "WHEN 'click' THEN 'UPDATE' WHEN 'purchase' THEN 'REFUND'")
 _MERGED_ROWS = once(ROWS_FEED).replace(CUSTOMERS, CUSTOMER_ROWS)
+_SILVER_ROW = "v.c_acctbal AS balance, v.c_name AS c_name, v.c_nationkey AS c_nationkey, v.c_mktsegment AS c_mktsegment"
+
+
+def _guarded(remember: bool) -> str:
+    """Six batches, one after the other: what is stored (alive) and what was deleted (dead), by key."""
+    event = "struct_pack(event_id := event_id, ts := ts, event_type := event_type, value := value, props := props)"
+    parts = [
+        f"""feed AS (SELECT user_id AS k, {event} AS v, ts,
+       CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op,
+       CASE WHEN day(ts) % 3 = 0 THEN 1 ELSE event_id % 4 + 2 END AS b FROM events),
+won AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY k, b ORDER BY ts DESC, v.event_id DESC) = 1),
+s0 AS (SELECT user_id AS k, {event} AS v, CAST(NULL AS TIMESTAMP) AS dead FROM events WHERE day(ts) <= 10
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"""
+    ]
+    for b in range(1, 6):
+        late = "coalesce(w.ts < s.v.ts, false)" + (" OR coalesce(w.ts < s.dead, false)" if remember else "")
+        parts.append(f"""s{b} AS (
+    SELECT coalesce(s.k, w.k) AS k,
+           CASE WHEN w.k IS NULL OR {late} OR (w.op = 'INSERT' AND s.v IS NOT NULL) THEN s.v WHEN w.op <> 'DELETE' THEN w.v END AS v,
+           CASE WHEN w.k IS NULL OR {late} THEN s.dead WHEN w.op = 'DELETE' THEN w.ts END AS dead
+    FROM s{b - 1} s FULL JOIN (SELECT * FROM won WHERE b = {b}) w ON w.k = s.k)""")
+    return f"""
+WITH {", ".join(parts)}
+SELECT k, v.event_id AS event_id, v.ts AS ts, v.event_type AS event_type, v.value AS value, v.props AS props FROM s5 WHERE v IS NOT NULL"""
+
+
+_ORDER_BATCHES = """
+SELECT *, o_totalprice * 2 AS doubled, year(o_orderdate) < 1998 AS early, o_orderpriority < '3' AS urgent,
+       CASE WHEN year(o_orderdate) >= 1998 THEN 'INSERT' WHEN o_orderstatus = 'P' THEN 'DELETE'
+            WHEN o_orderkey % 40 = 1 THEN 'UPDATE' END AS op FROM orders"""
 _EMITTED = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS emitted FROM events"
 _NEXT = f"""
 SELECT * FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = o_orderkey)
 ORDER BY o_orderdate, o_orderkey LIMIT {NEXT_BATCH}"""
 
+# Pairs of product and supplier, as a set over two columns.
+_PAIR = "struct_pack(p := l_partkey, s := l_suppkey) AS v"
+_PAIRS_BEFORE, _PAIRS_AFTER = (q.replace("l_partkey AS v", _PAIR) for q in (EACH_LINE_BEFORE, EACH_LINE_AFTER))
+
+
+def _offers(pairs: str, more: str = "") -> str:
+    return f"SELECT p.p AS p, p.s AS s{more} FROM ({pairs}) q"
+
+
 ORACLES = {
     "silver_projection_clients": "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer",
     "stamp_snapshot": """
@@ -256,9 +296,9 @@ ORACLES = {
         UNION ALL SELECT 'silver', count(*) FROM ({once(FEED)}) m WHERE v > 20""",
     "merge_once": once(FEED),
     "merge_once_rows": f"SELECT k, {ROW_COLUMNS} FROM ({_MERGED_ROWS}) m",
-    "merge_once_latest_wins": once(FEED, insert_on_match="d.v"),
-    "merge_changes": MERGE_CHANGES,
-    "merge_null_and_unknown_ops": once(_NO_OPS),
+    "merge_once_latest_wins": f"SELECT k, {ROW_COLUMNS} FROM ({once(ROWS_FEED, insert_on_match='d.v').replace(CUSTOMERS, CUSTOMER_ROWS)}) m",
+    "merge_changes": f"SELECT k, {ROW_COLUMNS}, _change_type FROM ({MERGE_CHANGES}) m",
+    "merge_null_and_unknown_ops": f"SELECT k, {ROW_COLUMNS} FROM ({once(_NO_OPS).replace(CUSTOMERS, CUSTOMER_ROWS)}) m",
     "merge_guarded": """
         WITH s AS (SELECT * FROM events WHERE day(ts) <= 15
                    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
@@ -296,21 +336,46 @@ ORACLES = {
         SELECT g.*, 'DELETE' FROM gone g JOIN n ON g.l_orderkey = n.l_orderkey WHERE NOT (o = 1 AND w = 1)""",
     "replay_fold": replayed(FEED, CUSTOMERS, FEED_TIES),
     "replay_fold_rows": replayed(ROWS_FEED, CUSTOMER_ROWS, FEED_TIES, f"SELECT k, {ROW_COLUMNS} FROM final"),
-    "replay_daily": replayed(FEED, CUSTOMERS, FEED_TIES),
-    "replay_backlog": replayed(FEED, CUSTOMERS, FEED_TIES),
-    "replay_latest_wins": LATEST_WINS,
-    "changes_by_version": f"SELECT * FROM ({ALL_CHANGES}) a WHERE _commit_version BETWEEN 2 AND 4",
+    "replay_daily": replayed(ROWS_FEED, CUSTOMER_ROWS, FEED_TIES, f"SELECT k, {ROW_COLUMNS} FROM final"),
+    "replay_backlog": replayed(ROWS_FEED, CUSTOMER_ROWS, FEED_TIES, f"SELECT k, {ROW_COLUMNS} FROM final"),
+    "replay_latest_wins": f"SELECT k, {ROW_COLUMNS} FROM ({LATEST_WINS}) w",
+    "replay_guarded": _guarded(remember=False),
+    "replay_tombstones": _guarded(remember=True),
+    "partitioned_orders": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN op IS NULL THEN o_totalprice ELSE doubled END AS o_totalprice, o_orderdate, o_orderpriority
+        FROM ({_ORDER_BATCHES}) o WHERE early AND coalesce(op <> 'DELETE', true) OR op = 'INSERT'""",
+    "partitioned_order_changes": f"""
+        WITH c AS (SELECT *, CAST(CASE WHEN urgent THEN 1 ELSE 3 END AS BIGINT) AS _commit_version
+                   FROM ({_ORDER_BATCHES}) o WHERE op IS NOT NULL),
+        kinds AS (SELECT * FROM (VALUES ('INSERT', 'insert', true), ('DELETE', 'delete', false), ('UPDATE', 'update_preimage', false),
+                                        ('UPDATE', 'update_postimage', true)) t(op, _change_type, new))
+        SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN new THEN doubled ELSE o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority, _change_type, _commit_version FROM c JOIN kinds USING (op)""",
+    "changes_by_version": f"""
+        SELECT k, {ROW_COLUMNS}, _change_type, _commit_version FROM ({ALL_CHANGES}) a WHERE _commit_version BETWEEN 2 AND 4""",
     "latest_row_change_per_key": f"""
-        SELECT * FROM ({ALL_CHANGES}) a WHERE _change_type <> 'update_preimage'
+        SELECT k, {ROW_COLUMNS}, _change_type, _commit_version FROM ({ALL_CHANGES}) a WHERE _change_type <> 'update_preimage'
         QUALIFY row_number() OVER (PARTITION BY k ORDER BY _commit_version DESC) = 1""",
     "table_bootstrap": "SELECT * FROM orders",
-    "table_at_version": replayed(f"SELECT * FROM ({WEEKLY}) w WHERE b <= 3", CUSTOMERS, FEED_TIES),
+    "table_at_version": replayed(
+        f"SELECT * FROM ({ROWS_WEEKLY}) w WHERE b <= 3", CUSTOMER_ROWS, FEED_TIES, f"SELECT k, {ROW_COLUMNS} FROM final"
+    ),
     "silver_from_changes": replayed(
-        WEEKLY, CUSTOMERS, FEED_TIES, "SELECT k AS id, v AS balance FROM final WHERE v > 20"
+        ROWS_WEEKLY, CUSTOMER_ROWS, FEED_TIES, f"SELECT k AS id, {_SILVER_ROW} FROM final WHERE v.c_acctbal > 20"
     ),
     "silver_merged_from_changes": replayed(
-        WEEKLY, CUSTOMERS, FEED_TIES, "SELECT k AS id, v AS balance FROM final WHERE v > 20"
+        ROWS_WEEKLY, CUSTOMER_ROWS, FEED_TIES, f"SELECT k AS id, {_SILVER_ROW} FROM final WHERE v.c_acctbal > 20"
     ),
+    "silver_merged_backlog": f"""
+        WITH l AS (SELECT k, v, CASE WHEN _change_type = 'delete' OR NOT v.c_acctbal > 20 THEN 'DELETE'
+                                     WHEN _change_type = 'insert' THEN 'INSERT' ELSE 'UPDATE' END AS op
+                   FROM ({ALL_CHANGES}) a WHERE _change_type <> 'update_preimage'
+                   QUALIFY row_number() OVER (PARTITION BY k ORDER BY _commit_version DESC) = 1),
+             s AS (SELECT * FROM ({CUSTOMER_ROWS}) c WHERE v.c_acctbal > 20),
+             m AS (SELECT coalesce(s.k, l.k) AS k, CASE WHEN s.k IS NULL OR l.op = 'UPDATE' THEN l.v ELSE s.v END AS v
+                   FROM s FULL JOIN l ON s.k = l.k WHERE l.op IS NULL OR l.op <> 'DELETE')
+        SELECT k AS id, {_SILVER_ROW} FROM m""",
     "distinct_products": "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL",
     "distinct_products_maintained": replayed(LINES_AFTER, LINES_BEFORE, LINE_TIES, "SELECT DISTINCT v AS p FROM final"),
     "distinct_products_changes": _product_changes(),
@@ -318,6 +383,9 @@ ORACLES = {
         EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final"
     ),
     "distinct_line_products_changes": _product_changes(EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}"),
+    "distinct_offers_maintained": _offers(replayed(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final")),
+    "distinct_offers_changes": _offers(_product_changes(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}"), ", _change_type, _commit_version"),
+    "distinct_offers_streamed": _offers(replayed(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final")),
     "loyalty_clientes": _loyalty(CLIENTES_FEED, CLIENTES, FEED_TIES, "idCliente", CLIENTE_COLUMNS),
     "loyalty_transacoes": _loyalty(TRANSACOES_FEED, TRANSACOES, TRANSACAO_TIES, "IdTransacao", TRANSACAO_COLUMNS),
     "loyalty_transacao_produto": _loyalty(ITEMS_FEED, ITEMS, ITEM_TIES, "idTransacaoProduto", PRODUTO_COLUMNS),

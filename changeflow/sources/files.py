@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -78,8 +78,8 @@ def stream_changes(
     return reader.load(path)
 
 
-def stamp(df: DataFrame, extracted_at: str, load_type: str) -> DataFrame:
-    """Add the extraction metadata: ISO time text and kind of load."""
+def stamp(df: DataFrame, extracted_at: str | Column, load_type: str) -> DataFrame:
+    """Add the extraction metadata: ISO time text, one for all rows or a column, and kind of load."""
     return df.withColumn("_extracted_at", F.lit(extracted_at)).withColumn("_load_type", F.lit(load_type))
 
 
@@ -114,6 +114,6 @@ def newest_snapshot(spark: SparkSession, path: str) -> str:
     raise FileNotFoundError(f"no complete snapshot under {path}")
 
 
-def land_changes(df: DataFrame, path: str, extracted_at: str) -> None:
-    """Append a stamped change batch to the directory the change stream reads."""
+def land_changes(df: DataFrame, path: str, extracted_at: str | Column) -> None:
+    """Append a stamped change batch, or several told apart by their times, to the directory the change stream reads."""
     stamp(df, extracted_at, CDC).write.mode("append").parquet(path)

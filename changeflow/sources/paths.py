@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +31,12 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n[len(prefix):] for n in child_names(spark, path) if n.startswith(prefix)]
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Make sure that a directory is there."""
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     if fs.exists(p):
@@ -42,13 +46,10 @@ def delete(spark: SparkSession, path: str) -> None:
 def new_scratch(spark: SparkSession) -> str:
     """A fresh directory under the session's ``spark.checkpoint.dir``, which all executors share.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    A session without that setting gets it under its warehouse, which executors share as well; a temporary folder of one
+    machine is never used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/.scratch"
     return f"{shared.rstrip('/')}/changeflow-{uuid.uuid4().hex}"
 
 

@@ -1,8 +1,9 @@
 """Runs that bring tables up to date from change files and from each other's row changes.
 
-Every run is a stream with ``availableNow``: it takes what is there, commits and ends. Batch ``i`` of
-a stream is commit ``i + 1`` of its table (commit 0 is the bootstrap), so a batch that is repeated
-after a failure finds its commit done and does nothing.
+Every run is a stream with ``availableNow``: it takes what is there, commits and ends. Batch ``i`` of a stream of change
+files is commit ``i + 1`` of its table (commit 0 is the bootstrap), so a batch that is repeated after a failure finds its
+commit done and does nothing. A table fed by another one notes the last of the other's versions it holds; a batch
+whose versions it holds is passed over. The tables are ``PartitionedTable`` or ``KeyedTable``.
 
 Inside a batch only the reduction to one row per key runs on the stream's plan, which knows nothing of
 sizes; the table stages the result, and the merge is planned from there in the caller's session.
@@ -13,17 +14,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import CHANGE_TYPE, DELETE, INSERT, UPDATE
 from changeflow.functions.schemas import load_schema
-from changeflow.operators.derive import derived_changes
+from changeflow.operators.derive import derived_changes, latest_operations
 from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
-from changeflow.operators.latest import latest, latest_row_changes
+from changeflow.operators.guarded import guarded_changes
+from changeflow.operators.latest import latest
 from changeflow.operators.merge import LATEST_WINS, REFERENCE
 from changeflow.operators.replay import ACTION, net_changes
 from changeflow.sources import files, paths
+from changeflow.sources.partitioned import PartitionedTable
 from changeflow.sources.table import KeyedTable
 
 
@@ -39,7 +40,7 @@ def run_to_end(stream: DataFrame, progress: str, step: Callable[[DataFrame, int]
 
 
 def follow(
-    source: KeyedTable,
+    source: PartitionedTable | KeyedTable,
     progress: str,
     step: Callable[[DataFrame, int, range], None],
     seen: Callable[[], int],
@@ -49,19 +50,21 @@ def follow(
 
     The stream only says that there are new commits, which may reach it in any order (file times are coarse, and copies
     have new ones). What is handed out are the versions after ``seen()``, the last one that the consumer has stored, up
-    to the newest, or as many as ``commits_per_trigger``. A batch whose versions went with an earlier one has none.
+    to the newest, or as many as ``commits_per_trigger``. A batch whose versions went with an earlier one is passed
+    over.
     """
 
     def batch(commits: DataFrame, batch_id: int) -> None:
         first, last = seen() + 1, source.version()
         if commits_per_trigger:
             last = min(last, first + commits_per_trigger - 1)
-        step(source.read_changes(first, last), batch_id, range(first, last + 1))
+        if first <= last:
+            step(source.read_changes(first, last), batch_id, range(first, last + 1))
 
     run_to_end(source.stream_commits(commits_per_trigger), progress, batch)
 
 
-def _progress(table: KeyedTable) -> str:
+def _progress(table: PartitionedTable | KeyedTable) -> str:
     """Checkpoint of the stream that feeds a table; without it the batch numbers would start anew."""
     progress = f"{table.path}/progress"
     if not table.exists():
@@ -71,7 +74,7 @@ def _progress(table: KeyedTable) -> str:
     return progress
 
 
-def _bootstrap(table: KeyedTable, load: Callable[[], DataFrame], **options) -> bool:
+def _bootstrap(table: PartitionedTable | KeyedTable, load: Callable[[], DataFrame], **options) -> bool:
     """Load the table if it is absent; stale stream progress next to it is dropped first."""
     if table.exists():
         return False
@@ -85,13 +88,14 @@ class BronzeIngest:
 
     ``order`` are the columns that decide which change of a key is the latest. With ``batch``, the
     files of one stream batch may hold several landed batches, told apart by that column, and are
-    applied as if one by one. ``schema`` is a struct or the path of a schema document; ``file_format`` is that
+    applied as if one by one. With ``guard``, a change older than its stored row is ignored; ``keep_deleted``, a condition
+    on the guard's column, says which deleted keys are remembered, so that older changes don't bring them back. ``schema`` is a struct or the path of a schema document; ``file_format`` is that
     of the full load and the change files.
     """
 
     def __init__(
         self,
-        table: KeyedTable,
+        table: PartitionedTable | KeyedTable,
         schema: StructType | str,
         order: str | Sequence[str],
         op: str = "_operation",
@@ -99,12 +103,13 @@ class BronzeIngest:
         batch: str | None = None,
         guard: str | None = None,
         file_format: str = "parquet",
+        keep_deleted: str | None = None,
     ):
-        if batch is not None and guard is not None:
-            raise ValueError("a guard looks at each batch's outcome, which folding several batches leaves out")
+        if keep_deleted is not None and (guard is None or not isinstance(table, PartitionedTable)):
+            raise ValueError("deleted keys are remembered by their guard, in a PartitionedTable")
         schema = load_schema(table.spark, schema) if isinstance(schema, str) else schema
         self.table, self.schema, self.order, self.file_format = table, schema, order, file_format
-        self.op, self.mode, self.batch, self.guard = op, mode, batch, guard
+        self.op, self.mode, self.batch, self.guard, self.keep_deleted = op, mode, batch, guard, keep_deleted
 
     def bootstrap(self, snapshot: str | DataFrame) -> bool:
         def load() -> DataFrame:
@@ -121,12 +126,26 @@ class BronzeIngest:
         self.run(changes_path)
 
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
+        key, options = self.table.key, {}
+        if self.keep_deleted is not None:
+            options["keep_deleted"] = self.keep_deleted
         if self.batch is None:
-            source, op = latest(changes, self.table.key, self.order, self.op), self.op
+            source, op = latest(changes, key, self.order, self.op), self.op
+        elif self.guard is None:
+            source, op = net_changes(changes, key, self.batch, self.order, self.op, self.mode), ACTION
         else:
-            source = net_changes(changes, self.table.key, self.batch, self.order, self.op, self.mode)
-            op = ACTION
-        self.table.merge(batch_id + 1, source, op, self.mode, self.guard)
+            source, op = self._guarded(changes), ACTION
+            options["guarded"] = True
+        self.table.merge(batch_id + 1, source, op, self.mode, self.guard, **options)
+
+    def _guarded(self, changes: DataFrame) -> DataFrame:
+        if not isinstance(self.table, PartitionedTable):
+            raise ValueError("batches with a guard are folded into a PartitionedTable only")
+        remembers = self.keep_deleted is not None
+        return guarded_changes(
+            self.table.read(), changes, self.table.key, self.batch, self.order, self.guard, self.op, self.mode, remembers,
+            self.table.read_deleted() if remembers else None,
+        )
 
     def run(self, changes_path: str, files_per_trigger: int | None = None, **options: str) -> None:
         """Apply the change files that are there. By default they form one batch; ``files_per_trigger``
@@ -144,7 +163,7 @@ class _Downstream:
     The bootstrap notes which version of the source it read; commits up to it are skipped later.
     """
 
-    def __init__(self, table: KeyedTable, source: KeyedTable):
+    def __init__(self, table: PartitionedTable | KeyedTable, source: PartitionedTable | KeyedTable):
         self.table, self.source = table, source
 
     def _initial(self, rows: DataFrame) -> DataFrame:
@@ -162,8 +181,7 @@ class _Downstream:
         )
 
     def upsert(self, changes: DataFrame, batch_id: int, source_versions: range) -> None:
-        if not self.table.is_done(batch_id + 1):
-            self._apply(batch_id + 1, changes, source_versions)
+        self._apply(self.table.version() + 1, changes, source_versions)
 
     def run(self, commits_per_trigger: int | None = None) -> None:
         self.bootstrap()
@@ -187,8 +205,8 @@ class SilverIngest(_Downstream):
 
     def __init__(
         self,
-        table: KeyedTable,
-        source: KeyedTable,
+        table: PartitionedTable | KeyedTable,
+        source: PartitionedTable | KeyedTable,
         columns: Sequence[str | Column],
         where: Column | None = None,
         mode: str = LATEST_WINS,
@@ -202,34 +220,24 @@ class SilverIngest(_Downstream):
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         upto = source_versions.stop - 1
         if self.mode == REFERENCE:
-            self.table.merge(version, self._latest(changes), source_version=upto)
+            latest_ = latest_operations(changes, self.source.key, self.columns, self.where)
+            self.table.merge(version, latest_, source_version=upto)
         else:
             one = len(source_versions) == 1
             changes = derived_changes(changes, self.source.key, self.columns, self.where, one)
             self.table.commit(version, changes, upto)
 
-    def _latest(self, changes: DataFrame) -> DataFrame:
-        """One projected row per key with the operation to merge."""
-        kept = F.lit(True) if self.where is None else F.coalesce(self.where, F.lit(False))
-        operation = (
-            F.when((F.col(CHANGE_TYPE) == "delete") | ~kept, DELETE)
-            .when(F.col(CHANGE_TYPE) == "insert", INSERT)
-            .otherwise(UPDATE)
-        )
-        last = latest_row_changes(changes, self.source.key).withColumn("_operation", operation)
-        return last.select(*self.columns, "_operation")
-
 
 class DistinctIngest(_Downstream):
-    """The distinct non-null values of one column of a keyed table, kept current.
+    """The distinct non-null values of one column of a keyed table, or of several together, kept current.
 
     The table holds each value with its number of source rows; ``read`` and ``read_changes`` show
     the set.
     """
 
-    def __init__(self, table: KeyedTable, source: KeyedTable):
+    def __init__(self, table: PartitionedTable | KeyedTable, source: PartitionedTable | KeyedTable):
         super().__init__(table, source)
-        self.column = table.key[0]
+        self.column = table.key
 
     def _initial(self, rows: DataFrame) -> DataFrame:
         return value_counts(rows, self.column)
@@ -241,7 +249,7 @@ class DistinctIngest(_Downstream):
         paths.unstage(deltas)
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.table.read(version).select(self.column)
+        return self.table.read(version).select(*self.column)
 
     def read_changes(self, first: int, last: int | None = None) -> DataFrame:
         return set_changes(self.table.read_changes(first, last))

@@ -6,8 +6,9 @@ from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import REPLACE
 from changeflow.operators.merge import REFERENCE
-from changeflow.plans import feeds, loyalty
+from changeflow.plans import loyalty
 from changeflow.sources import files, paths
+from changeflow.sources.partitioned import PartitionedTable
 from changeflow.sources.table import KeyedTable
 from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest, follow
 from tests.test_merge import bag
@@ -18,15 +19,15 @@ SCHEMA = "k int, p string, v int, o int, _operation string"
 class Pair:
     """A bronze table with a filtered projection and a distinct set behind it."""
 
-    def __init__(self, spark, root, rows):
+    def __init__(self, spark, root, rows, kind=KeyedTable):
         self.spark, self.root = spark, root
-        self.bronze = BronzeIngest(KeyedTable(spark, f"{root}/bronze", "k"), StructType.fromDDL(SCHEMA), "o")
+        self.bronze = BronzeIngest(kind(spark, f"{root}/bronze", "k"), StructType.fromDDL(SCHEMA), "o")
         self.bronze.bootstrap(spark.createDataFrame(rows, SCHEMA))
         table = self.bronze.table
         self.silver = SilverIngest(
-            KeyedTable(spark, f"{root}/silver", "id"), table, [F.col("k").alias("id"), "v"], where=F.col("v") >= 0
+            kind(spark, f"{root}/silver", "id"), table, [F.col("k").alias("id"), "v"], where=F.col("v") >= 0
         )
-        self.products = DistinctIngest(KeyedTable(spark, f"{root}/products", "p"), table)
+        self.products = DistinctIngest(kind(spark, f"{root}/products", "p"), table)
 
     def land(self, *rows):
         self.spark.createDataFrame(list(rows), SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/cdc")
@@ -48,8 +49,16 @@ class Pair:
 ROWS = [(k, f"p{k % 4}", k, 0, None) for k in range(12)]
 
 
-def test_derived_tables_follow(spark, root):
-    t = Pair(spark, root, ROWS)
+def partitioned(spark, path, key):
+    return PartitionedTable(spark, path, key, partitions=4)
+
+
+KINDS = pytest.mark.parametrize("kind", [KeyedTable, partitioned])
+
+
+@KINDS
+def test_derived_tables_follow(spark, root, kind):
+    t = Pair(spark, root, ROWS, kind)
     t.land((0, "p0", 5, 1, "UPDATE"), (1, "q", 5, 1, "UPDATE"), (20, "r", 1, 1, "INSERT"), (21, None, 1, 1, "INSERT"))
     t.run_bronze()
     t.run_derived()
@@ -73,8 +82,9 @@ def test_derived_tables_follow(spark, root):
     assert moved == bag([("p2", "delete"), ("s", "insert"), ("n", "insert"), ("r", "delete"), ("r2", "insert")])
 
 
-def test_idle_run_and_restart(spark, root):
-    t = Pair(spark, root, ROWS)
+@KINDS
+def test_idle_run_and_restart(spark, root, kind):
+    t = Pair(spark, root, ROWS, kind)
     t.land((0, "x", 5, 1, "UPDATE"))
     t.run_bronze()
     t.run_derived()
@@ -87,6 +97,53 @@ def test_idle_run_and_restart(spark, root):
     assert t.bronze.bootstrap(spark.createDataFrame(ROWS, SCHEMA)) is False
 
 
+@pytest.mark.parametrize("where", ["bronze", "silver", "products"])
+@pytest.mark.parametrize("step", ["before", "mark", "after"])
+def test_crash_of_partitioned_tables(spark, root, where, step, monkeypatch):
+    """Dying before the partitions are replaced, before the commit is marked, or just after it."""
+    t = Pair(spark, root, ROWS, partitioned)
+    t.silver.bootstrap()
+    t.products.bootstrap()
+    t.land((0, "x", 5, 1, "UPDATE"), (3, None, 0, 1, "DELETE"), (30, "y", 1, 1, "INSERT"))
+    doomed = {"bronze": t.bronze, "silver": t.silver, "products": t.products}[where].table
+    name = "_replace" if step == "before" else "_mark"
+    done = getattr(PartitionedTable, name)
+
+    def dying(self, *args):
+        if self.path != doomed.path:
+            return done(self, *args)
+        if step == "after":
+            done(self, *args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(PartitionedTable, name, dying)
+        with pytest.raises(Exception, match="lost"):
+            t.run_bronze()
+            t.run_derived()
+    t.run_bronze()
+    t.run_derived()
+    t.check()
+    assert t.bronze.table.version() == 1 and t.bronze.table.read_changes(1).count() == 4
+    assert bag(t.products.read_changes(1).select("p", "_change_type").collect()) == bag([("x", "insert"), ("y", "insert")])
+
+
+def test_versions_without_effect_are_passed(spark, root):
+    """Source versions that change nothing in the projection write no rows, and are not read again."""
+    t = Pair(spark, root, ROWS, partitioned)
+    t.silver.bootstrap()
+    for n in range(1, 4):
+        t.land((90 + n, "x", -5, 1, "INSERT"))  # fails the projection's filter
+        t.run_bronze()
+    before = t.silver.table.read().inputFiles()
+    t.silver.run(commits_per_trigger=1)
+    assert sorted(t.silver.table.read().inputFiles()) == sorted(before)
+    assert t.silver.table.commit_row().source_version == 3
+    t.silver.run()
+    assert t.silver.table.version() == 3
+    assert t.silver.table.read().count() == 12
+
+
 @pytest.mark.parametrize("where", ["bronze", "silver", "products"])
 @pytest.mark.parametrize("step", ["before", "after"])
 def test_crash_and_restart(spark, root, where, step, monkeypatch):
@@ -158,7 +215,9 @@ def test_backlog_in_one_run_equals_runs_in_turn(spark, root):
             ingest.run(f"{root}/all")
             assert table.version() == 1
         else:
-            feeds.land_in_turn(df, "b", f"{root}/turn", lambda: ingest.run(f"{root}/turn"))
+            for number in range(1, 5):
+                df.where(f"b = {number}").write.mode("append").parquet(f"{root}/turn")
+                ingest.run(f"{root}/turn")
             assert table.version() == 4
         results.append(bag(table.read().collect()))
         assert REPLACE not in str(results[-1])
@@ -212,9 +271,10 @@ def test_loyalty_run(spark, root):
         assert [tuple(r) for r in loyalty.silver(spark, root, "produtos").read().collect()] == [("p1",)]
 
 
-def test_reference_mode_of_the_derived_table(spark, root):
+@KINDS
+def test_reference_mode_of_the_derived_table(spark, root, kind):
     """Deleted and inserted again within one batch: in reference mode the insert meets the old row."""
-    t = Pair(spark, root, ROWS)
+    t = Pair(spark, root, ROWS, kind)
     t.silver.mode = REFERENCE
     t.silver.bootstrap()
     t.land((1, "p", 1, 1, "DELETE"))
@@ -225,9 +285,10 @@ def test_reference_mode_of_the_derived_table(spark, root):
     assert (1, 1) in [tuple(r) for r in t.silver.table.read().collect()]
 
 
-def test_follow_hands_out_each_change_once(spark, root):
+@KINDS
+def test_follow_hands_out_each_change_once(spark, root, kind):
     """A consumer of its own: all row changes, commit by commit, and none twice."""
-    t = Pair(spark, root, ROWS)
+    t = Pair(spark, root, ROWS, kind)
     seen = []
 
     def last():
@@ -283,11 +344,6 @@ def test_change_file_that_lands_late_is_read(spark, root):
     assert {r.p for r in t.bronze.table.read().where("k IN (1, 2)").collect()} == {"new", "late"}
 
 
-def test_guard_and_folded_batches_are_refused_together(spark, root):
-    with pytest.raises(ValueError, match="guard"):
-        BronzeIngest(KeyedTable(spark, f"{root}/t", "k"), StructType.fromDDL(SCHEMA), "o", batch="o", guard="o")
-
-
 def test_json_files_with_a_schema_document(spark, root, tmp_path):
     (tmp_path / "t.json").write_text(StructType.fromDDL(SCHEMA).json())
     table = KeyedTable(spark, f"{root}/json", "k")
