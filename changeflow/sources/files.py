@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from changeflow.functions.schemas import conform
+from changeflow.functions.schemas import MALFORMED, RAISE, conform, split
 from changeflow.sources import paths
 
 FULL_LOAD, CDC = "fullload", "cdc"
@@ -47,12 +51,46 @@ def read_snapshot(
     return spark.read.format(file_format).schema(schema).options(**options).load(path)
 
 
-def read_drifting(spark: SparkSession, file_sets: list[str], schema: StructType) -> DataFrame:
-    """Parquet whose column types differ between landings: each is read as it is, then cast."""
-    whole = conform(spark.read.parquet(file_sets[0]), schema)
-    for path in file_sets[1:]:
-        whole = whole.unionByName(conform(spark.read.parquet(path), schema))
-    return whole
+def alike(spark: SparkSession, found: list[str], **options: str) -> list[DataFrame]:
+    """Parquet files, each group of which agrees on the types of its columns, read as they are.
+
+    Spark compares the footers of a group in parallel; a group that disagrees is halved. Files that follow each other in
+    order mostly agree, so a change of type costs a few such jobs, not one per file.
+    """
+    try:
+        whole = spark.read.option("mergeSchema", "true").options(**options).parquet(*found)
+        whole.schema  # noqa: B018 - the footers are read here
+        return [whole]
+    except (PySparkException, Py4JJavaError) as e:
+        # The types differ, or the names in case only.
+        if len(found) == 1 or not re.search("CANNOT_MERGE|COLUMN_ALREADY_EXISTS", str(e)):
+            raise
+    half = len(found) // 2
+    return alike(spark, found[:half], **options) + alike(spark, found[half:], **options)
+
+
+def read_drifting(
+    spark: SparkSession, found: list[str], schema: StructType, on_loss: str = RAISE, **options: str
+) -> DataFrame:
+    """Parquet whose column types differ between files or landings: each group is read as it is, then cast."""
+    groups = [conform(part, schema, on_loss) for part in alike(spark, sorted(found), **options)]
+    return reduce(DataFrame.unionByName, groups)
+
+
+def split_drifting(spark: SparkSession, found: list[str], schema: StructType, **options: str) -> tuple[DataFrame, DataFrame]:
+    """The same, with the rows that have no equal under the schema apart (see ``schemas.split``)."""
+    parts = [split(part, schema) for part in alike(spark, sorted(found), **options)]
+    good, bad = zip(*parts)
+    return reduce(DataFrame.unionByName, good), reduce(DataFrame.unionByName, bad)
+
+
+def stream_names(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The names of parquet change files as a stream, every new file once; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    reader = reader.option("maxFileAge", "36500d").option("pathGlobFilter", "*.parquet")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path).select("path")
 
 
 def stream_changes(
@@ -61,10 +99,11 @@ def stream_changes(
     schema: StructType,
     files_per_trigger: int | None = None,
     file_format: str = "parquet",
+    malformed: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Change files as a stream: every new file once, whatever its time. Malformed text is an error, and the headers of
-    delimited files must have the declared columns in their order.
+    """Change files as a stream: every new file once, whatever its time. Malformed text is an error, or with ``malformed``
+    stands in a column of that name; the headers of delimited files must have the declared columns in their order.
 
     Spark's file source passes over files that are older, by ``maxFileAge``, than the newest it has seen, by default a
     week; here the limit is a century, so that files landed late are read.
@@ -72,6 +111,9 @@ def stream_changes(
     defaults = {"maxFileAge": "36500d", "mode": "FAILFAST"}
     if file_format == "csv":
         defaults |= {"header": "true", "enforceSchema": "false"}
+    if malformed:
+        schema = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+        defaults |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
     reader = spark.readStream.format(file_format).schema(schema).options(**defaults | options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -16,7 +16,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
-from changeflow.functions.schemas import load_schema
+from changeflow.functions.columns import COMMIT_VERSION
+from changeflow.functions.schemas import COLUMN, REASON, REJECT, ROW, load_schema, split
 from changeflow.operators.derive import derived_changes, latest_operations
 from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.guarded import guarded_changes
@@ -89,7 +90,10 @@ class BronzeIngest:
     ``order`` are the columns that decide which change of a key is the latest. With ``batch``, the
     files of one stream batch may hold several landed batches, told apart by that column, and are
     applied as if one by one. With ``guard``, a change older than its stored row is ignored; ``keep_deleted``, a condition
-    on the guard's column, says which deleted keys are remembered, so that older changes don't bring them back. ``schema`` is a struct or the path of a schema document; ``file_format`` is that
+    on the guard's column, says which deleted keys are remembered, so that older changes don't bring them back. With ``on_loss``, files may disagree with ``schema``
+    and each other on the types of columns: they are read as they are and cast, and a value that has no equal raises an
+    error ("raise"), becomes NULL ("null"), or its row is left out and kept with the reason under the table's directory
+    ("reject"; so are malformed rows of text files). ``schema`` is a struct or the path of a schema document; ``file_format`` is that
     of the full load and the change files.
     """
 
@@ -104,18 +108,26 @@ class BronzeIngest:
         guard: str | None = None,
         file_format: str = "parquet",
         keep_deleted: str | None = None,
+        on_loss: str | None = None,
     ):
         if keep_deleted is not None and (guard is None or not isinstance(table, PartitionedTable)):
             raise ValueError("deleted keys are remembered by their guard, in a PartitionedTable")
         schema = load_schema(table.spark, schema) if isinstance(schema, str) else schema
         self.table, self.schema, self.order, self.file_format = table, schema, order, file_format
         self.op, self.mode, self.batch, self.guard, self.keep_deleted = op, mode, batch, guard, keep_deleted
+        self.on_loss = on_loss
 
     def bootstrap(self, snapshot: str | DataFrame) -> bool:
         def load() -> DataFrame:
             if isinstance(snapshot, DataFrame):
                 return snapshot
-            return files.read_snapshot(self.table.spark, snapshot, self.schema, self.file_format)
+            if self.on_loss is None or self.file_format != "parquet":
+                return files.read_snapshot(self.table.spark, snapshot, self.schema, self.file_format)
+            if self.on_loss == REJECT:
+                good, bad = files.split_drifting(self.table.spark, [snapshot], self.schema)
+                self._keep_rejected(bad, 0)
+                return good
+            return files.read_drifting(self.table.spark, [snapshot], self.schema, self.on_loss)
 
         return _bootstrap(self.table, load)
 
@@ -151,10 +163,49 @@ class BronzeIngest:
         """Apply the change files that are there. By default they form one batch; ``files_per_trigger``
         cuts smaller ones, which must not split a landed batch of several files."""
         progress = _progress(self.table)
-        stream = files.stream_changes(
-            self.table.spark, changes_path, self.schema, files_per_trigger, self.file_format, **options
-        )
-        run_to_end(stream, progress, self.upsert)
+        spark, drifting = self.table.spark, self.on_loss is not None and self.file_format == "parquet"
+        if drifting:
+            # Streams of names and of rows keep their progress in different forms.
+            stream = files.stream_names(spark, changes_path, files_per_trigger)
+            options = {"basePath": changes_path, **options}
+        else:
+            rejects = self.on_loss == REJECT
+            stream = files.stream_changes(
+                spark, changes_path, self.schema, files_per_trigger, self.file_format, rejects, **options
+            )
+
+        def step(batch: DataFrame, batch_id: int) -> None:
+            changes = self._read(batch, batch_id, options) if drifting else batch
+            if self.on_loss == REJECT and not drifting:
+                changes, bad = split(batch, self.schema)
+                self._keep_rejected(bad, batch_id + 1)
+            if changes is not None:
+                self.upsert(changes, batch_id)
+
+        run_to_end(stream, progress, step)
+
+    def _read(self, names: DataFrame, batch_id: int, options: dict[str, str]) -> DataFrame | None:
+        """The rows of a batch of files; their names are as many as the stream's own list of the batch."""
+        found = [r.path for r in names.collect()]
+        if not found:
+            return None
+        if self.on_loss != REJECT:
+            return files.read_drifting(self.table.spark, found, self.schema, self.on_loss, **options)
+        good, bad = files.split_drifting(self.table.spark, found, self.schema, **options)
+        self._keep_rejected(bad, batch_id + 1)
+        return good
+
+    def _keep_rejected(self, bad: DataFrame, version: int) -> None:
+        """Written before the batch is committed, over what an earlier attempt has left."""
+        folder = f"{self.table.path}/rejected/{COMMIT_VERSION}={version}"
+        if not bad.isEmpty():
+            bad.hint("rebalance").write.mode("overwrite").parquet(folder)
+
+    def read_rejected(self) -> DataFrame:
+        """Rejected rows: column, reason, the source row as JSON, and the batch that held them."""
+        spark, root = self.table.spark, f"{self.table.path}/rejected"
+        schema = f"{COLUMN} string, {REASON} string, {ROW} string, {COMMIT_VERSION} bigint"
+        return spark.read.schema(schema).parquet(root) if paths.exists(spark, root) else spark.createDataFrame([], schema)
 
 
 class _Downstream:
