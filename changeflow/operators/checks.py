@@ -56,3 +56,36 @@ def profile_columns(df: DataFrame) -> DataFrame:
         .withColumn("maybe_date", (F.col("n_values") > 0) & (F.col("n_dates") == F.col("n_values")))
         .drop("complete")
     )
+
+
+def profile_part(df: DataFrame) -> DataFrame:
+    """The facts of one landing, one row per column, in a form that can be merged: counts, and a sketch of the distinct values."""
+
+    def facts(name: str, data_type) -> Column:
+        column = F.col(f"`{name}`")
+        text = isinstance(data_type, StringType)
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count("*").alias("n_rows"),
+            F.count(column).alias("n_values"),
+            (F.count(as_timestamp(column)) if text else F.lit(0).cast("bigint")).alias("n_dates"),
+            F.hll_sketch_agg(column if text else column.cast("string")).alias("sketch"),
+        )
+
+    parts = df.agg(F.array(*[facts(f.name, f.dataType) for f in df.schema.fields]).alias("p"))
+    return parts.select(F.inline("p"))
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """The profile of all landings together, from theirs: no landing is read again. A column may be the key if it is
+    complete and its distinct values are about as many as the rows (the sketch is within a few percent)."""
+    whole = parts.groupBy("column").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_values").alias("n_values"),
+        F.sum("n_dates").alias("n_dates"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"),
+    )
+    complete = F.col("n_values") == F.col("n_rows")
+    return whole.withColumn("maybe_key", complete & (F.col("approx_distinct") >= 0.9 * F.col("n_rows"))).withColumn(
+        "maybe_date", (F.col("n_values") > 0) & (F.col("n_dates") == F.col("n_values"))
+    )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, INSERT, UPDATE, any_null, as_list
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, UPDATE, any_null, as_list
 from changeflow.operators.latest import latest_row_changes
 from changeflow.operators.merge import NEW_IMAGES
 from changeflow.sources.paths import stage
@@ -37,17 +37,7 @@ def derived_changes(
     keys = as_list(key)
     kept = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     is_new = F.col(CHANGE_TYPE).isin(*NEW_IMAGES)
-
-    keyed = changes.where(~any_null(keys))
-    # The aggregates are stored: a join with one that isn't can't split a hot key.
-    span = stage(keyed.groupBy(*keys).agg(F.min(COMMIT_VERSION).alias("__first"), F.max(COMMIT_VERSION).alias("__last")))
-    ends = (
-        keyed.join(span, keys, "inner")
-        .withColumn("__new", is_new)
-        .where(F.when(F.col("__new"), F.col(COMMIT_VERSION) == F.col("__last"))
-               .otherwise(F.col(COMMIT_VERSION) == F.col("__first")))
-        .where(kept)
-    )
+    ends = _ends(changes, keys).where(kept)
     ends = stage(ends)
     sides = stage(ends.groupBy(*keys).agg(F.max(~F.col("__new")).alias("__had"), F.max(F.col("__new")).alias("__has")))
     kind = (
@@ -61,6 +51,43 @@ def derived_changes(
     return labelled.unionByName(keyless.select(*columns, F.lit("insert").alias(CHANGE_TYPE)))
 
 
+def _ends(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the old images of its first commit and the new images (``__new``) of its last one."""
+    keyed = changes.where(~any_null(keys))
+    # The aggregates are stored: a join with one that isn't can't split a hot key.
+    span = stage(keyed.groupBy(*keys).agg(F.min(COMMIT_VERSION).alias("__first"), F.max(COMMIT_VERSION).alias("__last")))
+    new = F.col(CHANGE_TYPE).isin(*NEW_IMAGES)
+    return (
+        keyed.join(span, keys, "inner")
+        .withColumn("__new", new)
+        .where(F.when(F.col("__new"), F.col(COMMIT_VERSION) == F.col("__last"))
+               .otherwise(F.col(COMMIT_VERSION) == F.col("__first")))
+    )
+
+
+def changes_by_query(changes: DataFrame, key: str | Sequence[str], query: str, out_key: str | Sequence[str]) -> DataFrame:
+    """Net row changes of a projection given as SQL text over ``{source}``, such as ``SELECT a AS id, b FROM {source} WHERE c``.
+
+    The text runs as it is, once on the old and once on the new images. It takes each row by itself (no aggregates, no
+    DISTINCT) and keeps the key as ``out_key``, which tells where a row was, is, or both.
+    """
+    keys, out = as_list(key), as_list(out_key)
+    spark = changes.sparkSession
+    columns = [c for c in changes.columns if c not in (CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)]
+    ends = stage(_ends(changes, keys).select(*columns, "__new"))
+    old = stage(spark.sql(query, source=ends.where("NOT __new").select(*columns)))
+    new = stage(spark.sql(query, source=ends.where("__new").select(*columns)))
+    marks = [df.select(*out).withColumn("__met", F.lit(True)) for df in (new, old)]
+    marks = [stage(m.groupBy(*out).agg(F.max("__met").alias("__met"))) for m in marks]
+    gone = F.when(F.col("__met"), "update_preimage").otherwise("delete")
+    come = F.when(F.col("__met"), "update_postimage").otherwise("insert")
+    labelled = [df.join(m, out, "left").select(*df.columns, kind.alias(CHANGE_TYPE)) for df, m, kind in ((old, marks[0], gone), (new, marks[1], come))]
+    # Rows without a key are only ever inserted.
+    keyless = changes.where(any_null(keys) & F.col(CHANGE_TYPE).isin(*NEW_IMAGES)).select(*columns)
+    keyless = spark.sql(query, source=keyless).withColumn(CHANGE_TYPE, F.lit("insert"))
+    return labelled[0].unionByName(labelled[1]).unionByName(keyless)
+
+
 def projected_operations(
     changes: DataFrame, columns: Sequence[str | Column], where: Column | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:

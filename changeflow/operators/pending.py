@@ -1,4 +1,8 @@
-"""Incremental extraction: which rows of a source were handed out, and which come next."""
+"""Incremental extraction: which rows of a source were handed out, and which come next.
+
+The emitted keys aren't made distinct before a join: repeated ones don't change it, and a join with an aggregate can't split a
+hot key of the rows.
+"""
 
 from __future__ import annotations
 
@@ -22,13 +26,13 @@ def remember(path: str, batch: DataFrame, key: str) -> None:
 
 def pending_rows(rows: DataFrame, emitted: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the emitted ones. The emitted keys may repeat."""
-    keys = emitted.select(KEY).distinct()
+    keys = emitted.select(KEY)
     return rows.join(keys, F.col(key).cast("string") == keys[KEY], "left_anti")
 
 
 def emitted_rows(rows: DataFrame, emitted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the emitted ones."""
-    keys = emitted.select(KEY).distinct()
+    """Rows whose key is among the emitted ones, which may repeat."""
+    keys = emitted.select(KEY)
     return rows.join(keys, F.col(key).cast("string") == keys[KEY], "left_semi")
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import file_stamp, in_sample, scale_and_round
-from changeflow.functions.schemas import conform
+from changeflow.functions.columns import SAMPLE_A, SAMPLE_B, SAMPLE_M, file_stamp, in_sample, scale_and_round
+from changeflow.functions.schemas import conform, load_schema
 from changeflow.operators import checks, pending
+from changeflow.operators.digest import compared, digest_diff
 from changeflow.operators.diff import snapshot_diff as diff_snapshots
 from changeflow.operators.derive import derived_changes, latest_operations, projected_operations
 from changeflow.operators.distinct import count_row_changes, distinct_values, set_history, value_counts, value_deltas
@@ -17,12 +20,14 @@ from changeflow.operators.history import history
 from changeflow.operators.latest import latest, latest_row_changes
 from changeflow.operators.merge import LATEST_WINS, REFERENCE, apply_changes, merge, row_changes
 from changeflow.operators.replay import replay
+from changeflow.operators.sample import exact_sample as sample_exactly
+from changeflow.operators.seek import Extraction
 from changeflow.plans import feeds, loyalty
 from changeflow.plans.feeds import FEED_ORDER, LINE_ORDER, load
 from changeflow.sources import files, paths
 from changeflow.sources.partitioned import PartitionedTable
 from changeflow.sources.table import KeyedTable
-from changeflow.streaming.ingest import BronzeIngest, DistinctIngest
+from changeflow.streaming.ingest import BronzeIngest, DistinctIngest, SilverIngest
 
 NEXT_BATCH = 500
 SAMPLE_RATE = 0.03
@@ -97,6 +102,58 @@ def drifting_types(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_drifting(spark, [whole, drifted], orders.schema)
 
 
+def schema_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The declared columns come from a document beside the data, which has other types and one column less."""
+    root = paths.new_scratch(spark)
+    declared = StructType.fromDDL("c_custkey string, c_name string, c_acctbal double, c_nationkey bigint, _operation string")
+    spark.createDataFrame([(declared.json(),)], "value string").coalesce(1).write.text(f"{root}/schema")
+    return conform(load(spark, sf, "customer"), load_schema(spark, f"{root}/schema"))
+
+
+def _order_table(spark: SparkSession, sf: str, schema: StructType, on_loss: str) -> tuple[BronzeIngest, str]:
+    """The orders that are done, as a table; a directory for the changes that follow."""
+    root = paths.new_scratch(spark)
+    ingest = BronzeIngest(PartitionedTable(spark, f"{root}/orders", "o_orderkey", PARTITIONS), schema, "o_orderdate", on_loss=on_loss)
+    ingest.bootstrap(conform(load(spark, sf, "orders").where("o_orderstatus = 'F'"), schema, on_loss="null"))
+    return ingest, f"{root}/cdc"
+
+
+def drifting_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream over change files of which one landing has a DOUBLE and a text under a declared bigint, and lacks a column."""
+    orders = load(spark, sf, "orders")
+    ingest, landing = _order_table(spark, sf, orders.schema.add("_operation", "string"), "raise")
+    changes = orders.withColumn("_operation", F.when(F.col("o_orderstatus") == "F", "DELETE").otherwise("INSERT"))
+    changes.where("o_orderstatus = 'P' OR o_orderkey % 5 = 0").write.parquet(f"{landing}/landed=1")
+    other = changes.where("o_orderstatus = 'O' AND o_orderkey % 5 <> 0").drop("o_orderpriority")
+    other.withColumn("o_custkey", F.col("o_custkey").cast("double")).withColumn(
+        "o_orderkey", F.col("o_orderkey").cast("string")
+    ).write.parquet(f"{landing}/landed=2")
+    ingest.run(landing)
+    return ingest.table.read().drop("_operation")
+
+
+def _rejecting(spark: SparkSession, sf: str) -> BronzeIngest:
+    """Prices are declared as whole numbers; every tenth landed order has one with its cents."""
+    orders = load(spark, sf, "orders")
+    schema = StructType([*[f for f in orders.schema.fields if f.name != "o_totalprice"]]).add("o_totalprice", "long").add("_operation", "string")
+    ingest, landing = _order_table(spark, sf, schema, "reject")
+    price = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_totalprice")).otherwise(F.floor("o_totalprice").cast("double"))
+    changes = orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", price)
+    changes.withColumn("_operation", F.lit("INSERT")).write.parquet(landing)
+    ingest.run(landing)
+    return ingest
+
+
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    bad = _rejecting(spark, sf).read_rejected()
+    key = F.get_json_object("_row", "$.o_orderkey").cast("bigint").alias("o_orderkey")
+    return bad.select(key, F.col("_column").alias("rejected_column"), "_commit_version")
+
+
+def accepted_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _rejecting(spark, sf).table.read().drop("_operation")
+
+
 # -- latest change, extraction ----------------------------------------------------------------
 
 
@@ -145,6 +202,40 @@ def keyed_sample(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "orders").where(in_sample(F.col("o_orderkey"), SAMPLE_RATE))
 
 
+def _spread(key: str) -> Column:
+    return F.pmod(F.pmod(F.col(key), F.lit(SAMPLE_M)) * SAMPLE_A + SAMPLE_B, F.lit(SAMPLE_M))
+
+
+def exact_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample of exactly ``int(rate * rows)`` orders."""
+    return sample_exactly(load(spark, sf, "orders"), _spread("o_orderkey"), SAMPLE_M, SAMPLE_RATE, ["o_orderkey"])
+
+
+def exact_sample_of_one(spark: SparkSession, sf: str) -> DataFrame:
+    """At so small a rate still one row."""
+    return sample_exactly(load(spark, sf, "supplier"), _spread("s_suppkey"), SAMPLE_M, 1e-9, ["s_suppkey"])
+
+
+def remembered_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """What is pending after two batches whose keys were remembered."""
+    orders, memory = load(spark, sf, "orders"), f"{paths.new_scratch(spark)}/keys"
+    emitted = spark.createDataFrame([], f"{pending.KEY} string")
+    for _ in range(2):
+        batch = pending.next_batch(orders, emitted, "o_orderkey", ["o_orderdate", "o_orderkey"], NEXT_BATCH)
+        pending.remember(memory, paths.stage(batch), "o_orderkey")
+        emitted = spark.read.parquet(memory)
+    return pending.pending_rows(orders, emitted, "o_orderkey")
+
+
+def extractions_in_turn(spark: SparkSession, sf: str) -> DataFrame:
+    """Three extractions from a position; some orders arrive after the first one, before its end."""
+    orders = load(spark, sf, "orders")
+    by = F.year("o_orderdate") * 100 + F.month("o_orderdate")
+    seek = Extraction(spark, paths.new_scratch(spark), "o_orderkey", "o_orderdate", by)
+    batches = [seek.next_batch(rows, NEXT_BATCH) for rows in (orders.where("o_orderkey % 7 <> 0"), orders, orders)]
+    return reduce(DataFrame.unionByName, [b.withColumn("run", F.lit(n)) for n, b in enumerate(batches, 1)])
+
+
 # -- counts -----------------------------------------------------------------------------------
 
 
@@ -158,6 +249,24 @@ def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     return checks.layer_counts({"bronze": bronze, "silver": bronze.where("c_acctbal > 20").select(F.col("k").alias("id"))})
 
 
+def profile_landings(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the orders, profiled landing by landing and then together; which may be key or date."""
+    orders = load(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    orders = orders.withColumn("o_clerk", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")))
+    landings = [checks.profile_part(orders.where(F.col("o_orderstatus") == status)) for status in ("F", "O", "P")]
+    return checks.merged_profile(paths.stage(reduce(DataFrame.unionByName, landings))).drop("approx_distinct")
+
+
+def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
+    """Which thousands of order numbers differ between two layers, by digests; no rows are joined."""
+    orders = load(spark, sf, "orders")
+    rare = F.expr("o_orderkey div 1000") % 5 == 0
+    changed = F.when(rare & (F.col("o_orderkey") % 100 == 1), "corrected").otherwise(F.col("o_orderpriority"))
+    other = orders.where(~(rare & (F.col("o_orderkey") % 500 == 2))).withColumn("o_orderpriority", changed)
+    found = compared(orders, other, F.expr("o_orderkey div 1000"))
+    return found.withColumnRenamed("_range", "thousand")
+
+
 # -- merge ------------------------------------------------------------------------------------
 
 
@@ -216,6 +325,11 @@ def snapshot_diff_rows(spark: SparkSession, sf: str) -> DataFrame:
     return diff_snapshots(feeds.customer_rows(spark, sf), merge_once_rows(spark, sf), "k")
 
 
+def snapshot_diff_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, of the ranges whose digests differ alone."""
+    return digest_diff(feeds.customer_rows(spark, sf), paths.stage(merge_once_rows(spark, sf)), "k", 64)
+
+
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return diff_snapshots(feeds.customers(spark, sf), merge_once(spark, sf), "k")
 
@@ -373,6 +487,23 @@ def silver_merged_backlog(spark: SparkSession, sf: str) -> DataFrame:
     return merge(before, paths.stage(latest_operations(_history(spark, sf), "k", columns, where)), "id")
 
 
+SILVER_SQL = "SELECT k AS id, c_acctbal AS balance, c_name, c_nationkey, c_mktsegment FROM {source} WHERE c_acctbal > 20"
+
+
+def silver_from_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The projection given as SQL text, kept by stream runs."""
+    root = paths.new_scratch(spark)
+    feed = feeds.weekly(feeds.customer_rows_feed(spark, sf))
+    bronze = BronzeIngest(PartitionedTable(spark, f"{root}/bronze", "k", PARTITIONS), feed.schema, FEED_ORDER, batch="b")
+    bronze.bootstrap(feeds.customer_rows(spark, sf))
+    silver = SilverIngest(PartitionedTable(spark, f"{root}/silver", "id", PARTITIONS), bronze.table, SILVER_SQL)
+    silver.bootstrap()
+    feed.write.parquet(f"{root}/cdc")
+    bronze.run(f"{root}/cdc")
+    silver.run()
+    return silver.table.read()
+
+
 # -- distinct ---------------------------------------------------------------------------------
 
 
@@ -485,6 +616,10 @@ QUERIES = {
         csv_snapshot,
         latest_snapshot,
         drifting_types,
+        drifting_stream,
+        rejected_rows,
+        accepted_rows,
+        schema_document,
         latest_event_per_user,
         latest_line_per_key,
         next_pending_batch,
@@ -493,8 +628,14 @@ QUERIES = {
         emitted_key_set,
         union_change_sets,
         keyed_sample,
+        exact_sample,
+        exact_sample_of_one,
+        remembered_pending,
+        extractions_in_turn,
         op_counts_by_day,
         layer_counts,
+        profile_landings,
+        reconciliation,
         merge_once,
         merge_once_rows,
         merge_once_latest_wins,
@@ -503,6 +644,7 @@ QUERIES = {
         merge_guarded,
         snapshot_diff,
         snapshot_diff_rows,
+        snapshot_diff_digest,
         snapshot_diff_repeated_keys,
         replay_fold,
         replay_fold_rows,
@@ -520,6 +662,7 @@ QUERIES = {
         silver_from_changes,
         silver_merged_from_changes,
         silver_merged_backlog,
+        silver_from_sql,
         distinct_products,
         distinct_products_maintained,
         distinct_products_changes,

@@ -49,6 +49,11 @@ BRONZE = {
     "transacoes": Bronze(TRANSACOES, "IdTransacao", ("_extracted_at",)),
     "transacao_produto": Bronze(TRANSACAO_PRODUTO, "idTransacaoProduto", ("_extracted_at",)),
 }
+# The derived tables, as SQL over the rows of their sources.
+SILVER_SQL = {
+    name: f"SELECT {', '.join(part.split()[0] for part in spec.columns.split(', '))} FROM {{source}}" for name, spec in BRONZE.items()
+}
+PRODUTOS_SQL = "SELECT IdProduto FROM {source} WHERE IdProduto IS NOT NULL"
 SILVER = ("clientes", "transacoes", "transacao_produto", "produtos")
 
 
@@ -62,11 +67,10 @@ def bronze(spark: SparkSession, root: str, name: str, partitions: int = 256) ->
 def silver(spark: SparkSession, root: str, name: str, partitions: int = 256) -> SilverIngest | DistinctIngest:
     if name == "produtos":
         source = bronze(spark, root, "transacao_produto").table
-        return DistinctIngest(PartitionedTable(spark, f"{root}/silver/produtos", "IdProduto", partitions), source)
+        return DistinctIngest(PartitionedTable(spark, f"{root}/silver/produtos", "IdProduto", partitions), source, PRODUTOS_SQL)
     spec = BRONZE[name]
-    columns = StructType.fromDDL(spec.columns).names
     table = PartitionedTable(spark, f"{root}/silver/{name}", spec.key, partitions)
-    return SilverIngest(table, bronze(spark, root, name).table, columns)
+    return SilverIngest(table, bronze(spark, root, name).table, SILVER_SQL[name])
 
 
 def run(spark: SparkSession, raw: str, root: str) -> None:

@@ -259,6 +259,54 @@ ORACLES = {
                CAST(NULL AS VARCHAR) AS _operation FROM customer""",
     "drifting_types": """
         SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderstatus END AS o_orderstatus) FROM orders""",
+    "drifting_stream": """
+        SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' AND o_orderkey % 5 <> 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority)
+        FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderkey % 5 = 0)""",
+    "rejected_rows": """
+        SELECT o_orderkey, 'o_totalprice' AS rejected_column, CAST(1 AS BIGINT) AS _commit_version FROM orders
+        WHERE o_orderstatus <> 'F' AND o_orderkey % 10 = 0 AND o_totalprice <> floor(o_totalprice)""",
+    "accepted_rows": """
+        SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN CAST(trunc(o_totalprice) AS BIGINT)
+                               ELSE CAST(floor(o_totalprice) AS BIGINT) END AS o_totalprice) FROM orders
+        WHERE o_orderstatus = 'F' OR o_orderkey % 10 <> 0 OR o_totalprice = floor(o_totalprice)""",
+    "schema_document": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+               CAST(NULL AS VARCHAR) AS _operation FROM customer""",
+    "exact_sample": f"""
+        SELECT * FROM orders ORDER BY (o_orderkey % {SAMPLE_M} * {SAMPLE_A} + {SAMPLE_B}) % {SAMPLE_M}, o_orderkey
+        LIMIT (SELECT greatest(1, CAST(floor({SAMPLE_RATE} * count(*)) AS BIGINT)) FROM orders)""",
+    "exact_sample_of_one": f"""
+        SELECT * FROM supplier ORDER BY (s_suppkey % {SAMPLE_M} * {SAMPLE_A} + {SAMPLE_B}) % {SAMPLE_M}, s_suppkey LIMIT 1""",
+    "remembered_pending": f"""
+        SELECT * FROM orders QUALIFY row_number() OVER (ORDER BY o_orderdate, o_orderkey) > {2 * NEXT_BATCH}""",
+    "extractions_in_turn": f"""
+        WITH a AS (SELECT * FROM orders WHERE o_orderkey % 7 <> 0 ORDER BY o_orderdate, o_orderkey LIMIT {NEXT_BATCH}),
+             b AS (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)
+                   ORDER BY o_orderdate, o_orderkey LIMIT {NEXT_BATCH}),
+             c AS (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a UNION ALL SELECT o_orderkey FROM b)
+                   ORDER BY o_orderdate, o_orderkey LIMIT {NEXT_BATCH})
+        SELECT *, 1 AS run FROM a UNION ALL SELECT *, 2 FROM b UNION ALL SELECT *, 3 FROM c""",
+    "profile_landings": """
+        WITH o AS (SELECT *, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_clerk FROM orders),
+        f AS (
+            SELECT 'o_orderkey' AS "column", count(*) AS n_rows, count(o_orderkey) AS n_values, CAST(0 AS BIGINT) AS n_dates, count(DISTINCT o_orderkey) AS d FROM o
+            UNION ALL SELECT 'o_custkey', count(*), count(o_custkey), 0, count(DISTINCT o_custkey) FROM o
+            UNION ALL SELECT 'o_orderstatus', count(*), count(o_orderstatus), 0, count(DISTINCT o_orderstatus) FROM o
+            UNION ALL SELECT 'o_totalprice', count(*), count(o_totalprice), 0, count(DISTINCT o_totalprice) FROM o
+            UNION ALL SELECT 'o_orderdate', count(*), count(o_orderdate), count(o_orderdate), count(DISTINCT o_orderdate) FROM o
+            UNION ALL SELECT 'o_orderpriority', count(*), count(o_orderpriority), 0, count(DISTINCT o_orderpriority) FROM o
+            UNION ALL SELECT 'o_clerk', count(*), count(o_clerk), 0, count(DISTINCT o_clerk) FROM o)
+        SELECT "column", n_rows, n_values, n_dates, n_values = n_rows AND d >= 0.9 * n_rows AS maybe_key,
+               n_values > 0 AND n_dates = n_values AS maybe_date FROM f""",
+    "reconciliation": """
+        WITH a AS (SELECT *, o_orderkey // 1000 AS thousand FROM orders),
+             b AS (SELECT * REPLACE (CASE WHEN thousand % 5 = 0 AND o_orderkey % 100 = 1 THEN 'corrected' ELSE o_orderpriority END AS o_orderpriority)
+                   FROM a WHERE NOT (thousand % 5 = 0 AND o_orderkey % 500 = 2)),
+             d AS (SELECT thousand FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x
+                   UNION SELECT thousand FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y),
+             n AS (SELECT thousand, sum(p) AS p, sum(q) AS q FROM (
+                       SELECT thousand, 1 AS p, 0 AS q FROM a UNION ALL SELECT thousand, 0, 1 FROM b) z GROUP BY thousand)
+        SELECT thousand, CAST(p AS BIGINT) AS n_before, CAST(q AS BIGINT) AS n_after, thousand NOT IN (SELECT thousand FROM d) AS same FROM n""",
     "latest_event_per_user": """
         SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -383,6 +431,9 @@ ORACLES = {
         EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final"
     ),
     "distinct_line_products_changes": _product_changes(EACH_LINE_AFTER, EACH_LINE_BEFORE, f"{LINE_TIES}, {OP_RANK}"),
+    "silver_from_sql": replayed(
+        ROWS_WEEKLY, CUSTOMER_ROWS, FEED_TIES, f"SELECT k AS id, {_SILVER_ROW} FROM final WHERE v.c_acctbal > 20"
+    ),
     "distinct_offers_maintained": _offers(replayed(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final")),
     "distinct_offers_changes": _offers(_product_changes(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}"), ", _change_type, _commit_version"),
     "distinct_offers_streamed": _offers(replayed(_PAIRS_AFTER, _PAIRS_BEFORE, f"{LINE_TIES}, {OP_RANK}", "SELECT DISTINCT v AS p FROM final")),
@@ -391,3 +442,4 @@ ORACLES = {
     "loyalty_transacao_produto": _loyalty(ITEMS_FEED, ITEMS, ITEM_TIES, "idTransacaoProduto", PRODUTO_COLUMNS),
     "loyalty_produtos": replayed(ITEMS_FEED, ITEMS, ITEM_TIES, "SELECT DISTINCT v.IdProduto AS IdProduto FROM final"),
 }
+ORACLES["snapshot_diff_digest"] = ORACLES["snapshot_diff_rows"]

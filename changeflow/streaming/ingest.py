@@ -14,15 +14,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from changeflow.functions.columns import COMMIT_VERSION
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION
 from changeflow.functions.schemas import COLUMN, REASON, REJECT, ROW, load_schema, split
-from changeflow.operators.derive import derived_changes, latest_operations
+from changeflow.operators.derive import changes_by_query, derived_changes, latest_operations
 from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.guarded import guarded_changes
 from changeflow.operators.latest import latest
-from changeflow.operators.merge import LATEST_WINS, REFERENCE
+from changeflow.operators.merge import LATEST_WINS, NEW_IMAGES, REFERENCE
 from changeflow.operators.replay import ACTION, net_changes
 from changeflow.sources import files, paths
 from changeflow.sources.partitioned import PartitionedTable
@@ -247,7 +248,8 @@ class SilverIngest(_Downstream):
     """A projection of a keyed table, kept current.
 
     ``columns`` are names or expressions over the source row, ``where`` an optional filter; a row that
-    stops passing it leaves. The source's key is kept, if under another name.
+    stops passing it leaves. The source's key is kept, if under another name. In place of both, SQL text over ``{source}``
+    may be given.
 
     By default the row changes of the source are turned into those of the projection, without reading
     either table. ``reference`` mode instead merges the latest row change per key: an insert then
@@ -258,19 +260,26 @@ class SilverIngest(_Downstream):
         self,
         table: PartitionedTable | KeyedTable,
         source: PartitionedTable | KeyedTable,
-        columns: Sequence[str | Column],
+        columns: Sequence[str | Column] | str,
         where: Column | None = None,
         mode: str = LATEST_WINS,
     ):
         super().__init__(table, source)
+        self.query = columns if isinstance(columns, str) else None
         self.columns, self.where, self.mode = list(columns), where, mode
+        if self.query is not None and (where is not None or mode == REFERENCE):
+            raise ValueError("SQL text holds its own filter, and goes with the default mode")
 
     def _initial(self, rows: DataFrame) -> DataFrame:
+        if self.query is not None:
+            return rows.sparkSession.sql(self.query, source=rows)
         return (rows if self.where is None else rows.where(self.where)).select(*self.columns)
 
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
         upto = source_versions.stop - 1
-        if self.mode == REFERENCE:
+        if self.query is not None:
+            self.table.commit(version, changes_by_query(changes, self.source.key, self.query, self.table.key), upto)
+        elif self.mode == REFERENCE:
             latest_ = latest_operations(changes, self.source.key, self.columns, self.where)
             self.table.merge(version, latest_, source_version=upto)
         else:
@@ -282,18 +291,30 @@ class SilverIngest(_Downstream):
 class DistinctIngest(_Downstream):
     """The distinct non-null values of one column of a keyed table, or of several together, kept current.
 
+    ``query``, SQL text over ``{source}`` that takes each row by itself, may give the values.
     The table holds each value with its number of source rows; ``read`` and ``read_changes`` show
     the set.
     """
 
-    def __init__(self, table: PartitionedTable | KeyedTable, source: PartitionedTable | KeyedTable):
+    def __init__(
+        self, table: PartitionedTable | KeyedTable, source: PartitionedTable | KeyedTable, query: str | None = None
+    ):
         super().__init__(table, source)
-        self.column = table.key
+        self.column, self.query = table.key, query
 
     def _initial(self, rows: DataFrame) -> DataFrame:
+        rows = rows if self.query is None else rows.sparkSession.sql(self.query, source=rows)
         return value_counts(rows, self.column)
 
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
+        if self.query is not None:
+            images = changes.sparkSession.sql
+            sides = [
+                images(self.query, source=changes.where(is_new if new else ~is_new)).withColumn(CHANGE_TYPE, F.lit(kind))
+                for is_new in [F.col(CHANGE_TYPE).isin(*NEW_IMAGES)]
+                for new, kind in ((True, "insert"), (False, "delete"))
+            ]
+            changes = sides[0].unionByName(sides[1])
         deltas = paths.stage(value_deltas(changes, self.column))
         changes = count_row_changes(self.table.read_keys(deltas), deltas, self.column)
         self.table.commit(version, changes, source_versions.stop - 1)
