@@ -85,11 +85,8 @@ def close_pairs(nodes: DataFrame, max_bits: int) -> DataFrame:
     return a.join(b, "key").where(near).select("u", "v").distinct()
 
 
-def components(rows: DataFrame, max_bits: int = 4) -> DataFrame:
-    """``rows(doc_id, fp)`` with ``component_id``, the least doc_id reachable, and ``kept_fp``, the fingerprint
-    of the one row of the component to keep. NULL ids are linked like others but name a component only if it
-    has no other id (then component_id is NULL). Repeated rows stay repeated."""
-    rows = stage(rows)
+def named(rows: DataFrame, max_bits: int) -> DataFrame:
+    """For each fingerprint of the stored ``rows(doc_id, fp)``: component_id and kept_fp (see ``components``)."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     roots = stage(connected_components(close_pairs(nodes, max_bits)))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
@@ -97,18 +94,28 @@ def components(rows: DataFrame, max_bits: int = 4) -> DataFrame:
     )
     first = F.min(F.struct(F.col("least_id").isNull(), "least_id", "fp"))
     groups = rooted.groupBy("root").agg(first.alias("first"))
-    named = rooted.join(groups, "root").select(
-        "fp", F.col("first.least_id").alias("component_id"), F.col("first.fp").alias("kept_fp")
-    )
-    return rows.join(stage(named), "fp")
+    found = rooted.join(groups, "root")
+    return stage(found.select("fp", F.col("first.least_id").alias("component_id"), F.col("first.fp").alias("kept_fp")))
+
+
+def components(rows: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``rows(doc_id, fp)`` with ``component_id``, the least doc_id reachable, and ``kept_fp``, the fingerprint
+    of the one row of the component to keep. NULL ids are linked like others but name a component only if it
+    has no other id (then component_id is NULL). Repeated rows stay repeated."""
+    rows = stage(rows)
+    return rows.join(named(rows, max_bits), "fp")
+
+
+def fingerprinted(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    fp = fingerprint(F.col(text), shingle)
+    return short_batches(docs).select(F.col(doc_id).alias("doc_id"), fp.alias("fp"))
 
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4
 ) -> DataFrame:
     """One row per document: doc_id, fp (bigint), component_id, kept_fp. An empty table gives no rows."""
-    fp = fingerprint(F.col(text), shingle)
-    return components(short_batches(docs).select(F.col(doc_id).alias("doc_id"), fp.alias("fp")), max_bits)
+    return components(fingerprinted(docs, doc_id, text, shingle), max_bits)
 
 
 def deduplicate(
@@ -120,9 +127,11 @@ def deduplicate(
     text stays. All columns are kept, whatever their names.
     """
     fp, component, kept, n, rank = fresh_name(docs, "fp", "component_id", "kept_fp", "n", "rank")
-    rows = near_duplicates(docs, doc_id, text, shingle, max_bits)
+    rows = stage(fingerprinted(docs, doc_id, text, shingle))
+    # Counted before the join: after it, the rows of a fingerprint would be grouped where the join has brought them together.
+    counts = rows.groupBy("doc_id", "fp").agg(F.count("*").alias("n"))
     loser = ~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("kept_fp")))
-    marks = rows.groupBy("doc_id", "fp").agg(F.max(loser).alias("loser"), F.count("*").alias("n"))
+    marks = counts.join(named(rows, max_bits), "fp").select("doc_id", "fp", "n", loser.alias("loser"))
     marks = stage(marks.where("loser OR n > 1")).select(
         F.col("doc_id").alias(component), F.col("fp").alias(kept), F.when(F.col("loser"), 0).otherwise(F.col("n")).alias(n)
     )
