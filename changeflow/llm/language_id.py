@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import held_out, load, release, short_batches
+from changeflow.llm.common import held_out, load, release, short_batches, stage
 
+HASH_BITS = 44  # of a hash, below those that number its bin
 SAMPLE_DOCS = 400
 STRETCHES = 4
 LENGTH = 32
@@ -268,7 +269,9 @@ def _stretches(text: str | None, seed: int) -> str:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Crf:
     """A model from documents outside the held-out fold that have a text and a language. At most SAMPLE_DOCS rows of a
-    language reach the driver, each of at most STRETCHES * LENGTH words; repeated rows count each."""
+    language reach the driver, each of at most STRETCHES * LENGTH words; repeated rows count each. They are those of the
+    least hashes. A histogram of the hashes tells up to which one a language's sample reaches, so that few other rows are
+    cut and sorted, however large the language; it is broadcast as one row per language, as the model is."""
 
     @pandas_udf("string")
     def sampled(texts: pd.Series, seeds: pd.Series) -> pd.Series:
@@ -277,7 +280,11 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rows = short_batches(docs).where(~held_out(doc_id, FOLDS, FOLD)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("h")
     )
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("text", sampled("text", "h"))
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("bin", F.shiftrightunsigned("h", HASH_BITS))
+    upto = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = rows.groupBy("lang", "bin").count().withColumn("before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
+    last = stage(bins.where(F.col("before") < SAMPLE_DOCS).groupBy("lang").agg(F.max("bin").alias("last")))
+    rows = rows.join(F.broadcast(last), "lang").where("bin <= last").withColumn("text", sampled("text", "h"))
     least = Window.partitionBy("lang").orderBy("h", "text")
     rows = rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= SAMPLE_DOCS)
     return fit([(r.lang, r.text) for r in rows.select("lang", "text").collect()])
