@@ -6,17 +6,20 @@ document if that is shorter). All steps are DataFrame operations:
 
 1. A window is made only if it holds as many shingles of items of its size as the least similarity takes; no other window
    can reach it.
-2. A window's fingerprint has the 64 majority bits of its shingles' hashes, counted in packed lanes by plain sums.
-3. The fingerprint is cut into ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, then in some block
+2. A window has ``PRINTS`` fingerprints, from as many hashes of its shingles: the 64 majority bits of each, counted in packed
+   lanes by plain sums.
+3. A fingerprint is cut into ``BLOCKS`` blocks. If two fingerprints differ in at most ``RADIUS`` bits, then in some block
    they differ in at most RADIUS // BLOCKS; items are filed under all such block values, windows under their own,
-   so that the join finds every pair within the radius.
-4. Fingerprints follow the cosine of the shingle counts, and a shingle that a window repeats lowers it whatever the item
-   holds, so no radius is safe for any item. An exact join adds the pairs beyond it: a window that is like an item has one of
-   the item's rarest shingles, of which as many are kept as the least similarity lets a window miss, and one more.
+   so that the join finds every pair that is within the radius by any of its fingerprints.
+4. Fingerprints follow the cosine of the shingle counts. Where neither side repeats a shingle, a similarity of 0.8 means a
+   cosine of 0.89, by which one fingerprint is beyond the radius for 1 to 3 pairs in a hundred and all four for less than
+   one in a million. A repeated shingle lowers the cosine without such a bound, so the radius would be too wide: windows
+   and items with repeated shingles, and only these, are paired by an exact join instead. A window that is like an item has
+   one of the item's rarest shingles, of which as many are kept as the least similarity lets a window miss, and one more.
 5. All these pairs are compared exactly: shingles shared over shingles in either, repeats counted.
+6. An item of under five words is one run of words; it is looked for among the documents' runs of as many words.
 
-The result is exact but for equal hashes of unequal shingles. Texts are told apart by a 128-bit hash, so equal texts are
-worked on once.
+Texts are told apart by a 128-bit hash, so equal texts are worked on once.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from changeflow.llm.sketches import SHINGLE, shingle_hashes, words_of
 
 SIMILARITY = 0.8
 RADIUS = 15
+PRINTS = 4
 BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
 # Rows of (hash, size) that the items may have to be broadcast to the scan of the documents: 16 MB.
@@ -68,6 +72,18 @@ def fingerprints(df: DataFrame, by: list[str], hashes: str) -> DataFrame:
     return counted.select(*by, fp.alias("fp"))
 
 
+def printed(df: DataFrame, by: list[str], hashes: str) -> DataFrame:
+    """(by, f, fp): the fingerprints of each distinct ``by``, told by the number f of their hash."""
+    each = df.select(*by, hashes, F.explode(F.array(*map(F.lit, range(PRINTS)))).alias("f"))
+    other = F.transform(hashes, lambda x: F.xxhash64(F.col("f"), x))
+    return fingerprints(each.withColumn(hashes, F.when(F.col("f") == 0, F.col(hashes)).otherwise(other)), [*by, "f"], hashes)
+
+
+def plain(hashes: Column) -> Column:
+    """Whether no shingle is repeated."""
+    return F.size(F.array_distinct(hashes)) == F.size(hashes)
+
+
 def block_values(fp: Column) -> Column:
     """(block, value) of a fingerprint's blocks."""
     mask = F.lit((1 << BLOCK_BITS) - 1)
@@ -90,11 +106,10 @@ def similarity(a: Column, b: Column) -> Column:
     def times(x: Column, hashes: Column) -> Column:
         return F.size(F.filter(hashes, lambda y: y == x))
 
-    plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
     repeats = F.aggregate(
         F.array_intersect(a, b), F.lit(0), lambda total, x: total + F.least(times(x, a), times(x, b))
     )
-    shared = F.when(plain, F.size(F.array_intersect(a, b))).otherwise(repeats)
+    shared = F.when(plain(a) & plain(b), F.size(F.array_intersect(a, b))).otherwise(repeats)
     return shared / (F.size(a) + F.size(b) - shared)
 
 
@@ -137,12 +152,12 @@ def matches(
     """(k1, k2, item_id, similarity, distance, start_word, n_words): for each text, by its hash, and item that are
     alike, the most similar window, the earliest among equals; ``distance`` is that of the fingerprints.
 
-    NULL and empty texts and items match nothing; an item of under five words matches only a document that consists
-    of these words; repeated items match each; an empty table on either side gives no rows.
+    NULL and empty texts and items match nothing; repeated items match each; an empty table on either side gives no rows.
     """
-    wanted = _hashed(items, F.col(item_text), F.col(item_id).alias("item_id"))
-    wanted = stage(wanted.select("item_id", "h", F.size("h").alias("m")).withColumn("item", F.monotonically_increasing_id()))
-    wanted = wanted.where("m > 0")
+    every = items.select(F.col(item_id).alias("item_id"), words_of(F.lower(F.col(item_text))).alias("words"))
+    every = stage(every.where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()))
+    wanted = every.where(F.size("words") >= SHINGLE).withColumn("h", shingle_hashes(F.col("words"))).drop("words")
+    wanted = stage(wanted.withColumn("m", F.size("h")).withColumn("plain", plain(F.col("h"))))
     grams = stage(wanted.select(F.explode("h").alias("x"), "m").distinct())
     rare = stage(rarest(wanted, least))
     if grams.count() <= BROADCAST_ROWS:
@@ -155,29 +170,36 @@ def matches(
     hits = spread.join(grams, "x").select(*KEY, "n", "at", "m")
     starts = stage(window_starts(hits, least))
 
-    # The keys grow with the corpus, so this join shuffles at every size.
-    texts = source.join(starts.select(*KEY).distinct().hint("merge"), KEY, "left_semi").groupBy(*KEY).agg(F.min("text").alias("text"))
+    # The keys grow with the corpus, so this join shuffles at every size. It is stored before copies are taken together, so
+    # that the join can split a text with very many copies and each task keeps one of them.
+    texts = stage(source.join(starts.select(*KEY).distinct().hint("merge"), KEY, "left_semi"))
+    texts = texts.groupBy(*KEY).agg(F.min("text").alias("text"))
     texts = _hashed(texts, F.col("text"), *KEY)
     window = ["k1", "k2", "m", "start"]
-    windows = stage(starts.join(texts, KEY).select(*window, F.slice("h", F.col("start") + 1, F.col("m")).alias("w")))
-
-    own = fingerprints(windows, window, "w")
-    own = stage(own.select(*window, "fp"))
-    filed = own.select("*", F.inline(block_values(F.col("fp"))))
-    items_own = stage(fingerprints(wanted, ["item", "m"], "h").withColumnRenamed("fp", "item_fp"))
-    theirs = items_own.select("*", F.inline(block_values(F.col("item_fp"))))
-    theirs = theirs.select("item", "m", "item_fp", "block", F.explode(_near_values(F.col("value"))).alias("value"))
+    windows = starts.join(texts, KEY).select(*window, F.slice("h", F.col("start") + 1, F.col("m")).alias("w"))
+    windows = stage(windows.withColumn("plain", plain(F.col("w"))))
+
+    own = stage(printed(windows, [*window, "plain"], "w"))
+    filed = own.where("plain").select(*window, "f", "fp", F.inline(block_values(F.col("fp"))))
+    items_own = stage(printed(wanted, ["item", "m", "plain"], "h").withColumnRenamed("fp", "item_fp"))
+    theirs = items_own.where("plain").select("item", "m", "f", "item_fp", F.inline(block_values(F.col("item_fp"))))
+    theirs = theirs.select("item", "m", "f", "item_fp", "block", F.explode(_near_values(F.col("value"))).alias("value"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    close = filed.join(theirs, ["m", "block", "value"]).where(distance <= RADIUS).select(*window, "item")
-    shared = windows.select(*window, F.explode("w").alias("x")).join(rare, ["m", "x"]).select(*window, "item")
+    # Items are filed under thousands of values each, so this side isn't broadcast.
+    close = filed.join(theirs.hint("merge"), ["f", "m", "block", "value"]).where(distance <= RADIUS).select(*window, "item")
+    theirs = rare.join(wanted.select("item", F.col("plain").alias("item_plain")), "item")
+    shared = windows.select(*window, "plain", F.explode("w").alias("x")).join(theirs, ["m", "x"])
+    shared = shared.where("NOT (plain AND item_plain)").select(*window, "item")
     pairs = close.unionByName(shared).distinct()
+    own, items_own = own.where("f = 0").drop("f", "plain"), items_own.where("f = 0").drop("f", "plain")
+    windows, wanted = windows.drop("plain"), wanted.drop("plain")
 
     compared = pairs.join(windows, window).join(own, window).join(wanted.drop("m"), "item")
     compared = compared.join(items_own.drop("m"), "item").withColumn("distance", distance)
     compared = compared.withColumn("similarity", similarity(F.col("w"), F.col("h"))).where(F.col("similarity") >= least)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "distance", F.size("w").alias("size"), "item_id"))
     found = compared.groupBy(*KEY, "item").agg(best.alias("best"))
-    return found.select(
+    found = found.select(
         *KEY,
         "best.item_id",
         "best.similarity",
@@ -185,6 +207,24 @@ def matches(
         (-F.col("best.s")).cast("bigint").alias("start_word"),
         (F.col("best.size") + SHINGLE - 1).cast("bigint").alias("n_words"),
     )
+    short = every.where(F.size("words") < SHINGLE)
+    for n in sorted(r[0] for r in short.select(F.size("words")).distinct().collect()):
+        found = found.unionByName(_short_matches(source, short.where(F.size("words") == n), n))
+    return found
+
+
+def _short_matches(source: DataFrame, short: DataFrame, n: int) -> DataFrame:
+    """The first run of ``n`` words of each text that is one of the items of ``n`` words."""
+    words = source.select(*KEY, words_of(F.lower(F.col("text"))).alias("words"))
+    starts = F.slice("words", 1, F.greatest(F.size("words") - (n - 1), F.lit(0)))
+    runs = F.transform(starts, lambda w, i: F.concat_ws(" ", w, *[F.get("words", i + j) for j in range(1, n)]))
+    runs = words.select(*KEY, runs.alias("runs")).select(*KEY, F.posexplode_outer("runs").alias("at", "run"))
+    met = runs.join(short.select("item_id", "item", F.concat_ws(" ", "words").alias("run")), "run")
+    first = met.groupBy(*KEY, "item").agg(F.min("at").alias("at"), F.min("item_id").alias("item_id"))
+    return first.select(
+        *KEY, "item_id", F.lit(1.0).alias("similarity"), F.lit(0).alias("distance"), F.col("at").cast("bigint").alias("start_word"),
+        F.lit(n).cast("bigint").alias("n_words"),
+    )
 
 
 def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -471,6 +471,44 @@ def test_pooled_levels_never_fall():
     assert len(levels) == 50 and (np.diff(levels) >= 0).all() and 0 <= levels[0] and levels[-1] <= 1
 
 
+def test_pooled_levels_are_the_closest_ones():
+    """Each level is the greatest over starts of the least over ends of the mean between, which is the monotone fit."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        rows = rng.integers(1, 6, 30).astype(float)
+        ones = np.array([rng.integers(0, r + 1) for r in rows], float)
+        expected = [
+            max(min(ones[a:b + 1].sum() / rows[a:b + 1].sum() for b in range(i, 30)) for a in range(i + 1)) for i in range(30)
+        ]
+        assert np.allclose(quality._pooled(ones, rows), expected)
+
+
+def test_quality_query_against_one_solve_over_all_rows(spark):
+    """Every score, from normal equations over all labelled rows at once."""
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    marks = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    marks = [(i, q) for i, q in marks if q is not None and i in texts and zlib.crc32(str(i).encode()) % 3 != 1]
+    x, y = np.array([quality._statistics(texts[i]) for i, _ in marks]), np.array([float(q) for _, q in marks])
+    mean, scale = x.mean(0), np.sqrt(np.maximum((x * x).mean(0) - x.mean(0) ** 2, 1e-6))
+    z, n, ones = quality._features(x, mean, scale), len(y), y.sum()
+    weight = np.where(y == 1, n / (2 * ones), n / (2 * (n - ones)))
+    penalty = np.eye(z.shape[1]) * quality.RIDGE * n
+    penalty[-1, -1] = 0
+    weights = np.linalg.solve(z.T @ (z * weight[:, None]) + penalty, z.T @ (weight * y))
+    at = quality._bin(z @ weights, (-0.5, 1.5))
+    levels = quality._pooled(np.bincount(at, y, quality.BINS), np.bincount(at, minlength=quality.BINS).astype(float))
+    rows = quality.op8_quality(spark, sf).collect()
+    raw = quality._features(np.array([quality._statistics(texts[r.doc_id]) for r in rows]), mean, scale) @ weights
+    low, high = (levels[quality._bin(raw + d, (-0.5, 1.5))] for d in (-1e-6, 1e-6))
+    assert len(rows) == len(texts) and len(marks) > 40
+    for r, a, b in zip(rows, low, high):
+        assert a - 1e-9 <= r.score <= b + 1e-9 and r.predicted == (r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
 # -- decontamination -------------------------------------------------------------------------
 
 
@@ -478,7 +516,8 @@ def test_matches_against_brute_force(spark, docs, none):
     item = prose(30)
     words = item.split()
     changed = " ".join([*words[:28], "other", words[29]])
-    mine = [(20, prose(50) + " " + item.upper() + " " + prose(9)), (21, prose(5) + "\n" + changed), (22, "in short"), (22, item)]
+    mine = [(20, prose(50) + " " + item.upper() + " " + prose(9)), (21, prose(5) + "\n" + changed), (22, "in short"), (22, item),
+            (23, prose(8) + " in  Short " + prose(8) + " in short"), (24, "brief In\tshort")]
     texts = docs.select("doc_id", "text").unionByName(spark.createDataFrame(mine, "doc_id long, text string"))
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "In short"), (5, item), (6, "al" * 9)], "item_id long, text string")
     found = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontamination.contaminated(texts, items).collect()}
@@ -486,6 +525,13 @@ def test_matches_against_brute_force(spark, docs, none):
     for i, t in [*TEXTS, *mine]:
         shingles = grams((t or "").lower().split(), 5)
         for j, text in [(r.item_id, r.text) for r in items.collect()]:
+            few = (text or "").lower().split()
+            if 0 < len(few) < 5:
+                words = (t or "").lower().split()
+                at = next((k for k in range(len(words)) if words[k:k + len(few)] == few), None)
+                if at is not None:
+                    expected[i, j] = (1.0, at)
+                continue
             sought = grams((text or "").lower().split(), 5)
             best = (0, 0)
             for k in range(max(1, len(shingles) - len(sought) + 1)) if sought and shingles else ():
@@ -493,7 +539,7 @@ def test_matches_against_brute_force(spark, docs, none):
                 best = max(best, (sum((a & b).values()) / sum((a | b).values()), -k))
             if best[0] >= 0.8:
                 expected[i, j] = (best[0], -best[1])
-    assert {k: (pytest.approx(s), at) for k, (s, at) in expected.items()} == found and len(expected) == 7
+    assert {k: (pytest.approx(s), at) for k, (s, at) in expected.items()} == found and len(expected) == 9
     clean = decontamination.decontaminate(texts, items)
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in TEXTS}
     assert clean.count() == len(TEXTS)
@@ -526,6 +572,32 @@ def test_matches_with_repeated_shingles_against_brute_force(spark):
     assert found == expected and len(expected) >= 8
 
 
+def test_the_blocks_alone_bring_items_without_repeats(spark, monkeypatch):
+    """Items and documents without repeated shingles, similarities of 0.8 to 1: found without the exact join."""
+    monkeypatch.setattr(decontamination, "rarest", lambda wanted, least: wanted.select("item", "m", F.lit(0).cast("bigint").alias("x")).limit(0))
+    rng = np.random.default_rng(6)
+    mine, sought = [], []
+    for j in range(120):
+        words = [f"w{j}x{i}" for i in range(int(rng.integers(12, 140)))]
+        other = list(words)
+        for i in rng.integers(0, len(words), int(rng.integers(0, 3))).tolist():
+            other[i] = f"changed{j}x{i}"
+        cut = int(rng.integers(0, 1 + len(words) // 8))
+        mine.append((j, " ".join([f"before{j}"] * (j % 3) + other[:len(other) - cut] + [f"after{j}x{i}" for i in range(cut + 2)])))
+        sought.append((j, " ".join(words)))
+    texts = spark.createDataFrame(mine, "doc_id long, text string")
+    items = spark.createDataFrame(sought, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated(texts, items).collect()}
+    expected = {}
+    for (i, t), (_, item) in zip(mine, sought):
+        a, b = grams(t.split(), 5), Counter(grams(item.split(), 5))
+        size = sum(b.values())
+        shares = [(x := Counter(a[k:k + size])) and sum((x & b).values()) / sum((x | b).values()) for k in range(max(1, len(a) - size + 1))]
+        if max(shares) >= 0.8:
+            expected[i, i] = pytest.approx(max(shares))
+    assert found == expected and 30 < len(expected) and sum(v.expected < 0.9 for v in expected.values()) > 8
+
+
 def test_near_values_cover_the_radius(spark):
     a, bits = 0x123456789ABCDEF, [0, 1, 2, 16, 17, 18, 32, 33, 34, 48, 49, 50, 51, 52, 53]
     b = a ^ sum(1 << x for x in bits)
@@ -564,7 +636,39 @@ def test_edited_digest(spark):
     rows.createOrReplaceTempView("none")
     found = {r.id: (r.text, r.next_start) for r in sketches.with_next(rows).collect()}
     assert found == {1: ("abcdé", "xy"), 2: ("xy", ""), 3: ("", "")}
-    assert hashlib.sha256(b"abcxy").hexdigest()
+
+
+def test_sketch_query_against_brute_force(spark):
+    """All rows of the query: digests, and estimates from sketches made in Python."""
+    import xxhash
+
+    def sketch(text):
+        words = [w for w in re.split(r"[\x20\x09-\x0d]+", text) if w]
+        hashes = set()
+        for i in range(len(words) - 4):
+            h = 42
+            for w in words[i:i + 5]:
+                h = xxhash.xxh64_intdigest(w.encode(), h)
+            hashes.add(h)
+        if 0 < len(words) < 5:
+            hashes = {xxhash.xxh64_intdigest(" ".join(words).encode(), 42)}
+        return sorted(h - (1 << 64) if h >> 63 else h for h in hashes)[:128]
+
+    def alike(a, b):
+        union = sorted({*a, *b})[:128]
+        return len(set(union) & set(a) & set(b)) / len(union) if union else 1.0
+
+    sf = "/root/testdata/sf0.001"
+    texts = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    rows = {r.doc_id: r for r in sketches.op2_sketches(spark, sf).collect()}
+    assert len(rows) == len(texts)
+    for (i, text), (_, after) in zip(texts, texts[1:] + texts[:1]):
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        assert rows[i].n_chars == len(text)
+        assert rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        own = sketch(text)
+        assert (rows[i].near_edited, rows[i].near_next) == (alike(own, sketch(edited)), alike(own, sketch(after)))
 
 
 def test_unsound_records_end_the_query(spark):
