@@ -170,9 +170,10 @@ def matches(
     hits = spread.join(grams, "x").select(*KEY, "n", "at", "m")
     starts = stage(window_starts(hits, least))
 
-    # The keys grow with the corpus, so this join shuffles at every size. It is stored before copies are taken together, so
-    # that the join can split a text with very many copies and each task keeps one of them.
-    texts = stage(source.join(starts.select(*KEY).distinct().hint("merge"), KEY, "left_semi"))
+    # The keys grow with the corpus, so this join shuffles at every size. Both what it reads and what it makes are stored, so
+    # that it can split a text with very many copies, and each task keeps one of them.
+    found = stage(starts.select(*KEY).distinct())
+    texts = stage(source.join(found.hint("merge"), KEY, "left_semi"))
     texts = texts.groupBy(*KEY).agg(F.min("text").alias("text"))
     texts = _hashed(texts, F.col("text"), *KEY)
     window = ["k1", "k2", "m", "start"]
