@@ -23,7 +23,7 @@ from pyspark.sql.functions import pandas_udf
 
 from changeflow.llm.common import held_out, load, release, short_batches, stage
 
-HASH_BITS = 44  # of a hash, below those that number its bin
+HASH_BITS = 52  # of a hash, below those that number its bin
 SAMPLE_DOCS = 400
 STRETCHES = 4
 LENGTH = 32
