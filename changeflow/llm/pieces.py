@@ -30,7 +30,7 @@ from changeflow.llm.common import fresh_name, load, numbered, release, short_bat
 SPACE = "▁"
 ALPHA = 1.0
 SEED = 3
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_200_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
