@@ -30,7 +30,7 @@ from changeflow.llm.common import fresh_name, load, numbered, release, short_bat
 SPACE = "▁"
 ALPHA = 1.0
 SEED = 3
-CHUNK_CHARS = 1_200_000
+CHUNK_CHARS = 2_000_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -219,12 +219,12 @@ def segment(texts: list[str | None], keys: np.ndarray, vocabulary: Vocabulary) -
     return ids, np.bincount(owner, sizes, len(texts)).astype(np.int64)
 
 
-def _chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+def _chunks(batch: pa.RecordBatch, text: str, most: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     at, chars, held = 0, 0, []
     for i, t in enumerate(batch[text].to_pylist()):
         held.append(t)
         chars += len(t or "")
-        if chars >= CHUNK_CHARS:
+        if chars >= most:
             yield batch.slice(at, i + 1 - at), held
             at, chars, held = i + 1, 0, []
     if held:
@@ -233,12 +233,13 @@ def _chunks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch,
 
 def encode(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", name: str = "ids", seed: int = SEED,
-    alpha: float = ALPHA, keep: list[str] | None = None, check: str | None = None,
+    alpha: float = ALPHA, keep: list[str] | None = None, check: str | None = None, chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
     """``docs``, or its columns ``keep``, with the piece ids of a sampled segmentation of each text as ``name``
     (array<int>) and, if ``check`` is given, whether the ids decode to the text as a column of that name.
 
-    The row's key is its id; rows with equal id and text are cut alike, and so are rows without id. A NULL text has NULL
+    Texts are cut up to ``chunk_chars`` characters at a time, or one longer text: fewer need less memory and more time, and
+    the result is the same. The row's key is its id; rows with equal id and text are cut alike, and so are rows without id. A NULL text has NULL
     ids, an empty one none. ``path`` is a SentencePiece model with byte pieces that every executor has.
     """
     keep = docs.columns if keep is None else keep
@@ -251,7 +252,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path, alpha)
         for batch in batches:
-            for part, texts in _chunks(batch, source):
+            for part, texts in _chunks(batch, source, chunk_chars):
                 keys = np.asarray(part[key]).astype(np.int64).view(np.uint64)
                 ids, counts = segment(texts, keys, vocabulary)
                 offsets = np.concatenate([[0], np.cumsum(counts)])

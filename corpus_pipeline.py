@@ -42,7 +42,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of a sampled segmentation of each text, and whether they decode to it."""
-    encoded = pieces.encode(docs, pieces.model_path(), keep=["doc_id", "lang", "source"], check="lossless")
+    # Workers that have run the stages before hold memory of theirs.
+    options = {"keep": ["doc_id", "lang", "source"], "check": "lossless", "chunk_chars": 1_200_000}
+    encoded = pieces.encode(docs, pieces.model_path(), **options)
     return encoded.withColumn("n_pieces", F.size("ids").cast("bigint"))
 
 
