@@ -9,9 +9,9 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.sources.paths import stage
+from changeflow.sources.paths import stage, unstage
 
-__all__ = ["load", "stage", "held_out", "fresh_name", "numbered", "release", "short_batches"]
+__all__ = ["load", "stage", "unstage", "held_out", "fresh_name", "numbered", "release", "short_batches"]
 
 # Rows of whole texts that an Arrow batch may hold.
 TEXT_ROWS = 1000

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from changeflow.llm.common import fresh_name, load, short_batches, stage
+from changeflow.llm.common import fresh_name, load, short_batches, stage, unstage
 from changeflow.llm.components import connected_components
 
 SEED = 42
@@ -88,14 +88,17 @@ def close_pairs(nodes: DataFrame, max_bits: int) -> DataFrame:
 def named(rows: DataFrame, max_bits: int) -> DataFrame:
     """For each fingerprint of the stored ``rows(doc_id, fp)``: component_id and kept_fp (see ``components``)."""
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    roots = stage(connected_components(close_pairs(nodes, max_bits)))
+    roots = connected_components(close_pairs(nodes, max_bits))  # stored already
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     first = F.min(F.struct(F.col("least_id").isNull(), "least_id", "fp"))
     groups = rooted.groupBy("root").agg(first.alias("first"))
     found = rooted.join(groups, "root")
-    return stage(found.select("fp", F.col("first.least_id").alias("component_id"), F.col("first.fp").alias("kept_fp")))
+    found = stage(found.select("fp", F.col("first.least_id").alias("component_id"), F.col("first.fp").alias("kept_fp")))
+    unstage(nodes)
+    unstage(roots)
+    return found
 
 
 def components(rows: DataFrame, max_bits: int = 4) -> DataFrame:
@@ -135,9 +138,12 @@ def deduplicate(
     marks = stage(marks.where("loser OR n > 1")).select(
         F.col("doc_id").alias(component), F.col("fp").alias(kept), F.when(F.col("loser"), 0).otherwise(F.col("n")).alias(n)
     )
+    unstage(rows)
     marked = docs.withColumn(fp, fingerprint(F.col(text), shingle))
     same = marked[doc_id].eqNullSafe(marks[component]) & (marked[fp] == marks[kept])
     marked = marked.join(marks.hint("merge"), same, "left")
+    # Stored, as both parts below read it: whole texts are hashed and shuffled once, and a hot id can be split.
+    marked = stage(marked.where(F.col(n).isNull() | (F.col(n) > 1)).select(*docs.columns, fp, n))
     single = marked.where(F.col(n).isNull()).select(*docs.columns)
     first = Window.partitionBy(doc_id, fp).orderBy(text)
     repeated = marked.where(F.col(n) > 1).withColumn(rank, F.row_number().over(first))

@@ -1,6 +1,7 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing column names, on small fixtures."""
 
 import hashlib
+import os
 import re
 from collections import Counter
 from itertools import combinations
@@ -328,6 +329,18 @@ def test_simhash_keeps_one_of_each_group(docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
 
 
+def test_near_duplicates_leave_little_scratch(spark, docs):
+    """Texts are hashed and shuffled before the rows are stored; what nothing reads any more is freed."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    kept = simhash.deduplicate(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "Join" not in plan
+    assert kept.count() == len({r.component_id for r in simhash.near_duplicates(docs).collect()})
+    # Marks, marked rows and components; then the rows and the components of the second call.
+    assert len(set(os.listdir(folder)) - before) == 5
+
+
 def test_close_pairs_are_complete(spark):
     rng = np.random.default_rng(5)
     base = [int(x) for x in rng.integers(-(1 << 63), 1 << 63, 60)]
@@ -509,6 +522,15 @@ def test_quality_query_against_one_solve_over_all_rows(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
 
 
+def test_training_on_texts_gives_the_scores_of_the_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts, marks = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    found = texts.select("doc_id", quality.score(F.col("text"), quality.train(texts, marks)).alias("again"))
+    both = quality.op8_quality(spark, sf).join(found, "doc_id").collect()
+    # Sums over differently cut partitions may move an output by one bin.
+    assert len(both) == texts.count() and sum(abs(r.score - r.again) > 1e-6 for r in both) <= 2
+
+
 # -- decontamination -------------------------------------------------------------------------
 
 
