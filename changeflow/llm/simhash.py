@@ -129,24 +129,26 @@ def deduplicate(
     Rows with the same id and fingerprint count as repeats of each other, of which the one with the least
     text stays. All columns are kept, whatever their names.
     """
-    fp, component, kept, n, rank = fresh_name(docs, "fp", "component_id", "kept_fp", "n", "rank")
+    fp, component, kept, rank = fresh_name(docs, "fp", "component_id", "kept_fp", "rank")
     rows = stage(fingerprinted(docs, doc_id, text, shingle))
     # Counted before the join: after it, the rows of a fingerprint would be grouped where the join has brought them together.
     counts = rows.groupBy("doc_id", "fp").agg(F.count("*").alias("n"))
     loser = ~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("kept_fp")))
     marks = counts.join(named(rows, max_bits), "fp").select("doc_id", "fp", "n", loser.alias("loser"))
-    marks = stage(marks.where("loser OR n > 1")).select(
-        F.col("doc_id").alias(component), F.col("fp").alias(kept), F.when(F.col("loser"), 0).otherwise(F.col("n")).alias(n)
-    )
+    marks = stage(marks.where("loser OR n > 1"))
     unstage(rows)
-    marked = docs.withColumn(fp, fingerprint(F.col(text), shingle))
-    same = marked[doc_id].eqNullSafe(marks[component]) & (marked[fp] == marks[kept])
-    marked = marked.join(marks.hint("merge"), same, "left")
-    # Stored, as both parts below read it: whole texts are hashed and shuffled once, and a hot id can be split.
-    marked = stage(marked.where(F.col(n).isNull() | (F.col(n) > 1)).select(*docs.columns, fp, n))
-    single = marked.where(F.col(n).isNull()).select(*docs.columns)
+
+    def marked(part: DataFrame, which: str, how: str) -> DataFrame:
+        few = marks.where(which).select(F.col("doc_id").alias(component), F.col("fp").alias(kept))
+        part = part.withColumn(fp, fingerprint(F.col(text), shingle))
+        return part.join(few.hint("merge"), part[doc_id].eqNullSafe(few[component]) & (part[fp] == few[kept]), how)
+
+    single = marked(docs, "loser OR n > 1", "left_anti").select(*docs.columns)
+    # Texts with a repeated id and fingerprint are few as a rule: only texts of their ids are hashed and moved again.
+    ids = marks.where("NOT loser AND n > 1").select(F.col("doc_id").alias(component))
+    repeated = docs.join(ids, docs[doc_id].eqNullSafe(ids[component]), "left_semi")
     first = Window.partitionBy(doc_id, fp).orderBy(text)
-    repeated = marked.where(F.col(n) > 1).withColumn(rank, F.row_number().over(first))
+    repeated = marked(repeated, "NOT loser AND n > 1", "left_semi").withColumn(rank, F.row_number().over(first))
     return single.unionByName(repeated.where(F.col(rank) == 1).select(*docs.columns))
 
 
