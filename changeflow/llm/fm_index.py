@@ -34,14 +34,15 @@ class WaveletMatrix:
 class FMIndex:
     """Index of a sequence of words (numbers from 1 up); finds where patterns of up to ``depth`` words occur.
 
-    Suffixes are sorted by their first ``depth`` words, which is all that such searches need.
+    Suffixes are sorted by their first ``depth`` words, which is all that such searches need. Kept are the wavelet matrix and
+    the counts of words; the suffixes themselves aren't.
     """
 
     def __init__(self, words: np.ndarray, depth: int):
         text = np.concatenate([words.astype(np.int64), [0]])
         sigma = int(text.max()) + 1
-        self.suffixes = np.argsort(self._order(text, depth), kind="stable")
-        before = text[self.suffixes - 1]
+        before = text[np.argsort(self._order(text, depth), kind="stable") - 1]
+        self.size = len(text)
         self.wavelets = WaveletMatrix(before, sigma)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
         every = np.arange(sigma)
@@ -73,7 +74,7 @@ class FMIndex:
         suffix of the row that occurs, and its length (the matching statistic of the row's end). A row whose interval has
         shrunk to ``stop_at`` suffixes isn't searched further."""
         n = len(patterns)
-        low, high = np.zeros(n, np.int64), np.full(n, len(self.suffixes), np.int64)
+        low, high = np.zeros(n, np.int64), np.full(n, self.size, np.int64)
         length, live = np.zeros(n, np.int64), np.arange(n)
         for column in reversed(range(patterns.shape[1])):
             symbols = patterns[live, column]

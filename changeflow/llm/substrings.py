@@ -4,19 +4,26 @@ Words are runs of anything but ASCII white space, unchanged. A window is ``windo
 windows that can be equal, each is filed under its anchor, the four-word run in it that comes first in a fixed order
 (longest first, so that it is rarely a run of common words); equal windows have equal anchors.
 
-1. Anchors are gathered with the ids of their documents, pre-aggregated per task, and kept if two documents share one.
-2. The texts are cut into passages, runs of windows with one shared anchor. Equal passages of a task become one row with
-   the places where they stand. An anchor that very many documents share would still bring many passages together (the
-   text around it differs); its windows are dealt out one by one, by all their words.
-3. Each shard of anchors gets a compressed FM-index over the words of its passages. Backward search over its wavelet
-   matrix gives, for the windows of all passages streamed past it, the matching statistics; where they reach the whole
-   window with more than one suffix left, the least document id in the interval tells whether the window is a repeat.
+1. Anchors are gathered with the ids of their documents, pre-aggregated per chunk of texts, and kept if two documents share
+   one. A chunk with very many documents of an anchor knows that itself: their ids go on without meeting those of other
+   chunks, and a note of the anchor, one a task, tells the others.
+2. The texts are cut into passages, runs of windows with one shared anchor. Equal passages of a chunk become one row with
+   the places where they stand in the document with the least id; the places in all others are known to be repeats, and go
+   on as intervals that are dealt out by document. An anchor that very many documents share would still bring many passages
+   together (the text around it differs); its windows are dealt out one by one, by all their words, and a task sends a window
+   again only for a smaller id. So a shard gets a few rows a task of any passage, however many documents have it.
+3. Each shard of anchors gets a compressed FM-index over the words of its passages: bit vectors and counts, no suffix array.
+   The passages are streamed past it, and backward search over its wavelet matrix gives the matching statistic of every
+   window's end: the length of the longest part before it that stands elsewhere, too. Where that reaches the threshold, the
+   windows with one interval of suffixes are equal, and the least document id among them tells which are repeats.
 4. Per document the covered words are joined to intervals.
 
 Ids are compared, but places belong to a row: an id and a 128-bit hash of the text. Rows that share an id and not the text
 have their own intervals each.
 
-A shard's size is set by its number of passages, so that index and passages fit in one task at any size of the corpus.
+A shard's size is set by its number of passages, so that index and passages fit in one task at any size of the corpus. What a
+chunk sends where depends on the order of its rows: texts are sorted before they are cut, and the documents given should come
+from storage, so that a task done again sends the same.
 """
 
 from __future__ import annotations
@@ -38,11 +45,13 @@ from changeflow.llm.fm_index import FMIndex
 
 WINDOW = 13
 ANCHOR = 4
-# Passages per shard, the number of documents from which an anchor's windows are dealt out singly, characters of text
-# that a task turns into rows at a time.
+# Passages per shard, the number of documents (of all, or of one chunk) from which an anchor's windows are dealt out singly,
+# characters of text that a task turns into rows at a time, anchors or windows that a task remembers to have sent.
 SHARD_PASSAGES = 20_000
 COMMON_ANCHOR = 2_000
+CROWDED_ANCHOR = 64
 CHUNK_CHARS = 3_000_000
+REMEMBERED = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 # What tells the row of a place: id and text hash.
 ROW = ["id", "k1", "k2"]
@@ -72,9 +81,10 @@ def _anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gathered(window: int):
-    """Distinct anchors of a chunk of documents with the ids of the documents that have them."""
+    """Distinct anchors of a chunk of documents with the ids of the documents that have them. Rows of one anchor and ``salt`` 0
+    are to meet; lists of crowded anchors have another one, and their anchors' notes no ids."""
 
-    def rows(anchors: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
+    def rows(anchors: list[np.ndarray], ids: list[int], told: set[int]) -> pa.RecordBatch:
         every = np.concatenate([np.empty(0, np.int64), *anchors])
         owners = np.repeat(np.array(ids, np.int64), [len(a) for a in anchors])
         order = np.lexsort((owners, every))
@@ -83,12 +93,23 @@ def _gathered(window: int):
         new[1:] = (every[1:] != every[:-1]) | (owners[1:] != owners[:-1])
         every, owners = every[new], owners[new]
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, int)
-        offsets = pa.array(np.append(first, len(every)), pa.int32())
-        lists = pa.ListArray.from_arrays(offsets, pa.array(owners))
-        return pa.RecordBatch.from_arrays([pa.array(every[first]), lists], ["anchor", "ids"])
+        offsets = np.append(first, len(every))
+        crowded = np.diff(offsets) >= CROWDED_ANCHOR
+        notes = [a for a in every[first[crowded]].tolist() if a not in told]
+        if len(told) > REMEMBERED:
+            told.clear()
+        told.update(notes)
+        anchor = np.append(every[first], np.array(notes, np.int64))
+        salt = np.zeros(len(anchor), np.int64)
+        salt[:len(first)][crowded] = 1 + (ids[0] & (1 << 62) - 1) if ids else 0
+        crowded = np.append(crowded, np.ones(len(notes), bool))
+        offsets = np.append(offsets, np.full(len(notes), len(every)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(owners))
+        columns = [pa.array(anchor), pa.array(salt), lists, pa.array(crowded)]
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "salt", "ids", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, ids, chars = [], [], 0
+        anchors, ids, chars, told = [], [], 0, set()
         for batch in batches:
             for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
                 words = text.encode("utf-8").split() if doc is not None and text else []
@@ -97,56 +118,107 @@ def _gathered(window: int):
                     ids.append(doc)
                     chars += len(text)
                 if chars > CHUNK_CHARS:
-                    yield rows(anchors, ids)
+                    yield rows(anchors, ids, told)
                     anchors, ids, chars = [], [], 0
                     release()
-        yield rows(anchors, ids)
+        yield rows(anchors, ids, told)
 
     return run
 
 
 def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     """(id, anchor, common) of anchors that at least two document ids have."""
-    rows = docs.mapInArrow(_gathered(window), "anchor long, ids array<long>")
-    every = Window.partitionBy("anchor")
+    rows = docs.mapInArrow(_gathered(window), "anchor long, salt long, ids array<long>, crowded boolean")
+    every = Window.partitionBy("anchor", "salt")
     rows = rows.select(
         "anchor",
         "ids",
         F.min(F.array_min("ids")).over(every).alias("low"),
         F.max(F.array_max("ids")).over(every).alias("high"),
         F.sum(F.size("ids")).over(every).alias("n"),
+        F.max("crowded").over(every).alias("crowded"),
     )
-    rows = rows.where("low < high").withColumn("common", F.col("n") > COMMON_ANCHOR)
-    return rows.select(F.explode("ids").alias("id"), "anchor", "common")
+    rows = rows.where("crowded OR low < high")
+    common = F.col("crowded") | (F.col("n") > COMMON_ANCHOR)
+    return rows.select(F.explode("ids").alias("id"), "anchor", common.alias("common"))
+
+
+def _merged(places: np.ndarray) -> np.ndarray:
+    """Rows (number, begin, end) joined where they touch."""
+    places = places[np.lexsort((places[:, 1], places[:, 0]))]
+    begins, ends = (places[:, 0] << 40) + places[:, 1], np.maximum.accumulate((places[:, 0] << 40) + places[:, 2])
+    first = np.flatnonzero(np.append(True, begins[1:] > ends[:-1]))
+    stops = np.append(first[1:], len(places)) - 1
+    return np.column_stack([places[first, 0], places[first, 1], ends[stops] & (1 << 40) - 1])
 
 
 def _passages(window: int, shards: int):
+    """Rows for the shards: passages with the places (row, start) where they stand, and, with empty ``words``, intervals (row;
+    begin, end) that are repeats already."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}
         owners: list[tuple[int, int, int]] = []
+        singles: set[tuple[int, bytes]] = set()
+        sent: dict[bytes, int] = {}  # the least id with which a single window went on
         chars = 0
 
-        def flush() -> pd.DataFrame:
-            ends = np.cumsum([len(numbers) for numbers, _ in found.values()], dtype=np.int64).tolist()
+        def flush() -> Iterator[pd.DataFrame]:
+            if not found:
+                return
+            sizes = np.fromiter((len(numbers) for numbers, _ in found.values()), np.int64, len(found))
+            numbers = np.fromiter(chain.from_iterable(n for n, _ in found.values()), np.int64, sizes.sum())
+            starts = np.fromiter(chain.from_iterable(s for _, s in found.values()), np.int64, sizes.sum())
+            rows = np.array(owners, np.int64).reshape(-1, len(ROW))
+            at, ids = np.repeat(np.arange(len(found)), sizes), rows[numbers, 0]
+            least = np.minimum.reduceat(ids, np.cumsum(sizes) - sizes)
+            if len(sent) > REMEMBERED:
+                sent.clear()
+            for k, key in enumerate(found if singles else ()):
+                if key in singles:
+                    least[k] = sent[key[1]] = min(int(least[k]), sent.get(key[1], int(least[k])))
+            gone = ids > least[at]
+            if gone.any():
+                lengths = np.zeros(len(found), np.int64)
+                some = set(at[gone].tolist())
+                for k, key in enumerate(found):
+                    if k in some:
+                        lengths[k] = key[1].count(b" ") + 1
+                places = _merged(np.column_stack([numbers[gone], starts[gone], starts[gone] + lengths[at[gone]]]))
+                row = rows[places[:, 0]]
+                shard = ((row[:, 0] ^ row[:, 1]).view(np.uint64) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                shard, row, places = shard[order], row[order].astype("<i8"), places[order, 1:].astype("<i8")
+                edges = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)).tolist()
+                yield pd.DataFrame({
+                    "shard": shard[edges[:-1]],
+                    "words": [b""] * (len(edges) - 1),
+                    "owners": [row[i:j].tobytes() for i, j in zip(edges, edges[1:])],
+                    "starts": [places[i:j].tobytes() for i, j in zip(edges, edges[1:])],
+                })
+            stay = np.bincount(at[~gone], minlength=len(found))
+            ends = np.cumsum(stay).tolist()
             cuts = list(zip([0, *ends], ends))
-            numbers = np.fromiter(chain.from_iterable(n for n, _ in found.values()), np.int64)
-            rows = np.array(owners, "<i8").reshape(-1, len(ROW))[numbers].tobytes()
-            starts = np.fromiter(chain.from_iterable(s for _, s in found.values()), "<i8").tobytes()
+            row, start = rows[numbers[~gone]].astype("<i8").tobytes(), starts[~gone].astype("<i8").tobytes()
             size = 8 * len(ROW)
             out = pd.DataFrame({
                 "shard": [key[0] for key in found],
                 "words": [key[1] for key in found],
-                "owners": [rows[size * i:size * j] for i, j in cuts],
-                "starts": [starts[8 * i:8 * j] for i, j in cuts],
+                "owners": [row[size * i:size * j] for i, j in cuts],
+                "starts": [start[8 * i:8 * j] for i, j in cuts],
             })
+            yield out[stay > 0]
             found.clear()
             owners.clear()
-            return out
+            singles.clear()
 
-        def note(shard: int, words: list[bytes], start: int) -> None:
-            numbers, starts = found.setdefault((shard, b" ".join(words)), ([], []))
+        def note(shard: int, words: list[bytes], start: int, single: bool = False) -> None:
+            key = (shard, b" ".join(words))
+            numbers, starts = found.setdefault(key, ([], []))
             numbers.append(len(owners) - 1)
             starts.append(start)
+            if single:
+                singles.add(key)
 
         for batch in batches:
             columns = (batch[c] for c in [*ROW, "text", "anchors", "common"])
@@ -169,16 +241,16 @@ def _passages(window: int, shards: int):
                     if common[place[i]]:
                         for k in range(i, j):
                             each = words[k:k + window]
-                            note(xxhash.xxh64_intdigest(b" ".join(each)) % shards, each, k)
+                            note(xxhash.xxh64_intdigest(b" ".join(each)) % shards, each, k, single=True)
                     else:
                         shard = int(ranks[i]) * int(ODD) % (1 << 64) % shards
                         note(shard, words[i:j + window - 1], i)
                 chars += len(text)
                 if chars > CHUNK_CHARS:
-                    yield flush()
+                    yield from flush()
                     chars = 0
                     release()
-        yield flush()
+        yield from flush()
 
     return run
 
@@ -198,24 +270,32 @@ def least_owner(passages: list[bytes], owners: np.ndarray, window: int) -> tuple
     patterns = np.lib.stride_tricks.sliding_window_view(text, window)[starts]
     # An interval of one suffix holds the window's own place alone, whatever words come before.
     low, high, length = index.search(patterns, stop_at=1)
+    elsewhere = np.where(high - low > 1, length, length - 1)  # the matching statistics, a window's own place left out
     least = np.repeat(owners, counts)
-    many = high - low > 1
-    assert (length[many] == window).all()  # every window is in the index itself
+    many = elsewhere >= window
     if many.any():
-        owner = np.append(np.repeat(owners, lengths), owners.max())[index.suffixes]
-        bounds, where = np.unique(low[many], return_inverse=True)
-        ends = np.zeros(len(bounds), np.int64)
-        ends[where] = high[many]
-        # Intervals of equally long patterns are equal or apart; what lies between them is reduced too, and dropped.
-        cuts = np.column_stack([bounds, ends]).ravel()
-        least[many] = np.minimum.reduceat(np.append(owner, owner[-1]), cuts)[::2][where]
+        # Every place in an interval is that of a window streamed past, so the owners are at hand without suffixes.
+        where = np.unique(low[many], return_inverse=True)[1]
+        lowest = np.full(where.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(lowest, where, least[many])
+        least[many] = lowest[where]
     return least, counts
 
 
 def _repeats(window: int):
     """The covered intervals of the rows of one shard."""
 
+    def known(rows: pd.DataFrame) -> np.ndarray:
+        places, bounds = (np.frombuffer(b"".join(rows[c]), "<i8") for c in ("owners", "starts"))
+        return np.column_stack([places.reshape(-1, len(ROW)), bounds.reshape(-1, 2)])
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        cut = rows["words"].map(len) == 0
+        out = [known(rows[cut]), searched(rows[~cut])] if not cut.all() else [known(rows)]
+        release()
+        return pd.DataFrame(np.concatenate(out), columns=[*ROW, "begin", "end"])
+
+    def searched(rows: pd.DataFrame) -> np.ndarray:
         passages = numbered()
         at = np.fromiter(map(passages.__getitem__, rows["words"]), np.int64, len(rows))
         at = np.repeat(at, rows["starts"].map(len).to_numpy(np.int64) // 8)
@@ -233,9 +313,7 @@ def _repeats(window: int):
             hits = np.flatnonzero(own < docs[k])
             for part in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1):
                 out.append(np.array([[*places[k], begins[k] + part[0], begins[k] + part[-1] + window]]))
-        found = pd.DataFrame(np.concatenate(out), columns=[*ROW, "begin", "end"])
-        release()
-        return found
+        return np.concatenate(out)
 
     return run
 
@@ -255,7 +333,7 @@ def repeated_intervals(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     own = anchors.groupBy("id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("common").alias("common"))
     own = own.withColumnRenamed("id", "owner")
     found = rows.join(own.hint("merge"), F.col("id") == F.col("owner"), "left")
-    found = found.select("id", *_keys(F.col("text")), "text", "anchors", "common")
+    found = found.select("id", *_keys(F.col("text")), "text", "anchors", "common").sortWithinPartitions(*ROW)
     found = found.mapInPandas(_passages(window, shards), "shard long, words binary, owners binary, starts binary")
     spans = found.groupBy("shard").applyInPandas(_repeats(window), "id long, k1 long, k2 long, begin long, end long")
     return spans.groupBy(*ROW).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))

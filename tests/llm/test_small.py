@@ -7,6 +7,8 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -445,6 +447,74 @@ def test_substrings_of_rows_that_share_an_id(spark):
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("crowded, chunk", [(2, 500), (3, 2000), (64, 3_000_000)])
+def test_substrings_of_crowded_anchors(spark, crowded, chunk, monkeypatch):
+    """Copies, near copies and a passage in most documents, in chunks of a few documents, whose notes are soon forgotten."""
+    monkeypatch.setattr(substrings, "SHARD_PASSAGES", 50)
+    monkeypatch.setattr(substrings, "CROWDED_ANCHOR", crowded)
+    monkeypatch.setattr(substrings, "CHUNK_CHARS", chunk)
+    monkeypatch.setattr(substrings, "REMEMBERED", 5)
+    rng = np.random.default_rng(5)
+    passage, copy = prose(20, rng), prose(45, rng)
+    rows = []
+    for i in rng.permutation(120).tolist():
+        near = copy.split()
+        near[int(rng.integers(45))] = f"other{i}"
+        own = prose(int(rng.integers(5, 25)), rng)
+        rows.append((i, [copy, " ".join(near), f"{own} {passage} {own}", f"{passage} {passage}", own][i % 5]))
+    rows += [(7, copy), (7, passage + " " + copy), (-3, passage), (None, copy)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = substrings.with_spans(texts, "doc_id", "text", "spans")
+    found = found.select("doc_id", "text", substrings.cut(F.col("text"), F.col("spans")).alias("c")).collect()
+    got = [(r.doc_id, r.c.n_words, r.c.n_removed, " ".join((r.text or "").split()) if r.c.kept is None else r.c.kept) for r in found]
+    expected = [(i, n, gone, kept.decode()) for i, n, gone, kept in brute_cuts(rows, 13)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_substrings_send_a_hot_window_once_a_task(monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK_CHARS", 1000)
+    text, n = prose(20), 500
+    anchors = np.unique(substrings._anchors(text.encode().split(), 13)[0])
+
+    def sent(common):
+        batches = [pd.DataFrame({
+            "id": range(i, i + 50), "k1": 1, "k2": 2, "text": text,
+            "anchors": [anchors] * 50, "common": [np.full(len(anchors), common)] * 50,
+        }) for i in range(0, n, 50)]
+        rows = pd.concat(substrings._passages(13, 4)(iter(batches)))
+        places = rows["starts"].map(len) // 8
+        return places[rows["words"].map(len) > 0].sum(), rows[rows["words"].map(len) == 0]
+
+    chunks = -(-n // (1000 // len(text) + 1))
+    searched, known = sent(True)
+    assert searched == 8  # its windows, once
+    assert known["starts"].map(len).sum() == 16 * (n - 1)  # one interval for each other document
+    assert sent(False)[0] <= chunks * len(anchors)
+
+
+def test_anchor_lists_of_a_crowded_anchor_dont_meet(monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK_CHARS", 1000)
+    monkeypatch.setattr(substrings, "CROWDED_ANCHOR", 5)
+    text, n = prose(20), 200
+    batch = pa.RecordBatch.from_pydict({"id": list(range(n)), "text": [text] * n})
+    rows = pd.concat(b.to_pandas() for b in substrings._gathered(13)(iter([batch])))
+    notes, lists = rows[rows["ids"].map(len) == 0], rows[rows["ids"].map(len) > 0]
+    assert notes["anchor"].is_unique and notes["crowded"].all() and (notes["salt"] == 0).all()
+    assert set(notes["anchor"]) == set(lists["anchor"])
+    for _, of_one in lists.groupby("anchor"):
+        assert sorted(i for ids in of_one["ids"] for i in ids) == list(range(n))
+        crowded = of_one["ids"].map(len) >= 5
+        assert (of_one["crowded"] == crowded).all() and (of_one["salt"].ne(0) == crowded).all()
+        assert of_one["salt"][crowded].is_unique and crowded.sum() >= len(of_one) - 1  # the last chunk is short
+
+
+def test_matching_statistics_leave_out_the_own_place():
+    a, b, c = prose(13), prose(15), prose(14)
+    least, counts = substrings.least_owner([s.encode() for s in (a, f"{b} {a}", c)], np.array([5, 3, 4]), 13)
+    assert counts.tolist() == [1, 16, 2]
+    assert least.tolist() == [3] + [3] * 16 + [4] * 2
+
+
 def test_fm_index_finds_all_occurrences():
     rng = np.random.default_rng(1)
     for _ in range(10):
