@@ -59,7 +59,7 @@ def file_stamp(ts: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """ISO time text with the fraction of the second, where there is one; such texts sort as their times do."""
-    return F.translate(ts.cast("string"), " ", "T")
+    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
 
 
 def in_sample(key: Column, rate: float) -> Column:

@@ -9,15 +9,17 @@ DELETE. The row is then the last UPDATE after ``ld`` if there is one; else the t
 was no DELETE; else the first INSERT after ``ld`` (a later INSERT meets an existing row and is
 ignored); else nothing.
 
-Skew: batch winners are shuffled by (key, batch) after a map-side cut to one row per group, and the
-rest are aggregates with partial results, so no task holds the history of one key.
+Winners and fold need one shuffle and one sort by key. Skew: hashes of keys are counted first, and keys whose hash has more
+than one in ``HEAVY`` of all rows take another way: their batch winners are shuffled by (key, batch) after a map-side cut to
+one row per group, and the rest are aggregates with partial results, so no task holds the history of such a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.columns import DELETE, INSERT, REPLACE, UPDATE, any_null, as_list
@@ -26,6 +28,7 @@ from changeflow.operators.merge import REFERENCE, effective_op, merge
 from changeflow.sources.paths import stage
 
 ACTION = "_action"
+BUCKETS, HEAVY = 65_536, 1_000
 
 
 def net_changes(
@@ -41,12 +44,67 @@ def net_changes(
     What to do with the row is in ``_action``; the feed's own columns stay as they came.
     """
     keys = as_list(key)
-    payload = [c for c in feed.columns if c not in keys]
-    winners = latest(feed, [*keys, batch], order, op).where(F.col(op).isin(INSERT, UPDATE, DELETE))
+    keyed = feed.where(~any_null(keys))
+    heavy, rest = _heavy(keyed, keys)
+    nets = []
+    if heavy:
+        often = keyed.where(_bucket(keys).isin(heavy))
+        nets.append(_fold_heavy(_winners(often, keys, batch, order, op), keys, batch, op, mode))
+    if rest:
+        light = keyed.where(~_bucket(keys).isin(heavy)) if heavy else keyed
+        nets.append(_fold(_winners(light.repartition(*keys), keys, batch, order, op), keys, batch, op, mode))
     # Rows without a key never match anything: every written one is a row of its own.
-    keyless = winners.where(any_null(keys) & F.col(op).isin(INSERT, UPDATE)).withColumn(ACTION, F.lit(INSERT))
-    winners = winners.where(~any_null(keys)).withColumn(ACTION, effective_op(F.col(op), mode))
+    keyless = _winners(feed.where(any_null(keys)), keys, batch, order, op).where(F.col(op).isin(INSERT, UPDATE))
+    nets.append(keyless.withColumn(ACTION, F.lit(INSERT)))
+    return reduce(DataFrame.unionByName, [net.select(*feed.columns, ACTION) for net in nets])
 
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _heavy(feed: DataFrame, keys: Sequence[str]) -> tuple[list[int], bool]:
+    """Hashes of keys with more than one in ``HEAVY`` of all rows, fewer than ``HEAVY``; whether there are other rows."""
+    counts = feed.groupBy(_bucket(keys).alias("bucket")).agg(F.count("*").alias("n"))
+    # Of ``BUCKETS`` rows at most.
+    counts = counts.withColumn("all", F.sum("n").over(Window.partitionBy()))
+    found = counts.where(F.col("n") * HEAVY > F.col("all")).collect()
+    return [r.bucket for r in found], not found or sum(r.n for r in found) < found[0]["all"]
+
+
+def _winners(feed: DataFrame, keys: Sequence[str], batch: str, order: str | Sequence[str], op: str) -> DataFrame:
+    return latest(feed, [*keys, batch], order, op).where(F.col(op).isin(INSERT, UPDATE, DELETE))
+
+
+def _fold(winners: DataFrame, keys: Sequence[str], batch: str, op: str, mode: str) -> DataFrame:
+    """The winner that says what becomes of each key, with that in ``_action``: the last one, INSERTs left out
+    that follow another INSERT or an UPDATE and so meet a row."""
+    said = effective_op(F.col(op), mode)
+    # Changes without a batch come before all others.
+    turns = Window.partitionBy(*keys).orderBy(F.col(batch).asc_nulls_first())
+    marks = winners.select(
+        "*",
+        said.alias("__op"),
+        F.lag(said).over(turns).alias("__before"),
+        F.max(said == DELETE).over(turns.rowsBetween(Window.unboundedPreceding, 0)).alias("__gone"),
+    )
+    # An INSERT counts if it comes first or right after a DELETE.
+    marks = marks.where((F.col("__op") != INSERT) | F.col("__before").isNull() | (F.col("__before") == DELETE))
+    last = marks.withColumn("__later", F.lead("__op").over(turns)).where(F.col("__later").isNull())
+    action = (
+        F.when(F.col("__op") == DELETE, DELETE)
+        .when(F.col("__gone"), REPLACE)
+        .otherwise(F.col("__op"))
+    )
+    # Of a deleted row only the key is left.
+    payload = [F.when(F.col(ACTION) != DELETE, F.col(c)).alias(c) for c in winners.columns if c not in keys]
+    return last.withColumn(ACTION, action).select(*keys, *payload, ACTION)
+
+
+def _fold_heavy(winners: DataFrame, keys: Sequence[str], batch: str, op: str, mode: str) -> DataFrame:
+    """The same by aggregates."""
+    payload = [c for c in winners.columns if c not in keys]
+    winners = winners.withColumn(ACTION, effective_op(F.col(op), mode))
     row = F.struct(*[F.col(c) for c in payload])
     # Changes without a batch come before all others.
     turn = F.struct(F.col(batch).isNotNull(), F.col(batch))
@@ -78,8 +136,7 @@ def net_changes(
         .when(F.col("__alive"), UPDATE)
         .otherwise(INSERT)
     )
-    net = marks.withColumn("__row", written).select(*keys, "__row.*", action.alias(ACTION))
-    return net.unionByName(keyless).select(*feed.columns, ACTION)
+    return marks.withColumn("__row", written).select(*keys, "__row.*", action.alias(ACTION))
 
 
 def replay(

@@ -583,7 +583,9 @@ def _loyalty(spark: SparkSession, sf: str, name: str, derived: str) -> DataFrame
     ingest, silver = loyalty.bronze(spark, root, name, PARTITIONS), loyalty.silver(spark, root, derived, PARTITIONS)
     ingest.bootstrap(landed)
     silver.bootstrap()
-    files.land_changes(feed, f"{raw}/cdc/{name}", F.format_string("%04d-12-31T00:00:00", F.col("b")))
+    year = F.col("b").cast("string")  # as %04d prints it, which is slow
+    year = F.when(F.col("b").between(1000, 9999), year).otherwise(F.format_string("%04d", F.col("b")))
+    files.land_changes(feed, f"{raw}/cdc/{name}", F.concat(year, F.lit("-12-31T00:00:00")))
     ingest.execute(f"{raw}/full_load/{name}", f"{raw}/cdc/{name}")
     silver.run()
     return silver.read() if derived == "produtos" else silver.table.read()

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from changeflow.operators.latest import latest
 from changeflow.operators.merge import LATEST_WINS, REFERENCE, merge
+from changeflow.operators import replay as replay_module
 from changeflow.operators.replay import net_changes, replay
 from changeflow.sources.paths import stage
 
@@ -92,3 +93,22 @@ def test_changes_without_a_batch_come_first(spark, mode):
     )
     got = replay(base, feed, "k", "b", "o", mode=mode)
     assert sorted(tuple(r) for r in got.collect()) == [(1, "first"), (2, "then"), (3, "in"), (4, "x")]
+
+
+@pytest.mark.parametrize("heavy", [1, 10, 1_000])
+def test_keys_are_shuffled_once_unless_they_are_frequent(spark, monkeypatch, heavy):
+    """Whichever way a key takes, the outcome is the model's; few rows of a key cost one shuffle and no join."""
+    monkeypatch.setattr(replay_module, "HEAVY", heavy)
+    often = [(7, ["INSERT", "UPDATE", "DELETE", "FOO"][(i * i + i // 5) % 4], i % 6, i % 4, 1 + i % 9) for i in range(300)]
+    seldom = [(k, ["INSERT", "DELETE", "INSERT", "UPDATE"][(k + k // 3) % 4], k, 1, 1 + (k * 7) % 9) for k in range(20, 520)]
+    seldom += [(k, ["INSERT", "UPDATE", "DELETE"][k % 3], k + 1, 1, 1 + (k * 5) % 9) for k in range(20, 520, 2)]
+    base = [(k, 100 + k) for k in range(0, 600, 3)]
+    feed = stage(spark.createDataFrame(often + seldom, FEED))
+    for mode in (REFERENCE, LATEST_WINS):
+        got = replay(spark.createDataFrame(base, "k int, v int"), feed, "k", "b", "o", mode=mode)
+        assert rows(got) == model(base, often + seldom, mode)
+    net = net_changes(feed.where("k <> 7") if heavy == 1 else feed, "k", "b", "o")
+    text = net._sc._jvm.PythonSQLUtils.explainString(net._jdf.queryExecution(), "simple")
+    assert ("Join" in text) == (heavy > 1)
+    if heavy == 1:
+        assert text.count("Exchange hashpartitioning") == 2  # the second is that of the rows without a key
