@@ -7,6 +7,7 @@ alone; neither table is read. The projection may rename the key but must keep it
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from changeflow.operators.latest import latest_row_changes
 from changeflow.operators.merge import NEW_IMAGES
 from changeflow.sources.paths import stage
 
+UPDATES = ("update_preimage", "update_postimage")
 
 def derived_changes(
     changes: DataFrame,
@@ -65,27 +67,53 @@ def _ends(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def changes_by_query(changes: DataFrame, key: str | Sequence[str], query: str, out_key: str | Sequence[str]) -> DataFrame:
+def changes_by_query(
+    changes: DataFrame, key: str | Sequence[str], query: str, out_key: str | Sequence[str], one_commit: bool = False
+) -> DataFrame:
     """Net row changes of a projection given as SQL text over ``{source}``, such as ``SELECT a AS id, b FROM {source} WHERE c``.
 
     The text runs as it is, once on the old and once on the new images. It takes each row by itself (no aggregates, no
-    DISTINCT) and keeps the key as ``out_key``, which tells where a row was, is, or both.
+    DISTINCT) and keeps the key as ``out_key``, which tells where a row was, is, or both. Of ``one_commit``, inserts and
+    deletes are what they are, and so are updates that all pass the text's filter; nothing is shuffled then.
     """
     keys, out = as_list(key), as_list(out_key)
     spark = changes.sparkSession
     columns = [c for c in changes.columns if c not in (CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)]
-    ends = stage(_ends(changes, keys).select(*columns, "__new"))
-    old = stage(spark.sql(query, source=ends.where("NOT __new").select(*columns)))
-    new = stage(spark.sql(query, source=ends.where("__new").select(*columns)))
+
+    def images(rows: DataFrame, which: Column | str) -> DataFrame:
+        return spark.sql(query, source=rows.where(which).select(*columns))
+
+    # Rows without a key are only ever inserted.
+    keyless = changes.where(any_null(keys) & F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
+    keyless = images(keyless, F.lit(True)).withColumn(CHANGE_TYPE, F.lit("insert"))
+    if not one_commit:
+        ends = stage(_ends(changes, keys).select(*columns, "__new"))
+        return _paired(images(ends, "NOT __new"), images(ends, "__new"), out).unionByName(keyless)
+    keyed = changes.where(~any_null(keys))
+    kinds = {kind: images(keyed, F.col(CHANGE_TYPE) == kind) for kind in ("delete", "insert", *UPDATES)}
+    labelled = {kind: rows.withColumn(CHANGE_TYPE, F.lit(kind)) for kind, rows in kinds.items()}
+    pairs = [labelled.pop(kind) for kind in UPDATES]
+    came = [_imprint(keyed.where(F.col(CHANGE_TYPE) == kind), keys) for kind in UPDATES]
+    if came != [_imprint(kinds[kind], out) for kind in UPDATES]:
+        pairs = [_paired(*[kinds[kind] for kind in UPDATES], out)]
+    return reduce(DataFrame.unionByName, [*labelled.values(), *pairs, keyless])
+
+
+def _imprint(rows: DataFrame, keys: Sequence[str]) -> tuple:
+    """Tells whether two frames hold the same keys, each as often."""
+    spread = F.pmod(F.xxhash64(*keys), F.lit(1 << 20))
+    return tuple(rows.agg(F.count("*"), F.sum(spread), F.sum(F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(1 << 20)))).first())
+
+
+def _paired(old: DataFrame, new: DataFrame, out: Sequence[str]) -> DataFrame:
+    """Old and new images of a projection as its row changes, by the keys that both have."""
+    old, new = stage(old), stage(new)
     marks = [df.select(*out).withColumn("__met", F.lit(True)) for df in (new, old)]
     marks = [stage(m.groupBy(*out).agg(F.max("__met").alias("__met"))) for m in marks]
     gone = F.when(F.col("__met"), "update_preimage").otherwise("delete")
     come = F.when(F.col("__met"), "update_postimage").otherwise("insert")
     labelled = [df.join(m, out, "left").select(*df.columns, kind.alias(CHANGE_TYPE)) for df, m, kind in ((old, marks[0], gone), (new, marks[1], come))]
-    # Rows without a key are only ever inserted.
-    keyless = changes.where(any_null(keys) & F.col(CHANGE_TYPE).isin(*NEW_IMAGES)).select(*columns)
-    keyless = spark.sql(query, source=keyless).withColumn(CHANGE_TYPE, F.lit("insert"))
-    return labelled[0].unionByName(labelled[1]).unionByName(keyless)
+    return labelled[0].unionByName(labelled[1])
 
 
 def projected_operations(

@@ -196,7 +196,10 @@ class PartitionedTable:
                 rows = rows.unionByName(self._graves(stored.where(F.col(GRAVE)), source, op, guard, keep_deleted))
             else:
                 rows = rows.unionByName(stored.where(F.col(GRAVE)))
-            self._store(version, changes, rows)
+            # A change set of the table's size makes changes enough for the files of all the tasks that read the table.
+            large = 8 * paths.size(source) >= paths.size(seen)
+            self._keep_changes(version, changes if large else changes.hint("rebalance"))
+            self._store(version, rows)
             for staged in scratch:
                 paths.unstage(staged)
         self._publish(version, source_version)
@@ -208,7 +211,7 @@ class PartitionedTable:
         if not self._is_ready(version):
             columns = self.schema().names
             fields = [F.col(f.name).cast(f.dataType) for f in self.schema().fields]
-            changes = paths.stage(changes.select(*fields, CHANGE_TYPE))
+            changes = self._keep_changes(version, changes.select(*fields, CHANGE_TYPE))
             images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
             stored = self._rows(self._touched(changes, columns))
             touched = changes.where(~any_null(self.key)).select(*self.key)
@@ -216,8 +219,7 @@ class PartitionedTable:
             left = left.withColumn(ACT, F.lit(None).cast("string"))
             left.write.mode("overwrite").parquet(self._next(version, "rows"))
             rows = images.select(*columns, F.lit(False).alias(GRAVE), self._part(columns).alias(PART))
-            self._store(version, changes, rows.unionByName(stored.where(F.col(GRAVE))))
-            paths.unstage(changes)
+            self._store(version, rows.unionByName(stored.where(F.col(GRAVE))))
         self._publish(version, source_version)
 
     def _graves(self, old: DataFrame, source: DataFrame, op: str, guard: str, keep_deleted: str) -> DataFrame:
@@ -240,9 +242,14 @@ class PartitionedTable:
         """Whether all that the batch makes is stored; from then on partitions may have been replaced."""
         return paths.exists(self.spark, f"{self._next(version, 'added')}/_SUCCESS")
 
-    def _store(self, version: int, changes: DataFrame, added: DataFrame) -> None:
-        stored = changes.withColumn(COMMIT_TIMESTAMP, F.current_timestamp()).hint("rebalance")
-        stored.write.mode("overwrite").parquet(f"{self.path}/changes/{COMMIT_VERSION}={version}")
+    def _keep_changes(self, version: int, changes: DataFrame) -> DataFrame:
+        """Store the row changes of a batch and read them back; nobody else reads them before the batch is committed."""
+        folder = f"{self.path}/changes/{COMMIT_VERSION}={version}"
+        changes.withColumn(COMMIT_TIMESTAMP, F.current_timestamp()).write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(self.schema().add(CHANGE_TYPE, "string")).parquet(folder)
+
+    def _store(self, version: int, added: DataFrame) -> None:
+        """The last thing to be stored before partitions are replaced."""
         added.write.mode("overwrite").parquet(self._next(version, "added"))
 
     def _publish(self, version: int, source_version: int | None) -> None:

@@ -65,6 +65,13 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def size(stored: DataFrame) -> int:
+    """Bytes of a stored frame's files."""
+    spark = stored.sparkSession
+    found = [_path(spark, folder) for folder in {file.rpartition("/")[0] for file in stored.inputFiles()}]
+    return sum(fs.getContentSummary(p).getLength() for fs, p in found)
+
+
 def unstage(staged: DataFrame) -> None:
     """Free the directory of a staged frame that nothing reads any more."""
     for folder in {file.rpartition("/")[0] for file in staged.inputFiles()}:

@@ -276,14 +276,13 @@ class SilverIngest(_Downstream):
         return (rows if self.where is None else rows.where(self.where)).select(*self.columns)
 
     def _apply(self, version: int, changes: DataFrame, source_versions: range) -> None:
-        upto = source_versions.stop - 1
+        upto, one = source_versions.stop - 1, len(source_versions) == 1
         if self.query is not None:
-            self.table.commit(version, changes_by_query(changes, self.source.key, self.query, self.table.key), upto)
+            self.table.commit(version, changes_by_query(changes, self.source.key, self.query, self.table.key, one), upto)
         elif self.mode == REFERENCE:
             latest_ = latest_operations(changes, self.source.key, self.columns, self.where)
             self.table.merge(version, latest_, source_version=upto)
         else:
-            one = len(source_versions) == 1
             changes = derived_changes(changes, self.source.key, self.columns, self.where, one)
             self.table.commit(version, changes, upto)
 

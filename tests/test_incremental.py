@@ -120,3 +120,17 @@ def test_a_hot_key_among_pending_rows_is_split(spark):
     rows, emitted = spark.range(10).withColumnRenamed("id", "k"), spark.createDataFrame([("1",), ("1",)], f"{pending.KEY} string")
     for found, n in ((pending.pending_rows(rows, emitted, "k"), 9), (pending.emitted_rows(rows, emitted, "k"), 1)):
         assert found.count() == n and "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("text", ["SELECT k AS id, v * 2 AS w FROM {source} WHERE v > 20", "SELECT k AS id, v * 2 AS w FROM {source}"])
+def test_one_commit_of_a_projection_from_sql_text(spark, text):
+    images = [
+        (1, 5, "update_preimage"), (1, 25, "update_postimage"), (2, 30, "insert"), (3, 40, "delete"), (4, 50, "update_preimage"),
+        (4, 3, "update_postimage"), (None, 60, "insert"), (6, 22, "update_preimage"), (6, 23, "update_postimage"), (None, 1, "insert"),
+        (7, 1, "delete"), (8, 2, "insert"), (9, 21, "update_preimage"), (9, 9, "update_preimage"), (9, 44, "update_postimage"),
+        (9, 44, "update_postimage"),
+    ]
+    changes = spark.createDataFrame([(*i, 1) for i in images], "k int, v int, _change_type string, _commit_version long")
+    got = changes_by_query(changes, "k", text, "id", one_commit=True)
+    assert bag(got.collect()) == bag(changes_by_query(changes, "k", text, "id").collect())
+    assert "WHERE" in text or "Exchange" not in got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
