@@ -16,6 +16,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cached_property
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,8 @@ JOINED_ROWS = 10_000
 # versions differ on others, and a capital sigma is lowered by context): a text of these alone, if it is in normal form,
 # is cut word by word. With any other character in a text, the library itself cuts it.
 AGREED = r"[^\x00-\x1b\x20-\u03a2\u03a4-\u0557\u2000-\u206f\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7a3]"
+# The ASCII ones among the others.
+OTHER_ASCII = "\x1c\x1d\x1e\x1f"
 
 
 class PreTokens:
@@ -58,12 +61,13 @@ class PreTokens:
         self.other = re.compile(AGREED)
         special = sorted((t["content"] for t in settings["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)))
+        self.opening = commonprefix(special)  # a text without it holds none of them
         self.path = path
 
     def words(self, text: str) -> list[str]:
         """Parts of a text whose pre-tokens, taken together, are those of the text: its words in lower case where the
         text is plain, and else the pre-tokens themselves. Added tokens have a space in front."""
-        if self.special.search(text) is None:
+        if self.opening not in text or self.special.search(text) is None:
             return self._plain_words(text)
         out, at = [], 0
         for m in self.special.finditer(text):
@@ -73,7 +77,11 @@ class PreTokens:
         return out + self._plain_words(text[at:])
 
     def _plain_words(self, text: str) -> list[str]:
-        if self.other.search(text) is None and unicodedata.is_normalized("NFC", text):
+        if text.isascii():
+            plain = not any(c in text for c in OTHER_ASCII)
+        else:
+            plain = self.other.search(text) is None and unicodedata.is_normalized("NFC", text)
+        if plain:
             return text.lower().split()
         text = self.tokenizer.normalizer.normalize_str(text)
         return [text[i:j] for _, (i, j) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
@@ -120,8 +128,7 @@ def _pairs(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, n
         found = pre.words(text) if text else []
         codes.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
     docs = np.repeat(np.arange(len(block)), [len(c) for c in codes])
-    pairs, counts = np.unique(np.concatenate(codes) * len(block) + docs, return_counts=True)
-    words, docs = np.divmod(pairs, len(block))
+    words = np.concatenate(codes)
     # From words to pre-tokens: each distinct word of the block is cut once.
     tokens = numbered()
     cuts = [[tokens[t] for t in pre.cut(word)] for word in index]
@@ -131,8 +138,7 @@ def _pairs(block: list[tuple], pre: PreTokens) -> tuple[list[str], np.ndarray, n
     times = sizes[words]
     inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     codes = flat[np.repeat(first[words], times) + inside]
-    pairs, where = np.unique(codes * len(block) + np.repeat(docs, times), return_inverse=True)
-    counts = np.bincount(where, np.repeat(counts, times), len(pairs)).astype(np.int64)
+    pairs, counts = np.unique(codes * len(block) + np.repeat(docs, times), return_counts=True)
     return list(tokens), *np.divmod(pairs, len(block)), counts
 
 

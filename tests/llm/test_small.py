@@ -789,3 +789,15 @@ def test_token_counts_of_a_task_without_words(spark):
     plain = Tokenizer.from_file(path)
     assert found == {1: len(plain.encode("block 0", add_special_tokens=False).ids),
                      2: len(plain.encode("block 8589934592 block", add_special_tokens=False).ids), 3: 0}
+
+
+def test_plain_ascii_texts_are_not_searched_by_patterns():
+    import public_tokenizers
+
+    from changeflow.llm.token_counts import PreTokens
+
+    pre = PreTokens(str(public_tokenizers.path("word_bpe_49k.json")))
+    want = [pre.words(t) for t in ("a\x1cb", "x<|endoftext|>y\x1f", "<| a", "É e")]
+    assert want == [["a", "\x1c", "b"], ["x", " <|endoftext|>", "y", "\x1f"], ["<|", "a"], ["é", "e"]]
+    pre.special = pre.other = None
+    assert pre.words("Plain < text,\tof ASCII") == ["plain", "<", "text,", "of", "ascii"]
