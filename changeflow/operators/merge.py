@@ -14,7 +14,7 @@ The change set holds one row per key and is usually far smaller than the table,
 always the streamed side: left, inner and semi joins against the change set. When Spark's size
 statistics put the change set under ``spark.sql.autoBroadcastJoinThreshold`` the table is not
 shuffled at all; above it, the sort-merge join splits a hot table key on the table side, which a
-full outer join could not do.
+full outer join could not do (``classify_all`` is one, for tables without such a key).
 
 The change set is read more than once here; pass one that is stored (``sources.paths.stage``) unless
 it is cheap to compute.
@@ -43,6 +43,7 @@ REFERENCE, LATEST_WINS = "reference", "latest_wins"
 NEW_IMAGES = ("insert", "update_postimage")
 # Columns of classified rows: the operation that met a row, and the row before.
 ACT, OLD = "__act", "__old"
+ADDED = "__added__"
 
 
 def effective_op(op: Column, mode: str) -> Column:
@@ -163,6 +164,45 @@ def classify(
     )
 
 
+def classify_all(
+    target: DataFrame,
+    source: DataFrame,
+    key: str | Sequence[str],
+    op: str = "_operation",
+    mode: str = REFERENCE,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """``classify`` together with the rows of the change set that enter under keys the table lacks, which have ``ADDED`` as
+    ``__act``. One full outer join, which can't split a frequent key: only for tables that have none. Source rows without a
+    key are left out, and those of a REPLACE that met a row: ``replacing_rows`` has both.
+    """
+    keys, columns = as_list(key), columns or target.columns
+    src = _source_side(source.where(~any_null(keys)), columns, op, mode)
+    src = src.where(F.col("__op").isin(INSERT, UPDATE, DELETE, REPLACE))
+    more = [c for c in target.columns if c not in columns]
+    added = F.col(keys[0]).isNull()
+    taken = added | (F.col("__op") == UPDATE)
+    # Rows without a key match nothing and would all come to one task.
+    keyless = target.where(any_null(keys)).select(
+        *columns, *more, F.lit(None).cast("string").alias(ACT), F.when(F.lit(False), F.struct(*columns)).alias(OLD)
+    )
+    return target.where(~any_null(keys)).join(src, _on(keys), "full").where(~(added & (F.col("__op") == DELETE))).select(
+        *[F.when(taken, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns],
+        *more,
+        F.when(added, F.lit(ADDED)).otherwise(F.col("__op")).alias(ACT),
+        F.when(~added & F.col("__op").isin(UPDATE, DELETE, REPLACE), F.struct(*columns)).alias(OLD),
+    ).unionByName(keyless)
+
+
+def replacing_rows(seen: DataFrame, source: DataFrame, key: str | Sequence[str], op: str = "_operation") -> DataFrame:
+    """The source rows that ``classify_all`` leaves out, as ``new_rows`` gives them."""
+    keys = as_list(key)
+    met = seen.where(F.col(ACT) == REPLACE).select(*keys)
+    back = source.where(F.col(op) == REPLACE).join(met, keys, "left_semi").withColumn("__hit", F.lit(True))
+    keyless = source.where(any_null(keys) & F.col(op).isin(INSERT, UPDATE, REPLACE))
+    return back.unionByName(keyless.withColumn("__hit", F.lit(None).cast("boolean")))
+
+
 def stays() -> Column:
     """Whether a classified row is still in the table."""
     return F.col(ACT).isNull() | ~F.col(ACT).isin(DELETE, REPLACE)
@@ -174,8 +214,8 @@ def new_rows(matched: DataFrame, source: DataFrame, key: str | Sequence[str], op
     return _with_hits(matched.select(*as_list(key)).distinct(), source, as_list(key), op)
 
 
-def classified_changes(seen: DataFrame, added: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The row changes of a merge, from its classified and its new rows."""
+def classified_changes(seen: DataFrame, added: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    """The row changes of a merge, from its classified and its new rows, if it has others than those classified as such."""
 
     def image(kind: str, row: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
@@ -184,10 +224,13 @@ def classified_changes(seen: DataFrame, added: DataFrame, columns: Sequence[str]
     images = (
         F.when(F.col(ACT) == DELETE, F.array(image("delete", F.col(OLD))))
         .when(F.col(ACT) == UPDATE, F.array(pre, image("update_postimage", F.struct(*columns))))
+        .when(F.col(ACT) == ADDED, F.array(image("insert", F.struct(*columns))))
         .otherwise(F.array(pre))
     )
-    matched = seen.where(F.col(ACT).isin(UPDATE, DELETE, REPLACE)).select(F.explode(images).alias("image"))
+    matched = seen.where(F.col(ACT).isin(UPDATE, DELETE, REPLACE, ADDED)).select(F.explode(images).alias("image"))
     matched = matched.select(*[F.col(f"image.row.{c}").alias(c) for c in columns], F.col("image.kind").alias(CHANGE_TYPE))
+    if added is None:
+        return matched
     kind = F.when(F.col("__hit"), "update_postimage").otherwise("insert")
     return matched.unionByName(added.select(*columns, kind.alias(CHANGE_TYPE)))
 

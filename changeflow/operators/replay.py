@@ -80,17 +80,22 @@ def _fold(winners: DataFrame, keys: Sequence[str], batch: str, op: str, mode: st
     """The winner that says what becomes of each key, with that in ``_action``: the last one, INSERTs left out
     that follow another INSERT or an UPDATE and so meet a row."""
     said = effective_op(F.col(op), mode)
-    # Changes without a batch come before all others.
+    # Changes without a batch come before all others. One window does it all: they cost more than the sort.
     turns = Window.partitionBy(*keys).orderBy(F.col(batch).asc_nulls_first())
+    upto = turns.rowsBetween(Window.unboundedPreceding, 0)
+    whole = turns.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marks = winners.select(
         "*",
         said.alias("__op"),
         F.lag(said).over(turns).alias("__before"),
-        F.max(said == DELETE).over(turns.rowsBetween(Window.unboundedPreceding, 0)).alias("__gone"),
+        F.lead(said).over(turns).alias("__after"),
+        F.max(said == DELETE).over(upto).alias("__gone"),
+        (F.count_if(said != INSERT).over(whole) - F.count_if(said != INSERT).over(upto)).alias("__later"),
     )
     # An INSERT counts if it comes first or right after a DELETE.
-    marks = marks.where((F.col("__op") != INSERT) | F.col("__before").isNull() | (F.col("__before") == DELETE))
-    last = marks.withColumn("__later", F.lead("__op").over(turns)).where(F.col("__later").isNull())
+    counts = (F.col("__op") != INSERT) | F.col("__before").isNull() | (F.col("__before") == DELETE)
+    # Where nothing but INSERTs follows, only the first of them can count, and only after a DELETE.
+    last = marks.where(counts & (F.col("__later") == 0) & ((F.col("__op") != DELETE) | F.col("__after").isNull()))
     action = (
         F.when(F.col("__op") == DELETE, DELETE)
         .when(F.col("__gone"), REPLACE)

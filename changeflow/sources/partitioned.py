@@ -11,7 +11,8 @@ effect leaves nothing. What it makes of them is stored in full before the first
 step is done again with the same outcome. There is one writer per table, and rows are read between its batches.
 
 Rows without a key match nothing; they are spread by all their columns. Rewriting rebalances large partitions over tasks, and
-the table is the streamed side of every join. The driver holds numbers of partitions only.
+the table is the streamed side of the joins, with one exception: a change set of a good part of the table's size, and a table
+of even partitions, which has no frequent key, meet in one full outer join. The driver holds numbers of partitions only.
 
 With a guard, ``keep_deleted`` keeps a tombstone for each deleted key: a row of the key and the guard's value. A change older
 than it is ignored, so that a late UPDATE doesn't bring a deleted row back. The condition, on the guard's column, says which
@@ -21,18 +22,30 @@ tombstones stay; they are looked through whenever their partition is rewritten.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from changeflow.functions.columns import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, DELETE, INSERT, REPLACE, UPDATE, any_null, as_list
-from changeflow.operators.merge import ACT, NEW_IMAGES, REFERENCE, classify, classified_changes, drop_older, new_rows, stays
+from changeflow.operators.merge import (
+    ACT,
+    NEW_IMAGES,
+    REFERENCE,
+    classify,
+    classify_all,
+    classified_changes,
+    drop_older,
+    new_rows,
+    replacing_rows,
+    stays,
+)
 from changeflow.sources import paths
 
 PART, GRAVE = "_part", "_grave"
 MARKERS = 16
+LARGE = 8  # a change set of one part in so many of the table's size touches all of it
 COUNTS = {"n_insert": "insert", "n_update": "update_postimage", "n_delete": "delete"}
 MARKER = ", ".join(["committed_at timestamp", "source_version bigint", *[f"{n} bigint" for n in COUNTS]])
 
@@ -133,6 +146,16 @@ class PartitionedTable:
         """Numbers of the partitions that hold the rows; the table's number of partitions bounds the list."""
         return sorted(r[0] for r in rows.select(self._part(columns)).distinct().collect())
 
+    def is_large(self, rows: DataFrame) -> bool:
+        """Whether stored rows of distinct keys are so many, next to the table's, that they surely touch all partitions."""
+        return LARGE * paths.size(rows) >= paths.folder_size(self.spark, f"{self.path}/rows")
+
+    def _is_even(self, rows: DataFrame) -> bool:
+        """Whether no partition has more than 1.25 times the rows of the mean, as a frequent key would make one of many. Only
+        numbers of rows are read."""
+        counts = [r["count"] for r in rows.groupBy(PART).count().collect()]
+        return len(counts) >= 16 and max(counts) * len(counts) <= 1.25 * sum(counts)
+
     def _write(self, rows: DataFrame, mode: str) -> None:
         writer = rows.hint("rebalance", PART).write.partitionBy(PART).mode("overwrite")
         writer.option("partitionOverwriteMode", mode).parquet(f"{self.path}/rows")
@@ -162,10 +185,11 @@ class PartitionedTable:
         source_version: int | None = None,
         keep_deleted: str | None = None,
         guarded: bool = False,
+        unique: bool = False,
     ) -> None:
         """Merge a change set, one row per key, as batch ``version``; a done batch is left alone. The partitions it touches
         are scanned once (twice with a guard, which has to know the newest stored value first). ``guarded`` says that the
-        guard has sorted out older changes already."""
+        guard has sorted out older changes already, ``unique`` that no key is repeated, which else is checked."""
         if self.is_done(version):
             return
         if not self._is_ready(version):
@@ -177,19 +201,26 @@ class PartitionedTable:
                 scratch.append(paths.stage(df))
                 return scratch[-1]
 
+            # A cast can make keys equal.
+            unique = unique and all(source.schema[k].dataType == self.schema()[k].dataType for k in self.key)
             source = kept(source.select(*fields, *([op] if op not in columns else [])))
-            repeated = source.where(~any_null(self.key)).groupBy(*self.key).count().where("count > 1").first()
+            repeated = source.where(~any_null(self.key)).groupBy(*self.key).count().where("count > 1")
+            repeated = None if unique else repeated.first()
             if repeated is not None:
                 raise ValueError(f"{self.path}: the change set has {repeated['count']} rows for one key: {repeated}")
-            parts = self._touched(source.where(F.col(op).isNotNull()), columns)
-            stored = self._rows(parts)
+            large = self.is_large(source)
+            stored = self._rows(None if large else self._touched(source.where(F.col(op).isNotNull()), columns))
             if guard is not None and not guarded:
                 known = stored if keep_deleted is not None else stored.where(~F.col(GRAVE))
                 source = kept(drop_older(known, source, self.key, guard))
             live = stored.where(~F.col(GRAVE)).select(*columns, PART)
-            classify(live, source, self.key, op, mode, columns).write.mode("overwrite").parquet(self._next(version, "rows"))
-            seen = self.spark.read.parquet(self._next(version, "rows"))
-            added = kept(new_rows(seen.where(F.col(ACT).isNotNull()), source, self.key, op))
+            whole = large and self._is_even(live)
+            seen = (classify_all if whole else classify)(live, source, self.key, op, mode, columns)
+            seen = self._keep_seen(version, seen)
+            if whole:
+                added = kept(replacing_rows(seen, source, self.key, op))
+            else:
+                added = kept(new_rows(seen.where(F.col(ACT).isNotNull()), source, self.key, op))
             changes = classified_changes(seen, added, columns)
             rows = added.select(*columns, F.lit(False).alias(GRAVE), self._part(columns).alias(PART))
             if guard is not None and keep_deleted is not None:
@@ -197,7 +228,6 @@ class PartitionedTable:
             else:
                 rows = rows.unionByName(stored.where(F.col(GRAVE)))
             # A change set of the table's size makes changes enough for the files of all the tasks that read the table.
-            large = 8 * paths.size(source) >= paths.size(seen)
             self._keep_changes(version, changes if large else changes.hint("rebalance"))
             self._store(version, rows)
             for staged in scratch:
@@ -213,7 +243,7 @@ class PartitionedTable:
             fields = [F.col(f.name).cast(f.dataType) for f in self.schema().fields]
             changes = self._keep_changes(version, changes.select(*fields, CHANGE_TYPE))
             images = changes.where(F.col(CHANGE_TYPE).isin(*NEW_IMAGES))
-            stored = self._rows(self._touched(changes, columns))
+            stored = self._rows(None if self.is_large(changes) else self._touched(changes, columns))
             touched = changes.where(~any_null(self.key)).select(*self.key)
             left = stored.where(~F.col(GRAVE)).join(touched, self.key, "left_anti").select(*columns, PART)
             left = left.withColumn(ACT, F.lit(None).cast("string"))
@@ -222,6 +252,26 @@ class PartitionedTable:
             self._store(version, rows.unionByName(stored.where(F.col(GRAVE))))
         self._publish(version, source_version)
 
+    def commit_all(
+        self, version: int, classified: Callable[[DataFrame], DataFrame], source_version: int | None = None
+    ) -> None:
+        """A batch that may touch every row: ``classified`` takes the rows, with their partition as one more column, and
+        gives them in the form of ``merge.classify_all``."""
+        if self.is_done(version):
+            return
+        if not self._is_ready(version):
+            columns, stored = self.schema().names, self._rows()
+            seen = self._keep_seen(version, classified(stored.where(~F.col(GRAVE)).select(*columns, PART)))
+            self._keep_changes(version, classified_changes(seen, None, columns))
+            self._store(version, stored.where(F.col(GRAVE)))
+        self._publish(version, source_version)
+
+    def _keep_seen(self, version: int, seen: DataFrame) -> DataFrame:
+        """Store classified rows, those that enter with the partition they belong to, and read them back."""
+        seen = seen.withColumn(PART, F.coalesce(PART, self._part(self.schema().names)))
+        seen.write.mode("overwrite").parquet(self._next(version, "rows"))
+        return self.spark.read.schema(seen.schema).parquet(self._next(version, "rows"))
+
     def _graves(self, old: DataFrame, source: DataFrame, op: str, guard: str, keep_deleted: str) -> DataFrame:
         """The tombstones after a batch: old ones and those of its DELETEs, without the keys it writes."""
         dead = source.where(F.col(op) == DELETE).where(~any_null(self.key)).where(F.col(guard).isNotNull())
@@ -257,10 +307,12 @@ class PartitionedTable:
         folder = f"{self.path}/changes/{COMMIT_VERSION}={version}"
         schema = self.schema().add(CHANGE_TYPE, "string")
         changes = self.spark.read.schema(schema).parquet(folder)
-        made = {r[CHANGE_TYPE]: r["count"] for r in changes.groupBy(CHANGE_TYPE).count().collect()}
+        # At most four rows a partition.
+        found = changes.groupBy(CHANGE_TYPE, self._part(columns).alias(PART)).count().collect()
+        made = {kind: sum(r["count"] for r in found if r[CHANGE_TYPE] == kind) for kind in {r[CHANGE_TYPE] for r in found}}
         row_schema = self.schema().add(GRAVE, "boolean").add(PART, "integer")
         added = self.spark.read.schema(row_schema).parquet(self._next(version, "added"))
-        parts = sorted({*self._touched(changes, columns), *(r[0] for r in added.select(PART).distinct().collect())})
+        parts = sorted({*(r[PART] for r in found), *(r[0] for r in added.select(PART).distinct().collect())})
         if parts:
             seen = self.spark.read.schema(self.schema().add(PART, "integer").add(ACT, "string")).parquet(self._next(version, "rows"))
             left = seen.where(stays()).select(*columns, F.lit(False).alias(GRAVE), PART)

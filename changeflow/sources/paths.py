@@ -72,6 +72,12 @@ def size(stored: DataFrame) -> int:
     return sum(fs.getContentSummary(p).getLength() for fs, p in found)
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a directory."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def unstage(staged: DataFrame) -> None:
     """Free the directory of a staged frame that nothing reads any more."""
     for folder in {file.rpartition("/")[0] for file in staged.inputFiles()}:

@@ -140,6 +140,8 @@ class BronzeIngest:
 
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
         key, options = self.table.key, {}
+        if isinstance(self.table, PartitionedTable):
+            options["unique"] = self.batch is None or self.guard is None  # folded, as below
         if self.keep_deleted is not None:
             options["keep_deleted"] = self.keep_deleted
         if self.batch is None:
