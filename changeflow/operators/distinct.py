@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, any_null, as_list
-from changeflow.operators.merge import NEW_IMAGES
+from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION, DELETE, UPDATE, any_null, as_list
+from changeflow.operators.merge import ACT, ADDED, NEW_IMAGES, OLD
 
 ROWS = "_rows"
 
@@ -76,6 +76,28 @@ def count_row_changes(counts: DataFrame, deltas: DataFrame, column: str | Sequen
     )
 
 
+def classify_counts(counts: DataFrame, deltas: DataFrame, column: str | Sequence[str]) -> DataFrame:
+    """The same, and the values whose count stays, by one full outer join, in the form of ``merge.classify_all``; ``counts``
+    may have more columns. Both sides have a value once, so there is no frequent one."""
+    names, more = as_list(column), [c for c in counts.columns if c not in (*as_list(column), ROWS)]
+    before, delta = F.col(ROWS), F.col("__delta")
+    after = F.coalesce(before, F.lit(0)) + delta
+    act = (
+        F.when(delta.isNull(), F.lit(None))
+        .when(before.isNull(), ADDED)
+        .when(after <= 0, DELETE)
+        .otherwise(UPDATE)
+    )
+    seen = counts.join(deltas, names, "full").withColumn(ACT, act)
+    return seen.select(
+        *names,
+        F.when(F.col(ACT).isin(ADDED, UPDATE), after).otherwise(before).cast("bigint").alias(ROWS),
+        *more,
+        ACT,
+        F.when(F.col(ACT).isin(DELETE, UPDATE), F.struct(*names, ROWS)).alias(OLD),
+    )
+
+
 def set_changes(count_row_changes: DataFrame) -> DataFrame:
     """Values that really entered or left the set, from the row changes of the counts."""
     return count_row_changes.where(F.col(CHANGE_TYPE).isin("insert", "delete")).drop(ROWS)

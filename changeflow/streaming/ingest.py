@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from changeflow.functions.columns import CHANGE_TYPE, COMMIT_VERSION
 from changeflow.functions.schemas import COLUMN, REASON, REJECT, ROW, load_schema, split
 from changeflow.operators.derive import changes_by_query, derived_changes, latest_operations
-from changeflow.operators.distinct import count_row_changes, set_changes, value_counts, value_deltas
+from changeflow.operators.distinct import classify_counts, count_row_changes, set_changes, value_counts, value_deltas
 from changeflow.operators.guarded import guarded_changes
 from changeflow.operators.latest import latest
 from changeflow.operators.merge import LATEST_WINS, NEW_IMAGES, REFERENCE
@@ -317,8 +317,11 @@ class DistinctIngest(_Downstream):
             ]
             changes = sides[0].unionByName(sides[1])
         deltas = paths.stage(value_deltas(changes, self.column))
-        changes = count_row_changes(self.table.read_keys(deltas), deltas, self.column)
-        self.table.commit(version, changes, source_versions.stop - 1)
+        if isinstance(self.table, PartitionedTable) and self.table.is_large(deltas):
+            self.table.commit_all(version, lambda counts: classify_counts(counts, deltas, self.column), source_versions.stop - 1)
+        else:
+            changes = count_row_changes(self.table.read_keys(deltas), deltas, self.column)
+            self.table.commit(version, changes, source_versions.stop - 1)
         paths.unstage(deltas)
 
     def read(self, version: int | None = None) -> DataFrame:

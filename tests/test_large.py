@@ -11,6 +11,7 @@ from changeflow.operators.replay import _fold
 from changeflow.plans import feeds
 from changeflow.sources import partitioned
 from changeflow.sources.partitioned import PartitionedTable
+from changeflow.streaming.ingest import DistinctIngest
 from tests.test_merge import bag
 from tests.test_plans import plan
 from tests.test_replay import FEED
@@ -73,6 +74,21 @@ def test_keys_that_a_cast_makes_equal_are_refused(spark, root):
         table.merge(1, source, unique=True)
 
 
+def test_many_values_change_their_counts_in_one_join(spark, root, monkeypatch):
+    lines = PartitionedTable(spark, f"{root}/lines", "k", partitions=16)
+    lines.overwrite(spark.range(2000).selectExpr("int(id) AS k", "int(id % 700) AS p", "int(id % 3) AS s"))
+    pairs = DistinctIngest(PartitionedTable(spark, f"{root}/pairs", ["p", "s"], 16), lines)
+    pairs.bootstrap()
+    changed = lines.read().where("k % 2 = 0").withColumn("p", F.col("k") % 900)
+    changed = changed.withColumn("_operation", F.when(F.col("k") % 3 == 0, "DELETE").otherwise("UPDATE"))
+    lines.merge(1, changed)
+    monkeypatch.setattr(PartitionedTable, "read_keys", refuse)
+    pairs.run()
+    now = lines.read().groupBy("p", "s").count()
+    assert bag(pairs.table.read().collect()) == bag(now.collect())
+    assert {r[0] for r in pairs.table.read_changes(1).select("_change_type").distinct().collect()} >= {"insert", "delete"}
+
+
 def test_the_fold_of_winners_is_one_window(spark):
     winners = spark.createDataFrame([(k, "UPDATE", 1, 1, 1) for k in range(50)], FEED)
     text = plan(_fold(winners, ["k"], "b", "_operation", REFERENCE), "simple")
